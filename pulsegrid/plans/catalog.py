@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pulsegrid.operators import detect
+from pulsegrid.operators import alerts, detect, store
 from pulsegrid.sources import fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +25,120 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 @query
 def detect_sustained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect.detect_sustained(fixtures.telemetry(spark, sf_dir))
+
+
+# --- fixed values: query parameters ------------------------------------------------------------
+LIST_TELEMETRY_FILTER = store.ListFilter(from_="2026-07-07T12:01:00Z", to="2026-07-07T12:05:00Z", limit=1000)
+LIST_ALERTS_FILTER = store.ListFilter()
+RANGE_TELEMETRY_FILTER = store.ListFilter(from_="2026-07-07T12:01:00Z", to="2026-07-07T12:02:00Z")
+RANGE_ALERTS_FILTER = store.ListFilter(from_="2026-07-07T12:02:00Z", to="2026-07-07T12:04:00Z")
+RETENTION_NOW = dt.datetime(2026, 7, 8, tzinfo=dt.timezone.utc)
+
+
+def _detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect.detect_sustained(fixtures.telemetry(spark, sf_dir))
+
+
+def _partial_alerts(det: DataFrame) -> DataFrame:
+    """Alerts table of an earlier run whose writes for every 4th bucket were lost."""
+    t = alerts.alerts_table(det)
+    return t.filter(alerts.alert_bucket(F.col("detected_at")) % 4 != 0)
+
+
+@query
+def alert_dedup_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alerts.with_dedup_key(_detections(spark, sf_dir)).select("event_id", "dedup_key")
+
+
+@query
+def alerts_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alerts.bucketed(_detections(spark, sf_dir))
+
+
+@query
+def alerts_cooldown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alerts.cooldown(_detections(spark, sf_dir))
+
+
+@query
+def alerts_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    det = _detections(spark, sf_dir)
+    return alerts.recovered(alerts.cooldown(det), _partial_alerts(det))
+
+
+@query
+def alerts_backfill_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = alerts.alerts_table(_detections(spark, sf_dir))
+    legacy = t.withColumn("dedup_key", F.when(alerts.alert_bucket(F.col("detected_at")) % 2 == 1, F.lit(None))
+                          .otherwise(F.col("dedup_key")))
+    return alerts.backfill_key(legacy)
+
+
+@query
+def alerts_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    det = _detections(spark, sf_dir)
+    incoming = alerts.with_dedup_key(det).select("dedup_key", "patient_id", "alert_type",
+                                                 F.col("triggered_at").alias("detected_at"), "event_id")
+    return alerts.insert_if_absent(incoming, _partial_alerts(det), "dedup_key", ["detected_at", "event_id"])
+
+
+@query
+def list_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    view = alerts.list_view(alerts.alerts_table(_detections(spark, sf_dir)))
+    return store.list_rows(view, LIST_ALERTS_FILTER, "triggered_at", "dedup_key")
+
+
+@query
+def filter_alerts_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    view = alerts.list_view(alerts.alerts_table(_detections(spark, sf_dir)))
+    return store.filter_range(view, RANGE_ALERTS_FILTER, "triggered_at")
+
+
+@query
+def recent_alert_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    det = _detections(spark, sf_dir)
+    return alerts.recent_alert_semi(det, alerts.alerts_table(det))
+
+
+# --- telemetry table ------------------------------------------------------------------------------
+
+@query
+def list_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.list_telemetry(fixtures.telemetry_table(spark, sf_dir), LIST_TELEMETRY_FILTER)
+
+
+@query
+def filter_telemetry_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = fixtures.telemetry_table(spark, sf_dir).select(*store.TELEMETRY_COLUMNS)
+    return store.filter_range(t, RANGE_TELEMETRY_FILTER, "timestamp")
+
+
+@query
+def telemetry_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert-if-absent of a redelivering stream into a table that already holds each patient's first 20
+    readings; redeliveries (``src_event_id % 89 = 0``) arrive 1 s later with a changed reading."""
+    t = fixtures.telemetry_table(spark, sf_dir)
+    cols = ["event_id", "device_id", "patient_id", "timestamp", "heart_rate"]
+    fresh = t.filter(F.col("seq") > 10).select(*cols, F.unix_millis("timestamp").alias("arrival"))
+    again = (t.filter((F.col("seq") > 10) & (F.col("src_event_id") % 89 == 0))
+             .select("event_id", "device_id", "patient_id", "timestamp", (F.col("heart_rate") + 1).alias("heart_rate"),
+                     (F.unix_millis("timestamp") + 1000).alias("arrival")))
+    target = t.filter(F.col("seq") <= 20)
+    return store.store_telemetry(fresh.unionByName(again), target).drop("arrival")
+
+
+@query
+def retention_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept, _ = store.retention_split(fixtures.telemetry_table(spark, sf_dir), RETENTION_NOW)
+    return kept.select("event_id", "created_at")
+
+
+@query
+def retention_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, t_drop = store.retention_split(fixtures.telemetry_table(spark, sf_dir), RETENTION_NOW)
+    _, a_drop = store.retention_split(alerts.alerts_table(_detections(spark, sf_dir)), RETENTION_NOW)
+    counts = (t_drop.select(F.lit("telemetry").alias("table_name"))
+              .unionByName(a_drop.select(F.lit("alerts").alias("table_name"))))
+    names = spark.createDataFrame([("telemetry",), ("alerts",)], "table_name string")
+    return (names.join(counts.groupBy("table_name").agg(F.count(F.lit(1)).alias("dropped")), "table_name", "left")
+            .select("table_name", F.coalesce("dropped", F.lit(0)).cast("bigint").alias("dropped")))

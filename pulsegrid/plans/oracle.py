@@ -61,3 +61,115 @@ def sql_dedup_key(patient: str, typ: str, ts: str) -> str:
 ORACLES: dict[str, str] = {}
 
 ORACLES["detect_sustained"] = with_(V, WSTATS, DET) + "SELECT * FROM det"
+
+
+def with_recursive(*ctes: str) -> str:
+    return "WITH RECURSIVE " + ",".join(ctes) + "\n"
+
+
+KEYED = f"""
+keyed AS (SELECT *, {sql_dedup_key('patient_id', 'alert_type', 'triggered_at')} AS dedup_key FROM det)"""
+
+BKT = """
+bkt AS (
+  SELECT dedup_key, patient_id, alert_type, triggered_at AS detected_at, event_id
+  FROM (SELECT *, row_number() OVER (PARTITION BY dedup_key ORDER BY triggered_at, event_id) AS rn FROM keyed) k
+  WHERE rn = 1
+)"""
+
+ATAB = """
+atab AS (SELECT patient_id, alert_type, dedup_key, detected_at, detected_at + INTERVAL 2 SECONDS AS created_at FROM bkt)"""
+
+PARTIAL = """
+partial AS (SELECT * FROM atab WHERE CAST(floor(epoch(detected_at) / 300) AS BIGINT) % 4 <> 0)"""
+
+COOLDOWN = """
+cd_e AS (
+  SELECT patient_id, alert_type, event_id, triggered_at,
+         min(triggered_at) OVER (PARTITION BY patient_id, alert_type ORDER BY triggered_at
+                                 RANGE BETWEEN INTERVAL 300 SECONDS FOLLOWING AND UNBOUNDED FOLLOWING) AS nx,
+         row_number() OVER (PARTITION BY patient_id, alert_type ORDER BY triggered_at, event_id) AS rn
+  FROM det
+),
+cd AS (
+  SELECT patient_id, alert_type, event_id, triggered_at, nx FROM cd_e WHERE rn = 1
+  UNION ALL
+  SELECT e.patient_id, e.alert_type, e.event_id, e.triggered_at, e.nx
+  FROM cd c JOIN cd_e e ON e.patient_id = c.patient_id AND e.alert_type = c.alert_type AND e.triggered_at = c.nx
+)"""
+
+ALERT_VIEW = f"""
+aview AS (
+  SELECT patient_id, alert_type AS type,
+         CASE WHEN alert_type = '{TYPE}' THEN '{MSG}' ELSE '' END AS message,
+         detected_at AS triggered_at, created_at, dedup_key
+  FROM atab
+)"""
+
+T = """
+t AS (
+  SELECT event_id, device_id, patient_id, ts AS "timestamp", heart_rate,
+         CASE WHEN seq % 10 = 0 THEN CAST(95 + seq % 5 AS INTEGER) END AS spo2,
+         CASE WHEN seq % 15 = 0 THEN CAST(365 + seq % 5 AS DOUBLE) / 10 END AS temperature,
+         ts - to_days(CAST(src_event_id % 60 AS INTEGER)) AS created_at,
+         seq, src_event_id
+  FROM v
+)"""
+
+TCOLS = 'event_id, device_id, patient_id, "timestamp", heart_rate, spo2, temperature, created_at'
+ALERT_BASE = (V, WSTATS, DET, KEYED, BKT, ATAB)
+
+ORACLES["alert_dedup_key"] = with_(V, WSTATS, DET, KEYED) + "SELECT event_id, dedup_key FROM keyed"
+ORACLES["alerts_bucketed"] = with_(V, WSTATS, DET, KEYED, BKT) + "SELECT * FROM bkt"
+ORACLES["alerts_cooldown"] = with_recursive(V, WSTATS, DET, COOLDOWN) + f"""
+SELECT event_id, patient_id, alert_type, triggered_at,
+       {sql_dedup_key('patient_id', 'alert_type', 'triggered_at')} AS dedup_key
+FROM cd"""
+ORACLES["alerts_recovered"] = with_recursive(*ALERT_BASE, PARTIAL, COOLDOWN) + f"""
+SELECT k.dedup_key, k.patient_id, k.alert_type, k.triggered_at AS detected_at,
+       k.dedup_key NOT IN (SELECT dedup_key FROM partial) AS recovered
+FROM (SELECT *, {sql_dedup_key('patient_id', 'alert_type', 'triggered_at')} AS dedup_key FROM cd) k"""
+ORACLES["alerts_backfill_key"] = with_(*ALERT_BASE) + f"""
+SELECT patient_id, alert_type, detected_at,
+       coalesce(CASE WHEN CAST(floor(epoch(detected_at) / 300) AS BIGINT) % 2 = 1 THEN NULL ELSE dedup_key END,
+                {sql_dedup_key('patient_id', 'alert_type', 'detected_at')}) AS dedup_key,
+       CAST(floor(epoch(detected_at) / 300) AS BIGINT) % 2 = 1 AS backfilled
+FROM atab"""
+ORACLES["alerts_store"] = with_(*ALERT_BASE, PARTIAL) + """
+SELECT dedup_key, patient_id, alert_type, detected_at, event_id FROM bkt
+WHERE dedup_key NOT IN (SELECT dedup_key FROM partial)"""
+ORACLES["list_alerts"] = with_(*ALERT_BASE, ALERT_VIEW) + """
+SELECT * FROM aview ORDER BY triggered_at DESC, dedup_key LIMIT 100"""
+ORACLES["filter_alerts_range"] = with_(*ALERT_BASE, ALERT_VIEW) + """
+SELECT * FROM aview
+WHERE triggered_at >= TIMESTAMP '2026-07-07 12:02:00' AND triggered_at <= TIMESTAMP '2026-07-07 12:04:00'"""
+ORACLES["recent_alert_semi"] = with_(*ALERT_BASE) + """
+SELECT d.event_id, d.patient_id, d.alert_type, d.triggered_at FROM det d
+WHERE EXISTS (SELECT 1 FROM atab a WHERE a.patient_id = d.patient_id AND a.alert_type = d.alert_type
+              AND a.created_at >= d.triggered_at - INTERVAL 300 SECONDS AND a.created_at <= d.triggered_at)"""
+ORACLES["list_telemetry"] = with_(V, T) + f"""
+SELECT {TCOLS} FROM t
+WHERE "timestamp" >= TIMESTAMP '2026-07-07 12:01:00' AND "timestamp" <= TIMESTAMP '2026-07-07 12:05:00'
+ORDER BY "timestamp" DESC, event_id LIMIT 1000"""
+ORACLES["filter_telemetry_range"] = with_(V, T) + f"""
+SELECT {TCOLS} FROM t
+WHERE "timestamp" >= TIMESTAMP '2026-07-07 12:01:00' AND "timestamp" <= TIMESTAMP '2026-07-07 12:02:00'"""
+ORACLES["telemetry_store"] = with_(V, T) + """
+, inc AS (
+  SELECT event_id, device_id, patient_id, "timestamp", heart_rate, epoch_ms("timestamp") AS arrival FROM t WHERE seq > 10
+  UNION ALL
+  SELECT event_id, device_id, patient_id, "timestamp", heart_rate + 1, epoch_ms("timestamp") + 1000 FROM t
+  WHERE seq > 10 AND src_event_id % 89 = 0
+)
+SELECT event_id, device_id, patient_id, "timestamp", heart_rate
+FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY arrival, event_id) AS rn FROM inc) i
+WHERE rn = 1 AND event_id NOT IN (SELECT event_id FROM t WHERE seq <= 20)"""
+ORACLES["retention_keep"] = with_(V, T) + """
+SELECT event_id, created_at FROM t WHERE created_at >= TIMESTAMP '2026-07-08 00:00:00' - INTERVAL 30 DAYS"""
+ORACLES["retention_dropped"] = with_(*ALERT_BASE, T) + """
+SELECT 'telemetry' AS table_name,
+       CAST(count(*) FILTER (WHERE created_at < TIMESTAMP '2026-07-08 00:00:00' - INTERVAL 30 DAYS) AS BIGINT) AS dropped
+FROM t
+UNION ALL
+SELECT 'alerts', CAST(count(*) FILTER (WHERE created_at < TIMESTAMP '2026-07-08 00:00:00' - INTERVAL 30 DAYS) AS BIGINT)
+FROM atab"""

@@ -41,6 +41,7 @@ def build_session(master: str | None = None, app: str = "pulsegrid", shuffle_par
     if master:
         builder = builder.master(master)
     builder = (builder.config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid import constants as K
-from pulsegrid.functions.ids import alert_dedup_key, rfc3339_utc
+from pulsegrid.functions.ids import rfc3339_utc
 from pulsegrid.functions.sliced import position_in_group, time_slice
 from pulsegrid.sources.tables import events
 
@@ -81,18 +81,17 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def alerts_table(detections: DataFrame) -> DataFrame:
-    """Alerts table from detections: one row per dedup key (first detection wins), ``created_at`` = detection
-    time + 2 s (stand-in for write latency)."""
-    keyed = detections.withColumn("dedup_key", alert_dedup_key(F.col("patient_id"), F.col("alert_type"),
-                                                               F.col("triggered_at")))
-    first = (keyed.groupBy("dedup_key")
-             .agg(F.min_by(F.struct("patient_id", "alert_type", "triggered_at"),
-                           F.struct("triggered_at", "event_id")).alias("a")))
-    return first.select(
-        F.col("a.patient_id").alias("patient_id"),
-        F.col("a.alert_type").alias("alert_type"),
-        "dedup_key",
-        F.col("a.triggered_at").alias("detected_at"),
-        (F.col("a.triggered_at") + F.expr("INTERVAL 2 SECONDS")).alias("created_at"),
-    )
+def telemetry_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The telemetry table as stored: ``v`` plus nullable spo2 (every 10th reading) and temperature (every 15th),
+    and ``created_at`` = reading time moved back ``src_event_id % 60`` days (spreads rows over retention).
+    Columns: event_id, device_id, patient_id, timestamp, heart_rate, spo2, temperature, created_at, seq,
+    src_event_id."""
+    v = telemetry(spark, sf_dir)
+    seq = F.col("seq")
+    return v.select(
+        "event_id", "device_id", "patient_id", F.col("ts").alias("timestamp"), "heart_rate",
+        F.when(seq % 10 == 0, (F.lit(95) + seq % 5).cast("int")).alias("spo2"),
+        F.when(seq % 15 == 0, (F.lit(365) + seq % 5).cast("double") / 10).alias("temperature"),
+        F.timestamp_micros(F.unix_micros("ts") - (F.col("src_event_id") % 60) * F.lit(86_400_000_000))
+        .alias("created_at"),
+        "seq", "src_event_id")
