@@ -9,7 +9,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.operators import alerts, detect, store
+from pulsegrid.operators import alerts, detect, events, store
 from pulsegrid.sources import fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,77 @@ def retention_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = spark.createDataFrame([("telemetry",), ("alerts",)], "table_name string")
     return (names.join(counts.groupBy("table_name").agg(F.count(F.lit(1)).alias("dropped")), "table_name", "left")
             .select("table_name", F.coalesce("dropped", F.lit(0)).cast("bigint").alias("dropped")))
+
+
+# --- event messages: decode / validate / route / dead letters ----------------------------------------
+DLQ_PROCESSED_AT = dt.datetime(2026, 7, 8, tzinfo=dt.timezone.utc)
+
+
+def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events.process(fixtures.raw_messages(spark, sf_dir))
+
+
+@query
+def decode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = events.decode(fixtures.raw_messages(spark, sf_dir))
+    return d.select("topic", "partition", "offset", "decode_ok", "event_id", "device_id", "patient_id", "timestamp",
+                    "heart_rate")
+
+
+@query
+def validate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events.validate(events.decode(fixtures.raw_messages(spark, sf_dir))).select("offset", "decode_ok", "reason")
+
+
+@query
+def route_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (_processed(spark, sf_dir).groupBy("route", "dlq_reason")
+            .agg(F.count(F.lit(1)).alias("messages")))
+
+
+@query
+def dlq_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rec = events.dlq_records(_processed(spark, sf_dir), DLQ_PROCESSED_AT)
+    return rec.select("key", "reason", "source_topic", "source_partition", "source_offset", "payload_base64", "value")
+
+
+@query
+def dlq_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (_processed(spark, sf_dir).filter(F.col("route") == "dlq")
+            .groupBy(F.col("dlq_reason").alias("reason")).agg(F.count(F.lit(1)).alias("messages")))
+
+
+@query
+def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events.consumer_lag(fixtures.raw_messages(spark, sf_dir))
+
+
+@query
+def snk_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = fixtures.telemetry(spark, sf_dir).withColumnRenamed("ts", "timestamp")
+    return events.event_messages(v).select("key", "value", "topic")
+
+
+# --- sliding window -------------------------------------------------------------------------------
+
+@query
+def window_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = detect.window_stats(fixtures.telemetry(spark, sf_dir).select("event_id", "patient_id", "ts", "heart_rate"))
+    return w.select("event_id", "patient_id", "ts", "window_events")
+
+
+@query
+def window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = detect.window_stats(fixtures.telemetry(spark, sf_dir).select("event_id", "patient_id", "ts", "heart_rate"))
+    return w.drop("window_first_ts")
+
+
+@query
+def window_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON1: window index entries whose payload is missing from the store (lost writes: src_event_id % 97 = 0)."""
+    t = fixtures.telemetry_table(spark, sf_dir)
+    index = fixtures.telemetry(spark, sf_dir).select("patient_id", "event_id")
+    payloads = t.filter(F.col("src_event_id") % 97 != 0).select("event_id", F.lit(True).alias("_has"))
+    return (index.join(payloads, "event_id", "left")
+            .groupBy("patient_id")
+            .agg(F.count(F.lit(1)).alias("indexed"), F.count_if(F.col("_has").isNull()).alias("missing")))

@@ -173,3 +173,80 @@ FROM t
 UNION ALL
 SELECT 'alerts', CAST(count(*) FILTER (WHERE created_at < TIMESTAMP '2026-07-08 00:00:00' - INTERVAL 30 DAYS) AS BIGINT)
 FROM atab"""
+
+RAW = """
+raw AS (
+  SELECT patient_id AS key,
+         CASE WHEN cls = 0 THEN '{"invalid"' WHEN cls = 6 THEN body || '{}' ELSE body END AS value,
+         'telemetry.raw' AS topic, CAST(user_id % 3 AS INTEGER) AS "partition", src_event_id AS "offset",
+         src_event_id + 1 + src_event_id % 7 AS high_watermark, ts AS "timestamp",
+         cls, event_id, device_id, patient_id, ts, heart_rate
+  FROM (
+    SELECT *,
+           '{"event_id":"' || event_id || '","device_id":"' || device_id || '",'
+           || CASE WHEN cls = 2 THEN '' ELSE '"patient_id":"' || patient_id || '",' END
+           || '"timestamp":"'
+           || CASE WHEN cls = 3 THEN strftime(ts + INTERVAL 3 HOURS, '%Y-%m-%dT%H:%M:%S') || '+03:00'
+                   ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' END
+           || '","heart_rate":'
+           || CASE cls WHEN 1 THEN '251' WHEN 5 THEN '19' WHEN 4 THEN '"' || CAST(heart_rate AS VARCHAR) || '"'
+                       ELSE CAST(heart_rate AS VARCHAR) END
+           || '}' AS body
+    FROM (SELECT *, src_event_id % 50 AS cls FROM v) c
+  ) b
+)"""
+
+ROUTED = f"""
+routed AS (
+  SELECT *, cls NOT IN (0, 4, 6) AS decode_ok,
+         CASE cls WHEN 1 THEN '{K.MSG_HR_TOO_HIGH}' WHEN 2 THEN '{K.MSG_PATIENT_ID_REQUIRED}'
+                  WHEN 3 THEN '{K.MSG_TIMESTAMP_NOT_UTC}' WHEN 5 THEN '{K.MSG_HR_TOO_LOW}' END AS reason,
+         CASE WHEN cls IN (0, 1, 2, 3, 4, 5, 6) THEN 'dlq' ELSE 'store' END AS route,
+         CASE WHEN cls IN (0, 4, 6) THEN 'decode' WHEN cls IN (1, 2, 3, 5) THEN 'validation' END AS dlq_reason
+  FROM raw
+)"""
+
+ORACLES["decode_events"] = with_(V, RAW) + """
+SELECT topic, "partition" AS "partition", "offset" AS "offset", cls NOT IN (0, 4, 6) AS decode_ok,
+       CASE WHEN cls NOT IN (0, 4, 6) THEN event_id END AS event_id,
+       CASE WHEN cls NOT IN (0, 4, 6) THEN device_id END AS device_id,
+       CASE WHEN cls IN (0, 4, 6) THEN NULL WHEN cls = 2 THEN '' ELSE patient_id END AS patient_id,
+       CASE WHEN cls NOT IN (0, 4, 6) THEN ts END AS "timestamp",
+       CASE WHEN cls NOT IN (0, 4, 6) THEN CAST(CASE cls WHEN 1 THEN 251 WHEN 5 THEN 19 ELSE heart_rate END AS BIGINT)
+       END AS heart_rate
+FROM raw"""
+ORACLES["validate_events"] = with_(V, RAW, ROUTED) + """SELECT "offset" AS "offset", decode_ok, reason FROM routed"""
+ORACLES["route_split"] = with_(V, RAW, ROUTED) + """
+SELECT route, dlq_reason, CAST(count(*) AS BIGINT) AS messages FROM routed GROUP BY route, dlq_reason"""
+ORACLES["dlq_envelope"] = with_(V, RAW, ROUTED) + f"""
+, env AS (
+  SELECT key,
+         CASE WHEN dlq_reason = 'decode' THEN '{K.MSG_DECODE}: invalid JSON'
+              ELSE '{K.MSG_INVALID_EVENT}: validate telemetry event: ' || reason END AS reason,
+         topic AS source_topic, "partition" AS source_partition, "offset" AS source_offset,
+         to_base64(encode(value)) AS payload_base64
+  FROM routed WHERE route = 'dlq'
+)
+SELECT *, json_object('reason', reason, 'timestamp', '2026-07-08T00:00:00Z', 'source_topic', source_topic,
+                      'source_partition', source_partition, 'source_offset', source_offset,
+                      'payload_base64', payload_base64)::VARCHAR AS value
+FROM env"""
+ORACLES["dlq_reason_counts"] = with_(V, RAW, ROUTED) + """
+SELECT dlq_reason AS reason, CAST(count(*) AS BIGINT) AS messages FROM routed WHERE route = 'dlq' GROUP BY dlq_reason"""
+ORACLES["consumer_lag"] = with_(V, RAW) + """
+SELECT topic, "partition" AS "partition",
+       CAST(arg_max(greatest(high_watermark - "offset" - 1, 0), "offset") AS BIGINT) AS lag
+FROM raw WHERE high_watermark > 0 GROUP BY topic, "partition" """
+ORACLES["snk_event_messages"] = with_(V) + """
+SELECT patient_id AS key,
+       json_object('event_id', event_id, 'device_id', device_id, 'patient_id', patient_id,
+                   'timestamp', strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z', 'heart_rate', heart_rate)::VARCHAR AS value,
+       'telemetry.raw' AS topic
+FROM v"""
+ORACLES["window_size"] = with_(V, WSTATS) + "SELECT event_id, patient_id, ts, window_events FROM wstats"
+ORACLES["window_stats"] = with_(V, WSTATS) + """
+SELECT event_id, patient_id, ts, heart_rate, window_events, window_min_hr, window_max_hr, window_sum_hr FROM wstats"""
+ORACLES["window_integrity"] = with_(V) + """
+SELECT patient_id, CAST(count(*) AS BIGINT) AS indexed,
+       CAST(count(*) FILTER (WHERE src_event_id % 97 = 0) AS BIGINT) AS missing
+FROM v GROUP BY patient_id"""
