@@ -92,8 +92,13 @@ def route(validated: DataFrame) -> DataFrame:
 
 
 def process(messages: DataFrame) -> DataFrame:
-    """decode -> validate -> route, one narrow pass (no shuffle)."""
-    return route(validate(decode(messages)))
+    """decode -> validate -> route, one narrow pass (no shuffle).
+
+    The routed row is re-emitted through a one-element ``inline``: filters on ``route`` (the store / dead-letter
+    split) then stay above it instead of being rewritten into the decode expressions, which would evaluate the
+    JSON checks a second time inside the predicate and bloat the generated code."""
+    routed = route(validate(decode(messages)))
+    return routed.select(F.inline(F.array(F.struct(*[F.col(c) for c in routed.columns]))))
 
 
 def dlq_records(routed: DataFrame, processed_at: dt.datetime | None = None) -> DataFrame:
