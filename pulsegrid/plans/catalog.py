@@ -9,8 +9,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.operators import alerts, detect, events, store
-from pulsegrid.sources import fixtures
+from pulsegrid import constants as K
+from pulsegrid.operators import alerts, detect, events, ingest, store
+from pulsegrid.sources import fixtures, readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -216,3 +217,85 @@ def window_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (index.join(payloads, "event_id", "left")
             .groupBy("patient_id")
             .agg(F.count(F.lit(1)).alias("indexed"), F.count_if(F.col("_has").isNull()).alias("missing")))
+
+
+# --- ingestion: documents, admission -----------------------------------------------------------------
+BATCH_BASE_EPOCH_MS = fixtures.GRID_BASE_EPOCH * 1000
+
+
+def _checked_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.process(fixtures.batch_requests(spark, sf_dir))
+
+
+def _admitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.admit(_checked_docs(spark, sf_dir))
+
+
+@query
+def pack_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = ingest.pack_batches(fixtures.telemetry(spark, sf_dir), fixtures.BATCH_RUN_ID)
+    ms = F.col("measurements")
+    return packed.select("batch_id", "device_id", "patient_id", F.size(ms).alias("n_measurements"),
+                         F.element_at(ms, 1)["ts"].alias("first_ts"), F.element_at(ms, -1)["ts"].alias("last_ts"),
+                         F.array_join(F.transform(ms, lambda m: m["heart_rate"].cast("string")), ",").alias("hr_list"))
+
+
+@query
+def src_batches_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = readers.parse_batches(fixtures.batch_requests(spark, sf_dir))
+    ms = F.col("measurements")
+    return docs.select("request_id", "device_id", "patient_id", "batch_id", F.size(ms).alias("n_measurements"),
+                       F.element_at(ms, 1)["timestamp"].alias("first_ts"),
+                       F.element_at(ms, -1)["timestamp"].alias("last_ts"),
+                       F.array_join(F.transform(ms, lambda m: m["heart_rate"].cast("string")), ",").alias("hr_list"))
+
+
+@query
+def decode_batches_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = ingest.decode_strict(fixtures.batch_requests(spark, sf_dir))
+    return d.select("request_id", "decode_ok",
+                    F.when(~F.col("decode_ok"), F.lit(K.MSG_INVALID_JSON)).alias("error"))
+
+
+@query
+def validate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checked_docs(spark, sf_dir).select("request_id", "decode_ok", "reason")
+
+
+@query
+def explode_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _checked_docs(spark, sf_dir)
+    valid = docs.filter(F.col("decode_ok") & F.col("reason").isNull() & (F.col("copy") == 0))
+    return ingest.explode(valid)
+
+
+@query
+def batch_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _checked_docs(spark, sf_dir).filter(F.col("decode_ok") & F.col("reason").isNull())
+    return ingest.first_seen(docs.select("request_id", "device_id", "batch_id", "copy", "arrival_ms"))
+
+
+@query
+def rate_limit_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ingest.rate_limit(fixtures.rate_requests(spark, sf_dir))
+    return out.withColumn("tokens", F.round("tokens", 6))
+
+
+@query
+def rate_limit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ingest.rate_limit(fixtures.rate_requests(spark, sf_dir))
+    return out.groupBy("device_id").agg(F.count(F.lit(1)).alias("requests"),
+                                        F.count_if(F.col("allowed")).alias("allowed"),
+                                        F.count_if(~F.col("allowed")).alias("limited"))
+
+
+@query
+def admission_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _admitted(spark, sf_dir)
+
+
+@query
+def admission_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (_admitted(spark, sf_dir).groupBy("status", "outcome")
+            .agg(F.count(F.lit(1)).alias("requests"),
+                 F.sum("accepted_measurements").cast("bigint").alias("accepted_measurements")))

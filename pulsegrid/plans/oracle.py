@@ -250,3 +250,133 @@ ORACLES["window_integrity"] = with_(V) + """
 SELECT patient_id, CAST(count(*) AS BIGINT) AS indexed,
        CAST(count(*) FILTER (WHERE src_event_id % 97 = 0) AS BIGINT) AS missing
 FROM v GROUP BY patient_id"""
+
+# --- ingestion ----------------------------------------------------------------------------------
+
+BDOCS = """
+bdocs AS (
+  SELECT user_id, device_id, patient_id, chunk, printf('%s-%s-%09d', device_id, 'run1', chunk) AS batch_id,
+         CAST(count(*) AS INTEGER) AS n, list(heart_rate ORDER BY seq) AS hrs, list(ts ORDER BY seq) AS tss
+  FROM (SELECT *, CAST(floor((seq - 1) / 10) AS BIGINT) AS chunk FROM v) x
+  GROUP BY user_id, device_id, patient_id, chunk
+)"""
+
+BREQ = """
+breq AS (
+  SELECT d.*, c.copy, d.batch_id || '#' || CAST(c.copy AS VARCHAR) AS request_id,
+         d.chunk * (1000 + (d.user_id % 9) * 500) + c.copy AS arrival_ms,
+         d.chunk % 11 = 5 AS bad_json, (d.chunk % 13 = 6 AND d.n >= 2) AS bad_order,
+         CASE WHEN d.chunk % 13 = 6 AND d.n >= 2 THEN [d.hrs[2], d.hrs[1]] || d.hrs[3:] ELSE d.hrs END AS doc_hrs,
+         CASE WHEN d.chunk % 13 = 6 AND d.n >= 2 THEN [d.tss[2], d.tss[1]] || d.tss[3:] ELSE d.tss END AS doc_tss
+  FROM bdocs d, (SELECT CAST(0 AS INTEGER) AS copy UNION ALL SELECT CAST(1 AS INTEGER)) c
+  WHERE c.copy = 0 OR d.chunk % 7 = 3
+)"""
+
+GOOD = """
+good AS (SELECT * FROM breq WHERE NOT bad_json AND NOT bad_order)"""
+
+ADM = """
+adm_req AS (
+  SELECT device_id, batch_id, request_id, arrival_ms,
+         row_number() OVER (PARTITION BY device_id ORDER BY arrival_ms, request_id) AS rn
+  FROM good
+),
+adm AS (
+  SELECT device_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS VARCHAR) AS request_id, CAST(NULL AS INTEGER) AS status,
+         CAST(NULL AS BIGINT) AS retry_ms, CAST(2.0 AS DOUBLE) AS tokens, CAST(NULL AS BIGINT) AS refilled,
+         CAST([] AS STRUCT(id VARCHAR, t0 BIGINT)[]) AS reserved
+  FROM (SELECT DISTINCT device_id FROM adm_req) s
+  UNION ALL
+  SELECT device_id, rn, request_id,
+         CASE WHEN dup THEN 200 WHEN tk >= 1 THEN 202 ELSE 429 END,
+         CASE WHEN NOT dup AND tk < 1 THEN CAST(ceil((1 - tk) * 5000) AS BIGINT) END,
+         CASE WHEN dup THEN tokens WHEN tk >= 1 THEN tk - 1 ELSE tk END,
+         CASE WHEN dup THEN refilled ELSE arrival_ms END,
+         CASE WHEN NOT dup AND tk >= 1
+              THEN list_append(list_filter(reserved, lambda x: x.id <> batch_id), {'id': batch_id, 't0': arrival_ms})
+              ELSE reserved END
+  FROM (
+    SELECT r.device_id, r.rn, r.request_id, r.batch_id, r.arrival_ms, a.tokens, a.refilled, a.reserved,
+           len(list_filter(a.reserved, lambda x: x.id = r.batch_id AND r.arrival_ms - x.t0 < 86400000)) > 0 AS dup,
+           CASE WHEN a.refilled IS NULL THEN CAST(2.0 AS DOUBLE)
+                ELSE least(CAST(2.0 AS DOUBLE),
+                           a.tokens + CAST(greatest(0, r.arrival_ms - a.refilled) AS DOUBLE) / CAST(5000 AS DOUBLE))
+           END AS tk
+    FROM adm a JOIN adm_req r ON r.device_id = a.device_id AND r.rn = a.rn + 1
+  ) step
+),
+outcomes AS (
+  SELECT g.request_id, g.device_id, g.batch_id, g.arrival_ms, a.status, CAST(NULL AS VARCHAR) AS error,
+         CASE WHEN a.status = 429 THEN CAST(greatest(ceil(a.retry_ms / 1000), 1) AS BIGINT) END AS retry_after_s,
+         CAST(CASE WHEN a.status = 202 THEN g.n ELSE 0 END AS BIGINT) AS accepted_measurements
+  FROM good g JOIN adm a ON a.request_id = g.request_id
+  UNION ALL
+  SELECT request_id, CASE WHEN bad_json THEN NULL ELSE device_id END, CASE WHEN bad_json THEN NULL ELSE batch_id END,
+         arrival_ms, 400,
+         CASE WHEN bad_json THEN 'invalid JSON body' ELSE 'measurement timestamps must be strictly increasing' END,
+         CAST(NULL AS BIGINT), CAST(0 AS BIGINT)
+  FROM breq WHERE bad_json OR bad_order
+),
+adm_out AS (
+  SELECT *, CASE status WHEN 202 THEN 'accepted' WHEN 200 THEN 'duplicate_ignored'
+                        WHEN 429 THEN 'rate_limit_exceeded' ELSE 'invalid_batch' END AS outcome
+  FROM outcomes
+)"""
+
+RATE = """
+rreq AS (SELECT device_id, seq, (seq - 1) * 2000 AS arrival_ms FROM v),
+rb AS (
+  SELECT device_id, CAST(0 AS BIGINT) AS seq, CAST(NULL AS BIGINT) AS arrival_ms, CAST(NULL AS BOOLEAN) AS allowed,
+         CAST(2.0 AS DOUBLE) AS tokens, CAST(NULL AS BIGINT) AS refilled, CAST(NULL AS BIGINT) AS retry_ms
+  FROM (SELECT DISTINCT device_id FROM rreq) s
+  UNION ALL
+  SELECT device_id, seq, arrival_ms, tk >= 1, CASE WHEN tk >= 1 THEN tk - 1 ELSE tk END, arrival_ms,
+         CASE WHEN tk >= 1 THEN 0 ELSE CAST(ceil((1 - tk) * 5000) AS BIGINT) END
+  FROM (
+    SELECT r.device_id, r.seq, r.arrival_ms,
+           CASE WHEN b.refilled IS NULL THEN CAST(2.0 AS DOUBLE)
+                ELSE least(CAST(2.0 AS DOUBLE),
+                           b.tokens + CAST(greatest(0, r.arrival_ms - b.refilled) AS DOUBLE) / CAST(5000 AS DOUBLE))
+           END AS tk
+    FROM rb b JOIN rreq r ON r.device_id = b.device_id AND r.seq = b.seq + 1
+  ) step
+),
+rdec AS (
+  SELECT device_id, seq, arrival_ms, allowed, round(tokens, 6) AS tokens, retry_ms AS retry_after_ms,
+         CASE WHEN NOT allowed THEN CAST(greatest(ceil(retry_ms / 1000), 1) AS BIGINT) END AS retry_after_s
+  FROM rb WHERE seq > 0
+)"""
+
+ORACLES["pack_batches"] = with_(V, BDOCS) + """
+SELECT batch_id, device_id, patient_id, n AS n_measurements, tss[1] AS first_ts, tss[-1] AS last_ts,
+       array_to_string(hrs, ',') AS hr_list
+FROM bdocs"""
+ORACLES["src_batches_decoded"] = with_(V, BDOCS, BREQ) + """
+SELECT request_id, device_id, patient_id, batch_id, n AS n_measurements, doc_tss[1] AS first_ts,
+       doc_tss[-1] AS last_ts, array_to_string(doc_hrs, ',') AS hr_list
+FROM breq"""
+ORACLES["decode_batches_strict"] = with_(V, BDOCS, BREQ) + """
+SELECT request_id, NOT bad_json AS decode_ok, CASE WHEN bad_json THEN 'invalid JSON body' END AS error FROM breq"""
+ORACLES["validate_batches"] = with_(V, BDOCS, BREQ) + """
+SELECT request_id, NOT bad_json AS decode_ok,
+       CASE WHEN NOT bad_json AND bad_order THEN 'measurement timestamps must be strictly increasing' END AS reason
+FROM breq"""
+ORACLES["explode_batches"] = with_(V, BDOCS, BREQ, GOOD) + """
+SELECT g.batch_id || '-' || CAST(CAST((x.seq - 1) % 10 AS BIGINT) AS VARCHAR) AS event_id, g.device_id, g.patient_id,
+       x.ts AS "timestamp", x.heart_rate
+FROM good g JOIN v x ON x.device_id = g.device_id AND CAST(floor((x.seq - 1) / 10) AS BIGINT) = g.chunk
+WHERE g.copy = 0"""
+ORACLES["batch_first_seen"] = with_(V, BDOCS, BREQ, GOOD) + """
+SELECT request_id, device_id, batch_id, copy, arrival_ms,
+       row_number() OVER (PARTITION BY device_id, batch_id ORDER BY arrival_ms, request_id) = 1 AS first_seen
+FROM good"""
+ORACLES["rate_limit_decisions"] = with_recursive(V, RATE) + "SELECT * FROM rdec"
+ORACLES["rate_limit_summary"] = with_recursive(V, RATE) + """
+SELECT device_id, CAST(count(*) AS BIGINT) AS requests, CAST(count(*) FILTER (WHERE allowed) AS BIGINT) AS allowed,
+       CAST(count(*) FILTER (WHERE NOT allowed) AS BIGINT) AS limited
+FROM rdec GROUP BY device_id"""
+ORACLES["admission_outcomes"] = with_recursive(V, BDOCS, BREQ, GOOD, ADM) + "SELECT * FROM adm_out"
+ORACLES["admission_counts"] = with_recursive(V, BDOCS, BREQ, GOOD, ADM) + """
+SELECT status, outcome, CAST(count(*) AS BIGINT) AS requests,
+       CAST(sum(accepted_measurements) AS BIGINT) AS accepted_measurements
+FROM adm_out GROUP BY status, outcome"""

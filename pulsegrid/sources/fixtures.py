@@ -95,3 +95,38 @@ def telemetry_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.timestamp_micros(F.unix_micros("ts") - (F.col("src_event_id") % 60) * F.lit(86_400_000_000))
         .alias("created_at"),
         "seq", "src_event_id")
+
+
+BATCH_RUN_ID = "run1"
+
+
+def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """View ``batches``: each device's readings packed 10 per batch and sent as JSON documents.
+
+    ``arrival_ms = chunk * (1000 + 500 * (user_id % 9))``; chunks with ``chunk % 7 = 3`` are sent twice (second
+    copy 1 ms later); ``chunk % 11 = 5`` carries an unknown top-level field; ``chunk % 13 = 6`` has its first
+    two measurements swapped. Columns: request_id, sender, copy, arrival_ms, body, user_id, chunk, n.
+    """
+    from pulsegrid.operators.ingest import batch_document, pack_batches
+
+    v = telemetry(spark, sf_dir)
+    packed = pack_batches(v, BATCH_RUN_ID, carry=("user_id",))
+    ms = F.col("measurements")
+    n = F.size(ms)
+    swapped = F.when((F.col("chunk") % 13 == 6) & (n >= 2),
+                     F.concat(F.array(F.element_at(ms, 2), F.element_at(ms, 1)), F.slice(ms, 3, 10))).otherwise(ms)
+    body = batch_document(F.col("device_id"), F.col("patient_id"), F.col("batch_id"), swapped)
+    body = F.when(F.col("chunk") % 11 == 5, F.regexp_replace(body, "^[{]", '{"note":"x",')).otherwise(body)
+    copies = F.when(F.col("chunk") % 7 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return (packed.select(F.col("device_id").alias("sender"), "batch_id", "user_id", "chunk", n.alias("n"),
+                          body.alias("body"), F.explode(copies).alias("copy"))
+            .select(F.concat(F.col("batch_id"), F.lit("#"), F.col("copy").cast("string")).alias("request_id"),
+                    "sender", F.col("copy").cast("int").alias("copy"),
+                    (F.col("chunk") * (F.lit(1000) + (F.col("user_id") % 9) * 500) + F.col("copy")).alias("arrival_ms"),
+                    "body", "user_id", "chunk", "n"))
+
+
+def rate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests for the token bucket: every reading of ``v`` is one request of its device, 2 s apart."""
+    v = telemetry(spark, sf_dir)
+    return v.select("device_id", "seq", ((F.col("seq") - 1) * MEASURE_STEP_MS).alias("arrival_ms"))
