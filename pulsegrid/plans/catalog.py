@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid import constants as K
-from pulsegrid.operators import alerts, detect, events, ingest, store
+from pulsegrid.operators import alerts, detect, events, ingest, metrics, reconcile, store
 from pulsegrid.sources import fixtures, readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -299,3 +299,120 @@ def admission_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (_admitted(spark, sf_dir).groupBy("status", "outcome")
             .agg(F.count(F.lit(1)).alias("requests"),
                  F.sum("accepted_measurements").cast("bigint").alias("accepted_measurements")))
+
+
+# --- accepted log, reconciliation, run summary ---------------------------------------------------------
+
+def _stored_for_reconcile(spark: SparkSession, sf_dir: str, docs: DataFrame, adm: DataFrame) -> DataFrame:
+    """Stored telemetry seen by reconciliation: events of 202 batches and of 429 batches (published before
+    the rejection), minus lost rows (index 3 of chunks % 5 = 0), plus a second copy of index 7 of chunks % 6 = 0."""
+    pub = adm.filter(F.col("status").isin(202, 429)).select("request_id")
+    d = docs.join(pub, "request_id", "left_semi").select("batch_id", "chunk",
+                                                         F.posexplode("measurements").alias("i", "m"))
+    ev = d.select(F.concat(F.col("batch_id"), F.lit("-"), F.col("i").cast("string")).alias("event_id"), "i", "chunk")
+    kept = ev.filter(~((F.col("i") == 3) & (F.col("chunk") % 5 == 0)))
+    again = ev.filter((F.col("i") == 7) & (F.col("chunk") % 6 == 0))
+    return kept.unionByName(again).select("event_id")
+
+
+@query
+def accepted_batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _checked_docs(spark, sf_dir)
+    log = reconcile.accepted_log(ingest.admit(docs), docs, BATCH_BASE_EPOCH_MS)
+    return log.withColumn("event_ids", F.to_json("event_ids"))
+
+
+@query
+def reconcile_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _checked_docs(spark, sf_dir)
+    adm = ingest.admit(docs)
+    log = reconcile.accepted_log(adm, docs, BATCH_BASE_EPOCH_MS)
+    return reconcile.reconcile(log, _stored_for_reconcile(spark, sf_dir, docs, adm))
+
+
+@query
+def reconcile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (reconcile_events(spark, sf_dir).groupBy("status")
+            .agg(F.count(F.lit(1)).alias("events"), F.sum("stored_copies").cast("bigint").alias("stored_rows")))
+
+
+@query
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _checked_docs(spark, sf_dir)
+    return reconcile.run_summary(ingest.admit(docs), docs)
+
+
+@query
+def latency_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.p95_latency(fixtures.access_log(spark, sf_dir), "event_type")
+
+
+# --- metrics -------------------------------------------------------------------------------------
+
+@query
+def metric_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.counters(fixtures.metric_observations(spark, sf_dir)).select(
+        "name", "labels_key", F.round("value", 6).alias("value"))
+
+
+@query
+def metric_gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.gauges(fixtures.metric_observations(spark, sf_dir)).select(
+        "name", "labels_key", F.round("value", 6).alias("value"))
+
+
+@query
+def metric_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.histogram_long(metrics.histograms(fixtures.metric_observations(spark, sf_dir)))
+
+
+@query
+def metrics_exposition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.exposition(spark, fixtures.metric_observations(spark, sf_dir))
+
+
+@query
+def metric_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = metrics.counter_samples(fixtures.metric_observations(spark, sf_dir), "day")
+    return metrics.rate(samples)
+
+
+@query
+def metric_rate_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = metrics.counter_samples(fixtures.metric_observations(spark, sf_dir), "day")
+    return metrics.rate(samples, by_labels=True)
+
+
+@query
+def histogram_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.histogram_quantile(fixtures.metric_observations(spark, sf_dir))
+
+
+@query
+def service_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.service_up(fixtures.up_samples(spark, sf_dir))
+
+
+@query
+def readiness_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.readiness(fixtures.readiness_checks(spark, sf_dir))
+
+
+@query
+def request_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.request_counters(fixtures.access_log(spark, sf_dir))
+
+
+@query
+def processing_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG5: the processing service's counters over the raw topic: messages, commits, dead letters, errors,
+    and alerts created from the valid events (one per stored 300 s bucket)."""
+    routed = _processed(spark, sf_dir)
+    tags = metrics.metric_tags(routed).groupBy("name", "labels_key").agg(F.count(F.lit(1)).alias("value"))
+    valid = routed.filter(F.col("route") == "store").select("event_id", "patient_id", F.col("timestamp").alias("ts"),
+                                                             F.col("heart_rate").cast("int").alias("heart_rate"))
+    created = alerts.bucketed(detect.detect_sustained(valid))
+    alert_count = created.groupBy(F.lit("processing_alerts_created_total").alias("name"),
+                                  F.concat(F.lit("type="), F.col("alert_type")).alias("labels_key")) \
+        .agg(F.count(F.lit(1)).alias("value"))
+    return tags.unionByName(alert_count).withColumn("value", F.col("value").cast("bigint"))

@@ -380,3 +380,235 @@ ORACLES["admission_counts"] = with_recursive(V, BDOCS, BREQ, GOOD, ADM) + """
 SELECT status, outcome, CAST(count(*) AS BIGINT) AS requests,
        CAST(sum(accepted_measurements) AS BIGINT) AS accepted_measurements
 FROM adm_out GROUP BY status, outcome"""
+
+# --- reconciliation / summary ----------------------------------------------------------------------
+
+ACC_LOG = """
+acc AS (
+  SELECT g.batch_id, g.device_id, g.patient_id, g.n, g.arrival_ms, g.chunk
+  FROM good g JOIN adm_out o ON o.request_id = g.request_id WHERE o.status = 202
+)"""
+
+STORED_R = """
+pub AS (
+  SELECT g.batch_id, g.chunk, g.n FROM good g JOIN adm_out o ON o.request_id = g.request_id
+  WHERE o.status IN (202, 429)
+),
+pub_ev AS (SELECT batch_id || '-' || CAST(i AS VARCHAR) AS event_id, i, chunk
+           FROM pub, range(0, 10) r(i) WHERE i < n),
+stored_r AS (
+  SELECT event_id FROM pub_ev WHERE NOT (i = 3 AND chunk % 5 = 0)
+  UNION ALL SELECT event_id FROM pub_ev WHERE i = 7 AND chunk % 6 = 0
+),
+exp_ev AS (SELECT batch_id || '-' || CAST(i AS VARCHAR) AS event_id FROM acc, range(0, 10) r(i) WHERE i < n),
+rec AS (
+  SELECT coalesce(e.event_id, s.event_id) AS event_id,
+         CASE WHEN e.event_id IS NULL THEN 'extra' WHEN coalesce(s.c, 0) = 0 THEN 'missing'
+              WHEN s.c = 1 THEN 'ok' ELSE 'duplicated' END AS status,
+         CAST(coalesce(s.c, 0) AS BIGINT) AS stored_copies
+  FROM (SELECT DISTINCT event_id FROM exp_ev) e
+  FULL OUTER JOIN (SELECT event_id, count(*) AS c FROM stored_r GROUP BY event_id) s ON s.event_id = e.event_id
+)"""
+
+ING = (V, BDOCS, BREQ, GOOD, ADM)
+
+ORACLES["accepted_batch_log"] = with_recursive(*ING, ACC_LOG) + """
+SELECT batch_id, device_id, patient_id,
+       to_json(list_transform(range(0, n), lambda i: batch_id || '-' || CAST(i AS VARCHAR)))::VARCHAR AS event_ids,
+       n AS measurements, TIMESTAMP '2026-07-07 12:00:00' + to_milliseconds(arrival_ms) AS accepted_at
+FROM acc"""
+ORACLES["reconcile_events"] = with_recursive(*ING, ACC_LOG, STORED_R) + "SELECT * FROM rec"
+ORACLES["reconcile_summary"] = with_recursive(*ING, ACC_LOG, STORED_R) + """
+SELECT status, CAST(count(*) AS BIGINT) AS events, CAST(sum(stored_copies) AS BIGINT) AS stored_rows
+FROM rec GROUP BY status"""
+ORACLES["run_summary"] = with_recursive(*ING) + """
+, j AS (SELECT o.*, b.n FROM adm_out o JOIN breq b ON b.request_id = o.request_id)
+SELECT CAST(count(*) AS BIGINT) AS sent_batches, CAST(sum(n) AS BIGINT) AS sent_measurements,
+       CAST(count(*) FILTER (WHERE status = 202) AS BIGINT) AS accepted_202,
+       CAST(count(*) FILTER (WHERE status = 200) AS BIGINT) AS duplicates_200,
+       CAST(count(*) FILTER (WHERE status = 429) AS BIGINT) AS rate_limited_429,
+       CAST(count(*) FILTER (WHERE status = 503) AS BIGINT) AS unavailable_503,
+       CAST(count(*) FILTER (WHERE status NOT IN (202, 200, 429, 503)) AS BIGINT) AS failed_requests,
+       CAST(sum(accepted_measurements) AS BIGINT) AS accepted_measurements,
+       CAST(CASE WHEN max(arrival_ms) > min(arrival_ms)
+                 THEN greatest(round((max(arrival_ms) - min(arrival_ms)) / 1000.0), 1) ELSE 0 END AS BIGINT)
+         AS duration_seconds,
+       round(CASE WHEN max(arrival_ms) > min(arrival_ms)
+                  THEN sum(accepted_measurements) / ((max(arrival_ms) - min(arrival_ms)) / 1000.0) ELSE 0 END, 6)
+         AS throughput_measurements_per_sec
+FROM j"""
+
+# --- metrics ------------------------------------------------------------------------------------
+
+EV = """
+ev AS (SELECT event_id AS seq, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value FROM events)"""
+
+OBS = """
+obs AS (
+  SELECT seq, ts, CAST(ts AS DATE) AS day,
+         CASE WHEN event_type IN ('view', 'click', 'error') THEN 'counter' WHEN event_type = 'signup' THEN 'gauge'
+              ELSE 'histogram' END AS kind,
+         CASE event_type WHEN 'view' THEN 'processing_kafka_messages_total'
+                         WHEN 'click' THEN 'processing_kafka_commits_total'
+                         WHEN 'error' THEN 'processing_errors_total'
+                         WHEN 'signup' THEN 'processing_kafka_consumer_lag'
+                         ELSE 'processing_redis_duration_seconds' END AS name,
+         CASE event_type WHEN 'view' THEN 'status=' || ['processed', 'dlq', 'error'][user_id % 3 + 1]
+                         WHEN 'click' THEN 'status=' || ['success', 'error'][user_id % 2 + 1]
+                         WHEN 'error' THEN 'stage=' || ['validate', 'postgres', 'redis', 'commit'][user_id % 4 + 1]
+                         WHEN 'signup' THEN 'partition=' || CAST(user_id % 3 AS VARCHAR) || ',topic=telemetry.raw'
+                         ELSE 'operation=' || ['sliding_window_add', 'alert_dedup_reserve'][user_id % 2 + 1]
+         END AS labels_key,
+         CASE event_type WHEN 'view' THEN 'status="' || ['processed', 'dlq', 'error'][user_id % 3 + 1] || '"'
+                         WHEN 'click' THEN 'status="' || ['success', 'error'][user_id % 2 + 1] || '"'
+                         WHEN 'error' THEN 'stage="' || ['validate', 'postgres', 'redis', 'commit'][user_id % 4 + 1] || '"'
+                         WHEN 'signup' THEN 'partition="' || CAST(user_id % 3 AS VARCHAR) || '",topic="telemetry.raw"'
+                         ELSE 'operation="' || ['sliding_window_add', 'alert_dedup_reserve'][user_id % 2 + 1] || '"'
+         END AS labels_text,
+         CAST(CASE WHEN event_type IN ('view', 'click') THEN 1.0
+                   WHEN event_type = 'error' THEN floor(value) - 10
+                   WHEN event_type = 'signup' THEN floor(value)
+                   ELSE floor(value * 16) / 1024 END AS DOUBLE) AS value
+  FROM ev
+)"""
+
+BOUNDS = [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10]
+BOUND_TEXT = ["0.001", "0.005", "0.01", "0.025", "0.05", "0.1", "0.25", "0.5", "1", "2.5", "5", "10"]
+HIST = ("""
+hist AS (
+  SELECT name, labels_key, any_value(labels_text) AS labels_text, """
+        + ", ".join(f"CAST(count(*) FILTER (WHERE value <= {b}) AS BIGINT) AS b{i}" for i, b in enumerate(BOUNDS))
+        + """, CAST(count(*) AS BIGINT) AS cnt, sum(value) AS total
+  FROM obs WHERE kind = 'histogram' GROUP BY name, labels_key
+)""")
+
+
+def go_float_sql(x: str) -> str:
+    """DuckDB twin of the exposition number format (exact-binary values: integers and k/1024 fractions)."""
+    return (f"CASE WHEN isnan({x}) OR isinf({x}) THEN '0' "
+            f"WHEN {x} = floor({x}) AND abs({x}) < 1e6 THEN CAST(CAST({x} AS BIGINT) AS VARCHAR) "
+            f"ELSE CAST({x} AS VARCHAR) END")
+
+
+ORACLES["metric_counters"] = with_(EV, OBS) + """
+SELECT name, labels_key, round(sum(value), 6) AS value FROM obs WHERE kind = 'counter' AND value >= 0
+GROUP BY name, labels_key"""
+ORACLES["metric_gauges"] = with_(EV, OBS) + """
+SELECT name, labels_key, round(arg_max(value, seq), 6) AS value FROM obs WHERE kind = 'gauge'
+GROUP BY name, labels_key"""
+ORACLES["metric_histogram"] = with_(EV, OBS, HIST) + "\nUNION ALL\n".join(
+    [f"SELECT name, labels_key, '{t}' AS le, b{i} AS cum_count FROM hist" for i, t in enumerate(BOUND_TEXT)]
+    + ["SELECT name, labels_key, '+Inf' AS le, cnt AS cum_count FROM hist"])
+
+_DEF_ROWS = ", ".join(f"('{n}', '{k}', '{h}')" for n, (k, h) in sorted(K.METRIC_DEFINITIONS.items()))
+_HIST_LINES = "\nUNION ALL\n".join(
+    [f"SELECT name, 1, labels_key, {i}, name || '_bucket{{le=\"{t}\",' || labels_text || '}} ' || CAST(b{i} AS VARCHAR) "
+     f"FROM hist WHERE name IN (SELECT name FROM defs WHERE kind = 'histogram')" for i, t in enumerate(BOUND_TEXT)]
+    + [f"SELECT name, 1, labels_key, 12, name || '_bucket{{le=\"+Inf\",' || labels_text || '}} ' || CAST(cnt AS VARCHAR) "
+       f"FROM hist WHERE name IN (SELECT name FROM defs WHERE kind = 'histogram')",
+       f"SELECT name, 1, labels_key, 13, name || '_sum{{' || labels_text || '}} ' || ({go_float_sql('total')}) "
+       f"FROM hist WHERE name IN (SELECT name FROM defs WHERE kind = 'histogram')",
+       "SELECT name, 1, labels_key, 14, name || '_count{' || labels_text || '} ' || CAST(cnt AS VARCHAR) "
+       "FROM hist WHERE name IN (SELECT name FROM defs WHERE kind = 'histogram')"])
+ORACLES["metrics_exposition"] = with_(EV, OBS, HIST) + f"""
+, defs AS (SELECT * FROM (VALUES {_DEF_ROWS}) d(name, kind, help)),
+scal AS (
+  SELECT name, labels_key, any_value(labels_text) AS labels_text, sum(value) AS v FROM obs
+  WHERE kind = 'counter' AND value >= 0 GROUP BY name, labels_key
+  UNION ALL
+  SELECT name, labels_key, any_value(labels_text), arg_max(value, seq) FROM obs WHERE kind = 'gauge'
+  GROUP BY name, labels_key
+)
+SELECT name, CAST(0 AS INTEGER) AS section, '' AS labels_key, CAST(0 AS INTEGER) AS ord,
+       '# HELP ' || name || ' ' || help AS line FROM defs
+UNION ALL SELECT name, 0, '', 1, '# TYPE ' || name || ' ' || kind FROM defs
+UNION ALL
+SELECT name, 1, labels_key, 0, name || '{{' || labels_text || '}} ' || ({go_float_sql('v')}) FROM scal
+WHERE name IN (SELECT name FROM defs WHERE kind <> 'histogram')
+UNION ALL
+{_HIST_LINES}"""
+
+SAMPLES = """
+samples AS (
+  SELECT ts, seq, name, labels_key,
+         CAST(row_number() OVER (PARTITION BY name, labels_key, day ORDER BY ts, seq) AS DOUBLE) AS value
+  FROM obs WHERE kind = 'counter'
+),
+incs AS (
+  SELECT ts, name, labels_key,
+         CASE WHEN lag(value) OVER w IS NULL THEN value WHEN value >= lag(value) OVER w THEN value - lag(value) OVER w
+              ELSE value END AS increase
+  FROM samples WINDOW w AS (PARTITION BY name, labels_key ORDER BY ts, seq)
+)"""
+
+ORACLES["metric_rate"] = with_(EV, OBS, SAMPLES) + """
+SELECT name, time_bucket(INTERVAL 60 SECONDS, ts) AS window_start, round(sum(increase) / 60.0, 6) AS rate
+FROM incs GROUP BY name, time_bucket(INTERVAL 60 SECONDS, ts)"""
+ORACLES["metric_rate_by_label"] = with_(EV, OBS, SAMPLES) + """
+SELECT name, labels_key, time_bucket(INTERVAL 60 SECONDS, ts) AS window_start, round(sum(increase) / 60.0, 6) AS rate
+FROM incs GROUP BY name, labels_key, time_bucket(INTERVAL 60 SECONDS, ts)"""
+
+_QB = ", ".join(f"CAST(count(*) FILTER (WHERE value <= {b}) AS DOUBLE)" for b in BOUNDS)
+_BL = "[" + ", ".join(str(float(b)) for b in BOUNDS) + "]"
+ORACLES["histogram_quantile"] = with_(EV, OBS) + f"""
+, per AS (
+  SELECT name, labels_key, time_bucket(INTERVAL 300 SECONDS, ts) AS window_start, CAST(count(*) AS BIGINT) AS count,
+         [{_QB}] || [CAST(count(*) AS DOUBLE)] AS cum
+  FROM obs WHERE kind = 'histogram' GROUP BY name, labels_key, time_bucket(INTERVAL 300 SECONDS, ts)
+),
+pos AS (SELECT *, 0.95 * count AS rnk,
+               list_position(list_transform(cum, lambda c: c >= 0.95 * count), true) AS idx,
+               CAST({_BL} AS DOUBLE[]) AS bounds FROM per)
+SELECT name, labels_key, window_start, count,
+       round(CASE WHEN count = 0 THEN NULL WHEN idx = 13 THEN 10.0
+                  ELSE (CASE WHEN idx > 1 THEN bounds[idx - 1] ELSE 0.0 END)
+                       + (bounds[idx] - (CASE WHEN idx > 1 THEN bounds[idx - 1] ELSE 0.0 END))
+                         * (rnk - (CASE WHEN idx > 1 THEN cum[idx - 1] ELSE 0.0 END))
+                         / (cum[idx] - (CASE WHEN idx > 1 THEN cum[idx - 1] ELSE 0.0 END)) END, 6) AS quantile
+FROM pos"""
+ORACLES["service_up"] = with_(EV) + """
+SELECT job, CAST(arg_max(up, (ts, seq)) AS INTEGER) AS up, max(ts) AS last_seen
+FROM (SELECT seq, ts, CASE WHEN event_type IN ('view', 'click') THEN 'ingestion' ELSE 'processing' END AS job,
+             CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS up FROM ev) s
+GROUP BY job"""
+ORACLES["readiness_rollup"] = with_(EV) + """
+SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS period_start,
+       CASE WHEN bool_and(event_type <> 'error') THEN 'ready' ELSE 'not_ready' END AS status,
+       CAST(count(*) AS BIGINT) AS checks, CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS failed_checks
+FROM ev GROUP BY time_bucket(INTERVAL 1 MINUTE, ts)"""
+ACCESS = """
+access AS (
+  SELECT seq, event_type, CASE WHEN event_type IN ('view', 'error') THEN 'POST' ELSE 'GET' END AS method,
+         CASE event_type WHEN 'view' THEN '/api/v1/telemetry' WHEN 'click' THEN '/health' WHEN 'signup' THEN '/ready'
+                         WHEN 'purchase' THEN '/metrics' ELSE '/api/v2/telemetry' END AS path,
+         [202, 200, 429, 503, 500][seq % 5 + 1] AS status, CAST(floor(value * 10) AS BIGINT) AS latency_ms
+  FROM ev
+)"""
+ORACLES["request_counters"] = with_(EV, ACCESS) + """
+SELECT method,
+       CASE WHEN path IN ('/api/v1/telemetry', '/health', '/ready', '/metrics') THEN method || ' ' || path
+            ELSE 'unmatched' END AS route,
+       CAST(status AS VARCHAR) AS status, CAST(count(*) AS BIGINT) AS requests
+FROM access GROUP BY ALL"""
+ORACLES["latency_p95"] = with_(EV, ACCESS) + """
+, h AS (SELECT event_type, least(greatest(latency_ms, 0), 60000) AS ms, count(*) AS c FROM access GROUP BY ALL),
+cum AS (SELECT event_type, ms, sum(c) OVER (PARTITION BY event_type ORDER BY ms) AS cum,
+               sum(c) OVER (PARTITION BY event_type) AS n FROM h)
+SELECT event_type, CAST(any_value(n) AS BIGINT) AS requests, min(ms) AS p95_ms FROM cum
+WHERE cum >= ceil(n * 0.95) GROUP BY event_type"""
+ORACLES["processing_counters"] = with_(V, RAW, ROUTED) + f"""
+, good_ev AS (SELECT event_id, patient_id, ts, heart_rate FROM routed WHERE route = 'store'),
+gw AS (
+  SELECT *, min(heart_rate) OVER w AS mn, min(ts) OVER w AS f FROM good_ev
+  WINDOW w AS (PARTITION BY patient_id ORDER BY ts RANGE BETWEEN INTERVAL 60 SECONDS PRECEDING AND CURRENT ROW)
+),
+gd AS (SELECT DISTINCT {sql_dedup_key('patient_id', "'HIGH_HEART_RATE'", 'ts')} AS k FROM gw
+       WHERE heart_rate > 120 AND mn > 120 AND ts - f >= INTERVAL 60 SECONDS)
+SELECT 'processing_kafka_messages_total' AS name,
+       'status=' || CASE WHEN route = 'dlq' THEN 'dlq' ELSE 'processed' END AS labels_key,
+       CAST(count(*) AS BIGINT) AS value FROM routed GROUP BY ALL
+UNION ALL SELECT 'processing_kafka_commits_total', 'status=success', count(*) FROM routed
+UNION ALL SELECT 'processing_dlq_messages_total', 'reason=' || dlq_reason, count(*) FROM routed WHERE route = 'dlq'
+          GROUP BY dlq_reason
+UNION ALL SELECT 'processing_errors_total', 'stage=validate', count(*) FROM routed WHERE dlq_reason = 'validation'
+UNION ALL SELECT 'processing_alerts_created_total', 'type=HIGH_HEART_RATE', count(*) FROM gd HAVING count(*) > 0"""

@@ -7,7 +7,7 @@ SQL twin in ``pulsegrid.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid import constants as K
@@ -130,3 +130,74 @@ def rate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests for the token bucket: every reading of ``v`` is one request of its device, 2 s apart."""
     v = telemetry(spark, sf_dir)
     return v.select("device_id", "seq", ((F.col("seq") - 1) * MEASURE_STEP_MS).alias("arrival_ms"))
+
+
+# --- metric inputs (values chosen exact in binary so sums do not depend on addition order) --------------
+
+def _ev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).select(F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"),
+                                        "user_id", "event_type", "value")
+
+
+def _pick(options: list[str], index: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(o) for o in options]), (index + 1).cast("int"))
+
+
+def metric_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric observations ``(seq, ts, kind, name, labels, value)``, one per event, by event_type:
+    view -> messages counter {status}, click -> commits counter {status}, error -> errors counter {stage} adding
+    ``floor(value) - 10`` (negative adds are ignored), signup -> consumer-lag gauge {partition, topic} set to
+    ``floor(value)``, purchase -> redis duration histogram {operation} observing ``floor(value * 16) / 1024`` s.
+    """
+    ev = _ev(spark, sf_dir)
+    et, uid, val = F.col("event_type"), F.col("user_id"), F.col("value")
+    kind = (F.when(et.isin("view", "click", "error"), F.lit("counter"))
+            .when(et == "signup", F.lit("gauge")).otherwise(F.lit("histogram")))
+    name = (F.when(et == "view", F.lit("processing_kafka_messages_total"))
+            .when(et == "click", F.lit("processing_kafka_commits_total"))
+            .when(et == "error", F.lit("processing_errors_total"))
+            .when(et == "signup", F.lit("processing_kafka_consumer_lag"))
+            .otherwise(F.lit("processing_redis_duration_seconds")))
+    labels = (F.when(et == "view", F.create_map(F.lit("status"), _pick(["processed", "dlq", "error"], uid % 3)))
+              .when(et == "click", F.create_map(F.lit("status"), _pick(["success", "error"], uid % 2)))
+              .when(et == "error", F.create_map(F.lit("stage"),
+                                                _pick(["validate", "postgres", "redis", "commit"], uid % 4)))
+              .when(et == "signup", F.create_map(F.lit("partition"), (uid % 3).cast("string"),
+                                                 F.lit("topic"), F.lit(K.RAW_TOPIC)))
+              .otherwise(F.create_map(F.lit("operation"),
+                                      _pick(["sliding_window_add", "alert_dedup_reserve"], uid % 2))))
+    value = (F.when(et.isin("view", "click"), F.lit(1.0))
+             .when(et == "error", F.floor(val) - 10)
+             .when(et == "signup", F.floor(val))
+             .otherwise(F.floor(val * 16) / 1024)).cast("double")
+    return ev.select("seq", "ts", kind.alias("kind"), name.alias("name"), labels.alias("labels"),
+                     value.alias("value"), F.to_date("ts").alias("day"))
+
+
+def up_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``up`` samples per job: view/click events are ingestion scrapes, the rest processing; error means down."""
+    ev = _ev(spark, sf_dir)
+    return ev.select("seq", "ts",
+                     F.when(F.col("event_type").isin("view", "click"), F.lit("ingestion"))
+                     .otherwise(F.lit("processing")).alias("job"),
+                     F.when(F.col("event_type") == "error", F.lit(0)).otherwise(F.lit(1)).alias("up"))
+
+
+def readiness_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dependency checks: dependency by ``user_id % 3``, failed when the event is an error."""
+    ev = _ev(spark, sf_dir)
+    return ev.select("ts", _pick(["redis", "kafka", "postgres"], F.col("user_id") % 3).alias("dependency"),
+                     (F.col("event_type") != "error").alias("ok"))
+
+
+def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingestion access log: path by event_type (error -> an unknown path), status by ``seq % 5``."""
+    ev = _ev(spark, sf_dir)
+    et = F.col("event_type")
+    path = (F.when(et == "view", F.lit("/api/v1/telemetry")).when(et == "click", F.lit("/health"))
+            .when(et == "signup", F.lit("/ready")).when(et == "purchase", F.lit("/metrics"))
+            .otherwise(F.lit("/api/v2/telemetry")))
+    method = F.when(et.isin("view", "error"), F.lit("POST")).otherwise(F.lit("GET"))
+    status = F.element_at(F.array(*[F.lit(s) for s in (202, 200, 429, 503, 500)]), (F.col("seq") % 5 + 1).cast("int"))
+    return ev.select("seq", "ts", method.alias("method"), path.alias("path"), status.alias("status"),
+                     F.floor(F.col("value") * 10).cast("bigint").alias("latency_ms"), "event_type")
