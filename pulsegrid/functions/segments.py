@@ -6,21 +6,6 @@ Folding per ``(key, segment)`` gives the same result as folding the whole key, b
 spread over many groups.
 """
 
-from __future__ import annotations
+from pulsegrid.functions.sliced import segment_by_gap
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from pulsegrid.functions.sliced import previous_row, running_sum
-
-
-def segment_by_gap(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], slice_col: str, pos: str,
-                   gap: int, out: str = "segment") -> DataFrame:
-    """Adds ``out``: running count of segment starts per key. A row starts a segment when it is the key's
-    first or ``pos - previous pos >= gap`` (``pos`` is a numeric column, e.g. epoch milliseconds)."""
-    with_prev = previous_row(df, keys, order_by, slice_col, [pos], prefix="_seg_prev_")
-    start = (F.col(f"_seg_prev_{pos}").isNull() | (F.col(pos) - F.col(f"_seg_prev_{pos}") >= F.lit(gap)))
-    flagged = with_prev.withColumn("_seg_start", start.cast("bigint")).drop(f"_seg_prev_{pos}")
-    return running_sum(flagged, keys, order_by, slice_col, "_seg_start", out).drop("_seg_start")
+__all__ = ["segment_by_gap"]

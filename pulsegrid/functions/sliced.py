@@ -4,6 +4,11 @@ A plain ``Window.partitionBy(key)`` puts every row of a key into one task; when
 data that task is the whole job. The helpers here cut each key's history into time slices, do the ordered work
 inside ``(key, slice)`` partitions, and carry what crosses a slice boundary through a small per-(key, slice)
 summary table (one row per key and slice, independent of how many rows a slice holds).
+
+Shuffle shape (same for every helper): the rows are hash-partitioned once on ``(key, slice)`` for the local
+window; the slice summary is aggregated from that already-partitioned output (no second shuffle of rows); the
+summary gets its own small window over slices; the join back on ``(key, slice)`` reuses the rows'
+partitioning, so only the summary moves again.
 """
 
 from __future__ import annotations
@@ -25,6 +30,10 @@ def time_slice(ts: Column, slice_seconds: int) -> Column:
     return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(slice_seconds * US_PER_SECOND)).cast("bigint")
 
 
+def _slices_before(keys: Sequence[str], slice_col: str) -> Window:
+    return Window.partitionBy(*keys).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
+
+
 def position_in_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], slice_col: str,
                       out: str = "seq") -> DataFrame:
     """1-based ``row_number()`` over ``partitionBy(keys).orderBy(order_by)``, computed per slice.
@@ -33,11 +42,11 @@ def position_in_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str
     Rows are numbered inside ``(keys, slice)``; each slice's offset is the running row count of the earlier
     slices of the key, taken over the per-(key, slice) count table.
     """
-    counts = df.groupBy(*keys, slice_col).agg(F.count(F.lit(1)).alias("_pg_n"))
-    before = Window.partitionBy(*keys).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, slice_col, F.coalesce(F.sum("_pg_n").over(before), F.lit(0)).alias("_pg_off"))
     local = Window.partitionBy(*keys, slice_col).orderBy(*order_by)
     numbered = df.withColumn("_pg_rn", F.row_number().over(local))
+    counts = numbered.groupBy(*keys, slice_col).agg(F.max("_pg_rn").alias("_pg_n"))
+    offsets = counts.select(*keys, slice_col,
+                            F.coalesce(F.sum("_pg_n").over(_slices_before(keys, slice_col)), F.lit(0)).alias("_pg_off"))
     return (numbered.join(offsets, [*keys, slice_col])
             .withColumn(out, (F.col("_pg_off") + F.col("_pg_rn")).cast("bigint"))
             .drop("_pg_off", "_pg_rn"))
@@ -46,12 +55,12 @@ def position_in_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str
 def running_sum(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], slice_col: str, value: str,
                 out: str) -> DataFrame:
     """Inclusive running ``sum(value)`` per key in ``order_by`` order, computed per slice plus carried offsets."""
-    totals = df.groupBy(*keys, slice_col).agg(F.sum(value).alias("_rs_t"))
-    before = Window.partitionBy(*keys).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, slice_col, F.coalesce(F.sum("_rs_t").over(before), F.lit(0)).alias("_rs_off"))
     local = Window.partitionBy(*keys, slice_col).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
-    return (df.withColumn("_rs_loc", F.sum(value).over(local))
-            .join(offsets, [*keys, slice_col])
+    summed = df.withColumn("_rs_loc", F.sum(value).over(local))
+    totals = summed.groupBy(*keys, slice_col).agg(F.sum(value).alias("_rs_t"))
+    offsets = totals.select(*keys, slice_col,
+                            F.coalesce(F.sum("_rs_t").over(_slices_before(keys, slice_col)), F.lit(0)).alias("_rs_off"))
+    return (summed.join(offsets, [*keys, slice_col])
             .withColumn(out, F.col("_rs_off") + F.col("_rs_loc"))
             .drop("_rs_off", "_rs_loc"))
 
@@ -63,22 +72,51 @@ def previous_row(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], sl
     Inside a slice this is a plain lag. The first row of a slice takes the last row of the nearest earlier
     non-empty slice of the same key, found on the per-(key, slice) "last row" table.
     """
-    order_struct = F.struct(*_cols(order_by))
-    last = (df.groupBy(*keys, slice_col)
-            .agg(F.max_by(F.struct(*_cols(carry)), order_struct).alias("_pr_last")))
-    w_slices = Window.partitionBy(*keys).orderBy(slice_col)
-    carried = last.select(*keys, slice_col, F.lag("_pr_last").over(w_slices).alias("_pr_in"))
     local = Window.partitionBy(*keys, slice_col).orderBy(*order_by)
     out = df
     for c in carry:
         out = out.withColumn(f"_pr_{c}", F.lag(c).over(local))
     out = out.withColumn("_pr_first", F.row_number().over(local) == 1)
+    last = (out.groupBy(*keys, slice_col)
+            .agg(F.max_by(F.struct(*_cols(carry)), F.struct(*_cols(order_by))).alias("_pr_last")))
+    carried = last.select(*keys, slice_col,
+                          F.lag("_pr_last").over(Window.partitionBy(*keys).orderBy(slice_col)).alias("_pr_in"))
     out = out.join(carried, [*keys, slice_col])
     for c in carry:
         out = out.withColumn(prefix + c, F.when(F.col("_pr_first"), F.col(f"_pr_in.{c}")).otherwise(F.col(f"_pr_{c}")))
     return out.drop("_pr_in", "_pr_first", *[f"_pr_{c}" for c in carry])
 
 
+def segment_by_gap(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], slice_col: str, pos: str,
+                   gap: int, out: str = "segment") -> DataFrame:
+    """Adds ``out``: running count of segment starts per key. A row starts a segment when it is the key's
+    first or ``pos - previous pos >= gap`` (``pos`` numeric, non-decreasing in ``order_by``).
+
+    One local pass per (key, slice) gives each row's in-slice start flag (the slice's first row excepted) and
+    the in-slice running count; the slice summary (first pos, last pos, starts) decides on the slice table
+    whether a slice's first row starts a segment and how many segments precede the slice.
+    """
+    local = Window.partitionBy(*keys, slice_col).orderBy(*order_by)
+    upto = local.rowsBetween(Window.unboundedPreceding, 0)
+    prev = F.lag(pos).over(local)
+    flagged = (df.withColumn("_sg_first", F.row_number().over(local) == 1)
+               .withColumn("_sg_start", F.when(~F.col("_sg_first") & (F.col(pos) - prev >= F.lit(gap)), 1)
+                           .otherwise(0))
+               .withColumn("_sg_run", F.sum("_sg_start").over(upto)))
+    summary = flagged.groupBy(*keys, slice_col).agg(F.min(pos).alias("_sg_lo"), F.max(pos).alias("_sg_hi"),
+                                                    F.sum("_sg_start").alias("_sg_n"))
+    w = Window.partitionBy(*keys).orderBy(slice_col)
+    prev_hi = F.lag("_sg_hi").over(w)
+    head = F.when(prev_hi.isNull() | (F.col("_sg_lo") - prev_hi >= F.lit(gap)), 1).otherwise(0)
+    per_slice = summary.withColumn("_sg_head", head).withColumn("_sg_tot", F.col("_sg_n") + F.col("_sg_head"))
+    offsets = per_slice.select(*keys, slice_col, "_sg_head",
+                               F.coalesce(F.sum("_sg_tot").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                                          F.lit(0)).alias("_sg_off"))
+    return (flagged.join(offsets, [*keys, slice_col])
+            .withColumn(out, (F.col("_sg_off") + F.col("_sg_head") + F.col("_sg_run")).cast("bigint"))
+            .drop("_sg_first", "_sg_start", "_sg_run", "_sg_head", "_sg_off"))
+
+
 def with_lookback_halo(df: DataFrame, ts: str, lookback_seconds: int, slice_seconds: int) -> DataFrame:
     """Give every row its own time slice and copy it into the next slice when it lies within ``lookback``
     of that slice's start.

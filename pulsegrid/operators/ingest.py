@@ -219,7 +219,7 @@ def _admission_fold(interval_ms: int, capacity: int, ttl_ms: int):
                 reserved.pop(bid, None)
                 status[i] = 429
                 retry[i] = wait
-        out = pdf[["request_id"]].copy()
+        out = pdf[["request_id", "device_id", "batch_id", "arrival_ms", "n"]].copy()
         out["status"] = status
         out["retry_after_ms"] = np.where(retry >= 0, retry, 0)
         out["limited"] = retry >= 0
@@ -237,18 +237,21 @@ def admit(requests: DataFrame, interval_ms: int = K.RATE_INTERVAL_MS, capacity:
     retry_after_s, accepted_measurements.
     """
     rejected = F.when(~F.col("decode_ok"), F.lit(K.MSG_INVALID_JSON)).otherwise(F.col("reason"))
-    tagged = requests.select("request_id", "device_id", "batch_id", "arrival_ms", "n", rejected.alias("error"))
+    n = F.coalesce(F.size("measurements"), F.lit(0)) if "measurements" in requests.columns else F.col("n")
+    tagged = requests.select("request_id", "device_id", "batch_id", "arrival_ms", n.cast("int").alias("n"),
+                             rejected.alias("error"))
     bad = tagged.filter(F.col("error").isNotNull()).select(
         "request_id", "device_id", "batch_id", "arrival_ms", F.lit(400).alias("status"), "error",
         F.lit(None).cast("bigint").alias("retry_after_s"), F.lit(0).cast("bigint").alias("accepted_measurements"))
     good = tagged.filter(F.col("error").isNull())
-    base = good.select("request_id", "device_id", "batch_id", "arrival_ms",
+    base = good.select("request_id", "device_id", "batch_id", "arrival_ms", "n",
                        F.floor(F.col("arrival_ms") / FOLD_SLICE_MS).cast("bigint").alias("_slice"))
     seg = segment_by_gap(base, ["device_id"], ["arrival_ms", "request_id"], "_slice", "arrival_ms", ttl_ms)
     folded = seg.groupBy("device_id", "segment").applyInPandas(
         _admission_fold(interval_ms, capacity, ttl_ms),
-        "request_id string, status int, retry_after_ms bigint, limited boolean")
-    decided = (good.join(folded, "request_id")
+        "request_id string, device_id string, batch_id string, arrival_ms bigint, n int, status int, "
+        "retry_after_ms bigint, limited boolean")
+    decided = (folded
                .select("request_id", "device_id", "batch_id", "arrival_ms", "status",
                        F.lit(None).cast("string").alias("error"),
                        F.when(F.col("limited"), retry_after_seconds(F.col("retry_after_ms"))).alias("retry_after_s"),
