@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid import constants as K
 from pulsegrid.functions.ids import alert_bucket, alert_dedup_key, alert_message
+from pulsegrid.functions.fold import group_starts, sorted_fold
 from pulsegrid.functions.segments import segment_by_gap
 from pulsegrid.functions.sliced import time_slice
 
@@ -46,15 +47,21 @@ def alerts_table(detections: DataFrame, write_delay_seconds: int = 2) -> DataFra
 
 
 def _greedy_cooldown(cooldown_us: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_t", "event_id"], kind="mergesort")
-        t = pdf["_t"].to_numpy()
-        keep = []
-        i = 0
-        while i < len(t):
-            keep.append(i)
-            i = int(np.searchsorted(t, t[i] + cooldown_us, side="left"))
-        return pdf.iloc[keep].drop(columns=["_t", "_slice", "segment"])
+    """Streaming greedy cool-down over partitions sorted by (patient, type, segment, time, event_id)."""
+    def run(batches):
+        carry, last_kept = None, None
+        for pdf in batches:
+            p, ty, seg = pdf["patient_id"].to_numpy(), pdf["alert_type"].to_numpy(), pdf["segment"].to_numpy()
+            t = pdf["_t"].to_numpy()
+            starts = group_starts([p, ty, seg], carry)
+            keep = np.zeros(len(pdf), dtype=bool)
+            for i in range(len(pdf)):
+                if starts[i] or t[i] >= last_kept + cooldown_us:
+                    keep[i] = True
+                    last_kept = int(t[i])
+            if len(pdf):
+                carry = (p[-1], ty[-1], seg[-1])
+            yield pdf.loc[keep, ["event_id", "patient_id", "alert_type", "triggered_at"]]
     return run
 
 
@@ -64,8 +71,7 @@ def cooldown(detections: DataFrame, cooldown_seconds: int = K.ALERT_COOLDOWN_SEC
     Suppressed detections do not extend the reservation.
 
     The fold runs per (patient, segment), where a segment starts after a pause of at least the cool-down
-    (such a detection is always kept), so no group holds a patient's whole history; inside a group it jumps
-    from kept alert to kept alert with a binary search.
+    (such a detection is always kept), as one sorted streaming pass (state: the last kept time).
     Output: event_id, patient_id, alert_type, triggered_at, dedup_key.
     """
     base = detections.select("event_id", "patient_id", "alert_type", "triggered_at",
@@ -73,9 +79,9 @@ def cooldown(detections: DataFrame, cooldown_seconds: int = K.ALERT_COOLDOWN_SEC
                              time_slice(F.col("triggered_at"), COOLDOWN_SLICE_SECONDS).alias("_slice"))
     seg = segment_by_gap(base, ["patient_id", "alert_type"], ["_t", "event_id"], "_slice", "_t",
                          cooldown_seconds * 1_000_000)
-    kept = seg.groupBy("patient_id", "alert_type", "segment").applyInPandas(
-        _greedy_cooldown(cooldown_seconds * 1_000_000),
-        "event_id string, patient_id string, alert_type string, triggered_at timestamp")
+    kept = sorted_fold(seg.drop("_slice"), ["patient_id", "alert_type", "segment"], ["_t", "event_id"],
+                       _greedy_cooldown(cooldown_seconds * 1_000_000),
+                       "event_id string, patient_id string, alert_type string, triggered_at timestamp")
     return with_dedup_key(kept)
 
 

@@ -3,7 +3,8 @@
 Admission per request, in order: invalid JSON -> 400, invalid batch -> 400, repeated (device, batch) within
 24 h -> 200 ``duplicate_ignored``, token bucket empty -> 429 (and the batch key is released, so a retry is not
 a duplicate), else 202. Because a 429 releases the key, idempotency and the bucket are one ordered fold per
-device; it runs per (device, segment), where a segment starts after a pause long enough to reset both.
+device; it runs per (device, segment), where a segment starts after a pause long enough to reset both, as one
+sorted streaming pass over partitions (``pulsegrid.functions.fold``).
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid import constants as K
 from pulsegrid.functions import jsonx as J
+from pulsegrid.functions.fold import group_starts, sorted_fold
 from pulsegrid.functions.ids import event_id_of, rfc3339_utc
 from pulsegrid.functions.segments import segment_by_gap
 
@@ -164,18 +166,25 @@ def _bucket_step(tokens: float, refilled: float | None, now: int, interval_ms: i
 
 
 def _bucket_fold(interval_ms: int, capacity: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["arrival_ms", "seq"], kind="mergesort")
-        tokens, refilled = float(capacity), None
-        allowed = np.zeros(len(pdf), dtype=bool)
-        after = np.zeros(len(pdf))
-        retry = np.zeros(len(pdf), dtype=np.int64)
-        for i, now in enumerate(pdf["arrival_ms"].to_numpy()):
-            tokens, refilled, ok, wait = _bucket_step(tokens, refilled, int(now), interval_ms, capacity)
-            allowed[i], after[i], retry[i] = ok, tokens, wait
-        return pd.DataFrame({"device_id": pdf["device_id"].to_numpy(), "seq": pdf["seq"].to_numpy(),
-                             "arrival_ms": pdf["arrival_ms"].to_numpy(), "allowed": allowed,
-                             "tokens": after, "retry_after_ms": retry})
+    """Streaming token bucket over partitions sorted by (device_id, segment, arrival_ms, seq)."""
+    def run(batches):
+        carry, tokens, refilled = None, float(capacity), None
+        for pdf in batches:
+            dev, seg = pdf["device_id"].to_numpy(), pdf["segment"].to_numpy()
+            now_ms = pdf["arrival_ms"].to_numpy()
+            starts = group_starts([dev, seg], carry)
+            allowed = np.zeros(len(pdf), dtype=bool)
+            after = np.zeros(len(pdf))
+            retry = np.zeros(len(pdf), dtype=np.int64)
+            for i in range(len(pdf)):
+                if starts[i]:
+                    tokens, refilled = float(capacity), None
+                tokens, refilled, ok, wait = _bucket_step(tokens, refilled, int(now_ms[i]), interval_ms, capacity)
+                allowed[i], after[i], retry[i] = ok, tokens, wait
+            if len(pdf):
+                carry = (dev[-1], seg[-1])
+            yield pd.DataFrame({"device_id": dev, "seq": pdf["seq"].to_numpy(), "arrival_ms": now_ms,
+                                "allowed": allowed, "tokens": after, "retry_after_ms": retry})
     return run
 
 
@@ -192,38 +201,47 @@ def rate_limit(requests: DataFrame, interval_ms: int = K.RATE_INTERVAL_MS, capac
     base = requests.select("device_id", "seq", "arrival_ms",
                            F.floor(F.col("arrival_ms") / FOLD_SLICE_MS).cast("bigint").alias("_slice"))
     seg = segment_by_gap(base, ["device_id"], ["arrival_ms", "seq"], "_slice", "arrival_ms", capacity * interval_ms)
-    out = seg.groupBy("device_id", "segment").applyInPandas(
-        _bucket_fold(interval_ms, capacity),
-        "device_id string, seq bigint, arrival_ms bigint, allowed boolean, tokens double, retry_after_ms bigint")
+    out = sorted_fold(seg.select("device_id", "segment", "seq", "arrival_ms"), ["device_id", "segment"],
+                      ["arrival_ms", "seq"], _bucket_fold(interval_ms, capacity),
+                      "device_id string, seq bigint, arrival_ms bigint, allowed boolean, tokens double, "
+                      "retry_after_ms bigint")
     return out.withColumn("retry_after_s", F.when(~F.col("allowed"), retry_after_seconds(F.col("retry_after_ms"))))
 
 
 def _admission_fold(interval_ms: int, capacity: int, ttl_ms: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["arrival_ms", "request_id"], kind="mergesort")
-        tokens, refilled = float(capacity), None
-        reserved: dict[str, int] = {}
-        status = np.zeros(len(pdf), dtype=np.int32)
-        retry = np.full(len(pdf), -1, dtype=np.int64)
-        for i, (bid, now) in enumerate(zip(pdf["batch_id"].to_numpy(), pdf["arrival_ms"].to_numpy())):
-            now = int(now)
-            at = reserved.get(bid)
-            if at is not None and now - at < ttl_ms:
-                status[i] = 200
-                continue
-            tokens, refilled, ok, wait = _bucket_step(tokens, refilled, now, interval_ms, capacity)
-            if ok:
-                reserved[bid] = now
-                status[i] = 202
-            else:
-                reserved.pop(bid, None)
-                status[i] = 429
-                retry[i] = wait
-        out = pdf[["request_id", "device_id", "batch_id", "arrival_ms", "n"]].copy()
-        out["status"] = status
-        out["retry_after_ms"] = np.where(retry >= 0, retry, 0)
-        out["limited"] = retry >= 0
-        return out
+    """Streaming admission over partitions sorted by (device_id, segment, arrival_ms, request_id): state is the
+    bucket and the batch keys reserved in this segment."""
+    def run(batches):
+        carry, tokens, refilled, reserved = None, float(capacity), None, {}
+        for pdf in batches:
+            dev, seg = pdf["device_id"].to_numpy(), pdf["segment"].to_numpy()
+            bids, now_ms = pdf["batch_id"].to_numpy(), pdf["arrival_ms"].to_numpy()
+            starts = group_starts([dev, seg], carry)
+            status = np.zeros(len(pdf), dtype=np.int32)
+            retry = np.full(len(pdf), -1, dtype=np.int64)
+            for i in range(len(pdf)):
+                if starts[i]:
+                    tokens, refilled, reserved = float(capacity), None, {}
+                now, bid = int(now_ms[i]), bids[i]
+                at = reserved.get(bid)
+                if at is not None and now - at < ttl_ms:
+                    status[i] = 200
+                    continue
+                tokens, refilled, ok, wait = _bucket_step(tokens, refilled, now, interval_ms, capacity)
+                if ok:
+                    reserved[bid] = now
+                    status[i] = 202
+                else:
+                    reserved.pop(bid, None)
+                    status[i] = 429
+                    retry[i] = wait
+            if len(pdf):
+                carry = (dev[-1], seg[-1])
+            out = pdf[["request_id", "device_id", "batch_id", "arrival_ms", "n"]].copy()
+            out["status"] = status
+            out["retry_after_ms"] = np.where(retry >= 0, retry, 0)
+            out["limited"] = retry >= 0
+            yield out
     return run
 
 
@@ -247,10 +265,10 @@ def admit(requests: DataFrame, interval_ms: int = K.RATE_INTERVAL_MS, capacity:
     base = good.select("request_id", "device_id", "batch_id", "arrival_ms", "n",
                        F.floor(F.col("arrival_ms") / FOLD_SLICE_MS).cast("bigint").alias("_slice"))
     seg = segment_by_gap(base, ["device_id"], ["arrival_ms", "request_id"], "_slice", "arrival_ms", ttl_ms)
-    folded = seg.groupBy("device_id", "segment").applyInPandas(
-        _admission_fold(interval_ms, capacity, ttl_ms),
-        "request_id string, device_id string, batch_id string, arrival_ms bigint, n int, status int, "
-        "retry_after_ms bigint, limited boolean")
+    folded = sorted_fold(seg.drop("_slice"), ["device_id", "segment"], ["arrival_ms", "request_id"],
+                         _admission_fold(interval_ms, capacity, ttl_ms),
+                         "request_id string, device_id string, batch_id string, arrival_ms bigint, n int, "
+                         "status int, retry_after_ms bigint, limited boolean")
     decided = (folded
                .select("request_id", "device_id", "batch_id", "arrival_ms", "status",
                        F.lit(None).cast("string").alias("error"),
