@@ -23,6 +23,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # no per-Column Python call-site capture (error-context only; it dominates plan-building time)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
