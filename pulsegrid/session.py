@@ -23,8 +23,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # no per-Column Python call-site capture (error-context only; it dominates plan-building time)
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -44,6 +42,8 @@ def build_session(master: str | None = None, app: str = "pulsegrid", shuffle_par
         builder = builder.master(master)
     builder = (builder.config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               # no per-Column Python call-site capture (error context only; it dominates plan-building time)
+               .config("spark.python.sql.dataFrameDebugging.enabled", "false")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
