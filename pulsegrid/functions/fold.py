@@ -34,3 +34,31 @@ def group_starts(keys: list[np.ndarray], carry: tuple | None) -> np.ndarray:
     first = tuple(k[0] for k in keys)
     start[0] = carry is None or first != carry
     return start
+
+
+def iter_groups(batches: Iterator[pd.DataFrame], key_cols: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """Complete groups (consecutive rows with equal keys) from sorted Arrow batches; a group split across
+    batches is reassembled. Holds one group at a time."""
+    pending = None
+    for pdf in batches:
+        if len(pdf) == 0:
+            continue
+        keys = [pdf[c].to_numpy() for c in key_cols]
+        carry = None if pending is None else tuple(pending[c].iat[-1] for c in key_cols)
+        starts = list(np.flatnonzero(group_starts(keys, carry)))
+        first = starts[0] if starts else len(pdf)
+        if pending is not None:
+            if first > 0:
+                pending = pd.concat([pending, pdf.iloc[:first]], ignore_index=True)
+            if starts:
+                yield pending
+                pending = None
+        bounds = starts + [len(pdf)]
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            group = pdf.iloc[a:b].reset_index(drop=True)
+            if b == len(pdf):
+                pending = group
+            else:
+                yield group
+    if pending is not None:
+        yield pending

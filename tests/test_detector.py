@@ -86,3 +86,16 @@ def test_bucketed_first_wins_and_key(spark):
     out = {r.dedup_key: r.event_id for r in alerts.bucketed(det).collect()}
     b0 = int(BASE.replace(tzinfo=dt.timezone.utc).timestamp()) // 300
     assert out == {f"p1:HIGH_HEART_RATE:{b0}": "a", f"p1:HIGH_HEART_RATE:{b0 + 1}": "c"}
+
+
+def test_cooldown_hot_patient_many_slices(spark):
+    # one patient alerting every 7 s for 6 hours (no pause, one long run) next to a sparse one
+    offs = list(range(0, 6 * 3600, 7))
+    rows = [(f"h{i}", "hot", "HIGH_HEART_RATE", BASE + dt.timedelta(seconds=o)) for i, o in enumerate(offs)]
+    rows += [("s0", "cold", "HIGH_HEART_RATE", BASE), ("s1", "cold", "HIGH_HEART_RATE", BASE + dt.timedelta(seconds=299))]
+    det = spark.createDataFrame(rows, "event_id string, patient_id string, alert_type string, triggered_at timestamp")
+    got = {}
+    for r in alerts.cooldown(det).collect():
+        got.setdefault(r.patient_id, []).append(int((r.triggered_at - BASE).total_seconds()))
+    assert sorted(got["hot"]) == _greedy(offs, 300)
+    assert got["cold"] == [0]
