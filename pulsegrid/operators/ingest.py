@@ -223,6 +223,8 @@ def _admission_fold(interval_ms: int, capacity: int, ttl_ms: int):
                 if starts[i]:
                     tokens, refilled, reserved = float(capacity), None, {}
                 now, bid = int(now_ms[i]), bids[i]
+                if len(reserved) > 4096:  # forget keys past their TTL: state stays O(batches per TTL)
+                    reserved = {b: t for b, t in reserved.items() if now - t < ttl_ms}
                 at = reserved.get(bid)
                 if at is not None and now - at < ttl_ms:
                     status[i] = 200

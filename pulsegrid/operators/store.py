@@ -100,3 +100,36 @@ def retention_split(table: DataFrame, now: dt.datetime, days: int = K.RETENTION_
     cutoff = F.lit(now) - F.expr(f"INTERVAL {int(days)} DAYS")
     keep = F.col("created_at") >= cutoff
     return table.filter(keep), table.filter(~keep)
+
+
+def apply_retention(spark, path: str, now: dt.datetime, partition_col: str, days: int = K.RETENTION_DAYS) -> int:
+    """RET1 on a parquet table partitioned by ``partition_col``: remove rows with ``created_at < now - days``.
+
+    Only partitions holding expired rows are touched. Their surviving rows are first written to a staging
+    folder next to the table (shared storage), then put back with dynamic partition overwrite (each partition
+    is replaced by Spark's commit, so a failure leaves the old or the new partition); partitions with no
+    survivor are deleted. A re-run after a failure simply repeats the steps. Returns the rows removed.
+    """
+    cutoff = now.astimezone(dt.timezone.utc) - dt.timedelta(days=days)
+    table = spark.read.parquet(path)
+    expired = F.col("created_at") < F.lit(cutoff)
+    affected = [r[0] for r in table.filter(expired).select(partition_col).distinct().collect()]  # partition values
+    if not affected:
+        return 0
+    scope = table.filter(F.col(partition_col).isin(affected))
+    removed = scope.filter(expired).count()
+    staging = path.rstrip("/") + "_retention_staging"
+    scope.filter(~expired).write.mode("overwrite").partitionBy(partition_col).parquet(staging)
+    survivors = spark.read.parquet(staging)
+    kept_parts = {r[0] for r in survivors.select(partition_col).distinct().collect()}
+    if kept_parts:
+        survivors.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy(partition_col).parquet(path)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for value in set(affected) - kept_parts:
+        part = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={value}")
+        part.getFileSystem(conf).delete(part, True)
+    stage = jvm.org.apache.hadoop.fs.Path(staging)
+    stage.getFileSystem(conf).delete(stage, True)
+    return removed

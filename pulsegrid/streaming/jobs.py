@@ -20,15 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pulsegrid import constants as K
 from pulsegrid.functions.ids import alert_dedup_key
 from pulsegrid.operators import events as ev
 from pulsegrid.session import configure
 from pulsegrid.streaming.detector import SustainedHighDetector, detect_stream
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-TELEMETRY_COLUMNS = ["event_id", "device_id", "patient_id", "timestamp", "heart_rate", "spo2", "temperature",
-                     "created_at"]
 
 
 def _table_exists(spark: SparkSession, path: str) -> bool:
@@ -77,8 +74,10 @@ def store_batch(tables_dir: str, processed_at: dt.datetime | None = None):
                         F.to_date("timestamp").alias("event_date")))
         append_if_absent(good, os.path.join(tables_dir, "telemetry"), "event_id", "event_date", ["arrival"])
         dlq = ev.dlq_records(routed, processed_at).withColumn("epoch", F.lit(epoch_id))
-        dlq.select("key", "value", "reason", "source_topic", "source_partition", "source_offset", "epoch") \
-            .write.mode("append").partitionBy("epoch").json(os.path.join(tables_dir, "dlq"))
+        # one folder per epoch, overwritten as a whole: a replayed epoch replaces its own dead letters
+        (dlq.select("key", "value", "reason", "source_topic", "source_partition", "source_offset", "epoch")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch")
+         .json(os.path.join(tables_dir, "dlq")))
         routed.unpersist()
     return run
 
@@ -130,4 +129,4 @@ def kafka_sink(records: DataFrame, servers: str, topic: str, checkpoint: str) ->
             .option("topic", topic).option("checkpointLocation", checkpoint).start())
 
 
-__all__ = ["start_store", "start_alerts", "append_if_absent", "messages_from_files", "kafka_sink", "K"]
+__all__ = ["start_store", "start_alerts", "append_if_absent", "messages_from_files", "kafka_sink"]

@@ -69,3 +69,15 @@ def test_recent_alert_semi_interval(spark):
     got = [r.event_id for r in alerts.recent_alert_semi(det, table).collect()]
     assert got == ["d1"]
     assert F is not None
+
+
+def test_apply_retention_on_partitioned_table(spark, scratch):
+    import os
+    path = os.path.join(scratch, "telemetry")
+    rows = [("a", dt.datetime(2026, 6, 1), dt.date(2026, 6, 1)), ("b", dt.datetime(2026, 6, 8, 23), dt.date(2026, 6, 8)),
+            ("c", dt.datetime(2026, 6, 8, 1), dt.date(2026, 6, 8)), ("d", dt.datetime(2026, 7, 1), dt.date(2026, 7, 1))]
+    spark.createDataFrame(rows, "event_id string, created_at timestamp, event_date date") \
+        .write.partitionBy("event_date").parquet(path)
+    removed = store.apply_retention(spark, path, dt.datetime(2026, 7, 8, 12, tzinfo=dt.timezone.utc), "event_date")
+    assert removed == 2
+    assert sorted(r.event_id for r in spark.read.parquet(path).collect()) == ["b", "d"]
