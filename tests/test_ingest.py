@@ -104,3 +104,22 @@ def test_token_bucket_matches_model(spark, gaps):
                                "device_id string, seq long, arrival_ms long")
     got = [(r.allowed, r.retry_after_ms) for r in ingest.rate_limit(df).orderBy("seq").collect()]
     assert got == _bucket_model(times)
+
+
+def test_accepted_log_round_trip_and_reconcile(spark, scratch):
+    import os
+
+    from pulsegrid.operators import reconcile
+    from pulsegrid.sources import readers
+    docs = spark.createDataFrame([("r0", _doc(3)), ("r1", _doc(2, batch_id="b2"))], "request_id string, body string")
+    checked = ingest.process(docs).withColumn("arrival_ms", ingest.F.lit(0).cast("long"))
+    adm = ingest.admit(checked)
+    log = reconcile.accepted_log(adm, checked, 1783425600000)
+    path = os.path.join(scratch, "accepted")
+    reconcile.write_accepted_log(log, path)
+    back = readers.read_accepted_log(spark, path)
+    assert sorted(back.columns) == sorted(log.columns)
+    stored = spark.createDataFrame([("b1-0",), ("b1-1",), ("b1-1",), ("zz-9",)], "event_id string")
+    got = {r.event_id: r.status for r in reconcile.reconcile(back, stored).collect()}
+    assert got == {"b1-0": "ok", "b1-1": "duplicated", "b1-2": "missing", "b2-0": "missing", "b2-1": "missing",
+                   "zz-9": "extra"}
