@@ -33,6 +33,15 @@ STRING_KINDS = ("STRING", "VOID")
 INT_KINDS = ("BIGINT", "VOID")
 
 
+def parse_single(text: Column) -> tuple[Column, Column]:
+    """(value, is_single) with two parses instead of three: the value is read out of the ``{"v": ...}`` wrap
+    (which also rejects a trailing ``}``-closed tail), the ``[...]`` wrap rejects a trailing ``]``-closed one."""
+    wrapped = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    arr = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    single = F.coalesce((arr == 1) & wrapped.isNotNull(), F.lit(False))
+    return F.try_variant_get(wrapped, "$.v", "variant"), single
+
+
 def kind_in(k: Column, allowed: tuple[str, ...]) -> Column:
     """Absent (NULL kind) or one of ``allowed``."""
     return k.isNull() | k.isin(*allowed)

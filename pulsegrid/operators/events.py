@@ -43,8 +43,9 @@ def decode(messages: DataFrame, value_col: str = "value") -> DataFrame:
     def keep(c: Column) -> Column:
         return F.when(F.col("decode_ok"), c)
 
-    return (messages.withColumn("_v", F.try_parse_json(text))
-            .select("*", J.single_json_value(text).alias("_single"), *kinds,
+    parsed, single = J.parse_single(text)
+    return (messages.select("*", parsed.alias("_v"), single.alias("_single"))
+            .select("*", *kinds,
                     F.try_variant_get(v, "$.timestamp", "string").alias("_ts_raw"))
             .withColumn("decode_ok", F.coalesce(ok, F.lit(False)))
             .select(*messages.columns, "decode_ok",

@@ -93,9 +93,9 @@ def decode_strict(docs: DataFrame, body_col: str = "body") -> DataFrame:
     def keep(c: Column) -> Column:
         return F.when(F.col("decode_ok"), c)
 
-    out = (docs.withColumn("_v", F.try_parse_json(text))
-           .select("*", J.single_json_value(text).alias("_single"),
-                   *[J.kind(v, f"$.{f}").alias(f"_k_{f}") for f in TOP_KEYS])
+    value, single = J.parse_single(text)
+    out = (docs.select("*", value.alias("_v"), single.alias("_single"))
+           .select("*", *[J.kind(v, f"$.{f}").alias(f"_k_{f}") for f in TOP_KEYS])
            .withColumn("decode_ok", F.coalesce(ok, F.lit(False))))
     return out.select(*docs.columns, "decode_ok",
                       keep(F.coalesce(parsed["device_id"], F.lit(""))).alias("device_id"),

@@ -26,6 +26,8 @@ from pulsegrid.session import configure
 from pulsegrid.streaming.detector import SustainedHighDetector, detect_stream
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# largest number of micro-batch keys shipped to every task of the table lookup; above it the lookup shuffles
+BROADCAST_MAX_KEYS = 2_000_000
 
 
 def _table_exists(spark: SparkSession, path: str) -> bool:
@@ -41,7 +43,8 @@ def append_if_absent(batch: DataFrame, path: str, key: str, partition_col: str,
     First row per key inside the batch (by ``order_by``); keys already stored are skipped. The lookup reads
     only ``key`` of the partitions the batch touches (partition pruning via the broadcast list of the batch's
     partition values) and meets the batch's keys in a semi join; the batch side is broadcast because its
-    size is bounded by the trigger limit. Returns the number of rows appended.
+    size is bounded by the trigger limit and checked (``BROADCAST_MAX_KEYS``) before broadcasting.
+    Returns the number of rows appended.
     """
     spark = batch.sparkSession
     cols = [c for c in batch.columns if c != key]
@@ -49,16 +52,21 @@ def append_if_absent(batch: DataFrame, path: str, key: str, partition_col: str,
              .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols]))
     fresh = first
     if _table_exists(spark, path):
+        first = first.persist()
+        n_keys = first.count()
         parts = [r[0] for r in first.select(partition_col).distinct().collect()]  # a handful of dates per batch
         if parts:
+            keys = first.select(key)
+            keys = F.broadcast(keys) if n_keys <= BROADCAST_MAX_KEYS else keys  # size checked, not assumed
             stored = (spark.read.parquet(path).filter(F.col(partition_col).isin(parts)).select(key)
-                      .join(F.broadcast(first.select(key)), key, "left_semi"))
+                      .join(keys, key, "left_semi"))
             fresh = first.join(stored, key, "left_anti")
     fresh = fresh.persist()
     n = fresh.count()
     if n:
         fresh.write.mode("append").partitionBy(partition_col).parquet(path)
     fresh.unpersist()
+    first.unpersist()
     return n
 
 
