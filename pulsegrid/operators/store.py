@@ -133,3 +133,41 @@ def apply_retention(spark, path: str, now: dt.datetime, partition_col: str, days
     stage = jvm.org.apache.hadoop.fs.Path(staging)
     stage.getFileSystem(conf).delete(stage, True)
     return removed
+
+
+# --- table layout (SNK6) -------------------------------------------------------------------------------------
+TELEMETRY_SCHEMA = ("event_id string, device_id string, patient_id string, timestamp timestamp, heart_rate int, "
+                    "spo2 int, temperature double, created_at timestamp, event_date date")
+ALERTS_SCHEMA = ("dedup_key string, patient_id string, alert_type string, detected_at timestamp, "
+                 "created_at timestamp, detected_date date")
+
+
+def create_tables(spark, tables_dir: str) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` for the two parquet tables (partitioned by event / detection date). An
+    empty table has no data file to infer from, so readers pass the declared schema (``read_declared``)."""
+    import os
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name, schema, part in (("telemetry", TELEMETRY_SCHEMA, "event_date"),
+                               ("alerts", ALERTS_SCHEMA, "detected_date")):
+        path = os.path.join(tables_dir, name)
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        if not p.getFileSystem(conf).exists(p):
+            spark.createDataFrame([], schema).write.partitionBy(part).parquet(path)
+
+
+def read_declared(spark, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
+
+
+def read_alerts(spark, path: str) -> DataFrame:
+    """Alerts table read across layouts: files written before ``dedup_key`` existed are merged in
+    (``mergeSchema``) and get their key backfilled from (patient, type, 300 s bucket)."""
+    from pulsegrid.operators.alerts import backfill_key
+    raw = spark.read.option("mergeSchema", "true").parquet(path)
+    if "dedup_key" not in raw.columns:
+        raw = raw.withColumn("dedup_key", F.lit(None).cast("string"))
+    return backfill_key(raw).join(raw.drop("dedup_key").select("patient_id", "alert_type", "detected_at",
+                                                                "created_at"),
+                                  ["patient_id", "alert_type", "detected_at"], "left")

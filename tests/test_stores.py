@@ -81,3 +81,20 @@ def test_apply_retention_on_partitioned_table(spark, scratch):
     removed = store.apply_retention(spark, path, dt.datetime(2026, 7, 8, 12, tzinfo=dt.timezone.utc), "event_date")
     assert removed == 2
     assert sorted(r.event_id for r in spark.read.parquet(path).collect()) == ["b", "d"]
+
+
+def test_tables_and_additive_dedup_key(spark, scratch):
+    import os
+    store.create_tables(spark, scratch)
+    assert store.read_declared(spark, os.path.join(scratch, "telemetry"), store.TELEMETRY_SCHEMA).count() == 0
+    path = os.path.join(scratch, "alerts_old")
+    old = spark.createDataFrame([("p1", "HIGH_HEART_RATE", BASE, BASE)],
+                                "patient_id string, alert_type string, detected_at timestamp, created_at timestamp")
+    old.write.parquet(os.path.join(path, "part=old"))
+    new = spark.createDataFrame([("p2:HIGH_HEART_RATE:7", "p2", "HIGH_HEART_RATE", BASE, BASE)],
+                                "dedup_key string, patient_id string, alert_type string, detected_at timestamp, "
+                                "created_at timestamp")
+    new.write.parquet(os.path.join(path, "part=new"))
+    rows = {r.patient_id: (r.dedup_key, r.backfilled) for r in store.read_alerts(spark, path).collect()}
+    b = int(BASE.replace(tzinfo=dt.timezone.utc).timestamp()) // 300
+    assert rows == {"p1": (f"p1:HIGH_HEART_RATE:{b}", True), "p2": ("p2:HIGH_HEART_RATE:7", False)}
