@@ -18,16 +18,6 @@ from pyspark.sql import functions as F
 RFC3339_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})$"
 UTC_SUFFIX_PATTERN = r"(Z|[+-]00:00)$"
 ZERO_TIME_MICROS = -62135596800000000  # 0001-01-01T00:00:00Z
-
-
-def single_json_value(text: Column) -> Column:
-    """True when ``text`` is exactly one JSON value (wrapping it in ``[...]`` yields a one-element array and
-    in ``{"v": ...}`` a valid object, which rules out trailing values and bare garbage)."""
-    arr = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
-    wrapped = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    return F.coalesce((arr == 1) & wrapped.isNotNull(), F.lit(False))
-
-
 NULL_KINDS = ("VOID",)
 STRING_KINDS = ("STRING", "VOID")
 INT_KINDS = ("BIGINT", "VOID")
@@ -65,21 +55,6 @@ def is_object_or_null(v: Column) -> Column:
     return k.startswith("OBJECT") | (k == F.lit("VOID"))
 
 
-def string_ok(v: Column, path: str) -> Column:
-    k = kind(v, path)
-    return k.isNull() | k.isin("STRING", "VOID")
-
-
-def int_ok(v: Column, path: str) -> Column:
-    k = kind(v, path)
-    return k.isNull() | k.isin("BIGINT", "VOID")
-
-
-def number_ok(v: Column, path: str) -> Column:
-    k = kind(v, path)
-    return k.isNull() | k.isin("BIGINT", "DOUBLE", "FLOAT", "VOID") | k.startswith("DECIMAL")
-
-
 def string_field(v: Column, path: str) -> Column:
     """Value of a string field; absent or null gives '' (the zero value)."""
     return F.coalesce(F.try_variant_get(v, path, "string"), F.lit(""))
@@ -90,15 +65,6 @@ def timestamp_text(v: Column, path: str) -> Column:
     return F.when(k == "STRING", F.try_variant_get(v, path, "string"))
 
 
-def timestamp_ok(v: Column, path: str) -> Column:
-    """Absent/null (zero time) or an RFC 3339 string that parses."""
-    k = kind(v, path)
-    text = F.try_variant_get(v, path, "string")
-    parsed = F.try_to_timestamp(text)
-    good_text = F.coalesce(text.rlike(RFC3339_PATTERN), F.lit(False)) & parsed.isNotNull()
-    return k.isNull() | (k == "VOID") | ((k == "STRING") & good_text)
-
-
 def parse_timestamp(text: Column) -> Column:
     """Instant of an RFC 3339 text (offset applied); NULL for NULL."""
     return F.try_to_timestamp(text)

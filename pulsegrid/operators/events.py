@@ -11,9 +11,6 @@ from pulsegrid import constants as K
 from pulsegrid.functions import jsonx as J
 from pulsegrid.functions.ids import rfc3339_utc
 
-EVENT_FIELDS = ("event_id", "device_id", "patient_id", "timestamp", "heart_rate", "spo2", "temperature")
-
-
 def decode(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """PRJ1: lenient JSON decode of the message value into event columns.
 
