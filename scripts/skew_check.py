@@ -52,6 +52,18 @@ def main() -> None:
     print(f"sliced window : largest partition {s_max} rows of {s_parts} partitions")
     print(f"plain window  : largest partition {p_max} rows of {p_parts} partitions")
 
+    # ordered folds: the largest group one task folds
+    from pulsegrid.functions.segments import segment_by_gap
+    from pulsegrid.functions.sliced import time_slice
+    det = detect.detect_sustained(v)
+    per_slice = det.groupBy("patient_id", time_slice(F.col("triggered_at"), 3600)).count().agg(F.max("count")).first()[0]
+    per_patient = det.groupBy("patient_id").count().agg(F.max("count")).first()[0]
+    print(f"cool-down     : largest (patient, 1 h slice) group {per_slice} detections; whole patient {per_patient}")
+    req = fixtures.rate_requests(spark, scratch).withColumn("_s", F.floor(F.col("arrival_ms") / 86_400_000))
+    seg = segment_by_gap(req, ["device_id"], ["arrival_ms", "seq"], "_s", "arrival_ms", 10_000)
+    largest_seg = seg.groupBy("device_id", "segment").count().agg(F.max("count")).first()[0]
+    print(f"token bucket  : largest (device, segment) group {largest_seg} requests (no 10 s pause: one streamed task)")
+
 
 if __name__ == "__main__":
     main()
