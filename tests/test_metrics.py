@@ -63,3 +63,22 @@ def test_rate_reset_aware(spark):
                               "ts timestamp, seq long, name string, labels_key string, value double")
     r = metrics.rate(s).collect()
     assert len(r) == 1 and abs(r[0].rate - (5 + 3 + 2 + 2) / 60) < 1e-6
+
+
+def test_write_exposition_in_order(spark, scratch):
+    import glob
+    import os
+    obs = _obs(spark, [
+        ("counter", "processing_errors_total", {"stage": "redis"}, 2),
+        ("counter", "processing_errors_total", {"stage": "postgres"}, 1),
+        ("gauge", "processing_kafka_consumer_lag", {"topic": "t", "partition": "1"}, 3),
+    ])
+    path = os.path.join(scratch, "metrics")
+    metrics.write_exposition(metrics.exposition(spark, obs), path)
+    lines = []
+    for f in sorted(glob.glob(os.path.join(path, "part-*"))):
+        lines += open(f).read().splitlines()
+    names = [ln.split()[2] if ln.startswith("#") else ln.split("{")[0].split(" ")[0] for ln in lines]
+    assert names == sorted(names)
+    i = lines.index("# TYPE processing_errors_total counter")
+    assert lines[i + 1:i + 3] == ['processing_errors_total{stage="postgres"} 1', 'processing_errors_total{stage="redis"} 2']
