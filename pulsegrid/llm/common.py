@@ -180,7 +180,7 @@ def grams(words: np.ndarray, m: int, at: np.ndarray | None = None) -> np.ndarray
         at = np.arange(max(0, len(words) - m + 1))
     h = np.zeros(len(at), np.uint64)
     for k in range(m):
-        h += mix(words[at + k] * _GRAM[k])
+        h += words[at + k] * _GRAM[k]
     return mix(h)
 
 

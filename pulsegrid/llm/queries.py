@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pulsegrid.llm import minhash
+from pulsegrid.llm import minhash, mixing, packing, substring
 from pulsegrid.llm.common import prepare, read_table
 
 
@@ -16,8 +17,26 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words_per_shingle=4)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op7_packing": op7_packing,
+    "op9_mixing": op9_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_mixing": mixing.TAKEN_SQL,
+}
