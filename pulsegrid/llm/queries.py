@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import minhash, mixing, packing, substring
+from pulsegrid.llm import minhash, mixing, packing, secret_scan, substring, toxicity
 from pulsegrid.llm.common import prepare, read_table
 
 
@@ -17,11 +17,19 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words_per_shingle=4)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(_table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeats(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -32,7 +40,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_secret_scan": op3_secret_scan,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_toxicity": op5_toxicity,
     "op7_packing": op7_packing,
     "op9_mixing": op9_mixing,
 }
