@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import minhash, mixing, packing, secret_scan, substring, toxicity
+from pulsegrid.llm import embed_dedup, minhash, mixing, packing, secret_scan, substring, toxicity
 from pulsegrid.llm.common import prepare, read_table
 
 
@@ -30,6 +30,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_toxicity": op5_toxicity,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_packing": op7_packing,
     "op9_mixing": op9_mixing,
 }
