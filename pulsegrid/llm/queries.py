@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import embed_dedup, minhash, mixing, packing, secret_scan, substring, toxicity
+from pulsegrid.llm import ann, embed_dedup, minhash, mixing, packing, secret_scan, substring, toxicity
 from pulsegrid.llm.common import prepare, read_table
 
 
@@ -42,6 +42,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(_table(spark, sf_dir, "documents"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_secret_scan": op3_secret_scan,
@@ -50,6 +54,7 @@ QUERIES = {
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_packing": op7_packing,
     "op9_mixing": op9_mixing,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
 ORACLES: dict[str, str] = {
