@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import ann, embed_dedup, minhash, mixing, packing, secret_scan, substring, toxicity
+from pulsegrid.llm import ann, embed_dedup, minhash, mixing, packing, secret_scan, substring, toxicity, warc
 from pulsegrid.llm.common import prepare, read_table
 
 
@@ -38,6 +38,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_packing": op7_packing,
+    "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
     "op10_nearest_neighbours": op10_nearest_neighbours,
 }
