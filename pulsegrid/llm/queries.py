@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import ann, embed_dedup, minhash, mixing, packing, secret_scan, substring, toxicity, warc
+from pulsegrid.llm import ann, embed_dedup, html, minhash, mixing, packing, secret_scan, substring, toxicity, warc
 from pulsegrid.llm.common import prepare, read_table
 
 
@@ -13,6 +13,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(prepare(spark), sf_dir, name)
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html.extract(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words_per_shingle=4)
 
@@ -51,6 +56,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_substring_dedup": op4_substring_dedup,
