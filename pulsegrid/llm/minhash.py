@@ -273,7 +273,10 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
 
 
 def deduplicate(docs: DataFrame, words_per_shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` less those whose group has a smaller doc_id; of rows that repeat a kept doc_id one stays."""
+    """The rows of ``docs`` less those of documents whose group holds a smaller doc_id.
+
+    Rows that share a doc_id are one document and stay or go together.
+    """
     out = near_duplicates(docs, words_per_shingle, percent)
     gone = materialise(out.where("not kept").select("doc_id").distinct(), "gone")
     return docs.join(gone, "doc_id", "left_anti")
