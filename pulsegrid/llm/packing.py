@@ -30,12 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import materialise, prepare, slices, texts
+from pulsegrid.llm.common import Words, materialise, prepare, slices
 
 SEQUENCE = 2048
 END_ID = 1
-# Cached words and word parts of a Python worker; a full cache starts anew (it saves time only).
-WORD_CACHE, PART_CACHE = 300_000, 600_000
+# Known words and word parts of a Python worker; a full table starts anew (it saves time only).
+WORD_CACHE, PART_CACHE = 2_000_000, 400_000
+SLICE = 2 << 20
 
 
 def default_tokenizer() -> str:
@@ -48,29 +49,44 @@ def default_tokenizer() -> str:
 
 
 class WordTokenizer:
-    """Ids of a text as little-endian unsigned 32-bit bytes, equal to the library's on the whole text.
+    """Ids of texts, equal to the library's on each whole text.
 
-    The tokenizer never joins across white space, so a text's ids are those of its words; words repeat, so they are
-    cached. A new word is split by the tokenizer's own pattern into parts that are encoded together.
+    The tokenizer never joins across white space, so a text's ids are those of its words. Words are hashed over the
+    whole buffer; each distinct word is looked up once, in sorted arrays (hash, place and length in a pool of ids), and
+    ids are gathered for all words together. New words are split by the tokenizer's own pattern into parts, and
+    parts not met before are encoded together by the library.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.lib = Tokenizer.from_file(path)
+        # for parts that are already normal, lower case and split
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.lib.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
-        # fixed value: the tokenizer file's own split pattern
+        # fixed value: the tokenizer file's own split pattern (and the line feed, which joins words here)
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n")
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {"\n": b""}  # words are joined by line feeds, which no word holds
+        # what depends on more than single letters, or on what counts as a space, is left to the library
+        self.special = regex.compile(r"[Σİ]|<\||[\x00-\x09\x0B-\x1F\x7F-\xA0\p{Z}\uFEFF]")
+        self.parts: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes, self.recent = (np.zeros(0, np.uint64) for _ in range(2))
+        self.at, self.recent_at = (np.zeros((0, 2), np.int64) for _ in range(2))
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.parts = {"\n": b""}
 
     def _whole(self, word: str) -> bytes:
         return array.array("I", self.lib.encode(word, add_special_tokens=False).ids).tobytes()
 
     def _learn_parts(self, new: list[str]) -> None:
-        ids = np.array(self.lib.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, np.uint32)
+        ids = np.array(self.plain.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, np.uint32)
         cut = np.flatnonzero(self.ends[ids]) + 1
         if len(cut) == len(new) and cut[-1] == len(ids):
             raw, begin = ids.tobytes(), 0
@@ -81,20 +97,19 @@ class WordTokenizer:
             for part in new:
                 self.parts[part] = self._whole(part)
 
-    def _learn(self, new: list[bytes]) -> None:
+    def _learn(self, new: list[bytes]) -> tuple[bytes, np.ndarray]:
+        """Ids of the words (as bytes, joined) and how many each has."""
         text = b"\n".join(new).decode()
-        if not text.isascii() and ("Σ" in text or "İ" in text or not unicodedata.is_normalized("NFC", text)) or "<|" in text:
-            # words whose parts depend on more than single letters are left to the library
-            plain = []
-            for raw in new:
-                word = raw.decode()
-                if "Σ" in word or "İ" in word or "<|" in word or not unicodedata.is_normalized("NFC", word):
-                    self.words[raw] = self._whole(word)
-                else:
-                    plain.append(raw)
-            if not plain:
-                return
-            new, text = plain, b"\n".join(plain).decode()
+        if self.special.search(text.replace("\n", "")) or not unicodedata.is_normalized("NFC", text):
+            words = [w.decode() for w in new]
+            odd = [bool(self.special.search(w)) or not unicodedata.is_normalized("NFC", w) for w in words]
+            out: list[bytes] = [self._whole(w) if o else b"" for w, o in zip(words, odd, strict=True)]
+            if not all(odd):
+                raw, n = self._learn([w for w, o in zip(new, odd, strict=True) if not o])
+                cut = [0, *(np.cumsum(n) * 4).tolist()]
+                rest = iter(zip(cut[:-1], cut[1:], strict=True))
+                out = [x if o else raw[slice(*next(rest))] for x, o in zip(out, odd, strict=True)]
+            return b"".join(out), np.array([len(x) // 4 for x in out], np.int64)
         parts = self.pattern.findall(text.lower() + "\n")
         missing = set(parts).difference(self.parts)
         if len(self.parts) + len(missing) > PART_CACHE:
@@ -103,20 +118,52 @@ class WordTokenizer:
         if missing:
             self._learn_parts(list(missing))
         ids = list(map(self.parts.__getitem__, parts))
-        last = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))[[i for i, p in enumerate(parts) if p == "\n"]].tolist()
-        raw = b"".join(ids)
-        self.words.update(zip(new, [raw[a:b] for a, b in zip([0, *last[:-1]], last, strict=True)], strict=True))
-
-    def encode(self, raws: list[list[bytes]]) -> list[bytes]:
-        """Ids of each text, given as its white-space separated words."""
-        new = set().union(*raws).difference(self.words) if raws else set()
-        if new:
-            if len(self.words) + len(new) > WORD_CACHE:
-                self.words.clear()
-                new = set().union(*raws)
-            self._learn(list(new))
-        get = self.words.__getitem__
-        return [b"".join(map(get, words)) for words in raws]
+        size = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        last = size[[i for i, p in enumerate(parts) if p == "\n"]]
+        return b"".join(ids), np.diff(last, prepend=0) // 4
+
+    def _find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and length of each hash, and which are known."""
+        out, known = np.zeros((len(wanted), 2), np.int64), np.zeros(len(wanted), bool)
+        for hashes, at in ((self.hashes, self.at), (self.recent, self.recent_at)):
+            if len(hashes):
+                i = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
+                hit = hashes[i] == wanted
+                out[hit] = at[i[hit]]
+                known |= hit
+        return out, known
+
+    def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a string array one after the other, and where each text's ids begin (n + 1)."""
+        words = Words(col)
+        wanted, first, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        if len(self.hashes) + len(self.recent) + len(wanted) > WORD_CACHE:
+            self._forget()
+        at, known = self._find(wanted)
+        if not known.all():
+            new = first[~known]
+            raw = words.data.tobytes()
+            ids, n = self._learn([raw[a:b] for a, b in zip(words.starts[new].tolist(), words.ends[new].tolist(), strict=True)])
+            ids = np.frombuffer(ids, np.uint32)
+            if self.used + len(ids) > len(self.pool):
+                self.pool = np.concatenate([self.pool[:self.used], np.zeros(self.used + 2 * len(ids), np.uint32)])
+            self.pool[self.used:self.used + len(ids)] = ids
+            place = np.stack([self.used + np.cumsum(n) - n, n], axis=1)
+            self.used += len(ids)
+            at[~known] = place
+            self._keep(wanted[~known], place)
+        begin, n = at[inverse].T
+        bounds = np.concatenate([[0], np.cumsum(n)])
+        where = np.repeat(begin - bounds[:-1], n) + np.arange(bounds[-1])
+        return self.pool[where], bounds[words.first]
+
+    def _keep(self, hashes: np.ndarray, at: np.ndarray) -> None:
+        to = np.searchsorted(self.recent, hashes)
+        self.recent, self.recent_at = np.insert(self.recent, to, hashes), np.insert(self.recent_at, to, at, axis=0)
+        if len(self.recent) > 1 << 17:
+            to = np.searchsorted(self.hashes, self.recent)
+            self.hashes, self.at = np.insert(self.hashes, to, self.recent), np.insert(self.at, to, self.recent_at, axis=0)
+            self.recent, self.recent_at = np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -125,7 +172,6 @@ def _tokenizer(path: str) -> WordTokenizer:
 
 
 def _pieces(tokenizer_path: str, sequence: int, end_id: int, keep_ids: bool):
-    end = array.array("I", [end_id]).tobytes()
     fields = [("part", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()),
               ("local_rank", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())]
     schema = pa.schema([*fields, ("ids", pa.binary())] if keep_ids else fields)
@@ -135,16 +181,16 @@ def _pieces(tokenizer_path: str, sequence: int, end_id: int, keep_ids: bool):
         part = TaskContext.get().partitionId()
         seen = [0] * (sequence + 1)
         for batch in batches:
-            for rows in slices(batch, "text"):
-                words = [t.as_buffer().to_pybytes().split() for t in texts(rows.column("text"))]
+            for rows in slices(batch, "text", SLICE):
+                ids, bounds = tokens.encode(rows.column("text"))
+                raw = memoryview(np.insert(ids, bounds[1:], end_id).astype("<u4").tobytes())
                 out: list[list] = [[] for _ in schema]
-                for doc, raw in zip(rows.column("doc_id").to_pylist(), tokens.encode(words), strict=True):
-                    raw += end
-                    n = len(raw) // 4
-                    for start in range(0, n, sequence):
-                        length = min(sequence, n - start)
-                        ids = raw[start * 4:(start + length) * 4]
-                        row = (part, doc, start, length, seen[length], zlib.crc32(ids), n, ids)
+                ends = (bounds + np.arange(len(bounds))).tolist()  # with the end ids
+                for doc, first, last in zip(rows.column("doc_id").to_pylist(), ends[:-1], ends[1:], strict=True):
+                    for start in range(first, last, sequence):
+                        length = min(sequence, last - start)
+                        piece = raw[start * 4:(start + length) * 4]
+                        row = (part, doc, start - first, length, seen[length], zlib.crc32(piece), last - first, piece)
                         seen[length] += 1
                         for column, value in zip(out, row, strict=False):
                             column.append(value)
