@@ -42,11 +42,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/pulsegrid-llm/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
+def materialise(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors.
+
+    ``parts`` tasks write it, where the caller knows how few rows there are.
+    """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    (df.coalesce(parts) if parts else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -13,17 +13,21 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.common import materialise
 
 
-def _step(edges: DataFrame, large: bool) -> DataFrame:
+# Edges that one task handles at ease; the number of tasks follows the number of edges.
+EDGES_A_TASK = 200_000
+
+
+def _step(edges: DataFrame, large: bool, parts: int) -> DataFrame:
     """``edges(u, v)``, u > v. Large star: larger neighbours to the least; small star: smaller ones and itself."""
     if large:
         seen = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = seen.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        moved = seen.where("v > u").join(materialise(least, "star"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved = seen.where("v > u").join(materialise(least, "star", parts), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        least = materialise(edges.groupBy("u").agg(F.min("v").alias("m")), "star")
+        least = materialise(edges.groupBy("u").agg(F.min("v").alias("m")), "star", parts)
         moved = (edges.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))))
-    return materialise(moved.where("u > v").distinct(), "edges")
+    return materialise(moved.where("u > v").distinct(), "edges", parts)
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
@@ -39,7 +43,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
         if not found[0] or found == mark:
             break
         mark = found
-        now = _step(_step(now, True), False)
+        parts = 1 + found[0] // EDGES_A_TASK
+        now = _step(_step(now, True, parts), False, parts)
     else:
         raise RuntimeError(f"components not settled after {max_rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
