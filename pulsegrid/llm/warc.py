@@ -10,7 +10,7 @@ others are revisit records that name it. The largest id per digest is a grouped
 that occur more than once are joined back, so pages are shuffled only if such digests are many, and adaptive
 execution splits a hot one.
 
-The dictionary is trained on a bounded sample (``SAMPLE_PAGES`` pages by a hash of page_id, ``SAMPLE_CHARS`` of each); it
+The dictionary is trained on a bounded sample (about ``SAMPLE_PAGES`` pages by a hash of page_id, ``SAMPLE_CHARS`` of each); it
 changes sizes only. With too few samples the archives have none.
 
 Defined results: null html is an empty payload; a null page_id is always a response; rows that share page_id and
@@ -183,9 +183,11 @@ def parse_record(raw: bytes) -> dict:
 
 def train_dictionary(pages: DataFrame) -> bytes:
     """A Zstandard dictionary from a bounded hash sample of ``pages(page_id, html)``; empty if samples are too few."""
-    sample = (pages.where("html is not null").orderBy(F.xxhash64(F.lit("warc"), "page_id"), "page_id")
-              .select(F.substring("html", 1, SAMPLE_CHARS).alias("html")).limit(SAMPLE_PAGES))
-    texts = [r[0].encode() for r in sample.collect() if r[0]]
+    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "html").where("html is not null and page_id is not null")
+    n = pages.count()
+    spread = F.pmod(F.xxhash64(F.lit("warc"), "page_id"), F.lit(1 << 30))
+    some = pages.where(spread < int(min(1.0, SAMPLE_PAGES / max(n, 1)) * (1 << 30))).select("page_id", F.substring("html", 1, SAMPLE_CHARS))
+    texts = [text.encode() for _, text in sorted(map(tuple, some.collect())) if text]
     if len(texts) < 50 or sum(map(len, texts)) < 4 * DICTIONARY_BYTES:
         return b""
     try:
