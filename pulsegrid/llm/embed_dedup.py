@@ -11,8 +11,8 @@ from the recall that a pair exactly at the threshold is to have: 1 - (1 - p^sign
 p = 1 - arccos(threshold) / pi. Links are confirmed by the cosine in double precision; none below it is made.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link with nothing; vectors
-of different lengths do not link; rows that share a vec_id are one vector each but share a component; null vec_id:
-no links, component null, kept true. Extra columns are ignored.
+of different lengths do not link; rows that share a vec_id are one for the graph (links counted together, one
+component); null vec_id: no links, component null, kept true. Extra columns are ignored.
 """
 
 from __future__ import annotations
