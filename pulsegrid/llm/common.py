@@ -126,7 +126,7 @@ _powers: dict[str, np.ndarray] = {}
 
 def _pow(n: int) -> tuple[np.ndarray, np.ndarray]:
     if n > len(_powers.get("up", ())):
-        size = max(n, 2 * SLICE_BYTES)
+        size = max(n, SLICE_BYTES + (1 << 16))
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             p = np.full(size, base, np.uint64)
             p[0] = 1

@@ -21,7 +21,7 @@ from __future__ import annotations
 import array
 import unicodedata
 import zlib
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +35,7 @@ from pulsegrid.llm.common import Words, materialise, prepare, slices
 SEQUENCE = 2048
 END_ID = 1
 # Known words and word parts of a Python worker; a full table starts anew (it saves time only).
-WORD_CACHE, PART_CACHE = 2_000_000, 400_000
-SLICE = 2 << 20
+WORD_CACHE, PART_CACHE = 800_000, 150_000
 
 
 def default_tokenizer() -> str:
@@ -60,13 +59,13 @@ class WordTokenizer:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.lib = Tokenizer.from_file(path)
+        self.path = path
         # for parts that are already normal, lower case and split
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = None
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        vocab = self.lib.get_vocab()
+        vocab = self.plain.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         # fixed value: the tokenizer file's own split pattern (and the line feed, which joins words here)
@@ -76,6 +75,13 @@ class WordTokenizer:
         self.parts: dict[str, bytes] = {}
         self._forget()
 
+    @cached_property
+    def lib(self):
+        """The library's tokenizer as the file has it, for the few words that need all of it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _forget(self) -> None:
         self.hashes, self.recent = (np.zeros(0, np.uint64) for _ in range(2))
         self.at, self.recent_at = (np.zeros((0, 2), np.int64) for _ in range(2))
@@ -166,7 +172,7 @@ class WordTokenizer:
             self.recent, self.recent_at = np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
@@ -181,7 +187,7 @@ def _pieces(tokenizer_path: str, sequence: int, end_id: int, keep_ids: bool):
         part = TaskContext.get().partitionId()
         seen = [0] * (sequence + 1)
         for batch in batches:
-            for rows in slices(batch, "text", SLICE):
+            for rows in slices(batch, "text"):
                 ids, bounds = tokens.encode(rows.column("text"))
                 raw = memoryview(np.insert(ids, bounds[1:], end_id).astype("<u4").tobytes())
                 out: list[list] = [[] for _ in schema]

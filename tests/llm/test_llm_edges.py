@@ -195,7 +195,7 @@ def test_html(spark):
     menu = "".join(f"<li><a href=/{i}>Entry {i}</a>" for i in range(5))
     # no article element: what stays the same on every page and link lists are no main text
     pages += [(10 + i, f"http://d.example/{i}", f"<body><div><ul>{menu}</ul></div><div><p>Text {i} about {'things ' * 30}</p><p>More {i}</p></div>"
-               "<div><p>All rights reserved by us and everyone else, for ever and ever.</p></div>") for i in range(6)]
+               "<div class=legal><p>All rights reserved by us and everyone else, for ever and ever.</p></div>") for i in range(6)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({"wrapper": F.lit(1), "expression": F.lit(1), "text": F.lit(1)})
     got = html.extract(df)
     assert got.columns == ["page_id", "url", "text"]
