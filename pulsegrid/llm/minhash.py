@@ -63,14 +63,26 @@ def _minima(shingles: np.ndarray) -> np.ndarray:
     return low
 
 
-def _band_keys(minima: np.ndarray) -> np.ndarray:
-    parts = mix(minima.reshape(-1, BANDS, ROWS) + U64(1)) * _C
-    return mix(parts.sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * U64(0x9E3779B97F4A7C15))
+def _signature_rows(sigs: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(sigs), np.uint16).reshape(-1, HASHES)
+
+
+def _band_keys(sigs: np.ndarray) -> np.ndarray:
+    """The bucket key of each band of signatures."""
+    parts = mix(sigs.astype(np.uint64).reshape(-1, BANDS, ROWS) + U64(1)) * _C
+    return signed(mix(parts.sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * U64(0x9E3779B97F4A7C15)))
+
+
+def _band_rows(batches):
+    for batch in batches:
+        keys = _band_keys(_signature_rows(batch.column("sig").to_pylist()))
+        ids = np.repeat(np.asarray(batch.column("id")), BANDS)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys.reshape(-1))], names=["id", "key"])
 
 
 def _signatures(words_per_shingle: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()),
-                        ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
+                        ("sig", pa.binary())])
 
     def run(batches):
         for batch in batches:
@@ -80,12 +92,9 @@ def _signatures(words_per_shingle: int):
                     sizes.append(len(s))
                     ids.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     low.append(_minima(s))
-                m = np.array(low, np.uint64).reshape(-1, HASHES)
-                keys = signed(_band_keys(m)).reshape(-1)
-                bands = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * BANDS), pa.array(keys))
-                sig = [x.tobytes() for x in m.astype(np.uint32)]
+                sig = [x.tobytes() for x in np.array(low, np.uint64).astype(np.uint16)]  # the low 16 bits of each minimum
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
-                                                  pa.array(sig, pa.binary()), bands], schema=schema)
+                                                  pa.array(sig, pa.binary())], schema=schema)
 
     return run
 
@@ -118,8 +127,8 @@ def _signature_filter(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        x = np.frombuffer(b"".join(batch.column("sig_a").to_pylist()), np.uint32).reshape(-1, HASHES)
-        y = np.frombuffer(b"".join(batch.column("sig_b").to_pylist()), np.uint32).reshape(-1, HASHES)
+        x = _signature_rows(batch.column("sig_a").to_pylist())
+        y = _signature_rows(batch.column("sig_b").to_pylist())
         yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= SIGNATURE_MIN))
 
 
@@ -136,13 +145,12 @@ def _exact_filter(percent: int):
 
 def _open_pairs(table: pa.Table):
     """Pairs (i, j) of one block pair that lie in different components, agree in signature and first meet here."""
-    n = table.num_rows
     comp = np.asarray(table.column("component").combine_chunks())
     side = np.asarray(table.column("side").combine_chunks())
     key = int(table.column("key")[0].as_py())
     lo, hi = int(table.column("lo")[0].as_py()), int(table.column("hi")[0].as_py())
-    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(n, HASHES)
-    bands = np.array(table.column("bands").to_pylist(), np.int64).reshape(n, BANDS)
+    sig = _signature_rows(table.column("sig").to_pylist())
+    bands = _band_keys(sig)
     ids = np.asarray(table.column("id").combine_chunks())
     here = (bands == key).argmax(axis=1)  # the band of this bucket, the same for all
     band = int(here[0])
@@ -214,16 +222,15 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n_part = shuffle_partitions(spark)
     signed_rows = materialise(docs.mapInArrow(
-        _signatures(words_per_shingle), "doc_id long, n_shingles long, set_id binary, sig binary, bands array<long>"), "signatures")
+        _signatures(words_per_shingle), "doc_id long, n_shingles long, set_id binary, sig binary"), "signatures")
     nodes = signed_rows.where("set_id is not null and doc_id is not null")
 
     # one class per distinct set; its node is the smallest doc_id
     classes = materialise(nodes.groupBy("set_id").agg(
-        F.min("doc_id").alias("id"), F.min_by(F.struct("sig", "bands"), "doc_id").alias("s"))
-        .select("set_id", "id", "s.sig", "s.bands"), "classes")
+        F.min("doc_id").alias("id"), F.min_by("sig", "doc_id").alias("sig")), "classes")
 
     # buckets with more than one member, each paired with its smallest
-    members = classes.select("id", F.explode("bands").alias("key"))
+    members = classes.select("id", "sig").mapInArrow(_band_rows, "id long, key long")
     buckets = materialise(members.groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     members = materialise(members.join(buckets, "key"), "members")
     star = members.where("id != least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
@@ -249,12 +256,12 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
     rest = (rest.withColumn("side", F.pmod(F.xxhash64("id"), blocks).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             .withColumn("lo", F.least("side", "other")).withColumn("hi", F.greatest("side", "other"))
-            .join(classes.select("id", "sig", "bands"), "id"))
-    small = rest.where(F.col("n") <= SMALL).select("key", "lo", "hi", "side", "id", "component", "sig", "bands")
+            .join(classes.select("id", "sig"), "id"))
+    small = rest.where(F.col("n") <= SMALL).select("key", "lo", "hi", "side", "id", "component", "sig")
     more = materialise(small.repartition(n_part, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "id")
                        .mapInArrow(_open_small, "a long, b long").distinct(), "more")
     large = (rest.where(F.col("n") > SMALL).join(sets, "id")
-             .select("key", "lo", "hi", "side", "id", "component", "sig", "bands", "shingles"))
+             .select("key", "lo", "hi", "side", "id", "component", "sig", "shingles"))
     large = materialise(large.repartition(n_part, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "id")
                         .mapInArrow(_open_large(percent), "a long, b long"), "large")
     # rows that repeat a doc_id with another text are one document: their classes are linked
