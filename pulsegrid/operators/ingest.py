@@ -10,6 +10,7 @@ sorted streaming pass over partitions (``pulsegrid.functions.fold``).
 from __future__ import annotations
 
 import math
+from collections import deque
 
 import numpy as np
 import pandas as pd
@@ -212,7 +213,7 @@ def _admission_fold(interval_ms: int, capacity: int, ttl_ms: int):
     """Streaming admission over partitions sorted by (device_id, segment, arrival_ms, request_id): state is the
     bucket and the batch keys reserved in this segment."""
     def run(batches):
-        carry, tokens, refilled, reserved = None, float(capacity), None, {}
+        carry, tokens, refilled, reserved, expiry = None, float(capacity), None, {}, deque()
         for pdf in batches:
             dev, seg = pdf["device_id"].to_numpy(), pdf["segment"].to_numpy()
             bids, now_ms = pdf["batch_id"].to_numpy(), pdf["arrival_ms"].to_numpy()
@@ -221,10 +222,12 @@ def _admission_fold(interval_ms: int, capacity: int, ttl_ms: int):
             retry = np.full(len(pdf), -1, dtype=np.int64)
             for i in range(len(pdf)):
                 if starts[i]:
-                    tokens, refilled, reserved = float(capacity), None, {}
+                    tokens, refilled, reserved, expiry = float(capacity), None, {}, deque()
                 now, bid = int(now_ms[i]), bids[i]
-                if len(reserved) > 4096:  # forget keys past their TTL: state stays O(batches per TTL)
-                    reserved = {b: t for b, t in reserved.items() if now - t < ttl_ms}
+                while expiry and now - expiry[0][0] >= ttl_ms:  # forget keys past their TTL, oldest first
+                    then, old = expiry.popleft()
+                    if reserved.get(old) == then:
+                        del reserved[old]
                 at = reserved.get(bid)
                 if at is not None and now - at < ttl_ms:
                     status[i] = 200
@@ -232,6 +235,7 @@ def _admission_fold(interval_ms: int, capacity: int, ttl_ms: int):
                 tokens, refilled, ok, wait = _bucket_step(tokens, refilled, now, interval_ms, capacity)
                 if ok:
                     reserved[bid] = now
+                    expiry.append((now, bid))
                     status[i] = 202
                 else:
                     reserved.pop(bid, None)

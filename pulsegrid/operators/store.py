@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid import constants as K
+from pulsegrid.functions.jsonx import RFC3339_PATTERN
 from pulsegrid.operators.alerts import insert_if_absent
 
 TELEMETRY_COLUMNS = ["event_id", "device_id", "patient_id", "timestamp", "heart_rate", "spo2", "temperature",
@@ -18,13 +20,12 @@ TELEMETRY_COLUMNS = ["event_id", "device_id", "patient_id", "timestamp", "heart_
 def _parse_rfc3339(name: str, value: str | None) -> dt.datetime | None:
     if value is None or value == "":
         return None
-    text = value.replace("Z", "+00:00").replace("z", "+00:00")
     try:
-        parsed = dt.datetime.fromisoformat(text)
+        if not re.match(RFC3339_PATTERN, value):
+            raise ValueError(value)
+        parsed = dt.datetime.fromisoformat(value.replace("Z", "+00:00"))
     except ValueError as exc:
         raise ValueError(f"invalid_query: {name} must be RFC3339") from exc
-    if parsed.tzinfo is None or "T" not in value.upper():
-        raise ValueError(f"invalid_query: {name} must be RFC3339")
     return parsed.astimezone(dt.timezone.utc)
 
 
@@ -46,7 +47,7 @@ class ListFilter:
 
     def __post_init__(self):
         if isinstance(self.limit, str):
-            if not self.limit.lstrip("-").isdigit():
+            if not re.fullmatch(r"[+-]?[0-9]+", self.limit):
                 raise ValueError("invalid_query: limit must be a non-negative integer")
             object.__setattr__(self, "limit", int(self.limit))
         if self.limit < 0:
@@ -164,10 +165,10 @@ def read_declared(spark, path: str, schema: str) -> DataFrame:
 def read_alerts(spark, path: str) -> DataFrame:
     """Alerts table read across layouts: files written before ``dedup_key`` existed are merged in
     (``mergeSchema``) and get their key backfilled from (patient, type, 300 s bucket)."""
-    from pulsegrid.operators.alerts import backfill_key
+    from pulsegrid.functions.ids import alert_dedup_key
     raw = spark.read.option("mergeSchema", "true").parquet(path)
     if "dedup_key" not in raw.columns:
         raw = raw.withColumn("dedup_key", F.lit(None).cast("string"))
-    return backfill_key(raw).join(raw.drop("dedup_key").select("patient_id", "alert_type", "detected_at",
-                                                                "created_at"),
-                                  ["patient_id", "alert_type", "detected_at"], "left")
+    computed = alert_dedup_key(F.col("patient_id"), F.col("alert_type"), F.col("detected_at"))
+    return raw.select("patient_id", "alert_type", "detected_at", F.coalesce("dedup_key", computed).alias("dedup_key"),
+                      F.col("dedup_key").isNull().alias("backfilled"), "created_at")

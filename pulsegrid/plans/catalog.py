@@ -32,7 +32,7 @@ def detect_sustained(spark: SparkSession, sf_dir: str) -> DataFrame:
 LIST_TELEMETRY_FILTER = store.ListFilter(from_="2026-07-07T12:01:00Z", to="2026-07-07T12:05:00Z", limit=1000)
 LIST_ALERTS_FILTER = store.ListFilter()
 RANGE_TELEMETRY_FILTER = store.ListFilter(from_="2026-07-07T12:01:00Z", to="2026-07-07T12:02:00Z")
-RANGE_ALERTS_FILTER = store.ListFilter(from_="2026-07-07T12:02:00Z", to="2026-07-07T12:04:00Z")
+RANGE_ALERTS_FILTER = store.ListFilter(from_="2026-07-07T12:05:00Z", to="2026-07-07T12:15:00Z")
 RETENTION_NOW = dt.datetime(2026, 7, 8, tzinfo=dt.timezone.utc)
 
 

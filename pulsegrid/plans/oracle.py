@@ -142,7 +142,7 @@ ORACLES["list_alerts"] = with_(*ALERT_BASE, ALERT_VIEW) + """
 SELECT * FROM aview ORDER BY triggered_at DESC, dedup_key LIMIT 100"""
 ORACLES["filter_alerts_range"] = with_(*ALERT_BASE, ALERT_VIEW) + """
 SELECT * FROM aview
-WHERE triggered_at >= TIMESTAMP '2026-07-07 12:02:00' AND triggered_at <= TIMESTAMP '2026-07-07 12:04:00'"""
+WHERE triggered_at >= TIMESTAMP '2026-07-07 12:05:00' AND triggered_at <= TIMESTAMP '2026-07-07 12:15:00'"""
 ORACLES["recent_alert_semi"] = with_(*ALERT_BASE) + """
 SELECT d.event_id, d.patient_id, d.alert_type, d.triggered_at FROM det d
 WHERE EXISTS (SELECT 1 FROM atab a WHERE a.patient_id = d.patient_id AND a.alert_type = d.alert_type

@@ -1,14 +1,13 @@
 """Structured Streaming jobs: the processing service as two checkpointed queries.
 
 * ``start_store`` — raw messages -> decode / validate / route -> per micro-batch: telemetry insert-if-absent
-  (parquet table partitioned by event date) and dead-letter records (JSON envelope files or a Kafka topic).
+  (parquet table partitioned by event date) and dead-letter records (JSON envelope files).
 * ``start_alerts`` — valid events -> keyed stateful detector -> alerts insert-if-absent on dedup_key.
 
 Delivery is at-least-once from the source and idempotent at the sinks: a micro-batch replayed after a
 failure (the checkpoint commits only after ``foreachBatch`` returns) inserts nothing twice, because every
 write is an anti-join against what the table already holds. Executor loss only re-runs tasks. The micro-batch
-size is bounded by ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``; that bound is what makes broadcasting the
-batch's keys into the table lookup safe.
+size is bounded by ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsegrid.functions.ids import alert_dedup_key
@@ -26,8 +26,6 @@ from pulsegrid.session import configure
 from pulsegrid.streaming.detector import SustainedHighDetector, detect_stream
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-# largest number of micro-batch keys shipped to every task of the table lookup; above it the lookup shuffles
-BROADCAST_MAX_KEYS = 2_000_000
 
 
 def _table_exists(spark: SparkSession, path: str) -> bool:
@@ -37,36 +35,29 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def append_if_absent(batch: DataFrame, path: str, key: str, partition_col: str, order_by: list[str]) -> int:
-    """Insert-if-absent into a parquet table partitioned by ``partition_col``.
+def append_if_absent(batch: DataFrame, path: str, key: list[str], order_by: list[str], partition_col: str | None = None,
+                     fmt: str = "parquet") -> int:
+    """Insert-if-absent into a table of files, partitioned by ``partition_col`` where given.
 
-    First row per key inside the batch (by ``order_by``); keys already stored are skipped. The lookup reads
-    only ``key`` of the partitions the batch touches (partition pruning via the broadcast list of the batch's
-    partition values) and meets the batch's keys in a semi join; the batch side is broadcast because its
-    size is bounded by the trigger limit and checked (``BROADCAST_MAX_KEYS``) before broadcasting.
-    Returns the number of rows appended.
+    First row per key inside the batch (by ``order_by``); keys stored anywhere in the table are skipped: the lookup
+    reads the key columns of all stored rows with the batch's own types, so an empty table has nothing to infer.
+    Adaptive execution broadcasts the batch's keys where their measured size allows. Returns the rows appended.
     """
     spark = batch.sparkSession
-    cols = [c for c in batch.columns if c != key]
-    first = (batch.groupBy(key).agg(F.min_by(F.struct(*cols), F.struct(*order_by)).alias("_r"))
-             .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols]))
+    cols = [c for c in batch.columns if c not in key]
+    first = (batch.groupBy(*key).agg(F.min_by(F.struct(*cols), F.struct(*order_by)).alias("_r"))
+             .select(*key, *[F.col(f"_r.{c}").alias(c) for c in cols]))
     fresh = first
     if _table_exists(spark, path):
-        first = first.persist()
-        n_keys = first.count()
-        parts = [r[0] for r in first.select(partition_col).distinct().collect()]  # a handful of dates per batch
-        if parts:
-            keys = first.select(key)
-            keys = F.broadcast(keys) if n_keys <= BROADCAST_MAX_KEYS else keys  # size checked, not assumed
-            stored = (spark.read.parquet(path).filter(F.col(partition_col).isin(parts)).select(key)
-                      .join(keys, key, "left_semi"))
-            fresh = first.join(stored, key, "left_anti")
+        keys = T.StructType([f for f in first.schema if f.name in key])
+        stored = spark.read.format(fmt).schema(keys).load(path)
+        fresh = first.join(stored.join(first.select(*key), key, "left_semi"), key, "left_anti")
     fresh = fresh.persist()
     n = fresh.count()
     if n:
-        fresh.write.mode("append").partitionBy(partition_col).parquet(path)
+        writer = fresh.write.mode("append").format(fmt)
+        (writer.partitionBy(partition_col) if partition_col else writer).save(path)
     fresh.unpersist()
-    first.unpersist()
     return n
 
 
@@ -80,12 +71,11 @@ def store_batch(tables_dir: str, processed_at: dt.datetime | None = None):
                         F.current_timestamp().alias("created_at"),
                         F.struct("partition", "offset").alias("arrival"),
                         F.to_date("timestamp").alias("event_date")))
-        append_if_absent(good, os.path.join(tables_dir, "telemetry"), "event_id", "event_date", ["arrival"])
-        dlq = ev.dlq_records(routed, processed_at).withColumn("epoch", F.lit(epoch_id))
-        # one folder per epoch, overwritten as a whole: a replayed epoch replaces its own dead letters
-        (dlq.select("key", "value", "reason", "source_topic", "source_partition", "source_offset", "epoch")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch")
-         .json(os.path.join(tables_dir, "dlq")))
+        append_if_absent(good, os.path.join(tables_dir, "telemetry"), ["event_id"], ["arrival"], "event_date")
+        # a dead letter is known by where its message stood, so neither replays nor new checkpoints lose or repeat one
+        at = ["source_topic", "source_partition", "source_offset"]
+        dlq = ev.dlq_records(routed, processed_at).select("key", "value", "headers", "reason", *at)
+        append_if_absent(dlq, os.path.join(tables_dir, "dlq"), at, ["reason"], fmt="json")
         routed.unpersist()
     return run
 
@@ -105,7 +95,7 @@ def alerts_batch(tables_dir: str):
             alert_dedup_key(F.col("patient_id"), F.col("alert_type"), F.col("triggered_at")).alias("dedup_key"),
             "patient_id", "alert_type", F.col("triggered_at").alias("detected_at"),
             F.current_timestamp().alias("created_at"), F.to_date("triggered_at").alias("detected_date"))
-        append_if_absent(rows, os.path.join(tables_dir, "alerts"), "dedup_key", "detected_date", ["detected_at"])
+        append_if_absent(rows, os.path.join(tables_dir, "alerts"), ["dedup_key"], ["detected_at"], "detected_date")
     return run
 
 
