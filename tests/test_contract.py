@@ -3,13 +3,15 @@
 import inspect
 
 import __spark_entry__ as entry
+from pulsegrid.plans.catalog import QUERIES
 
 
 def test_queries_and_oracles_line_up():
     q, o = entry.queries(), entry.oracle_sql()
-    assert set(q) == set(o)
-    assert len(q) == 51
+    assert set(o) <= set(q) and set(QUERIES) <= set(o)
+    assert len(QUERIES) == 51
     for name, fn in q.items():
         assert list(inspect.signature(fn).parameters) == ["spark", "sf_dir"], name
+    for name in QUERIES:
         assert not name.startswith("op") and "pipeline" not in name, name
         assert o[name].lstrip().upper().startswith("WITH"), name
