@@ -2,8 +2,8 @@
 
 Rows are hash-partitioned on the group columns and sorted within each partition by (group, order); the fold
 then walks each partition's Arrow batches once, resetting its state whenever the group changes. Compared with
-``groupBy().applyInPandas`` there is no per-group DataFrame to build and no group is ever materialised whole:
-memory is one Arrow batch plus the fold state.
+``groupBy().applyInPandas`` there is no per-group DataFrame to build; a fold over rows needs one Arrow batch and its
+state. ``whole_groups`` serves folds that need a group's rows together: it holds the group that a batch border cuts.
 """
 
 from __future__ import annotations
@@ -36,29 +36,22 @@ def group_starts(keys: list[np.ndarray], carry: tuple | None) -> np.ndarray:
     return start
 
 
-def iter_groups(batches: Iterator[pd.DataFrame], key_cols: Sequence[str]) -> Iterator[pd.DataFrame]:
-    """Complete groups (consecutive rows with equal keys) from sorted Arrow batches; a group split across
-    batches is reassembled. Holds one group at a time."""
-    pending = None
+def whole_groups(batches: Iterator[pd.DataFrame], key_cols: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """Frames of complete groups (consecutive rows with equal keys, any number of groups a frame) from sorted Arrow
+    batches. Only the group that a batch border cuts is held back, as a list of its pieces."""
+    held: list[pd.DataFrame] = []
     for pdf in batches:
         if len(pdf) == 0:
             continue
-        keys = [pdf[c].to_numpy() for c in key_cols]
-        carry = None if pending is None else tuple(pending[c].iat[-1] for c in key_cols)
-        starts = list(np.flatnonzero(group_starts(keys, carry)))
-        first = starts[0] if starts else len(pdf)
-        if pending is not None:
-            if first > 0:
-                pending = pd.concat([pending, pdf.iloc[:first]], ignore_index=True)
-            if starts:
-                yield pending
-                pending = None
-        bounds = starts + [len(pdf)]
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            group = pdf.iloc[a:b].reset_index(drop=True)
-            if b == len(pdf):
-                pending = group
-            else:
-                yield group
-    if pending is not None:
-        yield pending
+        carry = tuple(held[-1][c].iat[-1] for c in key_cols) if held else None
+        starts = np.flatnonzero(group_starts([pdf[c].to_numpy() for c in key_cols], carry))
+        if len(starts) == 0:
+            held.append(pdf)
+            continue
+        cut = int(starts[-1])
+        done = [*held, pdf.iloc[:cut]] if cut else held
+        held = [pdf.iloc[cut:]]
+        if done:
+            yield pd.concat(done, ignore_index=True)
+    if held:
+        yield pd.concat(held, ignore_index=True)

@@ -5,10 +5,10 @@ data that task is the whole job. The helpers here cut each key's history into ti
 inside ``(key, slice)`` partitions, and carry what crosses a slice boundary through a small per-(key, slice)
 summary table (one row per key and slice, independent of how many rows a slice holds).
 
-Shuffle shape (same for every helper): the rows are hash-partitioned once on ``(key, slice)`` for the local
-window; the slice summary is aggregated from that already-partitioned output (no second shuffle of rows); the
-summary gets its own small window over slices; the join back on ``(key, slice)`` reuses the rows'
-partitioning, so only the summary moves again.
+Shuffle shape: the rows are hash-partitioned on ``(key, slice)`` for the local window. Row counts and sums per slice
+are partial aggregates of the input (only the summary moves, at the price of reading the needed columns twice); last
+rows and segment starts are aggregated from the windowed rows. The summary gets its own small window over slices, and
+the join back on ``(key, slice)`` uses the rows' partitioning.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ def position_in_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str
     """
     local = Window.partitionBy(*keys, slice_col).orderBy(*order_by)
     numbered = df.withColumn("_pg_rn", F.row_number().over(local))
-    counts = numbered.groupBy(*keys, slice_col).agg(F.max("_pg_rn").alias("_pg_n"))
+    counts = df.groupBy(*keys, slice_col).agg(F.count(F.lit(1)).alias("_pg_n"))
     offsets = counts.select(*keys, slice_col,
                             F.coalesce(F.sum("_pg_n").over(_slices_before(keys, slice_col)), F.lit(0)).alias("_pg_off"))
     return (numbered.join(offsets, [*keys, slice_col])
@@ -57,7 +57,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], sli
     """Inclusive running ``sum(value)`` per key in ``order_by`` order, computed per slice plus carried offsets."""
     local = Window.partitionBy(*keys, slice_col).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
     summed = df.withColumn("_rs_loc", F.sum(value).over(local))
-    totals = summed.groupBy(*keys, slice_col).agg(F.sum(value).alias("_rs_t"))
+    totals = df.groupBy(*keys, slice_col).agg(F.sum(value).alias("_rs_t"))
     offsets = totals.select(*keys, slice_col,
                             F.coalesce(F.sum("_rs_t").over(_slices_before(keys, slice_col)), F.lit(0)).alias("_rs_off"))
     return (summed.join(offsets, [*keys, slice_col])

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid import constants as K
+from pulsegrid.functions.greedy import spaced
 from pulsegrid.functions.ids import alert_bucket, alert_dedup_key, alert_message
-from pulsegrid.functions.fold import iter_groups, sorted_fold
-from pulsegrid.functions.sliced import previous_row, time_slice
+from pulsegrid.functions.sliced import US_PER_SECOND
 
 COOLDOWN_SLICE_SECONDS = 3600
 
@@ -45,78 +43,21 @@ def alerts_table(detections: DataFrame, write_delay_seconds: int = 2) -> DataFra
                     (F.col("detected_at") + F.expr(f"INTERVAL {int(write_delay_seconds)} SECONDS")).alias("created_at"))
 
 
-def _slice_chains(gap_us: int):
-    """Per (patient, type, slice), sorted by time: for every entry candidate, the greedy chain inside the slice
-    and its exit target (last kept + cool-down). One slice is held at a time."""
-    cols = ["patient_id", "alert_type", "_slice", "_cand_t", "_exit", "event_id", "triggered_at"]
-
-    def chains(g: pd.DataFrame) -> pd.DataFrame:
-        t = g["_t"].to_numpy()
-        rows, cand_t, exits = [], [], []
-        for i in np.flatnonzero(g["_cand"].to_numpy()):
-            j, kept = int(i), []
-            while j < len(t):
-                kept.append(j)
-                j = int(np.searchsorted(t, t[j] + gap_us, side="left"))
-            rows.extend(kept)
-            cand_t.extend([int(t[i])] * len(kept))
-            exits.extend([int(t[kept[-1]]) + gap_us] * len(kept))
-        out = g.iloc[rows][["patient_id", "alert_type", "_slice", "event_id", "triggered_at"]].reset_index(drop=True)
-        out["_cand_t"] = np.asarray(cand_t, dtype=np.int64)
-        out["_exit"] = np.asarray(exits, dtype=np.int64)
-        return out[cols]
-
-    def run(batches):
-        for g in iter_groups(batches, ["patient_id", "alert_type", "_slice"]):
-            yield chains(g)
-    return run
-
-
-def _stitch(batches):
-    """Per (patient, type), candidates sorted by time: walk entry -> exit target -> first candidate at or after
-    it. Holds one key's candidate table (its size follows the key's time span, not its row count)."""
-    for g in iter_groups(batches, ["patient_id", "alert_type"]):
-        ct, ex = g["_cand_t"].to_numpy(), g["_exit"].to_numpy()
-        chosen, i = [], 0
-        while i < len(ct):
-            chosen.append(i)
-            i = int(np.searchsorted(ct, ex[i], side="left"))
-        yield g.iloc[chosen][["patient_id", "alert_type", "_slice", "_cand_t"]]
-
-
 def cooldown(detections: DataFrame, cooldown_seconds: int = K.ALERT_COOLDOWN_SECONDS,
              slice_seconds: int = COOLDOWN_SLICE_SECONDS) -> DataFrame:
     """DED4: greedy cool-down per (patient, type). The first detection is kept; it reserves the pair for
     ``cooldown`` seconds of event time; the next kept one is the first detection at or after that.
     Suppressed detections do not extend the reservation.
 
-    Exact and parallel over time: a slice's first kept alert can only be one of its *entry candidates* (a
-    detection whose predecessor lies less than the cool-down after the slice start), so every (patient, slice)
-    computes the in-slice greedy chain of each candidate independently; a per-patient walk over the small
-    candidate table (entry -> exit target -> first candidate at or after it) picks the real chain of each slice.
-    No task holds a patient's rows beyond one slice.
+    Detections of one pair at the same time are one (the smallest event_id): two devices of a patient may report
+    together. The rule is computed per (patient, slice), see ``pulsegrid.functions.greedy``.
     Output: event_id, patient_id, alert_type, triggered_at, dedup_key.
     """
-    if slice_seconds < cooldown_seconds:
-        raise ValueError("slice must be at least the cool-down")
-    gap = cooldown_seconds * 1_000_000
-    keys = ["patient_id", "alert_type"]
-    base = detections.select("event_id", "patient_id", "alert_type", "triggered_at",
-                             F.unix_micros("triggered_at").alias("_t"),
-                             time_slice(F.col("triggered_at"), slice_seconds).alias("_slice"))
-    prev = previous_row(base, keys, ["_t", "event_id"], "_slice", ["_t"], prefix="_prev")
-    cand = prev.withColumn("_cand", F.col("_prev_t").isNull()
-                           | (F.col("_prev_t") < F.col("_slice") * F.lit(slice_seconds * 1_000_000) + F.lit(gap)))
-    chains = sorted_fold(cand.drop("_prev_t"), [*keys, "_slice"], ["_t", "event_id"], _slice_chains(gap),
-                         "patient_id string, alert_type string, _slice bigint, _cand_t bigint, _exit bigint, "
-                         "event_id string, triggered_at timestamp")
-    # one exchange on the chain key, read by both consumers below (the Python fold runs once)
-    chains = chains.repartition(*keys, "_slice", "_cand_t")
-    table = chains.select(*keys, "_slice", "_cand_t", "_exit").dropDuplicates([*keys, "_slice", "_cand_t"])
-    chosen = sorted_fold(table, keys, ["_cand_t"], _stitch,
-                         "patient_id string, alert_type string, _slice bigint, _cand_t bigint")
-    kept = chains.join(chosen, [*keys, "_slice", "_cand_t"], "left_semi")
-    return with_dedup_key(kept.select("event_id", "patient_id", "alert_type", "triggered_at"))
+    us = detections.select("event_id", "patient_id", "alert_type", F.unix_micros("triggered_at").alias("_us"))
+    kept = spaced(us, ["patient_id", "alert_type"], "_us", "event_id", cooldown_seconds * US_PER_SECOND,
+                  slice_seconds * US_PER_SECOND)
+    return with_dedup_key(kept.select("event_id", "patient_id", "alert_type",
+                                      F.timestamp_micros("_us").alias("triggered_at")))
 
 
 def recovered(kept: DataFrame, stored: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Per-patient sliding window and the sustained-high-heart-rate detector.
 
 Batch semantics are event-time exact: each event sees every event of its patient with
-``ts - window <= t <= ts`` (both ends inclusive, peers with equal ts included). The streaming processor in
+``ts - window <= t <= ts`` (both ends inclusive, peers with equal ts included). Where events may be delivered again,
+``latest_readings`` comes first; the windows take each event_id once. The streaming processor in
 ``pulsegrid.streaming.detector`` reproduces the arrival-order behaviour instead.
 """
 
@@ -17,6 +18,16 @@ from pulsegrid.functions.sliced import US_PER_SECOND, with_lookback_halo
 DEFAULT_SLICE_SECONDS = 3600
 
 
+def latest_readings(deliveries: DataFrame, arrival: str = "arrival", key: str = "patient_id", ts: str = "ts",
+                    hr: str = "heart_rate") -> DataFrame:
+    """WIN1 upsert: the reading that arrived last for each (patient, event_id), as a redelivery replaces the entry
+    of the window. Equal arrivals: the later, then the higher reading. One partial aggregate, no group is held.
+    Output: event_id, patient_id, ts, heart_rate.
+    """
+    last = deliveries.groupBy(key, "event_id").agg(F.max(F.struct(arrival, ts, hr)).alias("_last"))
+    return last.select("event_id", key, F.col(f"_last.{ts}").alias(ts), F.col(f"_last.{hr}").alias(hr))
+
+
 def window_stats(telemetry: DataFrame, window_seconds: int = K.HIGH_HR_WINDOW_SECONDS,
                  slice_seconds: int = DEFAULT_SLICE_SECONDS, key: str = "patient_id", ts: str = "ts",
                  hr: str = "heart_rate") -> DataFrame:

@@ -14,14 +14,15 @@ from collections import deque
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid import constants as K
 from pulsegrid.functions import jsonx as J
 from pulsegrid.functions.fold import group_starts, sorted_fold
+from pulsegrid.functions.greedy import spaced
 from pulsegrid.functions.ids import event_id_of, rfc3339_utc
-from pulsegrid.functions.segments import segment_by_gap
+from pulsegrid.functions.sliced import segment_by_gap
 
 BATCH_SCHEMA = ("struct<device_id:string,patient_id:string,batch_id:string,"
                 "measurements:array<struct<timestamp:string,heart_rate:bigint>>>")
@@ -147,11 +148,14 @@ def explode(batches: DataFrame) -> DataFrame:
                     F.col("m.ts").alias("timestamp"), F.col("m.heart_rate").cast("int").alias("heart_rate")))
 
 
-def first_seen(requests: DataFrame) -> DataFrame:
-    """DED1 in isolation: the first copy of each (device, batch) in arrival order. Partitions are
-    (device, batch) — a handful of copies each."""
-    w = Window.partitionBy("device_id", "batch_id").orderBy("arrival_ms", "request_id")
-    return requests.withColumn("first_seen", F.row_number().over(w) == 1)
+def first_seen(requests: DataFrame, ttl_ms: int = K.IDEMPOTENCY_TTL_MS) -> DataFrame:
+    """DED1 in isolation: a copy of a (device, batch) is first seen when the key is not reserved, that is for the
+    first copy in arrival order and for the first one ``ttl`` or more after the copy that reserved it last.
+    Copies of one key that arrive together are told apart by request_id (unique), the smallest comes first."""
+    cols = ["device_id", "batch_id", "arrival_ms", "request_id"]
+    kept = spaced(requests.select(*cols), ["device_id", "batch_id"], "arrival_ms", "request_id", ttl_ms, ttl_ms)
+    return (requests.join(kept.withColumn("first_seen", F.lit(True)), cols, "left")
+            .select(*requests.columns, F.coalesce("first_seen", F.lit(False)).alias("first_seen")))
 
 
 # --- ordered folds -----------------------------------------------------------------------------

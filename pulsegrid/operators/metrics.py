@@ -40,25 +40,34 @@ def render_labels(labels: Column) -> Column:
 
 
 def go_float_text(v: Column) -> Column:
-    """Shortest decimal text of a double, plain for exponents -4..5 and ``d.ddde±XX`` otherwise; '0' for
-    NaN/±Inf (as the exposition writes numbers)."""
-    plain = F.regexp_replace(F.regexp_replace(F.abs(v).try_cast("decimal(38,18)").cast("string"), "0+$", ""),
-                             "[.]$", "")
-    int_part = F.regexp_extract(plain, r"^(\d+)", 1)
-    frac = F.regexp_extract(plain, r"\.(\d+)$", 1)
-    lead_zeros = F.length(F.regexp_extract(frac, r"^(0*)", 1))
-    digits = F.regexp_replace(F.regexp_replace(F.concat(int_part, frac), "^0+", ""), "0+$", "")
-    exp = F.when(int_part != "0", F.length(int_part) - 1).otherwise(-(lead_zeros + 1))
-    mant = F.concat(F.substring(digits, 1, 1),
-                    F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substring(digits, 2, 64))).otherwise(F.lit("")))
-    sci = F.concat(mant, F.lit("e"), F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
-                   F.lpad(F.abs(exp).cast("string"), 2, "0"))
+    """Shortest decimal text of a double, plain for exponents -4 to 5 and ``d.ddde±XX`` otherwise; '0' for
+    NaN/±Inf (as the exposition writes numbers). The digits are those of the JVM's text of a double: they read back
+    as the same number, but before Java 19 the 17th may differ from the closest choice."""
+    text = F.abs(v).cast("string")  # shortest digits, as d.ddd or d.dddE-xx
+    mant = F.regexp_extract(text, "^([0-9.]+)", 1)
+    whole, frac = F.split_part(mant, F.lit("."), F.lit(1)), F.split_part(mant, F.lit("."), F.lit(2))
+    every = F.concat(whole, frac)
+    led = F.regexp_replace(every, "^0+", "")
+    digits = F.regexp_replace(led, "0+$", "")
+    exp = (F.length(whole) - 1 - (F.length(every) - F.length(led))
+           + F.coalesce(F.regexp_extract(text, "E(.+)$", 1).try_cast("int"), F.lit(0)))
+
+    def pointed(head: Column, tail: Column) -> Column:
+        return F.concat(head, F.when(tail != "", F.concat(F.lit("."), tail)).otherwise(F.lit("")))
+
+    def rest(at: Column) -> Column:
+        return F.substring(digits, at, F.lit(400))
+
+    sci = F.concat(pointed(F.substring(digits, 1, 1), rest(F.lit(2))), F.lit("e"),
+                   F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
+                   F.when(F.abs(exp) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(exp).cast("string"))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+    plain = F.when(exp < 0, small).otherwise(
+        pointed(F.rpad(F.substring(digits, F.lit(1), exp + 1), exp + 1, F.lit("0")), rest(exp + 2)))
     sign = F.when(v < 0, F.lit("-")).otherwise(F.lit(""))
     finite = ~(F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
-    small_or_big = (F.abs(v) >= F.lit(1e6)) | ((F.abs(v) < F.lit(1e-4)) & (v != 0))
-    body = F.when(v == 0, F.lit("0")).when(plain.isNull(), v.cast("string")) \
-        .when(small_or_big, sci).otherwise(plain)
-    return F.when(~finite, F.lit("0")).otherwise(F.concat(F.when(v == 0, F.lit("")).otherwise(sign), body))
+    body = F.when((exp < -4) | (exp >= 6), sci).otherwise(plain)
+    return F.when(~finite | (v == 0), F.lit("0")).otherwise(F.concat(sign, body))
 
 
 # --- aggregates ------------------------------------------------------------------------------

@@ -23,9 +23,18 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 # --- detection ---------------------------------------------------------------------------------
 
+def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the detector's window holds: every reading once, as it was delivered last."""
+    return detect.latest_readings(fixtures.deliveries(spark, sf_dir))
+
+
+def _detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect.detect_sustained(_readings(spark, sf_dir))
+
+
 @query
 def detect_sustained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detect.detect_sustained(fixtures.telemetry(spark, sf_dir))
+    return _detections(spark, sf_dir)
 
 
 # --- fixed values: query parameters ------------------------------------------------------------
@@ -36,10 +45,6 @@ RANGE_ALERTS_FILTER = store.ListFilter(from_="2026-07-07T12:05:00Z", to="2026-07
 RETENTION_NOW = dt.datetime(2026, 7, 8, tzinfo=dt.timezone.utc)
 
 
-def _detections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detect.detect_sustained(fixtures.telemetry(spark, sf_dir))
-
-
 def _partial_alerts(det: DataFrame) -> DataFrame:
     """Alerts table of an earlier run whose writes for every 4th bucket were lost."""
     t = alerts.alerts_table(det)
@@ -198,13 +203,13 @@ def snk_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def window_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = detect.window_stats(fixtures.telemetry(spark, sf_dir).select("event_id", "patient_id", "ts", "heart_rate"))
+    w = detect.window_stats(_readings(spark, sf_dir))
     return w.select("event_id", "patient_id", "ts", "window_events")
 
 
 @query
 def window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = detect.window_stats(fixtures.telemetry(spark, sf_dir).select("event_id", "patient_id", "ts", "heart_rate"))
+    w = detect.window_stats(_readings(spark, sf_dir))
     return w.drop("window_first_ts")
 
 
@@ -413,8 +418,8 @@ def processing_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = _processed(spark, sf_dir)
     tags = metrics.metric_tags(routed).groupBy("name", "labels_key").agg(F.count(F.lit(1)).alias("value"))
     valid = routed.filter(F.col("route") == "store").select("event_id", "patient_id", F.col("timestamp").alias("ts"),
-                                                             F.col("heart_rate").cast("int").alias("heart_rate"))
-    created = alerts.bucketed(detect.detect_sustained(valid))
+                                                             F.col("heart_rate").cast("int").alias("heart_rate"), "offset")
+    created = alerts.bucketed(detect.detect_sustained(detect.latest_readings(valid, "offset")))
     alert_count = created.groupBy(F.lit("processing_alerts_created_total").alias("name"),
                                   F.concat(F.lit("type="), F.col("alert_type")).alias("labels_key")) \
         .agg(F.count(F.lit(1)).alias("value"))

@@ -21,15 +21,26 @@ v AS (
          printf('patient-%06d', user_id) AS patient_id,
          seq,
          TIMESTAMP '2026-07-07 12:00:00' + to_seconds(seq * 5) AS ts,
-         CAST(CASE WHEN user_id % 5 = 0 OR (user_id % 5 = 1 AND seq % 12 = 1)
-                   THEN 125 + (seq * 11 + user_id * 7) % 26
-                   ELSE 60 + (seq * 17 + user_id * 13) % 41 END AS INTEGER) AS heart_rate
+         CAST(CASE WHEN user_id % 6 = 0 OR (user_id % 6 = 3 AND (seq + user_id) % 48 < 30)
+                   THEN 124 + (seq * 3 + user_id * 5) % 37 % 19
+                   ELSE 56 + ((seq * 3 + user_id * 5) % 37 * 2 + user_id) % 61 END AS INTEGER) AS heart_rate
   FROM (SELECT event_id, ts, user_id,
                CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS seq
         FROM events) e
 )"""
 
 WSTATS = """
+deliv AS (
+  SELECT event_id, patient_id, ts, heart_rate, 1 AS arrival FROM v
+  UNION ALL SELECT event_id, patient_id, ts, heart_rate, 2 FROM v WHERE src_event_id % 31 = 0
+  UNION ALL SELECT event_id, patient_id, ts, heart_rate - 30, 3 FROM v WHERE src_event_id % 97 = 0
+  UNION ALL SELECT event_id || '-b', patient_id, ts, heart_rate, 1 FROM v WHERE user_id % 12 = 0 AND seq % 4 = 0
+),
+latest AS (
+  SELECT event_id, patient_id, ts, heart_rate
+  FROM (SELECT *, row_number() OVER (PARTITION BY patient_id, event_id ORDER BY arrival DESC) AS rn FROM deliv) d
+  WHERE rn = 1
+),
 wstats AS (
   SELECT *,
          CAST(count(*) OVER w AS BIGINT) AS window_events,
@@ -37,7 +48,7 @@ wstats AS (
          max(heart_rate) OVER w AS window_max_hr,
          CAST(sum(heart_rate) OVER w AS BIGINT) AS window_sum_hr,
          min(ts) OVER w AS window_first_ts
-  FROM v
+  FROM latest
   WINDOW w AS (PARTITION BY patient_id ORDER BY ts RANGE BETWEEN INTERVAL 60 SECONDS PRECEDING AND CURRENT ROW)
 )"""
 
@@ -88,8 +99,9 @@ cd_e AS (
   SELECT patient_id, alert_type, event_id, triggered_at,
          min(triggered_at) OVER (PARTITION BY patient_id, alert_type ORDER BY triggered_at
                                  RANGE BETWEEN INTERVAL 300 SECONDS FOLLOWING AND UNBOUNDED FOLLOWING) AS nx,
-         row_number() OVER (PARTITION BY patient_id, alert_type ORDER BY triggered_at, event_id) AS rn
-  FROM det
+         row_number() OVER (PARTITION BY patient_id, alert_type ORDER BY triggered_at) AS rn
+  FROM (SELECT patient_id, alert_type, triggered_at, min(event_id) AS event_id FROM det
+        GROUP BY patient_id, alert_type, triggered_at) d
 ),
 cd AS (
   SELECT patient_id, alert_type, event_id, triggered_at, nx FROM cd_e WHERE rn = 1
@@ -264,12 +276,12 @@ bdocs AS (
 BREQ = """
 breq AS (
   SELECT d.*, c.copy, d.batch_id || '#' || CAST(c.copy AS VARCHAR) AS request_id,
-         d.chunk * (1000 + (d.user_id % 9) * 500) + c.copy AS arrival_ms,
+         d.chunk * (1000 + (d.user_id % 9) * 500) + CASE WHEN c.copy = 2 THEN 90000000 ELSE c.copy END AS arrival_ms,
          d.chunk % 11 = 5 AS bad_json, (d.chunk % 13 = 6 AND d.n >= 2) AS bad_order,
          CASE WHEN d.chunk % 13 = 6 AND d.n >= 2 THEN [d.hrs[2], d.hrs[1]] || d.hrs[3:] ELSE d.hrs END AS doc_hrs,
          CASE WHEN d.chunk % 13 = 6 AND d.n >= 2 THEN [d.tss[2], d.tss[1]] || d.tss[3:] ELSE d.tss END AS doc_tss
-  FROM bdocs d, (SELECT CAST(0 AS INTEGER) AS copy UNION ALL SELECT CAST(1 AS INTEGER)) c
-  WHERE c.copy = 0 OR d.chunk % 7 = 3
+  FROM bdocs d, (SELECT CAST(unnest([0, 1, 2]) AS INTEGER) AS copy) c
+  WHERE c.copy = 0 OR (c.copy = 1 AND d.chunk % 7 = 3) OR (c.copy = 2 AND d.chunk % 14 = 3)
 )"""
 
 GOOD = """
@@ -366,10 +378,19 @@ SELECT g.batch_id || '-' || CAST(CAST((x.seq - 1) % 10 AS BIGINT) AS VARCHAR) AS
        x.ts AS "timestamp", x.heart_rate
 FROM good g JOIN v x ON x.device_id = g.device_id AND CAST(floor((x.seq - 1) / 10) AS BIGINT) = g.chunk
 WHERE g.copy = 0"""
-ORACLES["batch_first_seen"] = with_(V, BDOCS, BREQ, GOOD) + """
-SELECT request_id, device_id, batch_id, copy, arrival_ms,
-       row_number() OVER (PARTITION BY device_id, batch_id ORDER BY arrival_ms, request_id) = 1 AS first_seen
-FROM good"""
+ORACLES["batch_first_seen"] = with_recursive(V, BDOCS, BREQ, GOOD) + """
+, copies AS (
+  SELECT *, row_number() OVER (PARTITION BY device_id, batch_id ORDER BY arrival_ms, request_id) AS rn FROM good
+),
+seen AS (
+  SELECT request_id, device_id, batch_id, arrival_ms, rn, arrival_ms AS held, true AS first_seen FROM copies WHERE rn = 1
+  UNION ALL
+  SELECT c.request_id, c.device_id, c.batch_id, c.arrival_ms, c.rn,
+         CASE WHEN c.arrival_ms - s.held >= 86400000 THEN c.arrival_ms ELSE s.held END, c.arrival_ms - s.held >= 86400000
+  FROM seen s JOIN copies c ON c.device_id = s.device_id AND c.batch_id = s.batch_id AND c.rn = s.rn + 1
+)
+SELECT g.request_id, g.device_id, g.batch_id, g.copy, g.arrival_ms, s.first_seen
+FROM good g JOIN seen s ON s.request_id = g.request_id"""
 ORACLES["rate_limit_decisions"] = with_recursive(V, RATE) + "SELECT * FROM rdec"
 ORACLES["rate_limit_summary"] = with_recursive(V, RATE) + """
 SELECT device_id, CAST(count(*) AS BIGINT) AS requests, CAST(count(*) FILTER (WHERE allowed) AS BIGINT) AS allowed,

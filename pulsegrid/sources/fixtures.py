@@ -44,16 +44,16 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """View ``v``: each user's events renumbered (``seq`` from 1 by ts, event_id) onto a 5 s grid.
 
     Columns: src_event_id, user_id, event_id, device_id, patient_id, seq, ts, heart_rate.
-    Heart rate follows the simulator's mixed profile: users ``%5 = 0`` are always high, users ``%5 = 1`` every
-    12th reading, the rest normal.
+    Readings of users ``%6 = 0`` are always above the threshold, those of users ``%6 = 3`` for 30 of every 48 readings,
+    the rest stay below it.
     """
     ev = events(spark, sf_dir).select("event_id", "ts", "user_id")
     ev = ev.withColumn("_slice", time_slice(F.col("ts"), SEQ_SLICE_SECONDS))
     numbered = position_in_group(ev, ["user_id"], ["ts", "event_id"], "_slice", out="seq").drop("_slice")
     seq, uid = F.col("seq"), F.col("user_id")
-    high = (F.lit(125) + (seq * 11 + uid * 7) % 26)
-    normal = (F.lit(60) + (seq * 17 + uid * 13) % 41)
-    is_high = (uid % 5 == 0) | ((uid % 5 == 1) & (seq % 12 == 1))
+    phase = (seq * 3 + uid * 5) % 37
+    is_high = (uid % 6 == 0) | ((uid % 6 == 3) & ((seq + uid) % 48 < 30))
+    heart_rate = F.when(is_high, F.lit(124) + phase % 19).otherwise(F.lit(56) + (phase * 2 + uid) % 61)
     return numbered.select(
         F.col("event_id").alias("src_event_id"),
         uid,
@@ -62,10 +62,30 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.format_string("patient-%06d", uid).alias("patient_id"),
         seq,
         F.timestamp_seconds(F.lit(GRID_BASE_EPOCH) + seq * GRID_STEP_SECONDS).alias("ts"),
-        F.when(is_high, high).otherwise(normal).cast("int").alias("heart_rate"),
+        heart_rate.cast("int").alias("heart_rate"),
     )
 
 
+@_memo
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings as they arrive at the detector, some more than once: ``v`` (arrival 1); the same reading again
+    (``src_event_id % 31 = 0``, arrival 2); a corrected one, 30 lower (``src_event_id % 97 = 0``, arrival 3); and a
+    second device of users ``%12 = 0`` that reports every fourth reading at the same time under an own event id.
+    Columns: event_id, patient_id, ts, heart_rate, arrival.
+    """
+    hr, src = F.col("heart_rate"), F.col("src_event_id")
+
+    def row(event_id: Column, heart_rate: Column, arrival: int) -> Column:
+        return F.struct(event_id.alias("event_id"), "patient_id", "ts", heart_rate.cast("int").alias("heart_rate"),
+                        F.lit(arrival).cast("bigint").alias("arrival"))
+
+    same = F.col("event_id")
+    rows = F.array(row(same, hr, 1), F.when(src % 31 == 0, row(same, hr, 2)), F.when(src % 97 == 0, row(same, hr - 30, 3)),
+                   F.when((F.col("user_id") % 12 == 0) & (F.col("seq") % 4 == 0),
+                          row(F.concat(same, F.lit("-b")), hr, 1)))
+    return telemetry(spark, sf_dir).select(F.inline(F.filter(rows, lambda r: r.isNotNull())))
+
+
 @_memo
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """View ``raw``: Kafka-shaped messages (key, value, topic, partition, offset, high_watermark, timestamp)
@@ -118,6 +138,7 @@ def telemetry_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BATCH_RUN_ID = "run1"
+LATE_COPY_MS = 25 * 3_600_000  # past the 24 h for which a batch key is reserved
 
 
 @_memo
@@ -125,7 +146,7 @@ def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """View ``batches``: each device's readings packed 10 per batch and sent as JSON documents.
 
     ``arrival_ms = chunk * (1000 + 500 * (user_id % 9))``; chunks with ``chunk % 7 = 3`` are sent twice (second
-    copy 1 ms later); ``chunk % 11 = 5`` carries an unknown top-level field; ``chunk % 13 = 6`` has its first
+    copy 1 ms later), those with ``chunk % 14 = 3`` a third time 25 h later; ``chunk % 11 = 5`` carries an unknown top-level field; ``chunk % 13 = 6`` has its first
     two measurements swapped. Columns: request_id, sender, copy, arrival_ms, body, user_id, chunk, n.
     """
     from pulsegrid.operators.ingest import batch_document, pack_batches
@@ -138,12 +159,14 @@ def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.concat(F.array(F.element_at(ms, 2), F.element_at(ms, 1)), F.slice(ms, 3, 10))).otherwise(ms)
     body = batch_document(F.col("device_id"), F.col("patient_id"), F.col("batch_id"), swapped)
     body = F.when(F.col("chunk") % 11 == 5, F.regexp_replace(body, "^[{]", '{"note":"x",')).otherwise(body)
-    copies = F.when(F.col("chunk") % 7 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    copies = (F.when(F.col("chunk") % 14 == 3, F.array(F.lit(0), F.lit(1), F.lit(2)))
+              .when(F.col("chunk") % 7 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    delay = F.when(F.col("copy") == 2, F.lit(LATE_COPY_MS)).otherwise(F.col("copy"))
     return (packed.select(F.col("device_id").alias("sender"), "batch_id", "user_id", "chunk", n.alias("n"),
                           body.alias("body"), F.explode(copies).alias("copy"))
             .select(F.concat(F.col("batch_id"), F.lit("#"), F.col("copy").cast("string")).alias("request_id"),
                     "sender", F.col("copy").cast("int").alias("copy"),
-                    (F.col("chunk") * (F.lit(1000) + (F.col("user_id") % 9) * 500) + F.col("copy")).alias("arrival_ms"),
+                    (F.col("chunk") * (F.lit(1000) + (F.col("user_id") % 9) * 500) + delay).alias("arrival_ms"),
                     "body", "user_id", "chunk", "n"))
 
 

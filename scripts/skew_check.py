@@ -53,8 +53,7 @@ def main() -> None:
     print(f"plain window  : largest partition {p_max} rows of {p_parts} partitions")
 
     # ordered folds: the largest group one task folds
-    from pulsegrid.functions.segments import segment_by_gap
-    from pulsegrid.functions.sliced import time_slice
+    from pulsegrid.functions.sliced import segment_by_gap, time_slice
     det = detect.detect_sustained(v)
     per_slice = det.groupBy("patient_id", time_slice(F.col("triggered_at"), 3600)).count().agg(F.max("count")).first()[0]
     per_patient = det.groupBy("patient_id").count().agg(F.max("count")).first()[0]

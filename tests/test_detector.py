@@ -6,6 +6,7 @@ import datetime as dt
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pulsegrid.functions.greedy import spaced
 from pulsegrid.operators import alerts, detect
 
 BASE = dt.datetime(2026, 7, 7, 12, 0, 0)
@@ -68,14 +69,48 @@ def _greedy(times, gap):
 def test_cooldown_matches_greedy_model(spark, patients):
     rows = []
     for p, offs in enumerate(patients):
-        for i, off in enumerate(sorted(set(offs))):
-            rows.append((f"e{p}-{i}", f"p{p}", "HIGH_HEART_RATE", BASE + dt.timedelta(seconds=off)))
+        for i, off in enumerate(offs):  # in any order, equal times included
+            rows.append((f"e{p}-{i:02d}", f"p{p}", "HIGH_HEART_RATE", BASE + dt.timedelta(seconds=off)))
     det = spark.createDataFrame(rows, "event_id string, patient_id string, alert_type string, triggered_at timestamp")
     got = {}
     for r in alerts.cooldown(det).collect():
-        got.setdefault(r.patient_id, []).append(int((r.triggered_at - BASE).total_seconds()))
+        got.setdefault(r.patient_id, []).append((int((r.triggered_at - BASE).total_seconds()), r.event_id))
     for p, offs in enumerate(patients):
-        assert sorted(got.get(f"p{p}", [])) == _greedy(set(offs), 300)
+        first = {t: min(f"e{p}-{i:02d}" for i, o in enumerate(offs) if o == t) for t in offs}
+        assert sorted(got.get(f"p{p}", [])) == [(t, first[t]) for t in _greedy(offs, 300)]
+
+
+def test_cooldown_equal_times(spark):
+    rows = [(e, "p", "HIGH_HEART_RATE", BASE + dt.timedelta(seconds=s)) for e, s in (("b", 60), ("a", 60), ("c", 400))]
+    det = spark.createDataFrame(rows, "event_id string, patient_id string, alert_type string, triggered_at timestamp")
+    assert sorted(r.event_id for r in alerts.cooldown(det).collect()) == ["a", "c"]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["x", "y", "z"]), st.integers(-500, 900)), min_size=1, max_size=80),
+       st.integers(1, 60), st.integers(0, 70))
+def test_spacing_over_batches_and_slices(spark, rows, gap, wider):
+    """Slices as narrow as the gap and Arrow batches of a few rows: every state crosses both borders."""
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)], "k string, t long, i long")
+        got = sorted((r.k, r.t) for r in spaced(df, ["k"], "t", "i", gap, gap + wider).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == [(k, t) for k in "xyz" for t in _greedy([u for j, u in rows if j == k], gap)]
+
+
+def test_redelivered_and_corrected_readings(spark):
+    at = [BASE + dt.timedelta(seconds=s) for s in (0, 30, 60)]
+    rows = [("e0", "p", at[0], 130, 1), ("e1", "p", at[1], 80, 2), ("e2", "p", at[2], 130, 3), ("e2", "p", at[2], 130, 4)]
+    schema = "event_id string, patient_id string, ts timestamp, heart_rate int, arrival long"
+    seen = detect.latest_readings(spark.createDataFrame(rows, schema))
+    assert {r.event_id: r.window_events for r in detect.window_stats(seen).collect()} == {"e0": 1, "e1": 2, "e2": 3}
+    assert detect.detect_sustained(seen).count() == 0
+    # the low reading is corrected: nothing suppresses the alert any more
+    fixed = detect.latest_readings(spark.createDataFrame([*rows, ("e1", "p", at[1], 131, 5)], schema))
+    assert [r.event_id for r in detect.detect_sustained(fixed).collect()] == ["e2"]
 
 
 def test_bucketed_first_wins_and_key(spark):

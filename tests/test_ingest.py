@@ -80,6 +80,15 @@ def test_burst_of_two_then_429_and_release(spark):
     assert out["e"].status == 200 and out["e"].outcome == "duplicate_ignored"
 
 
+def test_first_seen_forgets_after_24_hours(spark):
+    h = 3_600_000
+    copies = [("a", 0), ("b", 1), ("c", 25 * h), ("d", 26 * h), ("e", 49 * h), ("f", 49 * h)]
+    df = spark.createDataFrame([(r, "d1", "b1", t) for r, t in copies] + [("z", "d2", "b1", 5)],
+                               "request_id string, device_id string, batch_id string, arrival_ms long")
+    got = {r.request_id: r.first_seen for r in ingest.first_seen(df).collect()}
+    assert got == {"a": True, "b": False, "c": True, "d": False, "e": True, "f": False, "z": True}
+
+
 def _bucket_model(times, interval=5000, cap=2):
     tokens, last, out = float(cap), None, []
     for now in times:

@@ -43,10 +43,13 @@ def test_label_escaping(spark):
 
 
 def test_float_text(spark):
-    vals = [0.0, 1.0, 42.0, 0.12, 1234567.5, 1e6, 0.0001, 0.00001234, -2.5, float("nan"), float("inf")]
+    vals = [0.0, 1.0, 42.0, 0.12, 1234567.5, 1e6, 0.0001, 0.00001234, -2.5, float("nan"), float("inf"),
+            1e-20, 3e-19, 1e20, 1.234567890123e-05, -1e100, 100000.0, 123456.75, 0.00123, 1.5e300, 1000.0]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     got = [r.t for r in df.select(metrics.go_float_text(F.col("v")).alias("t")).collect()]
-    assert got == ["0", "1", "42", "0.12", "1.2345675e+06", "1e+06", "0.0001", "1.234e-05", "-2.5", "0", "0"]
+    assert got == ["0", "1", "42", "0.12", "1.2345675e+06", "1e+06", "0.0001", "1.234e-05", "-2.5", "0", "0",
+                   "1e-20", "3e-19", "1e+20", "1.234567890123e-05", "-1e+100", "100000", "123456.75", "0.00123",
+                   "1.5e+300", "1000"]
 
 
 def test_quantile_interpolation(spark):
