@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections import deque
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -213,7 +214,7 @@ def rate_limit(requests: DataFrame, interval_ms: int = K.RATE_INTERVAL_MS, capac
     return out.withColumn("retry_after_s", F.when(~F.col("allowed"), retry_after_seconds(F.col("retry_after_ms"))))
 
 
-def _admission_fold(interval_ms: int, capacity: int, ttl_ms: int):
+def _admission_fold(interval_ms: int, capacity: int, ttl_ms: int, carried: Sequence[str]):
     """Streaming admission over partitions sorted by (device_id, segment, arrival_ms, request_id): state is the
     bucket and the batch keys reserved in this segment."""
     def run(batches):
@@ -247,7 +248,7 @@ def _admission_fold(interval_ms: int, capacity: int, ttl_ms: int):
                     retry[i] = wait
             if len(pdf):
                 carry = (dev[-1], seg[-1])
-            out = pdf[["request_id", "device_id", "batch_id", "arrival_ms", "n"]].copy()
+            out = pdf[["request_id", "device_id", "batch_id", "arrival_ms", "n", *carried]].copy()
             out["status"] = status
             out["retry_after_ms"] = np.where(retry >= 0, retry, 0)
             out["limited"] = retry >= 0
@@ -256,35 +257,39 @@ def _admission_fold(interval_ms: int, capacity: int, ttl_ms: int):
 
 
 def admit(requests: DataFrame, interval_ms: int = K.RATE_INTERVAL_MS, capacity: int = K.RATE_BURST,
-          ttl_ms: int = K.IDEMPOTENCY_TTL_MS) -> DataFrame:
+          ttl_ms: int = K.IDEMPOTENCY_TTL_MS, carry: Sequence[str] = ()) -> DataFrame:
     """ADM1: outcome of every request ``(request_id, arrival_ms, decode_ok, reason, device_id, batch_id, n)``.
 
     Rejected documents (400) never touch state and are decided row-wise; the rest are folded per
     (device, segment), a segment starting after a pause of at least the idempotency TTL (which also refills
     the bucket). Output: request_id, device_id, batch_id, arrival_ms, status (202/200/429/400), outcome, error,
-    retry_after_s, accepted_measurements.
+    retry_after_s, accepted_measurements, and the columns in ``carry`` as they came (so that nobody has to join the
+    outcomes back to the documents).
     """
     rejected = F.when(~F.col("decode_ok"), F.lit(K.MSG_INVALID_JSON)).otherwise(F.col("reason"))
     n = F.coalesce(F.size("measurements"), F.lit(0)) if "measurements" in requests.columns else F.col("n")
     tagged = requests.select("request_id", "device_id", "batch_id", "arrival_ms", n.cast("int").alias("n"),
-                             rejected.alias("error"))
+                             rejected.alias("error"), *carry)
     bad = tagged.filter(F.col("error").isNotNull()).select(
         "request_id", "device_id", "batch_id", "arrival_ms", F.lit(400).alias("status"), "error",
-        F.lit(None).cast("bigint").alias("retry_after_s"), F.lit(0).cast("bigint").alias("accepted_measurements"))
+        F.lit(None).cast("bigint").alias("retry_after_s"), F.lit(0).cast("bigint").alias("accepted_measurements"),
+        *carry)
     good = tagged.filter(F.col("error").isNull())
-    base = good.select("request_id", "device_id", "batch_id", "arrival_ms", "n",
+    base = good.select("request_id", "device_id", "batch_id", "arrival_ms", "n", *carry,
                        F.floor(F.col("arrival_ms") / FOLD_SLICE_MS).cast("bigint").alias("_slice"))
     seg = segment_by_gap(base, ["device_id"], ["arrival_ms", "request_id"], "_slice", "arrival_ms", ttl_ms)
+    types = dict(requests.dtypes)
     folded = sorted_fold(seg.drop("_slice"), ["device_id", "segment"], ["arrival_ms", "request_id"],
-                         _admission_fold(interval_ms, capacity, ttl_ms),
+                         _admission_fold(interval_ms, capacity, ttl_ms, carry),
                          "request_id string, device_id string, batch_id string, arrival_ms bigint, n int, "
-                         "status int, retry_after_ms bigint, limited boolean")
+                         "status int, retry_after_ms bigint, limited boolean"
+                         + "".join(f", `{c}` {types[c]}" for c in carry))
     decided = (folded
                .select("request_id", "device_id", "batch_id", "arrival_ms", "status",
                        F.lit(None).cast("string").alias("error"),
                        F.when(F.col("limited"), retry_after_seconds(F.col("retry_after_ms"))).alias("retry_after_s"),
                        F.when(F.col("status") == 202, F.col("n")).otherwise(F.lit(0)).cast("bigint")
-                       .alias("accepted_measurements")))
+                       .alias("accepted_measurements"), *carry))
     out = decided.unionByName(bad)
     outcome = (F.when(F.col("status") == 202, F.lit("accepted"))
                .when(F.col("status") == 200, F.lit("duplicate_ignored"))

@@ -9,16 +9,14 @@ from pulsegrid import constants as K
 from pulsegrid.functions.ids import event_id_of
 
 
-def accepted_log(outcomes: DataFrame, docs: DataFrame, base_epoch_ms: int) -> DataFrame:
+def accepted_log(outcomes: DataFrame, base_epoch_ms: int) -> DataFrame:
     """SNK7: one record per accepted (202) batch: batch_id, device_id, patient_id, event_ids (``<batch>-<i>``),
-    measurements, accepted_at (= arrival time)."""
-    acc = outcomes.filter(F.col("status") == 202).select("request_id")
-    d = docs.select("request_id", "batch_id", "device_id", "patient_id", F.size("measurements").alias("n"),
-                    "arrival_ms")
-    ids = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: event_id_of(F.col("batch_id"), i))
-    return (d.join(acc, "request_id", "left_semi")
+    measurements, accepted_at (= arrival time). ``outcomes`` come from ``ingest.admit`` with patient_id carried."""
+    n = F.col("accepted_measurements")
+    ids = F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda i: event_id_of(F.col("batch_id"), i))
+    return (outcomes.filter(F.col("status") == 202)
             .select("batch_id", "device_id", "patient_id", ids.alias("event_ids"),
-                    F.col("n").cast("int").alias("measurements"),
+                    n.cast("int").alias("measurements"),
                     F.timestamp_millis(F.lit(base_epoch_ms) + F.col("arrival_ms")).alias("accepted_at")))
 
 
@@ -28,35 +26,37 @@ def write_accepted_log(log: DataFrame, path: str) -> None:
 
 
 def reconcile(log: DataFrame, stored: DataFrame) -> DataFrame:
-    """JON4: accepted event ids vs stored telemetry rows.
+    """JON4: accepted event ids vs stored telemetry rows, see ``compare``."""
+    return compare(log.select(F.explode("event_ids").alias("event_id"), F.lit(True).alias("accepted"),
+                              F.lit(0).cast("bigint").alias("copies"))
+                   .unionByName(stored.select("event_id", F.lit(False).alias("accepted"), F.lit(1).cast("bigint").alias("copies"))))
 
-    status: ok (accepted, stored once), missing (accepted, not stored), duplicated (accepted, stored more
-    than once), extra (stored, never accepted). Both sides are reduced to one row per event_id (partial
-    aggregation) before the full outer join on event_id.
+
+def compare(sides: DataFrame) -> DataFrame:
+    """JON4 core over rows ``(event_id, accepted boolean, copies bigint)`` of either side, or of both at once.
+
+    status: ok (accepted, stored once), missing (accepted, not stored), duplicated (accepted, stored more than once),
+    extra (stored, never accepted). The full outer join of two sides that are grouped by event_id is one grouping
+    of their union: partial aggregates, then a single shuffle.
     Output: event_id, status, stored_copies.
     """
-    expected = (log.select(F.explode("event_ids").alias("event_id")).groupBy("event_id")
-                .agg(F.count(F.lit(1)).alias("accepted")))
-    copies = stored.groupBy("event_id").agg(F.count(F.lit(1)).alias("stored_copies"))
-    j = expected.join(copies, "event_id", "full_outer")
-    n = F.coalesce(F.col("stored_copies"), F.lit(0)).cast("bigint")
-    status = (F.when(F.col("accepted").isNull(), F.lit("extra"))
+    per = sides.groupBy("event_id").agg(F.bool_or("accepted").alias("_accepted"), F.sum("copies").alias("stored_copies"))
+    n = F.col("stored_copies")
+    status = (F.when(~F.col("_accepted"), F.lit("extra"))
               .when(n == 0, F.lit("missing"))
               .when(n == 1, F.lit("ok"))
               .otherwise(F.lit("duplicated")))
-    return j.select("event_id", status.alias("status"), n.alias("stored_copies"))
+    return per.filter(F.col("_accepted") | (n > 0)).select("event_id", status.alias("status"), n.cast("bigint").alias("stored_copies"))
 
 
-def run_summary(outcomes: DataFrame, sent: DataFrame) -> DataFrame:
-    """AGG7/AGG9/SNK8: one-row run summary. ``sent`` has one row per request with ``n`` measurements sent.
+def run_summary(outcomes: DataFrame) -> DataFrame:
+    """AGG7/AGG9/SNK8: one-row run summary of ``ingest.admit`` with ``sent`` (measurements of the request) carried.
 
     duration_seconds = round(span), at least 1 when the span is positive; throughput = accepted measurements
     per second of span (0 when the span is 0)."""
-    j = outcomes.select("request_id", "status", "accepted_measurements", "arrival_ms").join(
-        sent.select("request_id", "n"), "request_id")
     s = F.col("status")
-    agg = j.agg(F.count(F.lit(1)).alias("sent_batches"),
-                F.sum("n").cast("bigint").alias("sent_measurements"),
+    agg = outcomes.agg(F.count(F.lit(1)).alias("sent_batches"),
+                F.sum("sent").cast("bigint").alias("sent_measurements"),
                 F.count_if(s == 202).alias("accepted_202"),
                 F.count_if(s == 200).alias("duplicates_200"),
                 F.count_if(s == 429).alias("rate_limited_429"),

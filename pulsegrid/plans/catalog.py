@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid import constants as K
+from pulsegrid.functions.ids import event_id_of
 from pulsegrid.operators import alerts, detect, events, ingest, metrics, reconcile, store
 from pulsegrid.sources import fixtures, readers
 
@@ -229,14 +230,13 @@ BATCH_BASE_EPOCH_MS = fixtures.GRID_BASE_EPOCH * 1000
 
 
 def _checked_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decoded + validated documents, ending in one exchange on request_id: queries that read them several
-    times (admission, log, reconciliation) reuse that shuffle instead of re-running the JSON checks."""
-    return ingest.process(fixtures.batch_requests(spark, sf_dir)).drop("body").repartition("request_id")
+    """Decoded and validated documents."""
+    return ingest.process(fixtures.batch_requests(spark, sf_dir)).drop("body")
 
 
-def _admitted(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
-    """Admission outcomes, also ending in an exchange on request_id (joined back to the documents by it)."""
-    return ingest.admit(_checked_docs(spark, sf_dir) if docs is None else docs).repartition("request_id")
+def _admitted(spark: SparkSession, sf_dir: str, *carry: str) -> DataFrame:
+    """Admission outcomes with columns of the documents carried along; ``sent`` is what the sender packed."""
+    return ingest.admit(_checked_docs(spark, sf_dir).withColumnRenamed("n", "sent"), carry=carry)
 
 
 @query
@@ -311,31 +311,24 @@ def admission_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- accepted log, reconciliation, run summary ---------------------------------------------------------
 
-def _stored_for_reconcile(spark: SparkSession, sf_dir: str, docs: DataFrame, adm: DataFrame) -> DataFrame:
-    """Stored telemetry seen by reconciliation: events of 202 batches and of 429 batches (published before
-    the rejection), minus lost rows (index 3 of chunks % 5 = 0), plus a second copy of index 7 of chunks % 6 = 0."""
-    pub = adm.filter(F.col("status").isin(202, 429)).select("request_id")
-    d = docs.join(pub, "request_id", "left_semi").select("batch_id", "chunk",
-                                                         F.posexplode("measurements").alias("i", "m"))
-    ev = d.select(F.concat(F.col("batch_id"), F.lit("-"), F.col("i").cast("string")).alias("event_id"), "i", "chunk")
-    kept = ev.filter(~((F.col("i") == 3) & (F.col("chunk") % 5 == 0)))
-    again = ev.filter((F.col("i") == 7) & (F.col("chunk") % 6 == 0))
-    return kept.unionByName(again).select("event_id")
-
-
 @query
 def accepted_batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _checked_docs(spark, sf_dir)
-    log = reconcile.accepted_log(_admitted(spark, sf_dir, docs), docs, BATCH_BASE_EPOCH_MS)
+    log = reconcile.accepted_log(_admitted(spark, sf_dir, "patient_id"), BATCH_BASE_EPOCH_MS)
     return log.withColumn("event_ids", F.to_json("event_ids"))
 
 
 @query
 def reconcile_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _checked_docs(spark, sf_dir)
-    adm = _admitted(spark, sf_dir, docs)
-    log = reconcile.accepted_log(adm, docs, BATCH_BASE_EPOCH_MS)
-    return reconcile.reconcile(log, _stored_for_reconcile(spark, sf_dir, docs, adm))
+    """Accepted events against stored telemetry. Stored are the events of 202 batches and of 429 batches (published
+    before the rejection), minus lost rows (index 3 of chunks % 5 = 0), plus a second copy of index 7 of chunks
+    % 6 = 0. Both sides come from one admission, so they are tagged in one pass."""
+    adm = _admitted(spark, sf_dir, "sent", "chunk").filter(F.col("status").isin(202, 429))
+    ev = adm.select("batch_id", "chunk", (F.col("status") == 202).alias("accepted"),
+                    F.explode(F.sequence(F.lit(0), F.col("sent") - 1)).alias("i"))
+    copies = (F.when((F.col("i") == 3) & (F.col("chunk") % 5 == 0), 0)
+              .when((F.col("i") == 7) & (F.col("chunk") % 6 == 0), 2).otherwise(1))
+    return reconcile.compare(ev.select(event_id_of(F.col("batch_id"), F.col("i")).alias("event_id"), "accepted",
+                                       copies.cast("bigint").alias("copies")))
 
 
 @query
@@ -346,8 +339,7 @@ def reconcile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _checked_docs(spark, sf_dir)
-    return reconcile.run_summary(_admitted(spark, sf_dir, docs), docs)
+    return reconcile.run_summary(_admitted(spark, sf_dir, "sent"))
 
 
 @query

@@ -122,8 +122,8 @@ def test_accepted_log_round_trip_and_reconcile(spark, scratch):
     from pulsegrid.sources import readers
     docs = spark.createDataFrame([("r0", _doc(3)), ("r1", _doc(2, batch_id="b2"))], "request_id string, body string")
     checked = ingest.process(docs).withColumn("arrival_ms", ingest.F.lit(0).cast("long"))
-    adm = ingest.admit(checked)
-    log = reconcile.accepted_log(adm, checked, 1783425600000)
+    adm = ingest.admit(checked, carry=["patient_id"])
+    log = reconcile.accepted_log(adm, 1783425600000)
     path = os.path.join(scratch, "accepted")
     reconcile.write_accepted_log(log, path)
     back = readers.read_accepted_log(spark, path)
