@@ -16,6 +16,8 @@ from pulsegrid.functions.sliced import previous_row
 # --- fixed values: histogram bound labels, as the registry prints them ---------------------
 BOUND_LABELS = ["0.001", "0.005", "0.01", "0.025", "0.05", "0.1", "0.25", "0.5", "1", "2.5", "5", "10"]
 
+SCRAPE_SECONDS = 5
+
 
 # --- labels and numbers ------------------------------------------------------------------------
 
@@ -155,15 +157,19 @@ def write_exposition(lines: DataFrame, path: str) -> None:
     lines.orderBy("name", "section", "labels_key", "ord").select("line").write.mode("overwrite").text(path)
 
 
-def counter_samples(obs: DataFrame, reset_col: str) -> DataFrame:
-    """SRC6 stand-in: scraped cumulative counter samples ``(ts, seq, name, labels_key, value)``: each counter
-    observation counts 1, the running count restarts when ``reset_col`` changes (a process restart)."""
+def counter_samples(obs: DataFrame, reset_col: str, scrape_seconds: int = SCRAPE_SECONDS) -> DataFrame:
+    """SRC6: scraped cumulative counter samples ``(ts, seq, name, labels_key, value)``: each counter observation counts
+    1, the running count restarts when ``reset_col`` changes (a process restart). Observations are first counted per
+    (series, scrape), a partial aggregate, so that the ordered steps see at most one row per series and scrape."""
     from pulsegrid.functions.sliced import running_sum, time_slice
 
+    scrape = F.timestamp_seconds(time_slice(F.col("ts"), scrape_seconds) * scrape_seconds)
     c = (obs.filter(F.col("kind") == "counter")
-         .select("seq", "ts", "name", labels_key(F.col("labels")).alias("labels_key"), F.col(reset_col).alias("_epoch"),
-                 F.lit(1).cast("bigint").alias("_one"), time_slice(F.col("ts"), 3600).alias("_slice")))
-    s = running_sum(c, ["name", "labels_key", "_epoch"], ["ts", "seq"], "_slice", "_one", "value")
+         .groupBy("name", labels_key(F.col("labels")).alias("labels_key"), F.col(reset_col).alias("_epoch"),
+                  scrape.alias("ts"))
+         .agg(F.count(F.lit(1)).alias("_n"), F.max("seq").alias("seq"))
+         .withColumn("_slice", time_slice(F.col("ts"), 3600)))
+    s = running_sum(c, ["name", "labels_key", "_epoch"], ["ts", "seq"], "_slice", "_n", "value")
     return s.select("ts", "seq", "name", "labels_key", F.col("value").cast("double").alias("value"))
 
 

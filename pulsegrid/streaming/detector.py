@@ -11,7 +11,11 @@ Range windows are not available on streaming DataFrames, so the per-patient wind
 
 The cool-down is measured in event time (a replayed backlog yields the same alerts as live data); the window
 sees only what has arrived so far (late rows still get stored, but can miss detections) — both as documented
-in README.md. Per patient the state is at most 60 s of readings plus the last alert time.
+in README.md. Per patient the state is at most 60 s of readings plus the last alert time. Both expire by wall clock
+when the patient has sent nothing for a while: the window after 5 minutes, the last alert after a day, which is longer
+so that the cool-down is not cut short. Every batch that holds a row of the patient renews both. Expired state is
+removed by the next batches that hold any data (``jobs.start_alerts`` starts the query without empty batches, which
+would never let an ``availableNow`` run end).
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from pulsegrid import constants as K
 
 US = 1_000_000
+ALERT_TTL_MS = 24 * 3_600_000
 OUTPUT_SCHEMA = ("patient_id string, alert_type string, message string, triggered_at timestamp, "
                  "event_id string, window_events bigint")
 INPUT_COLUMNS = ["patient_id", "event_id", "timestamp", "heart_rate", "arrival"]
@@ -35,21 +40,22 @@ class SustainedHighDetector(StatefulProcessor):
 
     def __init__(self, threshold: int = K.HIGH_HR_THRESHOLD, window_seconds: int = K.HIGH_HR_WINDOW_SECONDS,
                  min_span_seconds: int | None = None, cooldown_seconds: int = K.ALERT_COOLDOWN_SECONDS,
-                 ttl_ms: int | None = None):
+                 window_ttl_ms: int | None = K.SLIDING_WINDOW_TTL_SECONDS * 1000, alert_ttl_ms: int | None = ALERT_TTL_MS):
         self.threshold = threshold
         self.window_us = window_seconds * US
         self.span_us = (window_seconds if min_span_seconds is None else min_span_seconds) * US
         self.cooldown_us = cooldown_seconds * US
-        if ttl_ms:
-            # Spark accepts state TTL only in ProcessingTime mode; that combination did not complete with an
-            # availableNow trigger here, so it is not offered yet (state stays bounded per patient: <= 60 s of
-            # readings plus one timestamp).
-            raise ValueError("state TTL is not supported yet")
-        self.ttl_ms = None
+        self.window_ttl_ms = window_ttl_ms
+        self.alert_ttl_ms = alert_ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.window = handle.getListState("window", "event_id string, ts_us long, hr int", self.ttl_ms)
-        self.last_alert = handle.getValueState("last_alert", "ts_us long", self.ttl_ms)
+        self.window = handle.getListState("window", "event_id string, ts_us long, hr int", self.window_ttl_ms)
+        self.last_alert = handle.getValueState("last_alert", "ts_us long", self.alert_ttl_ms)
+
+    @property
+    def time_mode(self) -> str:
+        """State expires by wall clock, which Spark offers in this mode only."""
+        return "ProcessingTime" if self.window_ttl_ms or self.alert_ttl_ms else "None"
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         patient = key[0]
@@ -85,5 +91,6 @@ class SustainedHighDetector(StatefulProcessor):
 
 def detect_stream(valid_events, processor: SustainedHighDetector | None = None):
     """Apply the detector to a streaming DataFrame of valid events (columns INPUT_COLUMNS)."""
+    processor = processor or SustainedHighDetector()
     return (valid_events.select(*INPUT_COLUMNS).groupBy("patient_id")
-            .transformWithStateInPandas(processor or SustainedHighDetector(), OUTPUT_SCHEMA, "Append", "None"))
+            .transformWithStateInPandas(processor, OUTPUT_SCHEMA, "Append", processor.time_mode))

@@ -25,6 +25,7 @@ from pulsegrid.operators import events as ev
 from pulsegrid.session import configure
 from pulsegrid.streaming.detector import SustainedHighDetector, detect_stream
 
+EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -110,7 +111,13 @@ def start_alerts(spark: SparkSession, messages: DataFrame, tables_dir: str, chec
                      (F.col("partition").cast("bigint") * F.lit(1 << 40) + F.col("offset")).alias("arrival")))
     alerts = detect_stream(valid, processor)
     w = alerts.writeStream.foreachBatch(alerts_batch(tables_dir)).option("checkpointLocation", checkpoint)
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    # state that expires by wall clock asks for batches without data for ever; the query takes its settings at its start
+    before = spark.conf.get(EMPTY_BATCHES)
+    spark.conf.set(EMPTY_BATCHES, "false")
+    try:
+        return w.trigger(**(trigger or {"availableNow": True})).start()
+    finally:
+        spark.conf.set(EMPTY_BATCHES, before)
 
 
 def messages_from_files(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:

@@ -56,3 +56,35 @@ def test_append_if_absent_looks_everywhere(spark, scratch):
     added = [jobs.append_if_absent(batch(k, d), path, ["dedup_key"], ["detected_at"], "detected_date") for k, d in (("a", 7), ("a", 8), ("b", 8))]
     assert added == [1, 0, 1]
     assert spark.read.parquet(path).count() == 2
+
+
+def test_state_expires_and_late_rows(spark, scratch):
+    """A patient that is silent for longer than the window's life starts anew; a late row within it still counts."""
+    import json
+    import time
+
+    from pulsegrid.streaming.detector import SustainedHighDetector
+
+    def send(name, first, readings):
+        rows = [("p", json.dumps({"event_id": e, "device_id": "d", "patient_id": "p",
+                                  "timestamp": f"2026-07-07T12:{s // 60:02d}:{s % 60:02d}Z", "heart_rate": h}),
+                 "telemetry.raw", 0, first + i) for i, (e, s, h) in enumerate(readings)]
+        (spark.createDataFrame(rows, "key string, value string, topic string, partition int, offset bigint")
+         .withColumn("high_watermark", F.lit(99).cast("bigint")).withColumn("timestamp", F.current_timestamp())
+         .coalesce(1).write.parquet(os.path.join(scratch, "in", name)))
+
+    def alerts_after(ttl):
+        tables = os.path.join(scratch, f"tables-{ttl}")
+        msgs = jobs.messages_from_files(spark, os.path.join(scratch, "in", "*"), 10)
+        query = jobs.start_alerts(spark, msgs, tables, os.path.join(scratch, f"ck-{ttl}"),
+                                  processor=SustainedHighDetector(window_ttl_ms=ttl))
+        assert query.awaitTermination(120)
+        path = os.path.join(tables, "alerts")
+        return spark.read.parquet(path).count() if os.path.isdir(path) else 0
+
+    send("a", 0, [("e1", 30, 130), ("e0", 0, 130)])  # e0 comes late
+    assert alerts_after(300_000) == alerts_after(1_000) == 0
+    time.sleep(2)
+    send("b", 2, [("e2", 60, 130)])
+    assert alerts_after(300_000) == 1
+    assert alerts_after(1_000) == 0
