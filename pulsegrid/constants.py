@@ -15,6 +15,7 @@ MSG_TIMESTAMP_REQUIRED = "timestamp is required"
 MSG_TIMESTAMP_NOT_UTC = "timestamp must be RFC3339 UTC"
 MSG_HR_TOO_LOW = "heart_rate must be greater than or equal to 20"
 MSG_HR_TOO_HIGH = "heart_rate must be less than or equal to 250"
+MSG_SPO2_RANGE = "spo2 is out of range"
 MSG_MEASUREMENTS_LENGTH = "measurements length must be between 1 and 10"
 MSG_MEASUREMENT_TS_REQUIRED = "measurement timestamp is required"
 MSG_TS_OUT_OF_ORDER = "measurement timestamps must be strictly increasing"

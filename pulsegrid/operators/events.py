@@ -69,10 +69,14 @@ def validation_reason(event_id: Column, device_id: Column, patient_id: Column, t
 
 
 def validate(decoded: DataFrame) -> DataFrame:
-    """Adds ``reason`` (validation message, NULL when valid or when decoding already failed)."""
+    """Adds ``reason`` (validation message, NULL when valid or when decoding already failed).
+
+    After the rules of PRJ3 comes one of the table: an spo2 that its integer column cannot hold. Such a message would
+    stop the store query at every retry, so it becomes a dead letter."""
     reason = validation_reason(F.col("event_id"), F.col("device_id"), F.col("patient_id"),
                                F.col("timestamp_text"), F.col("timestamp"), F.col("heart_rate"))
-    return decoded.withColumn("reason", F.when(F.col("decode_ok"), reason))
+    too_wide = F.col("spo2").isNotNull() & ~F.col("spo2").between(-(1 << 31), (1 << 31) - 1)
+    return decoded.withColumn("reason", F.when(F.col("decode_ok"), F.coalesce(reason, F.when(too_wide, F.lit(K.MSG_SPO2_RANGE)))))
 
 
 def route(validated: DataFrame) -> DataFrame:

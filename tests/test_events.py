@@ -50,6 +50,14 @@ def test_validation_rules(spark):
         assert row.route == ("store" if reason is None else "dlq")
 
 
+def test_spo2_that_no_column_holds_is_a_dead_letter(spark):
+    import json
+    texts = [json.dumps({**BASE, "spo2": v}) for v in (98, (1 << 31) - 1, 1 << 31, 3_000_000_000)]
+    rows = _run(spark, texts)
+    assert [r.route for r in rows] == ["store", "store", "dlq", "dlq"]
+    assert [r.reason for r in rows] == [None, None, K.MSG_SPO2_RANGE, K.MSG_SPO2_RANGE]
+
+
 DECODE_ERRORS = [
     '{"invalid"', '{"event_id":"e"}{}', '[1]', '"text"', "12",
     '{"heart_rate":"78"}', '{"heart_rate":78.5}', '{"heart_rate":78.0}', '{"heart_rate":1e2}',
