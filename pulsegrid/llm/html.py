@@ -7,10 +7,13 @@
    with a third of all pages becomes a few rows before anything is shuffled.
 2. Per host (first in ``SALTS`` parts, then their results) the expressions are aligned one after the other: equal
    tags and groups meet, what has no counterpart becomes optional, groups merge inside. The result is the wrapper.
-3. Each text slot of the wrapper is judged once: by the elements around it, and where a host's pages have no article
-   element, by the slot's text: constant over pages, mostly links, or outside the part that holds most of the text.
-4. Every page is aligned with its host's wrapper (once per distinct expression and task) and gives the texts in its main
-   slots. Wrappers are joined to pages by host; adaptive execution splits a hot host or broadcasts measured small tables.
+3. Every page is aligned with its host's wrapper and judged by its own layout, once per distinct expression and task: its
+   main slots are those in its article element, else its main element, else an element with a class word for content.
+   A layout without any of these is judged by what the wrapper knows of the slots' texts over the host: constant over
+   distinct pages (copies of a page count once), mostly links, or outside the part that holds most of the text. If
+   all text is constant, it stays.
+4. A page gives the texts in its main slots. Wrappers are joined to pages by host; adaptive execution splits a hot host or
+   broadcasts measured small tables.
 
 Defined results: null or empty html gives an empty text; a cut-off tag, comment or script at the end is dropped;
 character references are decoded once; a br counts as white space, other inline tags as nothing; a page whose url
@@ -38,7 +41,7 @@ SALTS = 16
 MAX_PERIOD = 16
 # Expressions a task counts before it hands them on.
 HELD_EXPRESSIONS = 5000
-# A host needs this many pages before text that never changes counts as part of its template.
+# So many distinct pages must hold a text that never changes before it counts as part of a template.
 TEMPLATE_PAGES = 3
 
 _CONTAINERS = frozenset("html head body main article section nav header footer aside div ul ol dl table thead tbody tfoot form fieldset "
@@ -188,18 +191,18 @@ class Node:
     links: int = 0
     low: int = 0
     high: int = 0
-    main: bool = False
+    seen: list[int] = field(default_factory=list)  # the least marks of distinct pages with it, at most TEMPLATE_PAGES
 
     @property
     def key(self) -> str:
         return self.token or "(" + self.body[0].key
 
     def plain(self) -> list:
-        return [self.token, int(self.optional), [b.plain() for b in self.body], self.pages, self.chars, self.links, self.low, self.high, int(self.main)]
+        return [self.token, int(self.optional), [b.plain() for b in self.body], self.pages, self.chars, self.links, self.low, self.high, self.seen]
 
     @staticmethod
     def of(x: list) -> Node:
-        return Node(x[0], bool(x[1]), [Node.of(b) for b in x[2]], *x[3:8], bool(x[8]))
+        return Node(x[0], bool(x[1]), [Node.of(b) for b in x[2]], *x[3:])
 
     def text(self) -> str:
         inner = self.token or "( " + " ".join(b.text() for b in self.body) + " )+"
@@ -226,6 +229,11 @@ def slots(nodes: list[Node]) -> Iterator[Node]:
         yield from slots(node.body)
 
 
+def least(a: list[int], b: list[int]) -> list[int]:
+    """The least distinct marks of both, at most TEMPLATE_PAGES."""
+    return sorted({*a, *b})[:TEMPLATE_PAGES]
+
+
 def _matches(a: list[Node], b: list[Node]):
     """Runs (start in a, start in b, length) of nodes that meet: common ends first, then the longest common runs."""
     ka, kb = [n.key for n in a], [n.key for n in b]
@@ -251,6 +259,7 @@ def merge(a: list[Node], b: list[Node]) -> list[Node]:
             if x.token == "#":
                 x.low, x.high = (min(x.low, y.low), max(x.high, y.high)) if x.pages and y.pages else (x.low, x.high) if x.pages else (y.low, y.high)
                 x.pages, x.chars, x.links = x.pages + y.pages, x.chars + y.chars, x.links + y.links
+                x.seen = least(x.seen, y.seen)
             elif not x.token:
                 x.body = merge(x.body, y.body)
             x.optional |= y.optional
@@ -293,55 +302,63 @@ def _paths(nodes: list[Node], path: list[str]) -> Iterator[tuple[Node, list[str]
             path.append(node.token[1:-1])
 
 
-def judge(wrapper: list[Node], pages: int) -> None:
-    """Set ``main`` on the wrapper's text slots."""
-    found = [(node, list(path)) for node, path in _paths(wrapper, [])]
+def _in_tag(tag: str):
+    return lambda path: any(label.partition(".")[0] == tag for label in path)
+
+
+def _hinted(path: list[str]) -> bool:
+    return any(_MAIN_HINT.search(label.partition(".")[2]) for label in path if "." in label)
+
+
+def _weights(some: list[tuple[Node, list[str]]]) -> dict[tuple, float]:
+    """By path of each element: the characters in it, as pages of the host have them on average."""
+    weight: dict[tuple, float] = {}
+    for n, p in some:
+        for k in range(len(p) + 1):
+            weight[tuple(p[:k])] = weight.get(tuple(p[:k]), 0) + n.chars / max(1, n.pages)
+    return weight
+
+
+def judge(found: list[tuple[Node, list[str]]]) -> list[bool]:
+    """Whether each slot of one layout, given as what its host knows of it and the elements around it, is main text."""
     good = [(n, p) for n, p in found if not _boilerplate(p)]
-    for inside in (lambda p: any(x.partition(".")[0] == "article" for x in p), lambda p: any(x.partition(".")[0] == "main" for x in p),
-                   lambda p: any(_MAIN_HINT.search(x.partition(".")[2]) for x in p if "." in x)):
+    for inside in (_in_tag("article"), _in_tag("main"), _hinted):
         chosen = [n for n, p in good if inside(p)]
         if chosen:
             break
     else:
-        live = [(n, p) for n, p in good if not (pages >= TEMPLATE_PAGES and n.pages >= TEMPLATE_PAGES and n.low == n.high) and 2 * n.links <= n.chars]
+        free = [(n, p) for n, p in good if 2 * n.links <= n.chars]
+        live = [(n, p) for n, p in free if len(n.seen) < TEMPLATE_PAGES or n.low != n.high] or free
         # the innermost element that holds most of what is left
-        weight: dict[tuple, int] = {}
-        for n, p in live:
-            for k in range(len(p) + 1):
-                weight[tuple(p[:k])] = weight.get(tuple(p[:k]), 0) + n.chars
+        weight = _weights(live)
         total = weight.get((), 0)
-        best = max((k for k, v in weight.items() if 10 * v >= 8 * total), key=len, default=())
+        best = max((k for k, v in weight.items() if 10 * v >= 8 * total), key=len, default=()) if total else ()
         # the last label may be the leaf block itself; its like under the same parent belong to it
         best = best[:-1] if best and _tag(best[-1]) in _LEAVES else best
         chosen = [n for n, p in live if tuple(p[:len(best)]) == best]
-    for node in chosen:
-        node.main = True
+    main = {id(n) for n in chosen}
+    return [id(n) in main for n, _ in found]
 
 
 def main_slots(expression: str, wrapper: list[Node]) -> list[bool]:
-    """For each slot of an expression, whether its counterpart in the wrapper is main."""
+    """For each slot of an expression, whether it is main text, judged with its counterpart in the wrapper."""
     nodes = parse(expression)
-    verdict: dict[int, bool] = {}
 
     def meet(a: list[Node], b: list[Node]) -> None:
         for mi, mj, n in _matches(a, b):
             for x, y in zip(a[mi:mi + n], b[mj:mj + n], strict=True):
                 if x.token == "#":
-                    verdict[id(y)] = x.main
+                    y.pages, y.chars, y.links, y.low, y.high, y.seen = x.pages, x.chars, x.links, x.low, x.high, x.seen
                 elif not x.token:
                     meet(x.body, y.body)
 
     meet(wrapper, nodes)
-    out = []
-    for node, path in _paths(nodes, []):
-        article = any(p.partition(".")[0] in ("article", "main") for p in path)
-        out.append(verdict.get(id(node), article and not _boilerplate(path)))
-    return out
+    return judge([(node, list(path)) for node, path in _paths(nodes, [])])
 
 
 # ---- Spark ---------------------------------------------------------------------------------------------------
 
-_COUNTS = "host string, expression string, pages long, chars array<long>, links array<long>, low array<long>, high array<long>"
+_COUNTS = "host string, expression string, pages long, chars array<long>, links array<long>, low array<long>, high array<long>, seen array<long>"
 
 
 def _read(page: str | None) -> tuple[str, list[list[int]], list[str], list[int]]:
@@ -353,11 +370,11 @@ def _read(page: str | None) -> tuple[str, list[list[int]], list[str], list[int]]
 
 def _count(batches):
     schema = pa.schema([("host", pa.string()), ("expression", pa.string()), ("pages", pa.int64()),
-                        *((c, pa.list_(pa.int64())) for c in ("chars", "links", "low", "high"))])
+                        *((c, pa.list_(pa.int64())) for c in ("chars", "links", "low", "high", "seen"))])
     held: dict[tuple[str, str], list] = {}
 
     def flush():
-        rows = [(h, e, n, *(x.tolist() for x in sums)) for (h, e), (n, *sums) in held.items()]
+        rows = [(h, e, n, *(x.tolist() for x in sums), seen) for (h, e), (n, *sums, seen) in held.items()]
         held.clear()
         columns = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
@@ -369,13 +386,15 @@ def _count(batches):
                 chars = np.array([sum(len(found[i]) for i in s) for s in of], np.int64)
                 links = np.array([sum(linked[i] for i in s) for s in of], np.int64)
                 mark = np.array([zlib.crc32("\n".join(found[i] for i in s).encode()) for s in of], np.int64)
+                page_mark = zlib.crc32("\n".join(found).encode(), zlib.crc32(expression.encode()))
                 old = held.get((host, expression))
                 if old is None:
-                    held[host, expression] = [1, chars, links, mark, mark]
+                    held[host, expression] = [1, chars, links, mark, mark, [page_mark]]
                 else:
                     old[0] += 1
                     old[1], old[2] = old[1] + chars, old[2] + links
                     old[3], old[4] = np.minimum(old[3], mark), np.maximum(old[4], mark)
+                    old[5] = least(old[5], [page_mark])
             if len(held) > HELD_EXPRESSIONS:
                 yield flush()
     yield flush()
@@ -390,7 +409,7 @@ def _partial_wrappers(batches):
             for r in sorted((r for r in rows if r["host"] == host), key=lambda r: (-r["pages"], r["expression"], r["low"])):
                 nodes = parse(r["expression"])
                 for node, c, n, a, b in zip(slots(nodes), r["chars"], r["links"], r["low"], r["high"], strict=True):
-                    node.pages, node.chars, node.links, node.low, node.high = r["pages"], c, n, a, b
+                    node.pages, node.chars, node.links, node.low, node.high, node.seen = r["pages"], c, n, a, b, r["seen"]
                 wrapper = merge(wrapper, nodes) if pages else nodes
                 pages += r["pages"]
             yield pa.RecordBatch.from_pydict({"host": [host], "pages": [pages], "wrapper": [json.dumps([n.plain() for n in wrapper])]})
@@ -405,7 +424,6 @@ def _final_wrappers(batches):
                 nodes = [Node.of(x) for x in json.loads(r["wrapper"])]
                 wrapper = merge(wrapper, nodes) if pages else nodes
                 pages += r["pages"]
-            judge(wrapper, pages)
             yield pa.RecordBatch.from_pydict({"host": [host], "pages": [pages], "expression": [" ".join(n.text() for n in wrapper)],
                                               "wrapper": [json.dumps([n.plain() for n in wrapper])]})
 
