@@ -15,7 +15,8 @@
 4. A page gives the texts in its main slots. Wrappers are joined to pages by host; adaptive execution splits a hot host or
    broadcasts measured small tables.
 
-Defined results: null or empty html gives an empty text; a cut-off tag, comment or script at the end is dropped;
+Defined results: null or empty html gives an empty text; a cut-off tag, comment or script at the end is dropped
+(text after a '<' that no '>' follows); '</' before a non-letter is a comment up to '>'; <svg .../> ends itself;
 character references are decoded once; a br counts as white space, other inline tags as nothing; a page whose url
 is null or has no host belongs to the host ''; repeated rows give repeated rows. Extra columns are ignored.
 """
@@ -56,7 +57,10 @@ _BOILERPLATE_HINT = re.compile(
     r"newsletter|subscribe|signup|share|sharing|social|sidebar|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|"
     r"comments?|commentlist|replies|reply|respond|disqus|related|recommended|widgets?|login|search|pagination|pager|toolbar|skip|hidden)(?:$|[.\-_])")
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<(?=[a-zA-Z/])", re.S)
+# comment, declaration, '</' before a non-letter up to '>', tag; a quote opens a value only after '=', and only if it closes
+_TOKEN = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</(?![a-zA-Z])[^>]*>"""
+                    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]++)?)?|=)*+(?=>)|[^>]*+)>"""
+                    r"""|<(?=[a-zA-Z/])""", re.S)
 _WORDS_OF = re.compile(r"(?:^|\s)(class|id|role|hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 
 
@@ -101,10 +105,12 @@ def tokens(page: str) -> Iterator[tuple[str, str, int]]:
         at = m.end()
         tag = m[2]
         if tag is None:
-            if m[0] == "<":  # a tag that never ends
+            if m[0] == "<":  # no '>' follows
                 break
             continue
         tag = tag.lower()
+        if tag == "svg" and m[3].endswith("/"):
+            continue
         if not m[1] and tag in _RAW:
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
             at = close.end() if close else end

@@ -32,3 +32,20 @@ def test_copies_are_no_template(spark):
     legal = "<div class=legal><p>All rights reserved by us and everyone else, for ever.</p></div>"
     pages += [(f"http://d.example/{i}", f"<body><div><p>{body(i)}</p></div>{legal}</body>") for i in range(4)]
     assert texts(spark, pages) == [body(0)] * 5 + [body(1) + " " + body(2)] * 3 + [body(i) for i in range(3, 6)] + [body(i) for i in range(4)]
+
+
+def test_odd_markup():
+    def read(page):
+        return [t for t in html.tokens(page) if t[0] == "#"], "".join(t for _, t, _ in html.tokens(page))
+
+    for odd in ("</3>", "</>", "</ p>", "<svg width=5 />", "<svg/>", "<b title=it's>", '<b title=5">', "<b title='a>b' x=\"c>d\">", "<b title=a\"b'c>", "<b =x = y'>",
+                "<!-->", "<!--->", "<!-- a > b -->", "<b title='it>"):
+        for rest in ("", " it is", " \"quoted\"" if '"' not in odd else " plain"):
+            assert read(f"<p>one {odd}two{rest}<p>three")[1] == f"one two{rest}three", (odd, rest)
+    assert read("<p title=it's>one</p><p>it's two</p>")[1] == "oneit's two"
+    assert read("<p>one <svg><path d=x /></svg>two")[1] == "one two"
+    # only what no '>' follows is cut off
+    assert read("<p>one</p>two <p cla")[1] == read("<p>one</p>two <a href='x")[1] == read("<p>one</p>two </3 x")[1] == "onetwo"
+    assert read("<p>1 < 3 & more")[1] == "1 < 3 & more"
+    page = "<p>x</p>" + "<a b=\"c\" d='e' f=g" * 20_000
+    assert read(page)[1] == "x"
