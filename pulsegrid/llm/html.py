@@ -11,7 +11,8 @@
    main slots are those in its article element, else its main element, else an element with a class word for content.
    A layout without any of these is judged by what the wrapper knows of the slots' texts over the host: constant over
    distinct pages (copies of a page count once), mostly links, or outside the part that holds most of the text. If
-   all text is constant, it stays.
+   all text is constant, it stays. Class words and forms around the main or article element or around most of the text
+   do not make that boilerplate.
 4. A page gives the texts in its main slots. Wrappers are joined to pages by host; adaptive execution splits a hot host or
    broadcasts measured small tables.
 
@@ -30,6 +31,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +59,9 @@ _BOILERPLATE_HINT = re.compile(
     r"newsletter|subscribe|signup|share|sharing|social|sidebar|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|"
     r"comments?|commentlist|replies|reply|respond|disqus|related|recommended|widgets?|login|search|pagination|pager|toolbar|skip|hidden)(?:$|[.\-_])")
 
+# a hint after these, or between another word and one of those, tells of an element elsewhere: has-sidebar, content-sidebar-wrap
+_BEFORE_MENTION, _AFTER_MENTION = frozenset("has no with without".split()), frozenset("wrap wrapper container".split())
+
 # comment, declaration, '</' before a non-letter up to '>', tag; a quote opens a value only after '=', and only if it closes
 _TOKEN = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</(?![a-zA-Z])[^>]*>"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]++)?)?|=)*+(?=>)|[^>]*+)>"""
@@ -274,12 +279,27 @@ def merge(a: list[Node], b: list[Node]) -> list[Node]:
     return out
 
 
-def _boilerplate(path: list[str]) -> bool:
-    """Whether elements around a slot say that it is no part of the article."""
+def _hard(tag: str, inside: bool) -> bool:
+    return tag in _BOILERPLATE and tag != "form" or tag == "header" and not inside
+
+
+@lru_cache(maxsize=4096)
+def _says_boilerplate(tag: str, words: str) -> bool:
+    """Whether class words (or a form) say that what an element holds is no part of the article."""
+    for word in words.split("."):
+        parts = ["", *re.split(r"[\-_]", word), ""]
+        for before, part, after in zip(parts, parts[1:], parts[2:]):
+            if _BOILERPLATE_HINT.fullmatch(part) and before not in _BEFORE_MENTION and not (before and after in _AFTER_MENTION):
+                return True
+    return tag == "form"
+
+
+def _boilerplate(path: list[str], spared: frozenset[tuple] = frozenset()) -> bool:
+    """Whether elements around a slot say that it is no part of the article; class words and forms of ``spared`` do not."""
     inside = False  # of an article: its own header holds its title
-    for label in path:
+    for k, label in enumerate(path):
         tag, _, words = label.partition(".")
-        if tag in _BOILERPLATE or tag == "header" and not inside or words and _BOILERPLATE_HINT.search(words) and tag not in ("body", "html"):
+        if _hard(tag, inside) or tag not in ("body", "html", "main") and _says_boilerplate(tag, words) and tuple(path[:k + 1]) not in spared:
             return True
         inside |= tag in ("article", "main")
     return False
@@ -325,16 +345,45 @@ def _weights(some: list[tuple[Node, list[str]]]) -> dict[tuple, float]:
     return weight
 
 
+def _live(some: list[tuple[Node, list[str]]]) -> list[tuple[Node, list[str]]]:
+    """The slots that are neither mostly links nor, unless all are, constant over distinct pages."""
+    free = [(n, p) for n, p in some if 2 * n.links <= n.chars]
+    return [(n, p) for n, p in free if len(n.seen) < TEMPLATE_PAGES or n.low != n.high] or free
+
+
+def _spared(found: list[tuple[Node, list[str]]]) -> tuple[frozenset[tuple], frozenset[tuple]]:
+    """Elements that hold too much for their class words to count: for certain, and where nothing else is left.
+
+    For certain: those around the main element; outside of main and article elements, those around 8 of 10 characters; and
+    those that are or hold an article element with half of the characters. Else any around 8 of 10 characters or an article.
+    """
+    around: dict[str, set[tuple]] = {"article": set(), "main": set()}
+    within: set[tuple] = set()
+    for _, p in found:
+        for tag, prefixes in around.items():
+            at = [k for k, label in enumerate(p) if label.partition(".")[0] == tag]
+            if at:
+                prefixes.update(tuple(p[:k + 1]) for k in range(at[-1] + 1))
+                within.update(tuple(p[:k + 1]) for k in range(at[0] + 1, len(p)))
+    weight = _weights(_live([(n, p) for n, p in found if not any(_hard(label.partition(".")[0], True) for label in p)]))
+    total = weight.get((), 0)
+    most = {k for k, v in weight.items() if 10 * v >= 8 * total > 0}
+    half = {k for k in around["article"] if 2 * weight.get(k, 0) > total}
+    return frozenset(around["main"] | half | most - within), frozenset(around["main"] | around["article"] | most)
+
+
 def judge(found: list[tuple[Node, list[str]]]) -> list[bool]:
     """Whether each slot of one layout, given as what its host knows of it and the elements around it, is main text."""
-    good = [(n, p) for n, p in found if not _boilerplate(p)]
-    for inside in (_in_tag("article"), _in_tag("main"), _hinted):
-        chosen = [n for n, p in good if inside(p)]
+    certain, possible = _spared(found)
+    good = [(n, p) for n, p in found if not _boilerplate(p, certain)]
+    wide = [(n, p) for n, p in found if not _boilerplate(p, possible)]
+    article, main = _in_tag("article"), _in_tag("main")
+    for some, inside in ((good, article), (wide, article), (good, main), (wide, main), (good, _hinted)):
+        chosen = [n for n, p in some if inside(p)]
         if chosen:
             break
     else:
-        free = [(n, p) for n, p in good if 2 * n.links <= n.chars]
-        live = [(n, p) for n, p in free if len(n.seen) < TEMPLATE_PAGES or n.low != n.high] or free
+        live = _live(good)
         # the innermost element that holds most of what is left
         weight = _weights(live)
         total = weight.get((), 0)
@@ -342,8 +391,8 @@ def judge(found: list[tuple[Node, list[str]]]) -> list[bool]:
         # the last label may be the leaf block itself; its like under the same parent belong to it
         best = best[:-1] if best and _tag(best[-1]) in _LEAVES else best
         chosen = [n for n, p in live if tuple(p[:len(best)]) == best]
-    main = {id(n) for n in chosen}
-    return [id(n) in main for n, _ in found]
+    kept = {id(n) for n in chosen}
+    return [id(n) in kept for n, _ in found]
 
 
 def main_slots(expression: str, wrapper: list[Node]) -> list[bool]:

@@ -49,3 +49,21 @@ def test_odd_markup():
     assert read("<p>1 < 3 & more")[1] == "1 < 3 & more"
     page = "<p>x</p>" + "<a b=\"c\" d='e' f=g" * 20_000
     assert read(page)[1] == "x"
+
+
+def test_misleading_wrappers(spark):
+    side = "<div class=sidebar><p>Side words</p></div><div class='site-comments'><p>Reader says</p></div>"
+    layouts = ["<div class='content-sidebar-wrap'><article><p>{}</p></article>" + side + "</div>",
+               "<div class='page has-sidebar'><article class='post no-comments'><p>{}</p></article>" + side + "</div>",
+               "<main id=skip-target><p>{}</p></main>" + side,
+               "<div class=search><main><p>{}</p></main></div>" + side,
+               "<form action=x><div><p>{}</p></div>" + side + "</form>",
+               "<form action=x><article><p>{}</p></article>" + side + "</form>",
+               "<div class=sidebar-layout><div><p>{}</p></div></div>" + side,
+               "<article><div class='share-body'><p>{}</p></div><div class=related><p>Other</p></div></article>",
+               # what is beside an article stays out, however long it is
+               "<article><p>{}</p><div class=comments><p>" + "Reader says more. " * 100 + "</p></div></article><div class=related><article><p>Card</p></article></div>",
+               "<div class=text><p>{}</p></div><div class=comments-container><p>Reader says</p></div><form><p>Name</p></form>"]
+    pages = [(f"http://h{k}.example/{i}", "<body>" + MENU + layout.format(body(i)) + "</body>") for k, layout in enumerate(layouts) for i in range(4)]
+    got = texts(spark, pages)
+    assert [(k // 4, t) for k, t in enumerate(got) if t != body(k % 4)] == []
