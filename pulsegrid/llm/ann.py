@@ -1,17 +1,17 @@
 """Approximate nearest neighbours by inner product: balanced posting lists around centroids.
 
 Fit: centroids by k-means with a size penalty (so lists come out balanced) on at most about ``SAMPLE`` vectors, taken
-by a hash of vec_id; about ``PER_LIST`` vectors a list, at most ``MAX_LISTS`` lists. Inner product becomes distance by
+by a hash of the row; about ``PER_LIST`` vectors a list, at most ``MAX_LISTS`` lists. Inner product becomes distance by
 one more component: x -> (x / M, sqrt(1 - |x|^2 / M^2)) with M the largest norm, q -> (q / |q|, 0).
 
-Index: every vector goes to the list of its nearest centroid, and, if it lies near a border (distance within
+Rows equal in vec_id and vector are folded first. Index: every vector goes to the list of its nearest centroid, and, if it lies near a border (distance within
 ``BORDER`` of the nearest), to the next ones, ``COPIES`` in all.
 
 Search: centroids form an in-memory graph (each knows its nearest ones); best-first search over it selects the lists
 whose centroid is within ``RATIO`` of the nearest one's distance, and goes on by distance until the selected lists
-hold ``MIN_CANDIDATES`` entries, or all. Lists and queries meet in blocks (a hot list is cut by a hash of the id), a task
-keeps the best of each query over all its blocks, and a last step merges these. Scores are exact inner products in
-double precision.
+hold ``MIN_CANDIDATES`` entries, or all. Lists and queries meet in blocks (a hot list is cut by a hash of its rows), a task
+takes the best score of each vec_id in a block, keeps the best of each query over all its blocks, and a last step merges
+these. Lists count distinct vec_ids. Scores are exact inner products in double precision.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components neither search nor are
 found; so are those of another length than most. Ties go to the smaller vec_id; rows that share a vec_id count once,
@@ -70,7 +70,7 @@ def balanced_centroids(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Centroids, their graph and the lists' sizes: at most MAX_LISTS rows, so small enough to go with every task."""
+    """Centroids, their graph and the lists' counts of vec_ids: at most MAX_LISTS rows, so small enough to go with every task."""
 
     norm: float
     centroids: np.ndarray
@@ -129,8 +129,8 @@ class Index:
 def fit(vectors: DataFrame, rows: int, norm: float) -> Index:
     """Centroids and graph from a bounded hash sample of ``vectors(vec_id, vector)``."""
     share = min(1.0, SAMPLE / rows)
-    spread = F.pmod(F.xxhash64(F.lit("ann"), F.col("vec_id")), F.lit(1 << 30))
-    sample = vectors.where(spread < int(share * (1 << 30)) + 1).select("vec_id", "vector").toArrow().sort_by("vec_id")
+    spread = F.pmod(F.xxhash64(F.lit("ann"), F.col("vec_id"), F.col("vector")), F.lit(1 << 30))
+    sample = vectors.where(spread < int(share * (1 << 30)) + 1).select("vec_id", "vector").toArrow().sort_by([("vec_id", "ascending"), ("vector", "ascending")])
     x = _rows(sample.column("vector").to_pylist() or vectors.select("vector").limit(1).toArrow().column("vector").to_pylist()) / norm
     x = np.hstack([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))[:, None]])
     k = max(1, min(MAX_LISTS, len(x), math.ceil(rows / PER_LIST)))
@@ -144,7 +144,7 @@ def _with_norm(batches):
         raw = batch.column("vector").to_pylist()
         norms = [None if r is None else float(np.linalg.norm(np.frombuffer(r, np.float64))) for r in raw]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(norms, pa.float64()), pa.array([None if r is None else len(r) // 8 for r in raw], pa.int32())],
-                                         names=["vec_id", "vector", "norm", "dim"])
+                                         names=["vec_id", "vector", "copies", "norm", "dim"])
 
 
 def _postings(index: Index):
@@ -201,7 +201,12 @@ def _search_blocks(k: int):
             ids = np.asarray(table.column("id").combine_chunks())
             x = _rows(table.column("vector").to_pylist())
             scores = x[query] @ x[~query].T
-            found = ids[~query]
+            found, of = np.unique(ids[~query], return_inverse=True)
+            if len(found) < len(of):  # several vectors share a vec_id: the best counts
+                order = np.argsort(of, kind="stable")
+                scores = np.maximum.reduceat(scores[:, order], np.flatnonzero(np.diff(of[order], prepend=-1)), axis=1)
+            else:
+                scores = scores[:, np.argsort(of)]
             for q, s in zip(ids[query].tolist(), scores, strict=True):
                 some = np.arange(len(s))
                 if len(s) > 2 * k:  # ties at the last place stay in
@@ -223,18 +228,21 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for rows whose vec_id is divisible by ``every``, the ``k`` nearest others."""
     spark = prepare(embeddings.sparkSession)
     n_part = shuffle_partitions(spark)
-    vectors = materialise(valid_vectors(embeddings).where("vector is not null and vec_id is not null")
-                          .mapInArrow(_with_norm, "vec_id long, vector binary, norm double, dim int"), "vectors")
-    per_dim = vectors.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("norm")).orderBy(F.desc("n"), "dim").first()
+    folded = (valid_vectors(embeddings).where("vector is not null and vec_id is not null")
+              .groupBy("vec_id", "vector").agg(F.count(F.lit(1)).alias("copies")))
+    vectors = materialise(folded.mapInArrow(_with_norm, "vec_id long, vector binary, copies long, norm double, dim int"), "vectors")
+    per_dim = (vectors.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("n_rows"), F.max("norm").alias("norm"))
+               .orderBy(F.desc("n_rows"), "dim").first())
     out = "query_id long, rank int, vec_id long, score double"
     if per_dim is None:
         return spark.createDataFrame([], out)
     vectors = vectors.where(F.col("dim") == per_dim["dim"]).select("vec_id", "vector")
     index = fit(vectors, per_dim["n"], per_dim["norm"])
     postings = materialise(vectors.mapInArrow(_postings(index), "list int, id long, vector binary"), "postings")
-    sizes = postings.groupBy("list").agg(F.count(F.lit(1)).alias("size"))
+    sizes = (postings.groupBy("list", "id").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("list").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("n_ids")))
     for r in sizes.collect():  # one row per list
-        index.sizes[r["list"]] = r["size"]
+        index.sizes[r["list"]] = r["n_ids"]
     queries = vectors.where(F.col("vec_id") % every == 0).repartition(n_part)
     asked = materialise(queries.mapInArrow(_selected(index), "list int, id long, vector binary"), "asked")
     load = sizes.join(asked.groupBy("list").agg(F.count(F.lit(1)).alias("asked")), "list")
@@ -242,7 +250,7 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
                                    F.ceil(F.col("asked") / QUERY_BLOCK).cast("int").alias("query_blocks")), "load")
 
     def dealt(df: DataFrame, query: bool) -> DataFrame:
-        block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if query else F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+        block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if query else F.pmod(F.xxhash64("id", "vector"), F.col("blocks")).cast("int")
         other = F.pmod(F.xxhash64("id"), F.col("query_blocks")).cast("int") if query else F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1))
         return (df.join(load, "list").withColumn("block", block).withColumn("query_block", other)
                 .select("list", "block", "query_block", F.lit(query).alias("query"), "id", "vector"))
