@@ -7,7 +7,9 @@ Weak candidates say little alone: ``secret40`` (a bare run of exactly 40 key cha
 ``user`` (a named login or client id) and ``endpoint`` (a URL's or cloud service's host). They are reported only where
 a complementary part co-occurs: an interval join, within a document, of identifiers (access, user), secrets (assign,
 secret40) and endpoints. Parts join when they share a scope (a paragraph: text between blank lines) and at most
-``REACH`` code points lie between them. The join is a sweep over the document's sorted spans, so its cost follows the
+``REACH`` code points lie between them. Parts of any two of these three roles complement each other; only a user and an
+endpoint, both weak, need an access, assign or secret40 span in their paragraph as well, at any distance. Text outside a
+paragraph has no part in it. The join is a sweep over the document's sorted spans, so its cost follows the
 spans near each other; a document is one row and never split.
 
 Positions are code points, end exclusive. Letters of the names match in either case, ASCII only. Defined results: null
@@ -40,6 +42,7 @@ _BLANK = re.compile(rb"\n[\x20\t\r]*\n")
 
 _ROLE = {"access": "id", "user": "id", "assign": "secret", "secret40": "secret", "endpoint": "endpoint"}
 _WEAK = frozenset(KINDS[3:])
+_PUBLIC = frozenset(("user", "endpoint"))
 
 
 def _table(chars: bytes) -> np.ndarray:
@@ -72,6 +75,7 @@ def linked(spans: list[tuple[int, int, int]], blanks: list[int]) -> list[tuple[i
     """Of ``spans`` (start, kind number, end; sorted): base ones, and weak ones with a complementary part in scope."""
     keep = [KINDS[k] not in _WEAK for _, k, _ in spans]
     scope = np.searchsorted(blanks, [s for s, _, _ in spans]) if blanks else np.zeros(len(spans), int)
+    secret = {p for p, (_, k, _) in zip(scope.tolist(), spans, strict=True) if KINDS[k] in _ROLE and KINDS[k] not in _PUBLIC}
     active: list[int] = []  # earlier parts that still reach this far
     for i, (start, kind, _) in enumerate(spans):
         role = _ROLE.get(KINDS[kind])
@@ -79,7 +83,7 @@ def linked(spans: list[tuple[int, int, int]], blanks: list[int]) -> list[tuple[i
             continue
         active = [j for j in active if scope[j] == scope[i] and start - spans[j][2] <= REACH]
         for j in active:
-            if _ROLE[KINDS[spans[j][1]]] != role:
+            if _ROLE[KINDS[spans[j][1]]] != role and scope[i] in secret:
                 keep[i] = keep[j] = True
         active.append(i)
     return [s for s, k in zip(spans, keep, strict=True) if k]
@@ -113,14 +117,10 @@ def _spans(rows: pa.RecordBatch) -> list[list[tuple[int, int, int]]]:
     out = []
     for i, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
         spans = found.get(i, [])
-        secret = any(k == 3 for _, k, _ in spans)
-        for m in _ASSIGN.finditer(lowered, lo, hi):
-            if m.end(1) - m.start(1) >= 12:
-                spans.append((m.start(), 0, m.end()))
-                secret = True
+        spans += [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(lowered, lo, hi) if m.end(1) - m.start(1) >= 12]
         spans += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(raw, lo, hi) if m.end() - m.start() >= 18]
         blanks: list[int] = []
-        if secret:  # users and endpoints complement secrets only
+        if any(k != 2 for _, k, _ in spans):  # users and endpoints alone complement nothing
             spans += [(m.start(), 4, m.end()) for m in _USER.finditer(lowered, lo, hi)]
             spans += [(m.start(), 5, m.end()) for m in _ENDPOINT.finditer(lowered, lo, hi)]
             blanks = [m.start() for m in _BLANK.finditer(raw, lo, hi)]
