@@ -9,6 +9,7 @@ seven positions are hashed at first:
 
 1. Documents are dealt to chunks of bounded text by a hash of doc_id. Each chunk sends the distinct anchor hashes of
    its documents, packed by hash bucket, with a mark on those that two of its documents share.
+   The number of buckets follows the bytes as that of the chunks does, so both hold a bounded share at any size.
 2. A bucket returns to each chunk the anchors that two documents share anywhere.
 3. Each chunk extends: the 13-word windows around a shared anchor are hashed, and (hash, least and greatest doc_id in
    the chunk) go to their bucket.
@@ -35,6 +36,8 @@ WINDOW = 13
 PERIOD, COVER = 7, (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 CHUNK_BYTES = 8 << 20
+# Text whose hashes one bucket holds: 0.6 x as much for anchors of words of 6 bytes, up to 4 x where every window repeats.
+BUCKET_BYTES = 32 << 20
 _LAST = np.iinfo(np.int64).max
 
 
@@ -213,10 +216,11 @@ def _chunk_kept(key, table, back):
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept_text)`` per row of ``docs(doc_id, text)``; kept words joined by one space."""
     spark = prepare(docs.sparkSession)
-    buckets = shuffle_partitions(spark)
+    n_part = shuffle_partitions(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_chunks = max(2 * buckets, -(-int(size) // CHUNK_BYTES))
+    n_chunks = max(2 * n_part, -(-int(size) // CHUNK_BYTES))
+    buckets = max(n_part, -(-int(size) // BUCKET_BYTES))
     spread = F.xxhash64(F.coalesce(F.col("doc_id"), F.xxhash64("text")))
     dealt = docs.select(F.pmod(spread, F.lit(n_chunks)).alias("chunk"), "doc_id", "text")
 
