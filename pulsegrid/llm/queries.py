@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import ann, embed_dedup, html, minhash, mixing, packing, secret_scan, substring, toxicity, warc
+from pulsegrid.llm import (
+    alignment,
+    ann,
+    embed_dedup,
+    html,
+    minhash,
+    mixing,
+    packing,
+    secret_scan,
+    substring,
+    token_counts,
+    toxicity,
+    warc,
+)
 from pulsegrid.llm.common import prepare, read_table
 
 
@@ -55,6 +68,14 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -66,6 +87,8 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLES: dict[str, str] = {
