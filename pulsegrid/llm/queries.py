@@ -13,6 +13,7 @@ from pulsegrid.llm import (
     minhash,
     mixing,
     packing,
+    phrases,
     secret_scan,
     substring,
     token_counts,
@@ -72,6 +73,10 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(_table(spark, sf_dir, "documents"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
@@ -88,9 +93,11 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_nearest_neighbours": op10_nearest_neighbours,
     "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_phrase_collocations": op12_phrase_collocations,
     "op13_token_counts": op13_token_counts,
 }
 
 ORACLES: dict[str, str] = {
     "op9_mixing": mixing.TAKEN_SQL,
+    "op12_phrase_collocations": phrases.COLLOCATIONS_SQL,
 }
