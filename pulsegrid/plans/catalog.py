@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid import constants as K
 from pulsegrid.functions.ids import event_id_of
-from pulsegrid.operators import alerts, detect, events, ingest, metrics, reconcile, store
+from pulsegrid.operators import admission, alerts, detect, events, ingest, metrics, reconcile, store
 from pulsegrid.sources import fixtures, readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -309,6 +309,19 @@ def admission_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.sum("accepted_measurements").cast("bigint").alias("accepted_measurements")))
 
 
+@query
+def rate_limit_by_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token bucket in whole milliseconds, composed over hours."""
+    out = admission.rate_limit_ms(fixtures.rate_requests(spark, sf_dir))
+    return out.withColumn("tokens", F.round("tokens", 6))
+
+
+@query
+def admission_by_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Admission in whole milliseconds, hours folded side by side."""
+    return admission.admit_ms(_checked_docs(spark, sf_dir).withColumnRenamed("n", "sent"))
+
+
 # --- accepted log, reconciliation, run summary ---------------------------------------------------------
 
 @query

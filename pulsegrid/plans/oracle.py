@@ -402,6 +402,54 @@ SELECT status, outcome, CAST(count(*) AS BIGINT) AS requests,
        CAST(sum(accepted_measurements) AS BIGINT) AS accepted_measurements
 FROM adm_out GROUP BY status, outcome"""
 
+# the bucket in whole milliseconds of refill: a token is 5000, full is 10000
+RATE_MS = """
+rreq AS (SELECT device_id, seq, (seq - 1) * 2000 AS arrival_ms FROM v),
+rb AS (
+  SELECT device_id, CAST(0 AS BIGINT) AS seq, CAST(NULL AS BIGINT) AS arrival_ms, CAST(NULL AS BOOLEAN) AS allowed,
+         CAST(10000 AS BIGINT) AS level, CAST(NULL AS BIGINT) AS refilled, CAST(NULL AS BIGINT) AS retry_ms
+  FROM (SELECT DISTINCT device_id FROM rreq) s
+  UNION ALL
+  SELECT device_id, seq, arrival_ms, lv >= 5000, CASE WHEN lv >= 5000 THEN lv - 5000 ELSE lv END, arrival_ms, greatest(5000 - lv, 0)
+  FROM (
+    SELECT r.device_id, r.seq, r.arrival_ms, least(10000, b.level + coalesce(r.arrival_ms - b.refilled, 0)) AS lv
+    FROM rb b JOIN rreq r ON r.device_id = b.device_id AND r.seq = b.seq + 1
+  ) step
+)"""
+
+ADM_MS = """
+adm_req AS (
+  SELECT device_id, batch_id, request_id, arrival_ms,
+         row_number() OVER (PARTITION BY device_id ORDER BY arrival_ms, request_id) AS rn
+  FROM good
+),
+adm AS (
+  SELECT device_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS VARCHAR) AS request_id, CAST(NULL AS INTEGER) AS status,
+         CAST(NULL AS BIGINT) AS retry_ms, CAST(10000 AS BIGINT) AS level, CAST(NULL AS BIGINT) AS refilled,
+         CAST([] AS STRUCT(id VARCHAR, t0 BIGINT)[]) AS reserved
+  FROM (SELECT DISTINCT device_id FROM adm_req) s
+  UNION ALL
+  SELECT device_id, rn, request_id, CASE WHEN dup THEN 200 WHEN lv >= 5000 THEN 202 ELSE 429 END,
+         CASE WHEN NOT dup AND lv < 5000 THEN 5000 - lv END,
+         CASE WHEN dup THEN level WHEN lv >= 5000 THEN lv - 5000 ELSE lv END,
+         CASE WHEN dup THEN refilled ELSE arrival_ms END,
+         CASE WHEN NOT dup AND lv >= 5000
+              THEN list_append(list_filter(reserved, lambda x: x.id <> batch_id), {'id': batch_id, 't0': arrival_ms})
+              ELSE reserved END
+  FROM (
+    SELECT r.device_id, r.rn, r.request_id, r.batch_id, r.arrival_ms, a.level, a.refilled, a.reserved,
+           len(list_filter(a.reserved, lambda x: x.id = r.batch_id AND r.arrival_ms - x.t0 < 86400000)) > 0 AS dup,
+           least(10000, a.level + coalesce(r.arrival_ms - a.refilled, 0)) AS lv
+    FROM adm a JOIN adm_req r ON r.device_id = a.device_id AND r.rn = a.rn + 1
+  ) step
+)""" + ADM[ADM.index(",\noutcomes AS"):]
+
+ORACLES["rate_limit_by_maps"] = with_recursive(V, RATE_MS) + """
+SELECT device_id, seq, arrival_ms, allowed, round(level / 5000, 6) AS tokens, retry_ms AS retry_after_ms,
+       CASE WHEN NOT allowed THEN CAST(greatest(ceil(retry_ms / 1000), 1) AS BIGINT) END AS retry_after_s
+FROM rb WHERE seq > 0"""
+ORACLES["admission_by_slices"] = with_recursive(V, BDOCS, BREQ, GOOD, ADM_MS) + "SELECT * FROM adm_out"
+
 # --- reconciliation / summary ----------------------------------------------------------------------
 
 ACC_LOG = """

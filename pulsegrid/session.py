@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every operator relies on.
 RUNTIME_CONF = {
@@ -57,15 +58,23 @@ def build_session(master: str | None = None, app: str = "pulsegrid", shuffle_par
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the launcher (a folder every executor can reach). Only when it is
-    unset (local tests) a scratch folder is created and registered.
+    On a cluster the launcher must set it (a folder that every executor can reach); without it this raises. Only a
+    local master, as in tests, gets a scratch folder of its own, which is then registered.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    path = sc.getConf().get("spark.checkpoint.dir", None)
+    path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="pulsegrid-ckpt-", dir=os.environ.get("PULSEGRID_SCRATCH", "/tmp"))
-    sc.setCheckpointDir(path)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, its lineage cut, safe from lost executors."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pulsegrid/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
