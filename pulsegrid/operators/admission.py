@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid import constants as K
 from pulsegrid.functions.bucket import slice_entries
-from pulsegrid.operators.ingest import retry_after_seconds
+from pulsegrid.operators.ingest import outcome_of, retry_after_seconds
 from pulsegrid.session import written
 
 FOLD_SLICE_MS = 3_600_000
@@ -221,9 +221,4 @@ def admit_ms(requests: DataFrame, interval_ms: int = K.RATE_INTERVAL_MS, capacit
                             F.when(F.col("status") == 429, retry_after_seconds(F.col("retry_after_ms"))).alias("retry_after_s"),
                             F.when(F.col("status") == 202, F.col("n")).otherwise(F.lit(0)).cast("bigint").alias("accepted_measurements"),
                             *carry)
-    out = decided.unionByName(bad)
-    outcome = (F.when(F.col("status") == 202, F.lit("accepted"))
-               .when(F.col("status") == 200, F.lit("duplicate_ignored"))
-               .when(F.col("status") == 429, F.lit("rate_limit_exceeded"))
-               .otherwise(F.lit("invalid_batch")))
-    return out.withColumn("outcome", outcome)
+    return decided.unionByName(bad).withColumn("outcome", outcome_of(F.col("status")))

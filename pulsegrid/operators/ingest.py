@@ -194,6 +194,14 @@ def _bucket_fold(interval_ms: int, capacity: int):
     return run
 
 
+def outcome_of(status: Column) -> Column:
+    """The word for a status."""
+    return (F.when(status == 202, F.lit("accepted"))
+            .when(status == 200, F.lit("duplicate_ignored"))
+            .when(status == 429, F.lit("rate_limit_exceeded"))
+            .otherwise(F.lit("invalid_batch")))
+
+
 def retry_after_seconds(ms: Column) -> Column:
     """RTL2: whole seconds rounded up, at least 1."""
     return F.greatest(F.ceil(ms / F.lit(1000)), F.lit(1)).cast("bigint")
@@ -290,9 +298,4 @@ def admit(requests: DataFrame, interval_ms: int = K.RATE_INTERVAL_MS, capacity:
                        F.when(F.col("limited"), retry_after_seconds(F.col("retry_after_ms"))).alias("retry_after_s"),
                        F.when(F.col("status") == 202, F.col("n")).otherwise(F.lit(0)).cast("bigint")
                        .alias("accepted_measurements"), *carry))
-    out = decided.unionByName(bad)
-    outcome = (F.when(F.col("status") == 202, F.lit("accepted"))
-               .when(F.col("status") == 200, F.lit("duplicate_ignored"))
-               .when(F.col("status") == 429, F.lit("rate_limit_exceeded"))
-               .otherwise(F.lit("invalid_batch")))
-    return out.withColumn("outcome", outcome)
+    return decided.unionByName(bad).withColumn("outcome", outcome_of(F.col("status")))
