@@ -1,8 +1,11 @@
 """Alignment of two tokenizers' tokens over a corpus, by inverted pair bitmaps.
 
 Every text is encoded by both tokenizers; byte offsets where tokens of both end cut it into groups, and each token of
-the one is linked with each of the other in its group. A task numbers its documents in blocks; a block holds at most
-65,536 documents and closes when it has some millions of links. For every linked id pair a block holds a compressed
+the one is linked with each of the other in its group. No token of either crosses from a visible character into a
+space, so every word is aligned once and looked up from then on (see ``Vocabulary``).
+
+A task numbers its documents in blocks; a block holds at most 65,536 documents and closes when it has some millions
+of links. For every linked id pair a block holds a compressed
 bitmap of its documents (sorted 16-bit numbers, or plain bits from 4,096 documents on) and planes of the links'
 multiplicity, one bit of (links - 1) for every document that is set, so that pairs linked once need none. The sorted
 postings of a block's slices are OR-merged into its bitmaps as it closes; blocks hold different documents, so the
@@ -22,6 +25,8 @@ columns are ignored. No documents give no rows.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +42,8 @@ BLOCK_DOCS = 1 << 16
 BLOCK_ENTRIES = 2_000_000
 LINKS_AT_ONCE = 4_000_000
 HELD_SCORES = 2_000_000
+# Words that a Python worker knows, and their letters; a full table starts anew (it saves time only).
+HELD_WORDS, HELD_CHARS = 400_000, 8_000_000
 # From here on plain bits are smaller than 16-bit numbers.
 DENSE = 4096
 ROWS_A_BATCH = 50_000
@@ -89,8 +96,8 @@ class Aligned:
         before = np.concatenate([[0], np.cumsum(self.size_a * self.size_b)])
         return np.diff(before[np.concatenate([[0], np.cumsum(self.n_groups())])])
 
-    def digests(self, pair: TokenPair) -> list[str]:
-        """Lowercase hex of each text's groups, ``a1,a2|b1;a3|b2,b3``; '' without tokens."""
+    def shown(self, pair: TokenPair) -> list[bytes]:
+        """Each text's groups, ``a1,a2|b1;a3|b2,b3``; empty without tokens."""
         code = np.zeros(len(self.a) + len(self.b), np.int64)
         # every token's text with its separator: a comma inside its side of the group, '|' or ';' at the end
         at_a = np.arange(len(self.a)) + np.repeat(np.cumsum(self.size_b) - self.size_b, self.size_a)
@@ -100,7 +107,7 @@ class Aligned:
         code[at_b[self.last_b]] += 1
         shown = list(map(pair.shown.__getitem__, code.tolist()))
         bounds = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)]).tolist()
-        return [hashlib.sha256(b"".join(shown[x:y])[:-1]).hexdigest() if y > x else "" for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+        return [b"".join(shown[x:y])[:-1] for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
 
     def postings(self, pair: TokenPair, first_doc: int) -> tuple[np.ndarray, np.ndarray]:
         """Sorted keys (pair, document number) and how many links each has."""
@@ -132,6 +139,74 @@ class Aligned:
                  np.outer(many_a[k:k + step], many_b).ravel()) for k in range(0, len(a), step)]
 
 
+class Vocabulary:
+    """Words that a Python worker has met, each aligned once.
+
+    A text is cut before every space that follows a visible character and does not end the text: there tokens of both
+    tokenizers end. So a text's groups are those of its words, one after the other, and its links are sums over its
+    words. Where a tokenizer's file gives no such promise, the whole text is one word.
+    """
+
+    # the letters that some Unicode version calls white space do not count as visible
+    _cut = re.compile("(?<=[^\\s\u180e\u200b\ufeff]) (?!\\Z)")
+    LEARN = 50_000  # words aligned together (numbered in 16 bits)
+
+    def __init__(self, pair: TokenPair):
+        self.pair = pair
+        self.cuts = pair.a.lib.cuts and pair.b.lib.cuts
+        self._forget()
+
+    def _forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.chars = 0
+        self.shown: list[bytes] = []
+        self.sums = np.zeros((4, 0), np.int64)  # n_a, n_b, n_groups, n_links of each word
+        self.first = np.zeros(1, np.int64)  # where each word's pairs begin
+        self.pairs, self.links = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        found = Aligned(self.pair, words)
+        keys, many = found.postings(self.pair, 0)
+        word = keys & 0xFFFF
+        order = np.argsort(word, kind="stable")
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.bincount(word, minlength=len(words)))])
+        self.pairs, self.links = np.concatenate([self.pairs, keys[order] >> 16]), np.concatenate([self.links, many[order]])
+        self.sums = np.hstack([self.sums, [found.n_a, found.n_b, found.n_groups(), found.n_links()]])
+        self.shown += found.shown(self.pair)
+        self.index.update(zip(words, range(len(self.index), len(self.index) + len(words)), strict=True))
+
+    def look_up(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(text, word) of every word of the texts that count, in order."""
+        cut = [(self._cut.split(t) if self.cuts else [t]) if t else [] for t in found]
+        flat = list(itertools.chain.from_iterable(cut))
+        new = [w for w in dict.fromkeys(flat) if w not in self.index]
+        if new and (len(self.index) + len(new) > HELD_WORDS or self.chars > HELD_CHARS):
+            self._forget()
+            new = list(dict.fromkeys(flat))
+        for k in range(0, len(new), self.LEARN):
+            self._learn(new[k:k + self.LEARN])
+        self.chars += sum(map(len, new))
+        word = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
+        text = np.repeat(np.arange(len(found)), list(map(len, cut)))
+        # a word that one tokenizer does not give back takes its text out
+        bad = np.bincount(text, weights=self.sums[0][word] == 0, minlength=len(found)) > 0
+        return text[~bad[text]], word[~bad[text]]
+
+    def postings(self, text: np.ndarray, word: np.ndarray, first_doc: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys (pair, document number) and how many links each has."""
+        both, times = _summed(word << 32 | text)
+        word, text = both >> 32, both & 0xFFFFFFFF
+        n = self.first[word + 1] - self.first[word]
+        parts, start, before = [], 0, np.concatenate([[0], np.cumsum(n)])
+        while start < len(n):
+            end = max(start + 1, int(np.searchsorted(before, before[start] + LINKS_AT_ONCE, side="right")) - 1)
+            some = n[start:end]
+            at = np.repeat(self.first[word[start:end]] - (np.cumsum(some) - some), some) + np.arange(int(some.sum()))
+            parts.append(_merged([(self.pairs[at] << 16 | np.repeat(text[start:end], some) + first_doc, self.links[at] * np.repeat(times[start:end], some))], False))
+            start = end
+        return _merged(parts)
+
+
 class Side:
     def __init__(self, path: str):
         self.lib = encoding.tokenizer(path, True)
@@ -142,7 +217,7 @@ class Side:
 class TokenPair:
     """Both tokenizers, their token bytes, and the texts of their ids."""
 
-    _held: dict[tuple[str, str], TokenPair] = {}
+    _held: dict[tuple[str, str], Vocabulary] = {}
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = Side(path_a), Side(path_b)
@@ -154,9 +229,9 @@ class TokenPair:
         return a * self.n_b + b
 
     @classmethod
-    def of(cls, paths: tuple[str, str]) -> TokenPair:
+    def vocabulary(cls, paths: tuple[str, str]) -> Vocabulary:
         if paths not in cls._held:
-            cls._held[paths] = cls(*paths)
+            cls._held[paths] = Vocabulary(cls(*paths))
         return cls._held[paths]
 
 
@@ -166,14 +241,14 @@ def _summed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[at], np.diff(at, append=len(keys))
 
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted runs of (key, links) merged into one; links of equal keys add up."""
-    if not parts:
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]], in_order: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of (key, links), each in order or not, merged into one; links of equal keys add up."""
+    if not parts or not sum(len(p[0]) for p in parts):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if len(parts) == 1:
+    if len(parts) == 1 and in_order:
         return parts[0]
     keys, many = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(keys, kind="stable")  # runs are sorted: a merge
+    order = np.argsort(keys, kind="stable" if in_order else None)  # runs in order: a merge
     keys, many = keys[order], many[order]
     at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[at], np.add.reduceat(many, at)
@@ -284,21 +359,24 @@ def _blocks(paths: tuple[str, str]):
                                "n": pa.array(n[part]), "bits": bits.slice(k, rows), "planes": planes.slice(k, rows)})
 
     def run(batches):
-        pair = TokenPair.of(paths)
+        known = TokenPair.vocabulary(paths)
         block, docs, entries, runs = TaskContext.get().partitionId() << 20, 0, 0, []
         for given in batches:
             for rows in slices(given, "text"):
-                if docs + rows.num_rows > BLOCK_DOCS or entries > BLOCK_ENTRIES:
-                    yield from closed(pair, block, runs)
-                    block, docs, entries, runs = block + 1, 0, 0, []
-                found = Aligned(pair, texts(rows.column("text")).to_pylist())
                 n = rows.num_rows
+                if docs + n > BLOCK_DOCS or entries > BLOCK_ENTRIES:
+                    yield from closed(known.pair, block, runs)
+                    block, docs, entries, runs = block + 1, 0, 0, []
+                text, word = known.look_up(texts(rows.column("text")).to_pylist())
+                bounds = np.searchsorted(text, np.arange(n + 1)).tolist()
+                shown = list(map(known.shown.__getitem__, word.tolist()))
+                digests = [hashlib.sha256(b";".join(shown[x:y])).hexdigest() if y > x else "" for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+                sums = [pa.array(np.bincount(text, weights=x[word], minlength=n).astype(np.int64)) for x in known.sums]
                 yield batch(n, {"block": pa.array(np.full(n, block)), "number": pa.array(np.arange(docs, docs + n)), "doc_id": rows.column("doc_id"),
-                                "n_a": pa.array(found.n_a), "n_b": pa.array(found.n_b), "n_groups": pa.array(found.n_groups()),
-                                "n_links": pa.array(found.n_links()), "groups_sha256": pa.array(found.digests(pair))})
-                runs.append(found.postings(pair, docs))
+                                **dict(zip(("n_a", "n_b", "n_groups", "n_links"), sums, strict=True)), "groups_sha256": pa.array(digests)})
+                runs.append(known.postings(text, word, docs))
                 docs, entries = docs + n, entries + len(runs[-1][0])
-        yield from closed(pair, block, runs)
+        yield from closed(known.pair, block, runs)
 
     return run
 
@@ -370,7 +448,8 @@ def align(docs: DataFrame, tokenizers: tuple[str, str] | None = None) -> tuple[D
 def align_documents(docs: DataFrame, tokenizers: tuple[str, str] | None = None) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     blocks, counts = align(docs, tokenizers)
-    postings = blocks.where("a is not null").select("a", "b", "block", "bits", "planes").join(counts, ["a", "b"])
+    # a merge join at any size: what it moves then follows the corpus from small tables on
+    postings = blocks.where("a is not null").select("a", "b", "block", "bits", "planes").join(counts.hint("merge"), ["a", "b"])
     scores = postings.select("block", "bits", "planes", "pair_count", "is_best").mapInArrow(_return_scores, _SCORES)
     rows = blocks.where("a is null").select(*(name for name, _ in _DOC))
     ddl = ", ".join(f"{name} {'string' if kind == pa.string() else 'long'}" for name, kind in _RESULT)

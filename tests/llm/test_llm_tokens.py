@@ -58,13 +58,13 @@ def aligned(texts):
             links.append(Counter())
             continue
         ends = [np.cumsum([len(x) for x in side]).tolist() for side in (ab, bb)]
-        groups, ia, ib = [], 0, 0
+        groups, ids, ia, ib = [], a.ids, 0, 0
         for end in sorted(set(ends[0]) & set(ends[1])):
             ja, jb = ends[0].index(end, ia) + 1, ends[1].index(end, ib) + 1
-            groups.append((a.ids[ia:ja], b[ib:jb]))
+            groups.append((ids[ia:ja], b[ib:jb]))
             ia, ib = ja, jb
         shown = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
-        found.append((len(a.ids), len(b), len(groups), hashlib.sha256(shown.encode()).hexdigest()))
+        found.append((len(ids), len(b), len(groups), hashlib.sha256(shown.encode()).hexdigest()))
         links.append(Counter((x, y) for ga, gb in groups for x in ga for y in gb))
     count = Counter(p for c in links for p in c)
     best = defaultdict(int)
@@ -97,17 +97,27 @@ def test_alignment_edges(spark):
     assert alignment_of(spark, texts, clash=True) == aligned(texts)
 
 
-def test_alignment_small_blocks(spark, monkeypatch):
-    """Many blocks, dense bitmaps, large groups and early hand-overs give the same."""
-    texts = [f"word {i % 7} and {'a' * (i % 30)}  {'no' * (i % 5)}" for i in range(300)]
-    want = alignment_of(spark, texts)
-    assert want == aligned(texts)
-    monkeypatch.setattr(alignment, "LINKS_AT_ONCE", 3)
-    pair = alignment.TokenPair.of((A, B))
-    few = alignment.Aligned(pair, texts).postings(pair, 0)
-    monkeypatch.undo()
-    keys, many = alignment.Aligned(pair, texts).postings(pair, 0)
-    assert (few[0] == keys).all() and (few[1] == many).all()
+def test_alignment_words_and_large_groups(spark, monkeypatch):
+    """Links by words equal links by whole texts; few links at once, forgotten words and small blocks change nothing."""
+    texts = [f"word {i % 7} and {'a' * (i % 30)}  {'no' * (i % 5)} \n x " for i in range(300)] + ["", *odd_texts(60, 50, 3)]
+    pair = alignment.TokenPair(A, B)
+
+    def by_words():
+        known = alignment.Vocabulary(pair)
+        parts = []
+        for k in range(0, len(texts), 50):
+            parts.append(known.postings(*known.look_up(texts[k:k + 50]), k))
+        return alignment._merged(parts)
+
+    want = alignment.Aligned(pair, texts).postings(pair, 0)
+    for name, value in (("LINKS_AT_ONCE", 3), ("HELD_WORDS", 10)):
+        got = by_words()
+        assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+        monkeypatch.setattr(alignment, name, value)
+        few = alignment.Aligned(pair, texts).postings(pair, 0)
+        assert (few[0] == want[0]).all() and (few[1] == want[1]).all()
+    got = by_words()
+    assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
 
 
 def test_bitmaps_round_trip():
