@@ -87,6 +87,35 @@ def previous_row(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], sl
     return out.drop("_pr_in", "_pr_first", *[f"_pr_{c}" for c in carry])
 
 
+def chained(df: DataFrame, keys: Sequence[str], pos: str, value: str, slice_col: str) -> DataFrame:
+    """Counter samples of each key in order of ``pos`` (unique per key): ``prev_<pos>`` and ``next_<pos>``, ``seq`` (from
+    1) and ``total``, the running sum of increases over the sample before (the value itself where it went down; the
+    first sample counts as 0). One window per (key, slice), and one over the summary of a row per key and slice."""
+    local = Window.partitionBy(*keys, slice_col).orderBy(pos)
+    upto = local.rowsBetween(Window.unboundedPreceding, 0)
+    was = F.lag(value).over(local)
+
+    def grown(now: Column, before: Column) -> Column:
+        return F.when(before.isNull(), 0.0).when(now >= before, now - before).otherwise(now).cast("double")
+
+    d = (df.withColumn("_ch_prev", F.lag(pos).over(local)).withColumn("_ch_next", F.lead(pos).over(local))
+         .withColumn("_ch_n", F.row_number().over(local)).withColumn("_ch_inc", grown(F.col(value), was))
+         .withColumn("_ch_run", F.sum("_ch_inc").over(upto)))
+    end = F.struct(pos, value)
+    summary = d.groupBy(*keys, slice_col).agg(F.min_by(end, pos).alias("_ch_a"), F.max_by(end, pos).alias("_ch_z"),
+                                              F.count(F.lit(1)).alias("_ch_rows"), F.sum("_ch_inc").alias("_ch_sum"))
+    w = Window.partitionBy(*keys).orderBy(slice_col)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    summary = (summary.withColumn("_ch_before", F.lag("_ch_z").over(w)).withColumn("_ch_after", F.lead("_ch_a").over(w))
+               .withColumn("_ch_edge", grown(F.col(f"_ch_a.{value}"), F.col(f"_ch_before.{value}"))))
+    offsets = summary.select(*keys, slice_col, "_ch_before", "_ch_after",
+                             F.coalesce(F.sum("_ch_rows").over(before), F.lit(0)).alias("_ch_rows"),
+                             (F.coalesce(F.sum(F.col("_ch_sum") + F.col("_ch_edge")).over(before), F.lit(0.0)) + F.col("_ch_edge")).alias("_ch_off"))
+    return d.join(offsets, [*keys, slice_col]).select(
+        *df.columns, F.coalesce("_ch_prev", f"_ch_before.{pos}").alias(f"prev_{pos}"), F.coalesce("_ch_next", f"_ch_after.{pos}").alias(f"next_{pos}"),
+        (F.col("_ch_rows") + F.col("_ch_n")).cast("bigint").alias("seq"), (F.col("_ch_off") + F.col("_ch_run")).alias("total"))
+
+
 def segment_by_gap(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], slice_col: str, pos: str,
                    gap: int, out: str = "segment") -> DataFrame:
     """Adds ``out``: running count of segment starts per key. A row starts a segment when it is the key's

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid import constants as K
 from pulsegrid.functions.ids import event_id_of
-from pulsegrid.operators import admission, alerts, detect, events, ingest, metrics, reconcile, store
+from pulsegrid.operators import admission, alerts, detect, events, ingest, metrics, reconcile, scraped, store
 from pulsegrid.sources import fixtures, readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -401,6 +401,20 @@ def histogram_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.histogram_quantile(fixtures.metric_observations(spark, sf_dir))
 
 
+@query
+def lookback_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sum by (status) (rate(processing_kafka_messages_total[1m]))`` every 30 s."""
+    samples = fixtures.scraped_samples(spark, sf_dir).where(F.col("name") == "processing_kafka_messages_total")
+    return scraped.rate_by(samples, ["status"]).withColumn("rate", F.round("rate", 6))
+
+
+@query
+def bucket_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``histogram_quantile(0.95, sum by (le, operation) (rate(..._bucket[5m])))`` every minute."""
+    out = scraped.bucket_quantile(fixtures.scraped_samples(spark, sf_dir))
+    return out.withColumn("rate", F.round("rate", 6)).withColumn("quantile", F.round("quantile", 6))
+
+
 @query
 def service_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.service_up(fixtures.up_samples(spark, sf_dir))

@@ -681,3 +681,72 @@ UNION ALL SELECT 'processing_dlq_messages_total', 'reason=' || dlq_reason, count
           GROUP BY dlq_reason
 UNION ALL SELECT 'processing_errors_total', 'stage=validate', count(*) FROM routed WHERE dlq_reason = 'validation'
 UNION ALL SELECT 'processing_alerts_created_total', 'type=HIGH_HEART_RATE', count(*) FROM gd HAVING count(*) > 0"""
+
+# --- scraped samples: every look-back window joined to its samples ------------------------------------
+
+SCRAPED = f"""
+scr AS (
+  SELECT *, row_number() OVER (PARTITION BY series ORDER BY event_id) AS n
+  FROM (SELECT event_id, user_id, epoch_us(TIMESTAMP '2026-07-07 12:00:00' + to_seconds(event_id * 2)) AS us,
+               CASE WHEN event_id % 3 > 0 THEN 'c/' || (user_id % 2) || '/' || (user_id % 3)
+                    ELSE 'h/' || (user_id // 2 % 2) || '/' || (user_id % 2) END AS series
+        FROM events WHERE event_id % 3 = 0 OR user_id % 2 = 0 OR event_id // 400 % 5 <> 4) e
+),
+samples AS (
+  SELECT series AS sid, 'processing_kafka_messages_total' AS name, (['processed', 'dlq', 'error'])[user_id % 3 + 1] AS grp, CAST(NULL AS DOUBLE) AS le, us,
+         CAST(((n - 1) % 50 + 1) * (user_id % 3 + 2) AS DOUBLE) AS value
+  FROM scr WHERE event_id % 3 > 0
+  UNION ALL
+  SELECT series || '/' || j, 'processing_redis_duration_seconds_bucket', (['sliding_window_add', 'alert_dedup_reserve'])[user_id % 2 + 1],
+         CASE WHEN j = 12 THEN 'infinity'::DOUBLE ELSE (CAST({K.HISTOGRAM_BOUNDS} AS DOUBLE[]))[j + 1] END, us,
+         CAST(((n - 1) % 40 + 1) * CASE WHEN user_id % 2 = 0 THEN 2 * (j + 1) ELSE (j + 1) * (j + 1) END AS DOUBLE)
+  FROM scr, (SELECT CAST(unnest(range(13)) AS BIGINT) AS j) b WHERE event_id % 3 = 0 AND (j = 12 OR (n + j) % 11 <> 0)
+),
+tot AS (
+  SELECT *, sum(inc) OVER (PARTITION BY sid ORDER BY us) AS total
+  FROM (SELECT *, coalesce(CASE WHEN value >= lag(value) OVER o THEN value - lag(value) OVER o WHEN lag(value) OVER o IS NULL THEN 0 ELSE value END, 0) AS inc
+        FROM samples WINDOW o AS (PARTITION BY sid ORDER BY us)) x
+)"""
+
+
+def _rates(lookback: int, step: int) -> str:
+    w, s = lookback * 1_000_000, step * 1_000_000
+    return f"""
+grid AS (SELECT sid, unnest(generate_series(min(us) // {s} * {s}, max(us) + {w}, {s})) AS tick FROM tot GROUP BY sid),
+win AS (
+  SELECT t.sid, t.name, t.grp, t.le, g.tick, count(*) - 1 AS steps, min(us) AS us1, max(us) AS us2, arg_min(value, us) AS v1,
+         arg_max(total, us) - arg_min(total, us) AS inc
+  FROM grid g JOIN tot t ON t.sid = g.sid AND t.us > g.tick - {w} AND t.us <= g.tick
+  GROUP BY t.sid, t.name, t.grp, t.le, g.tick HAVING count(*) >= 2
+),
+ext AS (
+  SELECT *, (us2 - us1) / 1e6 AS sampled, (us2 - us1) / 1e6 / steps AS avg_step, (tick - us2) / 1e6 AS to_end,
+         CASE WHEN inc > 0 THEN least((us1 - tick + {w}) / 1e6, (us2 - us1) / 1e6 * (v1 / inc)) ELSE (us1 - tick + {w}) / 1e6 END AS to_start
+  FROM win
+),
+rates AS (
+  SELECT *, inc * ((sampled + CASE WHEN to_start < avg_step * 1.1 THEN to_start ELSE avg_step / 2 END
+                            + CASE WHEN to_end < avg_step * 1.1 THEN to_end ELSE avg_step / 2 END) / sampled) / {float(lookback)} AS rate
+  FROM ext
+)"""
+
+
+ORACLES["lookback_rate"] = with_(SCRAPED, _rates(60, 30)) + """
+SELECT name, grp AS status, make_timestamp(tick) AS eval_ts, round(sum(rate), 6) AS rate, CAST(count(*) AS BIGINT) AS series
+FROM rates WHERE le IS NULL GROUP BY name, grp, tick"""
+ORACLES["bucket_quantile"] = with_(SCRAPED, _rates(300, 60)) + """
+, per AS (SELECT name, grp, tick, le, sum(rate) AS r FROM rates WHERE le IS NOT NULL GROUP BY name, grp, tick, le),
+mono AS (
+  SELECT *, max(r) OVER (PARTITION BY name, grp, tick ORDER BY le) AS cum, max(r) OVER (PARTITION BY name, grp, tick) AS total,
+         max(le) OVER (PARTITION BY name, grp, tick) AS top, count(*) OVER (PARTITION BY name, grp, tick) AS n
+  FROM per
+),
+low AS (
+  SELECT *, coalesce(lag(cum) OVER (PARTITION BY name, grp, tick ORDER BY le), 0) AS below, coalesce(lag(le) OVER (PARTITION BY name, grp, tick ORDER BY le), 0) AS lo
+  FROM mono
+)
+SELECT name, grp AS operation, make_timestamp(tick) AS eval_ts, round(max(total), 6) AS rate,
+       round(CASE WHEN max(n) >= 2 AND isinf(max(top)) AND max(total) > 0
+                  THEN coalesce(arg_min(lo + (le - lo) * ((0.95 * total - below) / (cum - below)), le) FILTER (WHERE cum >= 0.95 * total AND NOT isinf(le)),
+                                max(le) FILTER (WHERE NOT isinf(le))) END, 6) AS quantile
+FROM low GROUP BY name, grp, tick"""

@@ -220,6 +220,41 @@ def metric_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
                      value.alias("value"), F.to_date("ts").alias("day"))
 
 
+@_memo
+def scraped_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scraped samples ``(ts, job, name, labels, value)``, event i scraped 2 i seconds after the start.
+
+    ``event_id % 3 > 0``: one sample of processing_kafka_messages_total {instance = user_id % 2, status by user_id % 3};
+    the n-th sample of a series is ``((n - 1) % 50 + 1) * (2 + user_id % 3)`` (a restart every 50), and instance 1 is not
+    scraped while ``event_id / 400 % 5 = 4``. The others: the 13 buckets of processing_redis_duration_seconds {instance
+    = user_id / 2 % 2, operation by user_id % 2}; with m = ``(n - 1) % 40 + 1`` bucket j holds ``2 m (j + 1)`` for the
+    first operation and ``m (j + 1)^2`` for the second, and lines with ``(n + j) % 11 = 0`` are missing but for +Inf.
+    """
+    uid, eid = F.col("user_id"), F.col("seq")
+    ev = _ev(spark, sf_dir).select("seq", "user_id", F.floor(eid / 1800).alias("_slice"),
+                                   F.timestamp_seconds(F.lit(GRID_BASE_EPOCH) + eid * 2).alias("ts"),
+                                   F.when(eid % 3 > 0, F.concat_ws("/", F.lit("c"), (uid % 2).cast("string"), (uid % 3).cast("string")))
+                                   .otherwise(F.concat_ws("/", F.lit("h"), (F.floor(uid / 2) % 2).cast("string"), (uid % 2).cast("string"))).alias("_series"))
+    ev = ev.where((eid % 3 == 0) | (uid % 2 == 0) | (F.floor(eid / 400) % 5 != 4))
+    ev = position_in_group(ev, ["_series"], ["seq"], "_slice", "n")
+    instance = F.concat(F.lit("p"), F.split("_series", "/")[1])
+    counter = F.struct(F.lit("processing_kafka_messages_total").alias("name"),
+                       F.create_map(F.lit("instance"), instance, F.lit("status"), _pick(["processed", "dlq", "error"], uid % 3)).alias("labels"),
+                       (((F.col("n") - 1) % 50 + 1) * (uid % 3 + 2)).cast("double").alias("value"))
+    m = (F.col("n") - 1) % 40 + 1
+
+    def bucket(j: int, le: str) -> Column:
+        row = F.struct(F.lit("processing_redis_duration_seconds_bucket").alias("name"),
+                       F.create_map(F.lit("instance"), instance, F.lit("le"), F.lit(le),
+                                    F.lit("operation"), _pick(["sliding_window_add", "alert_dedup_reserve"], uid % 2)).alias("labels"),
+                       F.when(uid % 2 == 0, m * 2 * (j + 1)).otherwise(m * (j + 1) * (j + 1)).cast("double").alias("value"))
+        return row if le == "+Inf" else F.when((F.col("n") + j) % 11 != 0, row)
+
+    les = [*(f"{b:g}" for b in K.HISTOGRAM_BOUNDS), "+Inf"]
+    rows = F.when(eid % 3 > 0, F.array(counter)).otherwise(F.filter(F.array(*(bucket(j, le) for j, le in enumerate(les))), lambda r: r.isNotNull()))
+    return ev.select("ts", F.lit("processing").alias("job"), F.inline(rows))
+
+
 @_memo
 def up_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``up`` samples per job: view/click events are ingestion scrapes, the rest processing; error means down."""
