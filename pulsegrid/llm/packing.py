@@ -19,6 +19,7 @@ documents give no pieces.
 from __future__ import annotations
 
 import array
+import sys
 import unicodedata
 import zlib
 from functools import cached_property, lru_cache
@@ -47,6 +48,15 @@ def default_tokenizer() -> str:
 # ---- tokens --------------------------------------------------------------------------------------------------
 
 
+@lru_cache(maxsize=1)
+def _unassigned() -> str:
+    """Ranges of the code points that have no category yet, for a character class: splitters differ on them."""
+    none = np.flatnonzero([unicodedata.category(chr(c)) == "Cn" for c in range(sys.maxunicode + 1)])
+    starts = none[np.diff(none, prepend=-2) > 1]
+    ends = none[np.diff(none, append=sys.maxunicode + 3) > 1]
+    return "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b in zip(starts.tolist(), ends.tolist(), strict=True))
+
+
 class WordTokenizer:
     """Ids of texts, equal to the library's on each whole text.
 
@@ -70,8 +80,9 @@ class WordTokenizer:
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         # fixed value: the tokenizer file's own split pattern (and the line feed, which joins words here)
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n")
-        # what depends on more than single letters, or on what counts as a space, is left to the library
-        self.special = regex.compile(r"[Σİ]|<\||[\x00-\x09\x0B-\x1F\x7F-\xA0\p{Z}\uFEFF]")
+        # what depends on more than single letters, on what counts as a space, or on the Unicode version is left to the
+        # library
+        self.special = regex.compile(r"[Σİ]|<\||[\x00-\x09\x0B-\x1F\x7F-\xA0\p{Z}\uFEFF]|[" + _unassigned() + "]")
         self.parts: dict[str, bytes] = {}
         self._forget()
 
