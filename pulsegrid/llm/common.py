@@ -30,9 +30,11 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where that is unset (tests) a scratch folder of its own."""
+    """The folder of ``spark.checkpoint.dir``; where that is unset, a local master (tests) gets a scratch folder."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="pulsegrid-llm-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

@@ -49,3 +49,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
         raise RuntimeError(f"components not settled after {max_rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def shared_classes(held: DataFrame, key: str) -> DataFrame:
+    """Links ``(a, b)`` between the classes of one id: ``held(key, id)`` names the classes that rows of an id fell into;
+    each is linked with the least one. The least is a partial aggregate, so an id that very many rows share is no group."""
+    least = held.groupBy(key).agg(F.min("id").alias("_least"), F.max("id").alias("_most")).where("_least != _most")
+    return held.join(least, key).where("id != _least").select(F.col("id").alias("a"), F.col("_least").alias("b"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import grouped, materialise, prepare, shuffle_partitions
-from pulsegrid.llm.components import connected_components
+from pulsegrid.llm.components import connected_components, shared_classes
 
 PER_BUCKET = 50
 MIN_SIGNS, MAX_SIGNS = 6, 30
@@ -173,8 +173,9 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, recall: floa
     edges = links.where("id != root").select(F.col("id").alias("src"), F.col("root").alias("dst")).distinct()
     # rows that share a vec_id share a component
     same = usable.select("vec_id", "set_id").join(classes.select("set_id", "id"), "set_id").where("vec_id != id")
-    same = same.join(classes.select(F.col("id").alias("vec_id")), "vec_id", "left_semi")
-    edges = edges.union(same.select(F.col("id").alias("src"), F.col("vec_id").alias("dst")))
+    same = materialise(same.select("vec_id", "id").distinct(), "same")
+    own_class = same.join(classes.select(F.col("id").alias("vec_id")), "vec_id", "left_semi")
+    edges = edges.union(own_class.select(F.col("id").alias("src"), F.col("vec_id").alias("dst"))).union(shared_classes(same, "vec_id"))
     found = connected_components(edges)
     per_class = materialise(
         classes.select("set_id", "id", "copies").join(linked, "id", "left").join(found.withColumnRenamed("node", "id"), "id", "left")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import U64, Words, grams, grouped, materialise, mix, prepare, shuffle_partitions, signed, slices
-from pulsegrid.llm.components import connected_components
+from pulsegrid.llm.components import connected_components, shared_classes
 
 BANDS, ROWS = 25, 5
 HASHES = BANDS * ROWS
@@ -266,9 +266,10 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
                         .mapInArrow(_open_large(percent), "a long, b long"), "large")
     # rows that repeat a doc_id with another text are one document: their classes are linked
     same = nodes.select("doc_id", "set_id").join(classes.select("set_id", "id"), "set_id").where("doc_id != id")
+    same = materialise(same.select("doc_id", "id").distinct(), "same")
     repeated = same.select(F.col("id").alias("a"), F.col("doc_id").alias("b")).join(
         classes.select(F.col("id").alias("b")), "b", "left_semi")
-    every = links.union(_verified(more, sets, percent)).union(large).union(repeated.select("a", "b"))
+    every = links.union(_verified(more, sets, percent)).union(large).union(repeated.select("a", "b")).union(shared_classes(same, "doc_id"))
     final = materialise(connected_components(every.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "components")
 
     of_set = materialise(classes.select("set_id", "id").join(final.withColumnRenamed("node", "id"), "id", "left")

@@ -239,3 +239,24 @@ def test_warc_frames_and_damage(spark):
         assert [bytes(got["a", k]["payload"]) for k in (0, 1, 4)] == samples[:3]
         assert "digest" in got["a", 2]["error"] and "missing" in got["a", 3]["error"]
         assert "cut off" in got["b", 4]["error"] and "no frame" in got["d", 0]["error"] and not any(k[0] == "c" for k in got)
+
+
+def test_classes_that_only_a_repeated_id_joins(spark):
+    """Rows (3, A), (4, B), (7, A), (7, B): id 7 makes one group of all, though it names no class itself."""
+    a, b = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
+    df = spark.createDataFrame([(3, a), (4, b), (7, a), (7, b), (9, "else nothing like it at all")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in minhash.near_duplicates(df).select("doc_id", "component_id", "kept").collect()) == [
+        (3, 3, True), (4, 3, False), (7, 3, False), (7, 3, False), (9, 9, True)]
+    x, y = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    df = spark.createDataFrame([(3, x), (4, y), (7, x), (7, y), (9, [0.0, 0.0, 1.0])], "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in embed_dedup.near_duplicates(df).select("vec_id", "n_links", "component_id").collect()) == [
+        (3, 1, 3), (4, 1, 3), (7, 1, 3), (7, 1, 3), (9, 0, 9)]
+
+
+def test_unassigned_code_points_are_the_librarys():
+    import pyarrow as pa
+
+    texts = [f"a{chr(c)}b !{chr(c)}! x{chr(c)}" for c in (0x0558, 0x088F, 0x208F, 0x0378, 0xE0080, 0x10FFFF, 0x2FE0, 0xFDD0)]
+    t = packing.WordTokenizer(packing.default_tokenizer())
+    ids, at = t.encode(pa.array(texts))
+    assert [ids[p:q].tolist() for p, q in zip(at[:-1], at[1:], strict=True)] == [e.ids for e in t.lib.encode_batch(texts, add_special_tokens=False)]
