@@ -106,12 +106,15 @@ def retention_split(table: DataFrame, now: dt.datetime, days: int = K.RETENTION_
 def apply_retention(spark, path: str, now: dt.datetime, partition_col: str, days: int = K.RETENTION_DAYS) -> int:
     """RET1 on a parquet table partitioned by ``partition_col``: remove rows with ``created_at < now - days``.
 
-    Only partitions holding expired rows are touched. Their surviving rows are first written to a staging
+    For a table that nobody appends to meanwhile (``expire`` is for tables with a running writer). Only partitions
+    holding expired rows are touched. Their surviving rows are first written to a staging
     folder next to the table (shared storage), then put back with dynamic partition overwrite (each partition
     is replaced by Spark's commit, so a failure leaves the old or the new partition); partitions with no
     survivor are deleted. A re-run after a failure simply repeats the steps. Returns the rows removed.
     """
     cutoff = now.astimezone(dt.timezone.utc) - dt.timedelta(days=days)
+    if not _partitions(spark, path, partition_col):
+        return 0  # an empty table has no file to read a schema from
     table = spark.read.parquet(path)
     expired = F.col("created_at") < F.lit(cutoff)
     affected = [r[0] for r in table.filter(expired).select(partition_col).distinct().collect()]  # partition values
@@ -136,26 +139,79 @@ def apply_retention(spark, path: str, now: dt.datetime, partition_col: str, days
     return removed
 
 
+def _partitions(spark, path: str, partition_col: str) -> list[str]:
+    """Values of the partition folders of a table, by listing its folder."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{partition_col}="))
+
+
+def _drop_folder(spark, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _replace_day(survivors: DataFrame, path: str) -> None:
+    """Put ``survivors`` (of one created_date) in the place of that day's files; other days are not touched."""
+    survivors.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("created_date").parquet(path)
+
+
+def expire(spark, path: str, schema: str, now: dt.datetime, days: int = K.RETENTION_DAYS) -> int:
+    """RET1 beside a running writer: remove rows with ``created_at < now - days`` from a table partitioned by
+    ``created_date``, the UTC day on which a row was stored. Returns the rows removed.
+
+    A writer only ever adds to the present day, retention only ever changes days that lie ``days`` back, so neither
+    can lose what the other does. Days before the cutoff's are dropped as folders; of the cutoff's own day the rows
+    that stay are staged and put in its place. What is read and written are those days, however large the table. A
+    run that fails is simply repeated. An empty table, or one without days that old, gives 0.
+    """
+    cutoff = now.astimezone(dt.timezone.utc) - dt.timedelta(days=days)
+    edge = cutoff.date()
+    old = [d for d in _partitions(spark, path, "created_date") if d <= edge.isoformat()]
+    if not old:
+        return 0
+    table = spark.read.schema(schema).parquet(path).where(F.col("created_date") <= F.lit(edge))
+    expired = F.col("created_at") < F.lit(cutoff)
+    removed = table.where((F.col("created_date") < F.lit(edge)) | expired).count()
+    for day in old:
+        if day < edge.isoformat():
+            _drop_folder(spark, f"{path.rstrip('/')}/created_date={day}")
+    if edge.isoformat() in old:
+        own = table.where(F.col("created_date") == F.lit(edge))
+        gone, left = own.agg(F.count_if(expired), F.count_if(~expired)).first()
+        if gone and left:
+            staging = f"{path.rstrip('/')}_expire_staging"
+            own.where(~expired).write.mode("overwrite").partitionBy("created_date").parquet(staging)
+            _replace_day(spark.read.schema(schema).parquet(staging), path)
+            _drop_folder(spark, staging)
+        elif gone:
+            _drop_folder(spark, f"{path.rstrip('/')}/created_date={edge.isoformat()}")
+    return removed
+
+
 # --- table layout (SNK6) -------------------------------------------------------------------------------------
 TELEMETRY_SCHEMA = ("event_id string, device_id string, patient_id string, timestamp timestamp, heart_rate int, "
-                    "spo2 int, temperature double, created_at timestamp, event_date date")
+                    "spo2 int, temperature double, created_at timestamp, created_date date")
 ALERTS_SCHEMA = ("dedup_key string, patient_id string, alert_type string, detected_at timestamp, "
-                 "created_at timestamp, detected_date date")
+                 "created_at timestamp, created_date date")
 
 
 def create_tables(spark, tables_dir: str) -> None:
-    """``CREATE TABLE IF NOT EXISTS`` for the two parquet tables (partitioned by event / detection date). An
+    """``CREATE TABLE IF NOT EXISTS`` for the two parquet tables (partitioned by the day on which a row is stored). An
     empty table has no data file to infer from, so readers pass the declared schema (``read_declared``)."""
     import os
 
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for name, schema, part in (("telemetry", TELEMETRY_SCHEMA, "event_date"),
-                               ("alerts", ALERTS_SCHEMA, "detected_date")):
+    for name, schema in (("telemetry", TELEMETRY_SCHEMA), ("alerts", ALERTS_SCHEMA)):
         path = os.path.join(tables_dir, name)
         p = jvm.org.apache.hadoop.fs.Path(path)
         if not p.getFileSystem(conf).exists(p):
-            spark.createDataFrame([], schema).write.partitionBy(part).parquet(path)
+            spark.createDataFrame([], schema).write.partitionBy("created_date").parquet(path)
 
 
 def read_declared(spark, path: str, schema: str) -> DataFrame:
@@ -163,12 +219,10 @@ def read_declared(spark, path: str, schema: str) -> DataFrame:
 
 
 def read_alerts(spark, path: str) -> DataFrame:
-    """Alerts table read across layouts: files written before ``dedup_key`` existed are merged in
-    (``mergeSchema``) and get their key backfilled from (patient, type, 300 s bucket)."""
+    """Alerts table read across layouts with the declared schema: in files written before ``dedup_key`` existed the key
+    is null and gets backfilled from (patient, type, 300 s bucket). A table without files has no rows."""
     from pulsegrid.functions.ids import alert_dedup_key
-    raw = spark.read.option("mergeSchema", "true").parquet(path)
-    if "dedup_key" not in raw.columns:
-        raw = raw.withColumn("dedup_key", F.lit(None).cast("string"))
+    raw = spark.read.schema(ALERTS_SCHEMA).parquet(path)
     computed = alert_dedup_key(F.col("patient_id"), F.col("alert_type"), F.col("detected_at"))
     return raw.select("patient_id", "alert_type", "detected_at", F.coalesce("dedup_key", computed).alias("dedup_key"),
                       F.col("dedup_key").isNull().alias("backfilled"), "created_at")

@@ -1,7 +1,7 @@
 """Structured Streaming jobs: the processing service as two checkpointed queries.
 
 * ``start_store`` — raw messages -> decode / validate / route -> per micro-batch: telemetry insert-if-absent
-  (parquet table partitioned by event date) and dead-letter records (JSON envelope files).
+  (parquet table partitioned by the day of storage, so that retention and appends never meet: ``store.expire``) and dead-letter records (JSON envelope files).
 * ``start_alerts`` — valid events -> keyed stateful detector -> alerts insert-if-absent on dedup_key.
 
 Delivery is at-least-once from the source and idempotent at the sinks: a micro-batch replayed after a
@@ -71,8 +71,8 @@ def store_batch(tables_dir: str, processed_at: dt.datetime | None = None):
                         F.col("spo2").cast("int"), "temperature",
                         F.current_timestamp().alias("created_at"),
                         F.struct("partition", "offset").alias("arrival"),
-                        F.to_date("timestamp").alias("event_date")))
-        append_if_absent(good, os.path.join(tables_dir, "telemetry"), ["event_id"], ["arrival"], "event_date")
+                        F.to_date(F.current_timestamp()).alias("created_date")))
+        append_if_absent(good, os.path.join(tables_dir, "telemetry"), ["event_id"], ["arrival"], "created_date")
         # a dead letter is known by where its message stood, so neither replays nor new checkpoints lose or repeat one
         at = ["source_topic", "source_partition", "source_offset"]
         dlq = ev.dlq_records(routed, processed_at).select("key", "value", "headers", "reason", *at)
@@ -95,8 +95,8 @@ def alerts_batch(tables_dir: str):
         rows = batch.select(
             alert_dedup_key(F.col("patient_id"), F.col("alert_type"), F.col("triggered_at")).alias("dedup_key"),
             "patient_id", "alert_type", F.col("triggered_at").alias("detected_at"),
-            F.current_timestamp().alias("created_at"), F.to_date("triggered_at").alias("detected_date"))
-        append_if_absent(rows, os.path.join(tables_dir, "alerts"), ["dedup_key"], ["detected_at"], "detected_date")
+            F.current_timestamp().alias("created_at"), F.to_date(F.current_timestamp()).alias("created_date"))
+        append_if_absent(rows, os.path.join(tables_dir, "alerts"), ["dedup_key"], ["detected_at"], "created_date")
     return run
 
 

@@ -98,3 +98,46 @@ def test_tables_and_additive_dedup_key(spark, scratch):
     rows = {r.patient_id: (r.dedup_key, r.backfilled) for r in store.read_alerts(spark, path).collect()}
     b = int(BASE.replace(tzinfo=dt.timezone.utc).timestamp()) // 300
     assert rows == {"p1": (f"p1:HIGH_HEART_RATE:{b}", True), "p2": ("p2:HIGH_HEART_RATE:7", False)}
+
+
+def _stored(spark, path, rows):
+    """rows: (event_id, created_at)"""
+    spark.createDataFrame([(e, t, t.date()) for e, t in rows], "event_id string, created_at timestamp, created_date date") \
+        .write.mode("append").partitionBy("created_date").parquet(path)
+
+
+SMALL = "event_id string, created_at timestamp, created_date date"
+NOW = dt.datetime(2026, 7, 8, 12, tzinfo=dt.timezone.utc)  # the cutoff is 2026-06-08 12:00
+
+
+def test_expire_beside_a_writer(spark, scratch, monkeypatch):
+    """A row stored while retention has read the old days, and before it puts them back, is kept; so is its late repeat."""
+    import os
+    path = os.path.join(scratch, "telemetry")
+    _stored(spark, path, [("a", dt.datetime(2026, 6, 1)), ("b", dt.datetime(2026, 6, 8, 11, 59, 59)), ("c", dt.datetime(2026, 6, 8, 12)),
+                          ("d", dt.datetime(2026, 6, 9)), ("e", dt.datetime(2026, 7, 8))])
+    replace = store._replace_day
+
+    def between(survivors, where):
+        _stored(spark, path, [("f", dt.datetime(2026, 7, 8, 12))])
+        replace(survivors, where)
+
+    monkeypatch.setattr(store, "_replace_day", between)
+    assert store.expire(spark, path, SMALL, NOW) == 2
+    monkeypatch.undo()
+    assert sorted(r.event_id for r in spark.read.schema(SMALL).parquet(path).collect()) == ["c", "d", "e", "f"]
+    assert store.expire(spark, path, SMALL, NOW) == 0
+
+
+def test_expire_empty_and_whole_days(spark, scratch):
+    import os
+    store.create_tables(spark, scratch)
+    for name, schema in (("telemetry", store.TELEMETRY_SCHEMA), ("alerts", store.ALERTS_SCHEMA)):
+        assert store.expire(spark, os.path.join(scratch, name), schema, NOW) == 0
+        assert store.apply_retention(spark, os.path.join(scratch, name), NOW, "created_date") == 0
+    assert store.expire(spark, os.path.join(scratch, "nowhere"), SMALL, NOW) == 0
+    assert store.read_alerts(spark, os.path.join(scratch, "alerts")).count() == 0
+    path = os.path.join(scratch, "t")
+    _stored(spark, path, [("a", dt.datetime(2026, 6, 8, 1)), ("b", dt.datetime(2026, 5, 1)), ("c", dt.datetime(2026, 7, 1))])
+    assert store.expire(spark, path, SMALL, NOW) == 2
+    assert [r.event_id for r in spark.read.schema(SMALL).parquet(path).collect()] == ["c"]

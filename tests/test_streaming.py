@@ -53,7 +53,7 @@ def test_append_if_absent_looks_everywhere(spark, scratch):
         when = dt.datetime(2026, 7, day, 12, tzinfo=dt.timezone.utc)
         return spark.createDataFrame([(key, "p", "t", when, when, when.date())] * 2, ALERTS_SCHEMA)
 
-    added = [jobs.append_if_absent(batch(k, d), path, ["dedup_key"], ["detected_at"], "detected_date") for k, d in (("a", 7), ("a", 8), ("b", 8))]
+    added = [jobs.append_if_absent(batch(k, d), path, ["dedup_key"], ["detected_at"], "created_date") for k, d in (("a", 7), ("a", 8), ("b", 8))]
     assert added == [1, 0, 1]
     assert spark.read.parquet(path).count() == 2
 
