@@ -47,6 +47,7 @@ class SustainedHighDetector(StatefulProcessor):
         self.cooldown_us = cooldown_seconds * US
         self.window_ttl_ms = window_ttl_ms
         self.alert_ttl_ms = alert_ttl_ms
+        self.report_sizes = False  # one more row per patient and batch, without a type: the window after its last event
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.window = handle.getListState("window", "event_id string, ts_us long, hr int", self.window_ttl_ms)
@@ -82,6 +83,8 @@ class SustainedHighDetector(StatefulProcessor):
         self.window.put([(k, t, h) for k, (t, h) in entries.items()])
         if last_us is not None:
             self.last_alert.update((last_us,))
+        if self.report_sizes:
+            out.append((patient, None, None, pd.Timestamp(batch["timestamp"].iloc[-1]), batch["event_id"].iloc[-1], len(entries)))
         yield pd.DataFrame(out, columns=["patient_id", "alert_type", "message", "triggered_at", "event_id",
                                          "window_events"])
 

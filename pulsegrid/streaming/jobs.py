@@ -24,6 +24,7 @@ from pulsegrid.functions.ids import alert_dedup_key
 from pulsegrid.operators import events as ev
 from pulsegrid.session import configure
 from pulsegrid.streaming.detector import SustainedHighDetector, detect_stream
+from pulsegrid.streaming.live import LiveMetrics, observe_alerts, observe_messages, timer
 
 EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -62,8 +63,10 @@ def append_if_absent(batch: DataFrame, path: str, key: list[str], order_by: list
     return n
 
 
-def store_batch(tables_dir: str, processed_at: dt.datetime | None = None):
+def store_batch(tables_dir: str, processed_at: dt.datetime | None = None, live: LiveMetrics | None = None):
     """``foreachBatch`` body of the store query."""
+    timed = timer(live)
+
     def run(batch: DataFrame, epoch_id: int) -> None:
         routed = batch.persist()
         good = (routed.filter(F.col("route") == "store")
@@ -72,7 +75,8 @@ def store_batch(tables_dir: str, processed_at: dt.datetime | None = None):
                         F.current_timestamp().alias("created_at"),
                         F.struct("partition", "offset").alias("arrival"),
                         F.to_date(F.current_timestamp()).alias("created_date")))
-        append_if_absent(good, os.path.join(tables_dir, "telemetry"), ["event_id"], ["arrival"], "created_date")
+        with timed("processing_postgres_write_duration_seconds", "operation=save_telemetry"):
+            append_if_absent(good, os.path.join(tables_dir, "telemetry"), ["event_id"], ["arrival"], "created_date")
         # a dead letter is known by where its message stood, so neither replays nor new checkpoints lose or repeat one
         at = ["source_topic", "source_partition", "source_offset"]
         dlq = ev.dlq_records(routed, processed_at).select("key", "value", "headers", "reason", *at)
@@ -82,35 +86,50 @@ def store_batch(tables_dir: str, processed_at: dt.datetime | None = None):
 
 
 def start_store(spark: SparkSession, messages: DataFrame, tables_dir: str, checkpoint: str,
-                trigger: dict | None = None, processed_at: dt.datetime | None = None) -> StreamingQuery:
-    """Start the store query over a streaming DataFrame of Kafka-shaped messages."""
+                trigger: dict | None = None, processed_at: dt.datetime | None = None, live: LiveMetrics | None = None,
+                partitions: int = 3) -> StreamingQuery:
+    """Start the store query over a streaming DataFrame of Kafka-shaped messages. ``live`` (added to the session's
+    listeners by the caller) gets its counts, and the lag of ``partitions`` partitions."""
     configure(spark)
     routed = ev.process(messages)
-    w = routed.writeStream.foreachBatch(store_batch(tables_dir, processed_at)).option("checkpointLocation", checkpoint)
+    if live is not None:
+        routed = observe_messages(routed, partitions)
+    w = routed.writeStream.foreachBatch(store_batch(tables_dir, processed_at, live)).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def alerts_batch(tables_dir: str):
+def alerts_batch(tables_dir: str, live: LiveMetrics | None = None):
+    timed = timer(live)
+
     def run(batch: DataFrame, epoch_id: int) -> None:
-        rows = batch.select(
+        held = batch.persist()  # one evaluation, so that what is observed counts once
+        rows = held.where(F.col("alert_type").isNotNull()).select(
             alert_dedup_key(F.col("patient_id"), F.col("alert_type"), F.col("triggered_at")).alias("dedup_key"),
             "patient_id", "alert_type", F.col("triggered_at").alias("detected_at"),
             F.current_timestamp().alias("created_at"), F.to_date(F.current_timestamp()).alias("created_date"))
-        append_if_absent(rows, os.path.join(tables_dir, "alerts"), ["dedup_key"], ["detected_at"], "created_date")
+        with timed("processing_postgres_write_duration_seconds", "operation=save_alert"):
+            append_if_absent(rows, os.path.join(tables_dir, "alerts"), ["dedup_key"], ["detected_at"], "created_date")
+        held.unpersist()
     return run
 
 
 def start_alerts(spark: SparkSession, messages: DataFrame, tables_dir: str, checkpoint: str,
-                 trigger: dict | None = None, processor: SustainedHighDetector | None = None) -> StreamingQuery:
-    """Start the alert query: valid events -> stateful detector (RocksDB state) -> alerts table."""
+                 trigger: dict | None = None, processor: SustainedHighDetector | None = None,
+                 live: LiveMetrics | None = None) -> StreamingQuery:
+    """Start the alert query: valid events -> stateful detector (RocksDB state) -> alerts table. With ``live`` the
+    detector also reports window sizes."""
     configure(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     routed = ev.process(messages)
     valid = (routed.filter(F.col("route") == "store")
              .select("patient_id", "event_id", "timestamp", F.col("heart_rate").cast("int").alias("heart_rate"),
                      (F.col("partition").cast("bigint") * F.lit(1 << 40) + F.col("offset")).alias("arrival")))
+    processor = processor or SustainedHighDetector()
+    processor.report_sizes = live is not None
     alerts = detect_stream(valid, processor)
-    w = alerts.writeStream.foreachBatch(alerts_batch(tables_dir)).option("checkpointLocation", checkpoint)
+    if live is not None:
+        alerts = observe_alerts(alerts)
+    w = alerts.writeStream.foreachBatch(alerts_batch(tables_dir, live)).option("checkpointLocation", checkpoint)
     # state that expires by wall clock asks for batches without data for ever; the query takes its settings at its start
     before = spark.conf.get(EMPTY_BATCHES)
     spark.conf.set(EMPTY_BATCHES, "false")

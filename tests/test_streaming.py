@@ -88,3 +88,44 @@ def test_state_expires_and_late_rows(spark, scratch):
     send("b", 2, [("e2", 60, 130)])
     assert alerts_after(300_000) == 1
     assert alerts_after(1_000) == 0
+
+
+def test_live_metrics_of_one_run(spark, scratch):
+    """All ten names come out of the running queries; counts and lag equal the batch operators'."""
+    import time
+
+    from pulsegrid import constants as K
+    from pulsegrid.streaming.live import LiveMetrics
+
+    raw = fixtures.raw_messages(spark, SF)
+    raw.filter("offset < 600").coalesce(1).write.parquet(os.path.join(scratch, "in", "a"))
+    raw.filter("offset >= 600").coalesce(1).write.parquet(os.path.join(scratch, "in", "b"))
+    live = LiveMetrics()
+    spark.streams.addListener(live)
+    try:
+        msgs = jobs.messages_from_files(spark, os.path.join(scratch, "in", "*"), 1)
+        jobs.start_store(spark, msgs, os.path.join(scratch, "t"), os.path.join(scratch, "ck_s"), live=live).awaitTermination()
+        jobs.start_alerts(spark, msgs, os.path.join(scratch, "t"), os.path.join(scratch, "ck_a"), live=live).awaitTermination()
+        deadline = time.time() + 20  # progress reaches listeners after the query
+        while time.time() < deadline and {n for n, _ in live.snapshot()} < {"processing_sliding_window_events_current"}:
+            time.sleep(0.2)
+        time.sleep(1)
+    finally:
+        spark.streams.removeListener(live)
+    got = live.snapshot()
+    routed = events.process(raw)
+    n = {r["route"]: r["count"] for r in routed.groupBy("route").count().collect()}
+    reasons = {r["dlq_reason"]: r["count"] for r in routed.where("route = 'dlq'").groupBy("dlq_reason").count().collect()}
+    assert got["processing_kafka_messages_total", "status=processed"] == n["store"]
+    assert got["processing_kafka_messages_total", "status=dlq"] == n["dlq"] == sum(reasons.values())
+    assert got["processing_kafka_commits_total", "status=success"] == n["store"] + n["dlq"]
+    assert {k: got["processing_dlq_messages_total", f"reason={k}"] for k in reasons} == reasons
+    assert got["processing_errors_total", "stage=validate"] == reasons["validation"]
+    assert got["processing_alerts_created_total", f"type={K.ALERT_TYPE_HIGH_HR}"] == spark.read.parquet(os.path.join(scratch, "t", "alerts")).count()
+    lag = {f"partition={r['partition']},topic={r['topic']}": r["lag"] for r in events.consumer_lag(raw).collect()}
+    assert {labels: v for (name, labels), v in got.items() if name == "processing_kafka_consumer_lag"} == lag
+    assert got["processing_sliding_window_events_current", ""] >= 1
+    assert got["processing_processing_duration_seconds_count", ""] == 2
+    names = {name.removesuffix("_count").removesuffix("_sum") for name, _ in got}
+    assert names == set(K.METRIC_DEFINITIONS)
+    assert any(name.endswith("_bucket") and "le=+Inf" in labels for name, labels, _ in live.samples())
