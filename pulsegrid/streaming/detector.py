@@ -20,7 +20,8 @@ would never let an ``availableNow`` run end).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_left, insort
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,6 +36,53 @@ OUTPUT_SCHEMA = ("patient_id string, alert_type string, message string, triggere
 INPUT_COLUMNS = ["patient_id", "event_id", "timestamp", "heart_rate", "arrival"]
 
 
+class Window:
+    """A patient's readings in order of time, and those of them that are not above the threshold.
+
+    Adding, replacing and checking cost a search each, dropping the oldest no more than adding them did: a batch takes
+    time in proportion to its events, however many of them share a window.
+    """
+
+    def __init__(self, threshold: int, readings: Iterable[tuple[str, int, int]] = ()):
+        self.threshold = threshold
+        self.of: dict[str, tuple[int, int]] = {}
+        self.times: list[tuple[int, str]] = []
+        self.low: list[tuple[int, str]] = []
+        for event_id, t, hr in readings:
+            self.add(event_id, t, hr)
+
+    def __len__(self) -> int:
+        return len(self.times)
+
+    def add(self, event_id: str, t: int, hr: int) -> None:
+        """A repeated event_id replaces the earlier reading."""
+        was = self.of.get(event_id)
+        if was is not None:
+            old = (was[0], event_id)
+            del self.times[bisect_left(self.times, old)]
+            if was[1] <= self.threshold:
+                del self.low[bisect_left(self.low, old)]
+        self.of[event_id] = (t, hr)
+        insort(self.times, (t, event_id))
+        if hr <= self.threshold:
+            insort(self.low, (t, event_id))
+
+    def drop_before(self, t: int) -> None:
+        """Forget readings before ``t``."""
+        k = bisect_left(self.times, (t, ""))
+        for _, event_id in self.times[:k]:
+            del self.of[event_id]
+        del self.times[:k]
+        del self.low[:bisect_left(self.low, (t, ""))]
+
+    def span(self, since: int, until: int) -> tuple[int, int] | None:
+        """Oldest time and number of readings in [since, until]; None if one of them is not above the threshold."""
+        a, b = bisect_left(self.times, (since, "")), bisect_left(self.times, (until + 1, ""))
+        if a == b or bisect_left(self.low, (since, "")) < bisect_left(self.low, (until + 1, "")):
+            return None
+        return self.times[a][0], b - a
+
+
 class SustainedHighDetector(StatefulProcessor):
     """Keyed by patient_id. Input columns: event_id, timestamp, heart_rate, arrival (ordering within a batch)."""
 
@@ -61,30 +109,26 @@ class SustainedHighDetector(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         patient = key[0]
         batch = pd.concat(list(rows), ignore_index=True).sort_values("arrival", kind="mergesort")
-        entries: dict[str, tuple[int, int]] = {eid: (int(t), int(h)) for eid, t, h in self.window.get()}
+        window = Window(self.threshold, ((eid, int(t), int(h)) for eid, t, h in self.window.get()))
         last = self.last_alert.get()
         last_us = None if last is None else int(last[0])
         out = []
-        for eid, ts, hr in zip(batch["event_id"], batch["timestamp"], batch["heart_rate"]):
-            t_us = int(pd.Timestamp(ts).value // 1000)
-            entries.pop(eid, None)
-            entries[eid] = (t_us, int(hr))
-            cutoff_s = (t_us - self.window_us) // US
-            entries = {k: v for k, v in entries.items() if v[0] // US >= cutoff_s}
-            if hr <= self.threshold:
-                continue
-            inside = np.array([(t, h) for t, h in entries.values() if t_us - self.window_us <= t <= t_us])
-            if len(inside) == 0 or t_us - inside[:, 0].min() < self.span_us or (inside[:, 1] <= self.threshold).any():
+        times = batch["timestamp"].to_numpy("datetime64[us]").astype(np.int64).tolist()
+        for eid, t_us, hr in zip(batch["event_id"].tolist(), times, batch["heart_rate"].tolist(), strict=True):
+            window.add(eid, t_us, int(hr))
+            window.drop_before((t_us - self.window_us) // US * US)
+            if hr <= self.threshold or (last_us is not None and t_us - last_us < self.cooldown_us):
                 continue
-            if last_us is not None and t_us - last_us < self.cooldown_us:
+            found = window.span(t_us - self.window_us, t_us)
+            if found is None or t_us - found[0] < self.span_us:
                 continue
             last_us = t_us
-            out.append((patient, K.ALERT_TYPE_HIGH_HR, K.ALERT_MESSAGE_HIGH_HR, pd.Timestamp(ts), eid, len(inside)))
-        self.window.put([(k, t, h) for k, (t, h) in entries.items()])
+            out.append((patient, K.ALERT_TYPE_HIGH_HR, K.ALERT_MESSAGE_HIGH_HR, pd.Timestamp(t_us, unit="us"), eid, found[1]))
+        self.window.put([(eid, t, window.of[eid][1]) for t, eid in window.times])
         if last_us is not None:
             self.last_alert.update((last_us,))
         if self.report_sizes:
-            out.append((patient, None, None, pd.Timestamp(batch["timestamp"].iloc[-1]), batch["event_id"].iloc[-1], len(entries)))
+            out.append((patient, None, None, pd.Timestamp(batch["timestamp"].iloc[-1]), batch["event_id"].iloc[-1], len(window)))
         yield pd.DataFrame(out, columns=["patient_id", "alert_type", "message", "triggered_at", "event_id",
                                          "window_events"])
 

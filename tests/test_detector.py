@@ -134,3 +134,85 @@ def test_cooldown_hot_patient_many_slices(spark):
         got.setdefault(r.patient_id, []).append(int((r.triggered_at - BASE).total_seconds()))
     assert sorted(got["hot"]) == _greedy(offs, 300)
     assert got["cold"] == [0]
+
+
+class _Held:
+    """A value or list state in memory."""
+
+    def __init__(self, value=None):
+        self.value = value
+
+    def get(self):
+        return self.value
+
+    def put(self, rows):
+        self.value = list(rows)
+
+    update = put
+
+
+def _detector():
+    from pulsegrid.streaming.detector import SustainedHighDetector
+
+    d = SustainedHighDetector()
+    d.window, d.last_alert = _Held([]), _Held()
+    d.last_alert.update = lambda row: setattr(d.last_alert, "value", row)
+    return d
+
+
+def _batch(rows):
+    import pandas as pd
+
+    return pd.DataFrame({"event_id": [r[0] for r in rows], "timestamp": pd.to_datetime([r[1] for r in rows], unit="us"),
+                         "heart_rate": [r[2] for r in rows], "arrival": range(len(rows))})
+
+
+def _plain(batches):
+    """The rules one by one over plain dictionaries."""
+    entries, last, out = {}, None, []
+    for eid, t, hr in (r for b in batches for r in b):
+        entries.pop(eid, None)
+        entries[eid] = (t, hr)
+        entries = {k: v for k, v in entries.items() if v[0] // 1_000_000 >= (t - 60_000_000) // 1_000_000}
+        inside = [v for v in entries.values() if t - 60_000_000 <= v[0] <= t]
+        if hr <= 120 or min(v[0] for v in inside) > t - 60_000_000 or any(v[1] <= 120 for v in inside):
+            continue
+        if last is not None and t - last < 300_000_000:
+            continue
+        last = t
+        out.append((eid, len(inside)))
+    return out
+
+
+def test_detector_window_equals_the_plain_rules():
+    import random
+
+    rng = random.Random(5)
+    for _ in range(30):
+        t, batches = 10**15, []
+        for _ in range(6):
+            rows = []
+            for _ in range(60):
+                t += rng.choice([0, 1, 500_000, 5_000_000, 5_000_000, 60_000_000])
+                late = t - rng.choice([0, 0, 0, 3_000_000, 59_000_000, 200_000_000])
+                rows.append((f"e{rng.randrange(40)}" if rng.random() < 0.2 else f"u{t}-{len(rows)}", late, rng.choice([130, 140, 150, 121] * 8 + [120, 90])))
+            batches.append(rows)
+        d, got = _detector(), []
+        for rows in batches:
+            for frame in d.handleInputRows(("p",), iter([_batch(rows)]), None):
+                got += list(zip(frame["event_id"], frame["window_events"], strict=True))
+        assert got == _plain(batches)
+
+
+def test_detector_time_follows_the_events():
+    """100,000 readings of one patient within a window, in one batch."""
+    import time
+
+    def run(n):
+        rows = [(f"e{i}", 10**15 + i * 500, 130) for i in range(n)]
+        start = time.process_time()
+        list(_detector().handleInputRows(("p",), iter([_batch(rows)]), None))
+        return time.process_time() - start
+
+    run(1_000)
+    assert run(100_000) < 30 * max(run(10_000), 0.02)
