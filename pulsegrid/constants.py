@@ -49,6 +49,8 @@ DLQ_TOPIC = "telemetry.dlq"
 # --- fixed values: metrics registry -----------------------------------------------------
 # histogram upper bounds (seconds), in order; "+Inf" is appended on output
 HISTOGRAM_BOUNDS = [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10]
+# the client library's default bounds (seconds), used for request durations of the ingestion service
+INGESTION_DURATION_BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10]
 # name -> (kind, help)
 METRIC_DEFINITIONS = {
     "processing_kafka_messages_total": ("counter", "Kafka messages handled by processing, labeled by status."),

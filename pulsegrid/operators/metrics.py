@@ -256,6 +256,50 @@ def request_counters(access: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("requests")))
 
 
+def ingestion_metrics(access: DataFrame, checks: DataFrame) -> DataFrame:
+    """AGG6: the ingestion service's six metrics as scraped samples ``(name, labels_key, value)``.
+
+    ``access``: requests (method, path, status, latency_ms, measurements, reason); ``checks``: readiness checks (ts,
+    seq, dependency, ok). Request counts and the duration histogram (the client library's default bounds, cumulative,
+    with sum and count) come from one grouping of the log by (method, route, status); events count as published with
+    the 202 answers that carry them, errors and backpressure by the answer's reason; a dependency is up as its latest
+    check says. The counters without labels are there from the start, at 0.
+    """
+    route = route_label(F.col("method"), F.col("path"))
+    seconds = F.col("latency_ms") / F.lit(1000.0)
+    bounds = K.INGESTION_DURATION_BOUNDS
+    per = (access.groupBy("method", route.alias("route"), F.col("status").cast("string").alias("status"))
+           .agg(F.count(F.lit(1)).alias("n"), F.sum(seconds).alias("sum"),
+                F.sum(F.when(F.col("status") == 202, F.col("measurements")).otherwise(F.lit(0))).alias("published"),
+                F.count_if(F.col("reason") == "publisher_unavailable").alias("errors"),
+                F.count_if(F.col("reason") == "publisher_backpressure").alias("backpressure"),
+                *[F.count_if(seconds <= F.lit(float(b))).alias(f"_b{i}") for i, b in enumerate(bounds)]))
+
+    def line(name: str, key: Column, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("name"), key.alias("labels_key"), value.cast("double").alias("value"))
+
+    requests = per.select(F.inline(F.array(line(
+        "ingestion_http_requests_total", F.concat(F.lit("method="), "method", F.lit(",route="), "route", F.lit(",status="), "status"), F.col("n")))))
+    hist = per.groupBy("method", "route").agg(F.sum("n").alias("n"), F.sum("sum").alias("sum"), *[F.sum(f"_b{i}").alias(f"_b{i}") for i in range(len(bounds))])
+    name = "ingestion_http_request_duration_seconds"
+    labels = F.concat(F.lit("method="), F.col("method"), F.lit(",route="), F.col("route"))
+
+    def le(bound: str) -> Column:
+        return F.concat(F.lit(f"le={bound},"), labels)
+
+    buckets = [line(f"{name}_bucket", le(f"{b:g}"), F.col(f"_b{i}")) for i, b in enumerate(bounds)]
+    durations = hist.select(F.inline(F.array(*buckets, line(f"{name}_bucket", le("+Inf"), F.col("n")), line(f"{name}_sum", labels, F.col("sum")),
+                                             line(f"{name}_count", labels, F.col("n")))))
+    total = per.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("published", "errors", "backpressure")])
+    none = F.lit("")
+    plain = total.select(F.inline(F.array(line("ingestion_telemetry_events_published_total", none, F.col("published")),
+                                          line("ingestion_telemetry_publish_errors_total", none, F.col("errors")),
+                                          line("ingestion_publisher_backpressure_total", none, F.col("backpressure")))))
+    up = (checks.groupBy("dependency").agg(F.max_by("ok", F.struct("ts", "seq")).alias("ok"))
+          .select(F.inline(F.array(line("ingestion_readiness_check_up", F.concat(F.lit("dependency="), F.col("dependency")), F.col("ok").cast("int"))))))
+    return requests.unionByName(durations).unionByName(plain).unionByName(up)
+
+
 def metric_tags(routed: DataFrame) -> DataFrame:
     """AGG5/AGG11: per processed message, the counter increments it causes, as (name, labels_key) rows."""
     def tag(name: str, labels: Column) -> Column:

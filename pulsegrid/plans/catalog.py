@@ -430,6 +430,20 @@ def request_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.request_counters(fixtures.access_log(spark, sf_dir))
 
 
+@query
+def ingestion_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingestion service's six metrics from its access log and readiness checks. A request holds seq % 10 + 1
+    measurements; 503 answers are publisher failures, 429 ones with seq % 3 = 0 backpressure."""
+    status, seq = F.col("status"), F.col("seq")
+    access = fixtures.access_log(spark, sf_dir).withColumns({
+        "measurements": seq % 10 + 1,
+        "reason": F.when(status == 503, F.lit("publisher_unavailable")).when((status == 429) & (seq % 3 == 0), F.lit("publisher_backpressure"))})
+    checks = fixtures.access_log(spark, sf_dir).select(
+        "ts", "seq", F.element_at(F.array(F.lit("redis"), F.lit("kafka"), F.lit("postgres")), (seq % 3 + 1).cast("int")).alias("dependency"),
+        (F.col("event_type") != "error").alias("ok"))
+    return metrics.ingestion_metrics(access, checks).withColumn("value", F.round("value", 6))
+
+
 @query
 def processing_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG5: the processing service's counters over the raw topic: messages, commits, dead letters, errors,

@@ -750,3 +750,34 @@ SELECT name, grp AS operation, make_timestamp(tick) AS eval_ts, round(max(total)
                   THEN coalesce(arg_min(lo + (le - lo) * ((0.95 * total - below) / (cum - below)), le) FILTER (WHERE cum >= 0.95 * total AND NOT isinf(le)),
                                 max(le) FILTER (WHERE NOT isinf(le))) END, 6) AS quantile
 FROM low GROUP BY name, grp, tick"""
+
+# --- the ingestion service's metrics -------------------------------------------------------------------
+
+ORACLES["ingestion_metrics"] = with_(EV, f"""
+acc AS (
+  SELECT seq, ts, event_type, CASE WHEN event_type IN ('view', 'error') THEN 'POST' ELSE 'GET' END AS method,
+         CASE event_type WHEN 'view' THEN 'POST /api/v1/telemetry' WHEN 'click' THEN 'GET /health' WHEN 'signup' THEN 'GET /ready'
+                         WHEN 'purchase' THEN 'GET /metrics' ELSE 'unmatched' END AS route,
+         ([202, 200, 429, 503, 500])[seq % 5 + 1] AS status, CAST(floor(value * 10) AS BIGINT) / 1000.0 AS seconds
+  FROM ev
+)""") + f"""
+SELECT 'ingestion_http_requests_total' AS name, 'method=' || method || ',route=' || route || ',status=' || status AS labels_key, CAST(count(*) AS DOUBLE) AS value
+FROM acc GROUP BY method, route, status
+UNION ALL
+SELECT 'ingestion_http_request_duration_seconds_bucket', 'le=' || le || ',method=' || method || ',route=' || route,
+       CAST(count(*) FILTER (WHERE le = '+Inf' OR seconds <= TRY_CAST(le AS DOUBLE)) AS DOUBLE)
+FROM acc, (SELECT unnest({[f"{b:g}" for b in K.INGESTION_DURATION_BOUNDS] + ["+Inf"]}) AS le) b GROUP BY method, route, le
+UNION ALL
+SELECT 'ingestion_http_request_duration_seconds_sum', 'method=' || method || ',route=' || route, round(sum(seconds), 6) FROM acc GROUP BY method, route
+UNION ALL
+SELECT 'ingestion_http_request_duration_seconds_count', 'method=' || method || ',route=' || route, CAST(count(*) AS DOUBLE) FROM acc GROUP BY method, route
+UNION ALL
+SELECT 'ingestion_telemetry_events_published_total', '', CAST(coalesce(sum(seq % 10 + 1) FILTER (WHERE status = 202), 0) AS DOUBLE) FROM acc
+UNION ALL
+SELECT 'ingestion_telemetry_publish_errors_total', '', CAST(count(*) FILTER (WHERE status = 503) AS DOUBLE) FROM acc
+UNION ALL
+SELECT 'ingestion_publisher_backpressure_total', '', CAST(count(*) FILTER (WHERE status = 429 AND seq % 3 = 0) AS DOUBLE) FROM acc
+UNION ALL
+SELECT 'ingestion_readiness_check_up', 'dependency=' || (['redis', 'kafka', 'postgres'])[seq % 3 + 1],
+       CAST(arg_max(CAST(event_type <> 'error' AS INTEGER), struct_pack(ts := ts, seq := seq)) AS DOUBLE)
+FROM acc GROUP BY seq % 3"""
