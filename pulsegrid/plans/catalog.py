@@ -126,8 +126,8 @@ def telemetry_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings; redeliveries (``src_event_id % 89 = 0``) arrive 1 s later with a changed reading."""
     t = fixtures.telemetry_table(spark, sf_dir)
     cols = ["event_id", "device_id", "patient_id", "timestamp", "heart_rate"]
-    fresh = t.filter(F.col("seq") > 10).select(*cols, F.unix_millis("timestamp").alias("arrival"))
-    again = (t.filter((F.col("seq") > 10) & (F.col("src_event_id") % 89 == 0))
+    fresh = t.select(*cols, F.unix_millis("timestamp").alias("arrival"))
+    again = (t.filter(F.col("src_event_id") % 89 == 0)
              .select("event_id", "device_id", "patient_id", "timestamp", (F.col("heart_rate") + 1).alias("heart_rate"),
                      (F.unix_millis("timestamp") + 1000).alias("arrival")))
     target = t.filter(F.col("seq") <= 20)
@@ -270,11 +270,16 @@ def validate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _checked_docs(spark, sf_dir).select("request_id", "decode_ok", "reason")
 
 
+@query
+def validate_odd_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule of the strict decode and of the batch validation, one class of documents each."""
+    return ingest.process(fixtures.odd_batches(spark, sf_dir)).select("request_id", "decode_ok", "reason", F.size("measurements").alias("n"))
+
+
 @query
 def explode_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _checked_docs(spark, sf_dir)
-    valid = docs.filter(F.col("decode_ok") & F.col("reason").isNull() & (F.col("copy") == 0))
-    return ingest.explode(valid)
+    """Events of every valid document, of repeated ones as often as they came (a batch id makes the same event ids)."""
+    return ingest.explode(_checked_docs(spark, sf_dir).filter(F.col("decode_ok") & F.col("reason").isNull()))
 
 
 @query

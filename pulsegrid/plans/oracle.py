@@ -168,10 +168,10 @@ SELECT {TCOLS} FROM t
 WHERE "timestamp" >= TIMESTAMP '2026-07-07 12:01:00' AND "timestamp" <= TIMESTAMP '2026-07-07 12:02:00'"""
 ORACLES["telemetry_store"] = with_(V, T) + """
 , inc AS (
-  SELECT event_id, device_id, patient_id, "timestamp", heart_rate, epoch_ms("timestamp") AS arrival FROM t WHERE seq > 10
+  SELECT event_id, device_id, patient_id, "timestamp", heart_rate, epoch_ms("timestamp") AS arrival FROM t
   UNION ALL
   SELECT event_id, device_id, patient_id, "timestamp", heart_rate + 1, epoch_ms("timestamp") + 1000 FROM t
-  WHERE seq > 10 AND src_event_id % 89 = 0
+  WHERE src_event_id % 89 = 0
 )
 SELECT event_id, device_id, patient_id, "timestamp", heart_rate
 FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY arrival, event_id) AS rn FROM inc) i
@@ -376,8 +376,7 @@ FROM breq"""
 ORACLES["explode_batches"] = with_(V, BDOCS, BREQ, GOOD) + """
 SELECT g.batch_id || '-' || CAST(CAST((x.seq - 1) % 10 AS BIGINT) AS VARCHAR) AS event_id, g.device_id, g.patient_id,
        x.ts AS "timestamp", x.heart_rate
-FROM good g JOIN v x ON x.device_id = g.device_id AND CAST(floor((x.seq - 1) / 10) AS BIGINT) = g.chunk
-WHERE g.copy = 0"""
+FROM good g JOIN v x ON x.device_id = g.device_id AND CAST(floor((x.seq - 1) / 10) AS BIGINT) = g.chunk"""
 ORACLES["batch_first_seen"] = with_recursive(V, BDOCS, BREQ, GOOD) + """
 , copies AS (
   SELECT *, row_number() OVER (PARTITION BY device_id, batch_id ORDER BY arrival_ms, request_id) AS rn FROM good
@@ -781,3 +780,13 @@ UNION ALL
 SELECT 'ingestion_readiness_check_up', 'dependency=' || (['redis', 'kafka', 'postgres'])[seq % 3 + 1],
        CAST(arg_max(CAST(event_type <> 'error' AS INTEGER), struct_pack(ts := ts, seq := seq)) AS DOUBLE)
 FROM acc GROUP BY seq % 3"""
+
+# what each class of odd documents must give, read off the class
+ORACLES["validate_odd_batches"] = f"""WITH c AS (SELECT 'r' || event_id AS request_id, event_id % 20 AS cls FROM events)
+SELECT request_id, cls NOT IN (0, 1, 2, 3, 4, 5) AS decode_ok,
+       CASE cls WHEN 6 THEN '{K.MSG_DEVICE_ID_REQUIRED}' WHEN 17 THEN '{K.MSG_DEVICE_ID_REQUIRED}' WHEN 7 THEN '{K.MSG_PATIENT_ID_REQUIRED}'
+                WHEN 8 THEN '{K.MSG_BATCH_ID_REQUIRED}' WHEN 9 THEN '{K.MSG_MEASUREMENTS_LENGTH}' WHEN 10 THEN '{K.MSG_MEASUREMENTS_LENGTH}'
+                WHEN 11 THEN '{K.MSG_MEASUREMENT_TS_REQUIRED}' WHEN 12 THEN '{K.MSG_HR_TOO_LOW}' WHEN 13 THEN '{K.MSG_HR_TOO_HIGH}'
+                WHEN 14 THEN '{K.MSG_TS_OUT_OF_ORDER}' WHEN 15 THEN '{K.MSG_TS_OUT_OF_ORDER}' WHEN 16 THEN '{K.MSG_HR_TOO_HIGH}' END AS reason,
+       CAST(CASE WHEN cls < 6 THEN NULL WHEN cls IN (9, 17) THEN 0 WHEN cls = 10 THEN 11 WHEN cls IN (11, 12, 13) THEN 1 WHEN cls = 18 THEN 3 ELSE 2 END AS INTEGER) AS n
+FROM c"""

@@ -170,6 +170,42 @@ def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "body", "user_id", "chunk", "n"))
 
 
+@_memo
+def odd_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """View ``odd``: one document per event, ``(request_id, body)``, broken by ``event_id % 20``: 0 malformed, 1 trailing
+    data, 2 unknown top-level field, 3 unknown field of a measurement, 4 reading as text, 5 an array, 6 no device_id,
+    7 empty patient_id, 8 empty batch_id, 9 no measurements, 10 eleven measurements, 11 no timestamp, 12 reading 19,
+    13 reading 251, 14 equal times, 15 times running back, 16 a wrong reading behind a wrong order, 17 a null document,
+    18 fractions of a second in order, 19 right.
+    """
+    ev = _ev(spark, sf_dir)
+    cls = (F.col("seq") % 20).cast("int")
+    hr = (F.col("seq") % 100 + 60).cast("string")
+
+    def m(ts: str, value: Column | str, more: str = "") -> Column:
+        value = F.lit(value) if isinstance(value, str) else value
+        return F.concat(F.lit('{"timestamp":"2026-07-07T12:00:' + ts + 'Z","heart_rate":'), value, F.lit(more + "}"))
+
+    def several(*ms: Column) -> Column:
+        return F.concat_ws(",", *ms)
+
+    ok = m("00", hr)
+    ms = (F.when(cls == 3, m("00", hr, ',"x":1')).when(cls == 4, m("00", '"70"')).when(cls == 9, F.lit(""))
+          .when(cls == 10, several(*(m(f"{k:02d}", hr) for k in range(11))))
+          .when(cls == 11, F.concat(F.lit('{"heart_rate":'), hr, F.lit("}"))).when(cls == 12, m("00", "19")).when(cls == 13, m("00", "251"))
+          .when(cls == 14, several(ok, m("00", hr))).when(cls == 15, several(m("05", hr), m("04", hr)))
+          .when(cls == 16, several(m("05", hr), m("04", "300"))).when(cls == 18, several(m("00.25", hr), m("00.5", hr), m("00.500001", hr)))
+          .otherwise(several(ok, m("05", hr))))
+    device = F.when(cls == 6, F.lit("")).otherwise(F.lit('"device_id":"d1",'))
+    patient = F.when(cls == 7, F.lit("")).otherwise(F.lit("p1"))
+    batch = F.when(cls == 8, F.lit("")).otherwise(F.concat(F.lit("b"), F.col("seq").cast("string")))
+    body = F.concat(F.when(cls == 2, F.lit('{"note":"x",')).otherwise(F.lit("{")), device, F.lit('"patient_id":"'), patient,
+                    F.lit('","batch_id":"'), batch, F.lit('","measurements":['), ms, F.lit("]}"))
+    body = (F.when(cls == 0, F.lit('{"device_id":"d1"')).when(cls == 1, F.concat(body, F.lit("{}")))
+            .when(cls == 5, F.concat(F.lit("["), body, F.lit("]"))).when(cls == 17, F.lit("null")).otherwise(body))
+    return ev.select(F.concat(F.lit("r"), F.col("seq").cast("string")).alias("request_id"), body.alias("body"))
+
+
 @_memo
 def rate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests for the token bucket: every reading of ``v`` is one request of its device, 2 s apart."""

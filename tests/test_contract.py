@@ -9,7 +9,7 @@ from pulsegrid.plans.catalog import QUERIES
 def test_queries_and_oracles_line_up():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q) and set(QUERIES) <= set(o)
-    assert len(QUERIES) == 56
+    assert len(QUERIES) == 57
     for name, fn in q.items():
         assert list(inspect.signature(fn).parameters) == ["spark", "sf_dir"], name
     for name in QUERIES:
