@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,6 +73,44 @@ def run_summary(outcomes: DataFrame) -> DataFrame:
                       F.round(throughput, 6).alias("throughput_measurements_per_sec")).drop("_span_ms")
 
 
+RESULT_FIELDS = ["run_id", "mode", "devices", "peak_devices", "patients", "duration_seconds", "started_at", "finished_at", "generated_measurements",
+                 "sent_batches", "sent_measurements", "accepted_202", "duplicates_200", "rate_limited_429", "unavailable_503", "failed_requests",
+                 "accepted_measurements", "buffered_measurements_remaining", "p95_http_latency_ms", "throughput_measurements_per_sec", "event_log"]
+
+
+def run_result(outcomes: DataFrame, latencies: DataFrame, base_epoch_ms: int, run_id: str, mode: str, peak_devices: int, event_log: str) -> DataFrame:
+    """SNK8: the whole run-summary record, one row with RESULT_FIELDS. ``outcomes`` carry ``sent`` and ``patient_id``,
+    ``latencies`` are milliseconds (``latency_ms``). Generated is what all batches hold, each once; what no answer has
+    accepted of it is still buffered. Devices and patients are those that sent something."""
+    per_batch = outcomes.groupBy("device_id", "batch_id").agg(F.max("sent").alias("held"), F.max(F.col("status") == 202).alias("taken"),
+                                                              F.max("patient_id").alias("patient_id"))
+    held = per_batch.agg(F.count_distinct("device_id").alias("devices"), F.count_distinct(F.nullif("patient_id", F.lit(""))).alias("patients"),
+                         F.coalesce(F.sum("held"), F.lit(0)).cast("bigint").alias("generated_measurements"),
+                         F.coalesce(F.sum(F.when(~F.col("taken"), F.col("held"))), F.lit(0)).cast("bigint").alias("buffered_measurements_remaining"))
+    span = outcomes.agg(*[F.timestamp_millis(F.lit(base_epoch_ms) + f("arrival_ms")).alias(n) for f, n in ((F.min, "started_at"), (F.max, "finished_at"))])
+    p95 = p95_latency(latencies.withColumn("_run", F.lit(1)), "_run").select(F.col("p95_ms").alias("p95_http_latency_ms"))
+    one = run_summary(outcomes).withColumn("_k", F.lit(1))
+    for part in (held, span, p95):  # one row each
+        one = one.join(part.withColumn("_k", F.lit(1)), "_k", "left")
+    one = one.withColumns({"run_id": F.lit(run_id), "mode": F.lit(mode), "peak_devices": F.lit(peak_devices).cast("bigint"), "event_log": F.lit(event_log),
+                           "p95_http_latency_ms": F.coalesce("p95_http_latency_ms", F.lit(0))})
+    return one.select(*RESULT_FIELDS)
+
+
+def write_result(result: DataFrame, path: str) -> None:
+    """SNK8 writer: the record as indented JSON in one file, written beside it and renamed into place."""
+    row = result.select(F.to_json(F.struct(*RESULT_FIELDS), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSX", "ignoreNullFields": "false"})).first()[0]
+    spark = result.sparkSession
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target, side = hadoop.Path(path), hadoop.Path(path + ".tmp")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(side, True)
+    out.write(bytearray((json.dumps(json.loads(row), indent=2) + "\n").encode()))
+    out.close()
+    fs.delete(target, False)
+    fs.rename(side, target)
+
+
 def p95_latency(latencies: DataFrame, group: str, ms_col: str = "latency_ms") -> DataFrame:
     """AGG8: per group, the smallest whole-millisecond latency (clamped to 0..60000) whose cumulative count
     reaches ``ceil(0.95 n)``. Pre-aggregated to (group, ms) counts — at most 60,001 rows per group — before

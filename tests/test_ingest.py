@@ -132,3 +132,24 @@ def test_accepted_log_round_trip_and_reconcile(spark, scratch):
     got = {r.event_id: r.status for r in reconcile.reconcile(back, stored).collect()}
     assert got == {"b1-0": "ok", "b1-1": "duplicated", "b1-2": "missing", "b2-0": "missing", "b2-1": "missing",
                    "zz-9": "extra"}
+
+
+def test_run_result_record(spark, scratch):
+    import os
+
+    from pulsegrid.operators import reconcile
+    rows = [("a", "d1", "b1", "p1", 0, 202, 10, 10), ("b", "d1", "b1", "p1", 500, 200, 10, 0), ("c", "d1", "b2", "p1", 900, 429, 7, 0),
+            ("d", "d2", "b3", "p2", 2_600, 202, 4, 4), ("e", "d2", "b4", "p2", 2_700, 400, 3, 0)]
+    out = spark.createDataFrame(rows, "request_id string, device_id string, batch_id string, patient_id string, arrival_ms long, status int, sent long, "
+                                      "accepted_measurements long")
+    latencies = spark.createDataFrame([(k,) for k in range(1, 101)], "latency_ms long")
+    path = os.path.join(scratch, "result.json")
+    for _ in range(2):  # a second run replaces the file
+        reconcile.write_result(reconcile.run_result(out, latencies, 1783425600000, "run1", "steady", 2, "events.jsonl"), path)
+    got = json.load(open(path))
+    assert list(got) == reconcile.RESULT_FIELDS
+    assert got == {"run_id": "run1", "mode": "steady", "devices": 2, "peak_devices": 2, "patients": 2, "duration_seconds": 3,
+                   "started_at": "2026-07-07T12:00:00.000Z", "finished_at": "2026-07-07T12:00:02.700Z", "generated_measurements": 24, "sent_batches": 5,
+                   "sent_measurements": 34, "accepted_202": 2, "duplicates_200": 1, "rate_limited_429": 1, "unavailable_503": 0, "failed_requests": 1,
+                   "accepted_measurements": 14, "buffered_measurements_remaining": 10, "p95_http_latency_ms": 95,
+                   "throughput_measurements_per_sec": round(14 / 2.7, 6), "event_log": "events.jsonl"}
