@@ -15,6 +15,11 @@ that pair gives its text, the counts of all its beginnings and ends, and the ext
 No dictionary, phrase table or index is ever sent to all tasks unless Spark finds it small; a shard's index meets its
 own intervals only.
 
+Most pairs of frequent words are rare. Before they become rows, every shard deals the hashes of its pairs, with their
+counts, to ranges (one packed row per shard and range); a range adds up the shards' counts per hash and tells each
+shard which of its hashes reach ``least``. Hashes only ever add up, so no frequent pair is lost; the rows of those
+that are left are counted by their words.
+
 Defined results: a null language is ``und``; null, empty and wordless texts have no words; repeated rows count as
 often as they come; equal scores are ordered by count, then by the phrase's UTF-8 bytes; a language without candidates
 has no rows; extra columns are ignored. No documents give no rows.
@@ -29,9 +34,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import _LOWER, Words, materialise, offsets_of, prepare, slices, texts
+from pulsegrid.llm.common import _LOWER, Words, materialise, mix, offsets_of, prepare, slices, texts
 
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 20
+# Words of the corpus for each range that adds up pair hashes.
+RANGE_WORDS = 1 << 20
 MAX_WORDS = 5
 LEAST = 100
 TOP = 2000
@@ -184,14 +191,16 @@ class Index:
         return which[word], self.lf[at[order[cut]]][word], (other[which] + smaller)[word], many[word]
 
 
-_GROWN = [("shard", pa.int64()), ("side", pa.int32()), ("bwt", pa.binary()), ("first", pa.binary()),
-          ("prefix", pa.int64()), ("suffix", pa.int64()), ("low", pa.int32()), ("back", pa.int32()), ("n", pa.int32())]
-_GROWN_DDL = "shard long, side int, bwt binary, first binary, prefix long, suffix long, low int, back int, n int"
+_GROWN = [("shard", pa.int64()), ("prefix", pa.int64()), ("suffix", pa.int64()), ("low", pa.int32()), ("back", pa.int32()), ("n", pa.int32())]
+_GROWN_DDL = "shard long, prefix long, suffix long, low int, back int, n int"
+_BUILT = [("shard", pa.int64()), ("side", pa.int32()), ("bwt", pa.binary()), ("first", pa.binary()), ("ids", pa.binary()),
+          ("range", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())]
+_BUILT_DDL = "shard long, side int, bwt binary, first binary, ids binary, range long, hashes binary, counts binary"
 RIGHT, LEFT = 1, 0  # the side to extend on: the reversed transform, the forward one
 
 
-def _grow(index: Index, side: int, ids: np.ndarray, low: np.ndarray, back: np.ndarray, n: np.ndarray, shard: int) -> pa.Table:
-    """Extensions on one side whose other part is frequent as well: (prefix, suffix, low, back, n)."""
+def _grow(index: Index, side: int, ids: np.ndarray, low: np.ndarray, back: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
+    """Extensions on one side whose other part is frequent as well: prefix, suffix, low, back, n."""
     here, there = (back, low) if side == RIGHT else (low, back)
     order = np.argsort(here)
     ids, here, there, n = ids[order], here[order], there[order], n[order]
@@ -201,31 +210,94 @@ def _grow(index: Index, side: int, ids: np.ndarray, low: np.ndarray, back: np.nd
     kept = (part >= 0) & (new < here[part] + n[part]) if len(here) else np.zeros(0, bool)
     which, part, new, across, many = which[kept], part[kept], new[kept], across[kept], many[kept]
     old, found = ids[which], ids[part]
-    columns = {"shard": np.full(len(old), shard), "prefix": old if side == RIGHT else found, "suffix": found if side == RIGHT else old,
-               "low": across if side == RIGHT else new, "back": new if side == RIGHT else across, "n": many}
-    return pa.table([pa.array(columns[f]).cast(t) if f in columns else pa.nulls(len(old), t) for f, t in _GROWN], schema=pa.schema(_GROWN))
+    return {"prefix": old if side == RIGHT else found, "suffix": found if side == RIGHT else old,
+            "low": across if side == RIGHT else new, "back": new if side == RIGHT else across, "n": many}
+
+
+def _grown_rows(shard: int, found: dict[str, np.ndarray]) -> pa.Table:
+    columns = {"shard": np.full(len(found["n"]), shard), **found}
+    return pa.table([pa.array(columns[f]).cast(t) for f, t in _GROWN], schema=pa.schema(_GROWN))
+
+
+def _hashes(found: dict[str, np.ndarray], ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Range and 32-bit hash within it of each pair."""
+    h = mix(found["prefix"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mix(found["suffix"].astype(np.uint64) + np.uint64(1)))
+    return (h % np.uint64(ranges)).astype(np.int64), (h >> np.uint64(32)).astype("<u4")
+
 
+def _word_intervals(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    return first[1:], np.diff(first[1:], append=size)
 
-def _build(longest: int):
-    """Index a shard over its frequent words and extend them to the right: two index rows, then the pairs."""
+
+def _build(longest: int, least: int, ranges: int):
+    """Index a shard over its frequent words: two index rows, then its word pairs' hashes and counts, a row a range."""
+    clipped = np.uint8 if least < 256 else np.dtype("<u4")  # a count of `least` is enough to know
 
     def run(streams: pa.Table, words: pa.Table) -> pa.Table:
         if not streams.num_rows or not words.num_rows:
-            return pa.schema(_GROWN).empty_table()
+            return pa.schema(_BUILT).empty_table()
         shard = streams.column("shard")[0].as_py()
         stream = np.frombuffer(streams.column("stream")[0].as_py(), "<i4")
         order = np.argsort(words.column("local").to_numpy())
         local, ids = words.column("local").to_numpy()[order], words.column("id").to_numpy()[order]
         symbol = np.zeros(int(stream.max(initial=0)) + 1, np.int32)
         symbol[local + 1] = np.arange(1, len(local) + 1)
-        symbols = np.concatenate([[0], symbol[stream], [0]])
+        symbols = np.concatenate([np.zeros(1, np.int32), symbol[stream], np.zeros(1, np.int32)])
         symbols = symbols[(symbols > 0) | (np.diff(symbols, prepend=1) != 0)]  # breaks in a row are one
         n = np.bincount(symbols, minlength=len(local) + 1)[1:]
         first = np.concatenate([[0], np.cumsum(n) - n])
         made = {LEFT: _transform(symbols, longest), RIGHT: _transform(symbols[::-1], longest)}
-        rows = pa.Table.from_pylist([{"shard": shard, "side": side, "bwt": bwt.tobytes(), "first": first.astype("<i8").tobytes()}
-                                     for side, bwt in made.items()], schema=pa.schema(_GROWN))
-        return pa.concat_tables([rows, _grow(Index(made[RIGHT], first), RIGHT, ids, first[1:], first[1:], n, shard)])
+        found = _grow(Index(made[RIGHT], first), RIGHT, ids, first[1:], first[1:], n)
+        rows = [{"shard": shard, "side": side, "bwt": bwt.tobytes(), "first": first.astype("<i8").tobytes(), "ids": ids.astype("<i8").tobytes() if side == RIGHT else None}
+                for side, bwt in made.items()]
+        part, hashes = _hashes(found, ranges)
+        order = np.argsort(part, kind="stable")
+        part, hashes, counts = part[order], hashes[order], np.minimum(found["n"][order], least).astype(clipped)
+        cut = np.flatnonzero(np.diff(part, prepend=-1, append=ranges))
+        rows += [{"shard": shard, "range": int(part[a]), "hashes": hashes[a:b].tobytes(), "counts": counts[a:b].tobytes()}
+                 for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+        return pa.Table.from_pylist(rows, schema=pa.schema(_BUILT))
+
+    return run
+
+
+def _often(least: int):
+    """A range's hashes that all shards together hold ``least`` times: each shard's own, a row a shard."""
+    clipped = np.uint8 if least < 256 else np.dtype("<u4")
+
+    def run(table: pa.Table) -> pa.Table:
+        shards, parts, hashes, counts = (table.column(c).to_pylist() for c in ("shard", "range", "hashes", "counts"))
+        own = [np.frombuffer(h, "<u4") for h in hashes]
+        every, inverse = np.unique(np.concatenate(own), return_inverse=True)
+        total = np.bincount(inverse, weights=np.concatenate([np.frombuffer(c, clipped) for c in counts]))
+        good = every[total >= least]
+        kept = [h[np.isin(h, good)].tobytes() for h in own]
+        return pa.table({"shard": shards, "range": parts, "kept": pa.array(kept, pa.binary())}, schema=_OFTEN).filter(pa.array([len(k) > 0 for k in kept], pa.bool_()))
+
+    return run
+
+
+_OFTEN = pa.schema([("shard", pa.int64()), ("range", pa.int64()), ("kept", pa.binary())])
+_OFTEN_DDL = "shard long, range long, kept binary"
+
+
+def _index(table: pa.Table) -> Index:
+    return Index(np.frombuffer(table.column("bwt")[0].as_py(), "<i4"), np.frombuffer(table.column("first")[0].as_py(), "<i8"))
+
+
+def _pairs(ranges: int):
+    """A shard's word pairs whose hashes come often enough."""
+    def run(indexes: pa.Table, often: pa.Table) -> pa.Table:
+        if not indexes.num_rows or not often.num_rows:
+            return pa.schema(_GROWN).empty_table()
+        index = _index(indexes)
+        low, n = _word_intervals(np.frombuffer(indexes.column("first")[0].as_py(), "<i8"), len(index.bwt))
+        found = _grow(index, RIGHT, np.frombuffer(indexes.column("ids")[0].as_py(), "<i8"), low, low, n)
+        part, hashes = _hashes(found, ranges)
+        good = np.concatenate([np.frombuffer(k, "<u4").astype(np.int64) + (r << 32)
+                               for r, k in zip(often.column("range").to_pylist(), often.column("kept").to_pylist(), strict=True)])
+        kept = np.isin(hashes.astype(np.int64) + (part << 32), good)
+        return _grown_rows(indexes.column("shard")[0].as_py(), {k: v[kept] for k, v in found.items()})
 
     return run
 
@@ -234,9 +306,8 @@ def _extend(indexes: pa.Table, intervals: pa.Table) -> pa.Table:
     """One more word on the side of the shard's index that is given."""
     if not indexes.num_rows or not intervals.num_rows:
         return pa.schema(_GROWN).empty_table()
-    index = Index(np.frombuffer(indexes.column("bwt")[0].as_py(), "<i4"), np.frombuffer(indexes.column("first")[0].as_py(), "<i8"))
     columns = (intervals.column(c).to_numpy().astype(np.int64) for c in ("id", "low", "back", "n"))
-    return _grow(index, indexes.column("side")[0].as_py(), *columns, indexes.column("shard")[0].as_py())
+    return _grown_rows(indexes.column("shard")[0].as_py(), _grow(_index(indexes), indexes.column("side")[0].as_py(), *columns))
 
 
 # ---- the Spark job -----------------------------------------------------------------------------------------------
@@ -260,18 +331,18 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = MAX_WORDS)
     levels = [level]
     frequent = words.join(level.select("id", "lang", F.col("phrase").alias("word")), ["lang", "word"]).select("shard", "local", "id")
     streams = shards.where("stream is not null").select(F.col("shard").alias("_shard"), "stream").withColumnRenamed("_shard", "shard")
-    indexes = None
+    ranges = 1 + int(totals.agg(F.sum("n")).first()[0] or 0) // RANGE_WORDS
+    built = materialise(streams.groupBy("shard").cogroup(frequent.groupBy("shard")).applyInArrow(_build(longest, least, ranges), _BUILT_DDL), "phrase-index")
+    often = built.where("range is not null").select("shard", "range", "hashes", "counts").groupBy("range").applyInArrow(_often(least), _OFTEN_DDL)
+    indexes = built.where("bwt is not null").select(F.col("shard").alias("_shard"), "side", "bwt", "first", "ids").withColumnRenamed("_shard", "shard")
     for size in range(2, longest + 1):
         side = RIGHT if size % 2 == 0 else LEFT
-        if indexes is None:
-            grown = streams.groupBy("shard").cogroup(frequent.groupBy("shard")).applyInArrow(_build(longest), _GROWN_DDL)
+        one = indexes.where(F.col("side") == side).groupBy("shard")
+        if size == 2:
+            grown = one.cogroup(often.groupBy("shard")).applyInArrow(_pairs(ranges), _GROWN_DDL)
         else:
-            one = indexes.where(F.col("side") == side).withColumnRenamed("_shard", "shard")
-            grown = one.groupBy("shard").cogroup(intervals.groupBy("shard")).applyInArrow(_extend, _GROWN_DDL)
-        grown = materialise(grown, f"phrase-grown-{size}")
-        if indexes is None:
-            indexes = grown.where("bwt is not null").select(F.col("shard").alias("_shard"), "side", "bwt", "first")
-        found = grown.where("prefix is not null").select("shard", "prefix", "suffix", "low", "back", "n")
+            grown = one.cogroup(intervals.groupBy("shard")).applyInArrow(_extend, _GROWN_DDL)
+        found = materialise(grown, f"phrase-grown-{size}")
         sums = found.groupBy("prefix", "suffix").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
         before = level.select(F.col("id").alias("prefix"), "lang", F.col("phrase").alias("_start"), F.col("begins").alias("_begins"))
         after = level.select(F.col("id").alias("suffix"), F.col("phrase").alias("_end"), F.col("ends").alias("_ends"))
