@@ -62,6 +62,10 @@ _BOILERPLATE_HINT = re.compile(
 # a hint after these, or between another word and one of those, tells of an element elsewhere: has-sidebar, content-sidebar-wrap
 _BEFORE_MENTION, _AFTER_MENTION = frozenset("has no with without".split()), frozenset("wrap wrapper container".split())
 
+# whoever speaks there, it is not the article
+_COMMENTS = frozenset("comment comments commentlist replies reply respond disqus".split())
+_TITLE_OF = frozenset("article post entry story content".split())
+
 # comment, declaration, '</' before a non-letter up to '>', tag; a quote opens a value only after '=', and only if it closes
 _TOKEN = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</(?![a-zA-Z])[^>]*>"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]++)?)?|=)*+(?=>)|[^>]*+)>"""
@@ -283,15 +287,27 @@ def _hard(tag: str, inside: bool) -> bool:
     return tag in _BOILERPLATE and tag != "form" or tag == "header" and not inside
 
 
-@lru_cache(maxsize=4096)
-def _says_boilerplate(tag: str, words: str) -> bool:
-    """Whether class words (or a form) say that what an element holds is no part of the article."""
+def _hints(words: str) -> Iterator[tuple[str, str]]:
+    """The parts of class words that tell of boilerplate, each with the part before it."""
     for word in words.split("."):
         parts = ["", *re.split(r"[\-_]", word), ""]
         for before, part, after in zip(parts, parts[1:], parts[2:]):
             if _BOILERPLATE_HINT.fullmatch(part) and before not in _BEFORE_MENTION and not (before and after in _AFTER_MENTION):
-                return True
-    return tag == "form"
+                yield part, before
+
+
+@lru_cache(maxsize=8192)
+def _says_boilerplate(tag: str, words: str, inside: bool) -> bool:
+    """Whether class words (or a form) say that what an element holds is no part of the article.
+
+    A header inside an article or main element, or one named after an article, holds its title.
+    """
+    return tag == "form" or any(part != "header" or not (inside or before in _TITLE_OF) for part, before in _hints(words))
+
+
+@lru_cache(maxsize=8192)
+def _says_comments(label: str) -> bool:
+    return any(part in _COMMENTS for part, _ in _hints(label.partition(".")[2]))
 
 
 def _boilerplate(path: list[str], spared: frozenset[tuple] = frozenset()) -> bool:
@@ -299,7 +315,7 @@ def _boilerplate(path: list[str], spared: frozenset[tuple] = frozenset()) -> boo
     inside = False  # of an article: its own header holds its title
     for k, label in enumerate(path):
         tag, _, words = label.partition(".")
-        if _hard(tag, inside) or tag not in ("body", "html", "main") and _says_boilerplate(tag, words) and tuple(path[:k + 1]) not in spared:
+        if _hard(tag, inside) or tag not in ("body", "html", "main") and _says_boilerplate(tag, words, inside) and tuple(path[:k + 1]) not in spared:
             return True
         inside |= tag in ("article", "main")
     return False
@@ -356,6 +372,7 @@ def _spared(found: list[tuple[Node, list[str]]]) -> tuple[frozenset[tuple], froz
 
     For certain: those around the main element; outside of main and article elements, those around 8 of 10 characters; and
     those that are or hold an article element with half of the characters. Else any around 8 of 10 characters or an article.
+    What says that it holds comments is never spared.
     """
     around: dict[str, set[tuple]] = {"article": set(), "main": set()}
     within: set[tuple] = set()
@@ -369,7 +386,29 @@ def _spared(found: list[tuple[Node, list[str]]]) -> tuple[frozenset[tuple], froz
     total = weight.get((), 0)
     most = {k for k, v in weight.items() if 10 * v >= 8 * total > 0}
     half = {k for k in around["article"] if 2 * weight.get(k, 0) > total}
-    return frozenset(around["main"] | half | most - within), frozenset(around["main"] | around["article"] | most)
+    certain, possible = around["main"] | half | most - within, around["main"] | around["article"] | most
+    return tuple(frozenset(k for k in some if not k or not _says_comments(k[-1])) for some in (certain, possible))
+
+
+def _articles(some: list[tuple[Node, list[str]]]) -> tuple[list[Node], set[int]]:
+    """The slots of the article elements that make up the text: of those in one main element (or outside of any), the
+    largest and any half as large; none if together they hold less than half of that element (or of the page). And the
+    slots of articles with less than a quarter of it, which are cards or answers beside the text."""
+    weight = _weights(some)
+    of: dict[tuple, dict[tuple, list[Node]]] = {}
+    for n, p in some:
+        tags = [label.partition(".")[0] for label in p]
+        if "article" in tags:
+            main = tuple(p[:tags.index("main") + 1]) if "main" in tags else ()
+            of.setdefault(main, {}).setdefault(tuple(p[:tags.index("article") + 1]), []).append(n)
+    chosen, small = [], set()
+    for main, articles in of.items():
+        small.update(id(n) for a, nodes in articles.items() if 4 * weight[a] < weight[main] for n in nodes)
+        most = max(weight[a] for a in articles)
+        large = [a for a in articles if 2 * weight[a] >= most]
+        if 2 * sum(weight[a] for a in large) >= weight[main]:
+            chosen += [n for a in large for n in articles[a]]
+    return chosen, small
 
 
 def judge(found: list[tuple[Node, list[str]]]) -> list[bool]:
@@ -377,12 +416,12 @@ def judge(found: list[tuple[Node, list[str]]]) -> list[bool]:
     certain, possible = _spared(found)
     good = [(n, p) for n, p in found if not _boilerplate(p, certain)]
     wide = [(n, p) for n, p in found if not _boilerplate(p, possible)]
-    article, main = _in_tag("article"), _in_tag("main")
-    for some, inside in ((good, article), (wide, article), (good, main), (wide, main), (good, _hinted)):
-        chosen = [n for n, p in some if inside(p)]
-        if chosen:
-            break
-    else:
+    main = _in_tag("main")
+    chosen, small = _articles(good)
+    if not chosen:
+        good = [(n, p) for n, p in good if id(n) not in small] or good
+        chosen = [n for n, p in good if main(p)] or _articles(wide)[0] or [n for n, p in wide if main(p)] or [n for n, p in good if _hinted(p)]
+    if not chosen:
         live = _live(good)
         # the innermost element that holds most of what is left
         weight = _weights(live)

@@ -67,3 +67,27 @@ def test_misleading_wrappers(spark):
     pages = [(f"http://h{k}.example/{i}", "<body>" + MENU + layout.format(body(i)) + "</body>") for k, layout in enumerate(layouts) for i in range(4)]
     got = texts(spark, pages)
     assert [(k // 4, t) for k, t in enumerate(got) if t != body(k % 4)] == []
+
+
+def test_articles_that_are_not_the_text(spark):
+    """Comments and cards in article elements beside the text, and titles in headers of articles."""
+    def title(i):
+        return f"Title {i} of thing"
+
+    layouts = ["<main><h1>{t}</h1><p>{b}</p><section id=comments><article class=comment><p>Reader {i} says hi</p></article></section></main>",
+               "<main><h1>{t}</h1><p>{b}</p><div class=cards><article><p>Teaser card {i}</p></article></div></main>",
+               "<article><h1>{t}</h1><p>{b}</p></article><section class=more><article><p>Other story {i}</p></article></section>",
+               "<article><header class='entry-header'><h1>{t}</h1></header><p>{b}</p></article>",
+               "<article><div class='article-header'><h1>{t}</h1></div><p>{b}</p></article>",
+               "<div class=content><div class='post-header'><h1>{t}</h1></div><p>{b}</p></div><div class='site-header'><p>Site {i}</p></div>",
+               "<main><article><h1>{t}</h1><p>{b}</p></article><article class=comment><p>Reader {i}</p></article></main>",
+               "<h1>{t}</h1><p>{b}</p><div class=cards><article><p>Teaser card {i}</p></article></div>"]
+    pages = [(f"http://j{k}.example/{i}", "<body>" + MENU + layout.format(t=title(i), b=body(i), i=i) + "</body>") for k, layout in enumerate(layouts) for i in range(4)]
+    got = texts(spark, pages)
+    assert [(k // 4, t) for k, t in enumerate(got) if t != title(k % 4) + " " + body(k % 4)] == []
+
+
+def test_several_articles_make_one_text(spark):
+    page = "<main>" + "".join("<article class=a{k}><h2>Part {i} {k}</h2><p>{b}</p></article>".replace("{k}", str(k)) for k in range(3)) + "</main>"
+    pages = [(f"http://k.example/{i}", "<body>" + MENU + page.replace("{i}", str(i)).replace("{b}", body(i)) + "</body>") for i in range(4)]
+    assert texts(spark, pages) == [" ".join(f"Part {i} {k} {body(i)}" for k in range(3)) for i in range(4)]
