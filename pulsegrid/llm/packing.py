@@ -49,12 +49,9 @@ def default_tokenizer() -> str:
 
 
 @lru_cache(maxsize=1)
-def _unassigned() -> str:
-    """Ranges of the code points that have no category yet, for a character class: splitters differ on them."""
-    none = np.flatnonzero([unicodedata.category(chr(c)) == "Cn" for c in range(sys.maxunicode + 1)])
-    starts = none[np.diff(none, prepend=-2) > 1]
-    ends = none[np.diff(none, append=sys.maxunicode + 3) > 1]
-    return "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b in zip(starts.tolist(), ends.tolist(), strict=True))
+def _unassigned() -> np.ndarray:
+    """By code point: has it no category yet? Splitters of different Unicode versions differ on those."""
+    return np.fromiter((unicodedata.category(chr(c)) == "Cn" for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
 
 
 class WordTokenizer:
@@ -82,7 +79,8 @@ class WordTokenizer:
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n")
         # what depends on more than single letters, on what counts as a space, or on the Unicode version is left to the
         # library
-        self.special = regex.compile(r"[Σİ]|<\||[\x00-\x09\x0B-\x1F\x7F-\xA0\p{Z}\uFEFF]|[" + _unassigned() + "]")
+        self.special = regex.compile(r"[Σİ]|<\||[\x00-\x09\x0B-\x1F\x7F-\xA0\p{Z}\uFEFF]")
+        self.unassigned = _unassigned()
         self.parts: dict[str, bytes] = {}
         self._forget()
 
@@ -93,6 +91,12 @@ class WordTokenizer:
 
         return Tokenizer.from_file(self.path)
 
+    def _left(self, text: str) -> bool:
+        """Is the text, or something in it, left to the library?"""
+        if self.special.search(text):
+            return True
+        return not text.isascii() and bool(self.unassigned[np.frombuffer(text.encode("utf-32-le"), "<u4")].any() or not unicodedata.is_normalized("NFC", text))
+
     def _forget(self) -> None:
         self.hashes, self.recent = (np.zeros(0, np.uint64) for _ in range(2))
         self.at, self.recent_at = (np.zeros((0, 2), np.int64) for _ in range(2))
@@ -117,9 +121,9 @@ class WordTokenizer:
     def _learn(self, new: list[bytes]) -> tuple[bytes, np.ndarray]:
         """Ids of the words (as bytes, joined) and how many each has."""
         text = b"\n".join(new).decode()
-        if self.special.search(text.replace("\n", "")) or not unicodedata.is_normalized("NFC", text):
+        if self._left(text.replace("\n", "")):
             words = [w.decode() for w in new]
-            odd = [bool(self.special.search(w)) or not unicodedata.is_normalized("NFC", w) for w in words]
+            odd = [self._left(w) for w in words]
             out: list[bytes] = [self._whole(w) if o else b"" for w, o in zip(words, odd, strict=True)]
             if not all(odd):
                 raw, n = self._learn([w for w, o in zip(new, odd, strict=True) if not o])
