@@ -7,18 +7,17 @@ phrase. A phrase is a pair of intervals, one in either transform. It is extended
 transform and to the left in the forward one, in turns; the symbols found in one interval give the new interval there
 by LF mapping, and the other one by the number of smaller symbols.
 
-Phrases grow one word at a time, over all shards together: each shard extends its intervals, the counts of equal
-phrases are summed, those with at least ``least`` occurrences get an id, and every shard gets back the ids of its own
-intervals by a join. An extension is only kept where the phrase without its first word and the phrase without its last
+Phrases grow one word at a time, over all shards together: each shard extends its intervals and deals the new phrases,
+packed, to ranges by a hash; a range sums the counts of equal phrases, gives those with at least ``least`` occurrences
+an id, and sends every shard the ids and intervals of its own. An extension is only kept where the phrase without its first word and the phrase without its last
 word both are frequent everywhere, so a phrase of k + 1 words is known by the pair of ids of its two parts of k words;
 that pair gives its text, the counts of all its beginnings and ends, and the extensions of its parts to either side.
 No dictionary, phrase table or index is ever sent to all tasks unless Spark finds it small; a shard's index meets its
 own intervals only.
 
-Most pairs of frequent words are rare. Before they become rows, every shard deals the hashes of its pairs, with their
-counts, to ranges (one packed row per shard and range); a range adds up the shards' counts per hash and tells each
-shard which of its hashes reach ``least``. Hashes only ever add up, so no frequent pair is lost; the rows of those
-that are left are counted by their words.
+Most pairs of frequent words are rare. Before pairs are dealt, every shard deals their hashes, with their counts; a
+range adds up the shards' counts per hash and tells each shard which of its hashes reach ``least``. Hashes only ever
+add up, so no frequent pair is lost; those that are left are counted by their words.
 
 Defined results: a null language is ``und``; null, empty and wordless texts have no words; repeated rows count as
 often as they come; equal scores are ordered by count, then by the phrase's UTF-8 bytes; a language without candidates
@@ -191,8 +190,9 @@ class Index:
         return which[word], self.lf[at[order[cut]]][word], (other[which] + smaller)[word], many[word]
 
 
-_GROWN = [("shard", pa.int64()), ("prefix", pa.int64()), ("suffix", pa.int64()), ("low", pa.int32()), ("back", pa.int32()), ("n", pa.int32())]
-_GROWN_DDL = "shard long, prefix long, suffix long, low int, back int, n int"
+_GROWN = pa.schema([("shard", pa.int64()), ("range", pa.int64()), *((c, pa.binary()) for c in ("prefix", "suffix", "low", "back", "n"))])
+_GROWN_DDL = "shard long, range long, prefix binary, suffix binary, low binary, back binary, n binary"
+_WIDE = {"prefix": "<i8", "suffix": "<i8", "ids": "<i8", "low": "<i4", "back": "<i4", "n": "<i4"}
 _BUILT = [("shard", pa.int64()), ("side", pa.int32()), ("bwt", pa.binary()), ("first", pa.binary()), ("ids", pa.binary()),
           ("range", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())]
 _BUILT_DDL = "shard long, side int, bwt binary, first binary, ids binary, range long, hashes binary, counts binary"
@@ -214,17 +214,58 @@ def _grow(index: Index, side: int, ids: np.ndarray, low: np.ndarray, back: np.nd
             "low": across if side == RIGHT else new, "back": new if side == RIGHT else across, "n": many}
 
 
-def _grown_rows(shard: int, found: dict[str, np.ndarray]) -> pa.Table:
-    columns = {"shard": np.full(len(found["n"]), shard), **found}
-    return pa.table([pa.array(columns[f]).cast(t) for f, t in _GROWN], schema=pa.schema(_GROWN))
-
-
 def _hashes(found: dict[str, np.ndarray], ranges: int) -> tuple[np.ndarray, np.ndarray]:
     """Range and 32-bit hash within it of each pair."""
     h = mix(found["prefix"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mix(found["suffix"].astype(np.uint64) + np.uint64(1)))
     return (h % np.uint64(ranges)).astype(np.int64), (h >> np.uint64(32)).astype("<u4")
 
 
+def _dealt(shard: int, found: dict[str, np.ndarray], ranges: int) -> pa.Table:
+    """The extensions of a shard, one packed row a range."""
+    part, _ = _hashes(found, ranges)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    packed = {c: found[c][order].astype(_WIDE[c]) for c in ("prefix", "suffix", "low", "back", "n")}
+    cut = np.flatnonzero(np.diff(part, prepend=-1, append=ranges))
+    return pa.Table.from_pylist([{"shard": shard, "range": int(part[a]), **{c: x[a:b].tobytes() for c, x in packed.items()}}
+                                 for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], schema=_GROWN)
+
+
+def _unpacked(table: pa.Table, *names: str) -> list[np.ndarray]:
+    return [np.frombuffer(b"".join(table.column(c).to_pylist()), _WIDE[c]) for c in names]
+
+
+_COUNTED = pa.schema([("id", pa.int64()), ("prefix", pa.int64()), ("suffix", pa.int64()), ("f", pa.int64()),
+                      ("shard", pa.int64()), *((c, pa.binary()) for c in ("ids", "low", "back", "n"))])
+_COUNTED_DDL = "id long, prefix long, suffix long, f long, shard long, ids binary, low binary, back binary, n binary"
+
+
+def _counted(least: int):
+    """A range's phrases that come often enough, a row each; and for each shard the ids and intervals of its own."""
+    def run(table: pa.Table) -> pa.Table:
+        prefix, suffix, low, back, n = _unpacked(table, "prefix", "suffix", "low", "back", "n")
+        order = np.lexsort((suffix, prefix))
+        first = np.flatnonzero(np.diff(prefix[order], prepend=-1).astype(bool) | np.diff(suffix[order], prepend=-1).astype(bool))
+        f = np.add.reduceat(n[order].astype(np.int64), first)
+        often = np.flatnonzero(f >= least)
+        ids = np.full(len(f), -1, np.int64)
+        ids[often] = (table.column("range")[0].as_py() << 32) + np.arange(len(often))
+        of = np.empty(len(order), np.int64)
+        of[order] = np.repeat(ids, np.diff(first, append=len(order)))
+        at = order[first[often]]
+        phrases = pa.table({"id": ids[often], "prefix": prefix[at], "suffix": suffix[at], "f": f[often]})
+        cut = np.cumsum([0, *(len(x) // 4 for x in table.column("n").to_pylist())]).tolist()
+        rows = []
+        for shard, a, b in zip(table.column("shard").to_pylist(), cut[:-1], cut[1:], strict=True):
+            own = a + np.flatnonzero(of[a:b] >= 0)
+            if len(own):
+                rows.append({"shard": shard, "ids": of[own].tobytes(), "low": low[own].tobytes(), "back": back[own].tobytes(), "n": n[own].tobytes()})
+        phrases = pa.table([phrases.column(f.name) if f.name in phrases.column_names else pa.nulls(len(often), f.type) for f in _COUNTED], schema=_COUNTED)
+        return pa.concat_tables([phrases, pa.Table.from_pylist(rows, schema=_COUNTED)])
+
+    return run
+
+
 def _word_intervals(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return first[1:], np.diff(first[1:], append=size)
 
@@ -289,7 +330,7 @@ def _pairs(ranges: int):
     """A shard's word pairs whose hashes come often enough."""
     def run(indexes: pa.Table, often: pa.Table) -> pa.Table:
         if not indexes.num_rows or not often.num_rows:
-            return pa.schema(_GROWN).empty_table()
+            return _GROWN.empty_table()
         index = _index(indexes)
         low, n = _word_intervals(np.frombuffer(indexes.column("first")[0].as_py(), "<i8"), len(index.bwt))
         found = _grow(index, RIGHT, np.frombuffer(indexes.column("ids")[0].as_py(), "<i8"), low, low, n)
@@ -297,17 +338,20 @@ def _pairs(ranges: int):
         good = np.concatenate([np.frombuffer(k, "<u4").astype(np.int64) + (r << 32)
                                for r, k in zip(often.column("range").to_pylist(), often.column("kept").to_pylist(), strict=True)])
         kept = np.isin(hashes.astype(np.int64) + (part << 32), good)
-        return _grown_rows(indexes.column("shard")[0].as_py(), {k: v[kept] for k, v in found.items()})
+        return _dealt(indexes.column("shard")[0].as_py(), {k: v[kept] for k, v in found.items()}, ranges)
 
     return run
 
 
-def _extend(indexes: pa.Table, intervals: pa.Table) -> pa.Table:
+def _extend(ranges: int):
     """One more word on the side of the shard's index that is given."""
-    if not indexes.num_rows or not intervals.num_rows:
-        return pa.schema(_GROWN).empty_table()
-    columns = (intervals.column(c).to_numpy().astype(np.int64) for c in ("id", "low", "back", "n"))
-    return _grown_rows(indexes.column("shard")[0].as_py(), _grow(_index(indexes), indexes.column("side")[0].as_py(), *columns))
+    def run(indexes: pa.Table, intervals: pa.Table) -> pa.Table:
+        if not indexes.num_rows or not intervals.num_rows:
+            return _GROWN.empty_table()
+        columns = (x.astype(np.int64) for x in _unpacked(intervals, "ids", "low", "back", "n"))
+        return _dealt(indexes.column("shard")[0].as_py(), _grow(_index(indexes), indexes.column("side")[0].as_py(), *columns), ranges)
+
+    return run
 
 
 # ---- the Spark job -----------------------------------------------------------------------------------------------
@@ -329,7 +373,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = MAX_WORDS)
         F.monotonically_increasing_id().alias("id"), "lang", F.col("word").alias("phrase"), "f",
         F.array("f").alias("begins"), F.array("f").alias("ends")), "phrase-1")
     levels = [level]
-    frequent = words.join(level.select("id", "lang", F.col("phrase").alias("word")), ["lang", "word"]).select("shard", "local", "id")
+    # a merge join at any size: what it moves then follows the corpus from small tables on
+    frequent = words.join(level.select("id", "lang", F.col("phrase").alias("word")).hint("merge"), ["lang", "word"]).select("shard", "local", "id")
     streams = shards.where("stream is not null").select(F.col("shard").alias("_shard"), "stream").withColumnRenamed("_shard", "shard")
     ranges = 1 + int(totals.agg(F.sum("n")).first()[0] or 0) // RANGE_WORDS
     built = materialise(streams.groupBy("shard").cogroup(frequent.groupBy("shard")).applyInArrow(_build(longest, least, ranges), _BUILT_DDL), "phrase-index")
@@ -341,17 +386,16 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = MAX_WORDS)
         if size == 2:
             grown = one.cogroup(often.groupBy("shard")).applyInArrow(_pairs(ranges), _GROWN_DDL)
         else:
-            grown = one.cogroup(intervals.groupBy("shard")).applyInArrow(_extend, _GROWN_DDL)
-        found = materialise(grown, f"phrase-grown-{size}")
-        sums = found.groupBy("prefix", "suffix").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+            grown = one.cogroup(intervals.groupBy("shard")).applyInArrow(_extend(ranges), _GROWN_DDL)
+        summed = materialise(grown.groupBy("range").applyInArrow(_counted(least), _COUNTED_DDL), f"phrase-counted-{size}")
         before = level.select(F.col("id").alias("prefix"), "lang", F.col("phrase").alias("_start"), F.col("begins").alias("_begins"))
         after = level.select(F.col("id").alias("suffix"), F.col("phrase").alias("_end"), F.col("ends").alias("_ends"))
         last_word = F.substring_index("_end", " ", -1)
-        level = materialise(sums.join(before, "prefix").join(after, "suffix").select(
-            F.monotonically_increasing_id().alias("id"), "lang", F.concat_ws(" ", "_start", last_word).alias("phrase"), "f",
+        level = materialise(summed.where("id is not null").select("id", "prefix", "suffix", "f").join(before, "prefix").join(after, "suffix").select(
+            "id", "lang", F.concat_ws(" ", "_start", last_word).alias("phrase"), "f",
             F.concat("_begins", F.array("f")).alias("begins"), F.concat("_ends", F.array("f")).alias("ends"), "prefix", "suffix"), f"phrase-{size}")
         levels.append(level)
-        intervals = found.join(level.select("id", "prefix", "suffix"), ["prefix", "suffix"]).select("shard", "id", "low", "back", "n")
+        intervals = summed.where("shard is not null").select("shard", "ids", "low", "back", "n")
     return totals, levels
 
 
