@@ -26,6 +26,8 @@ has no rows; extra columns are ignored. No documents give no rows.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -36,8 +38,8 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.common import _LOWER, Words, materialise, mix, offsets_of, prepare, slices, texts
 
 SHARD_WORDS = 1 << 20
-# Words of the corpus for each range that adds up pair hashes.
-RANGE_WORDS = 1 << 20
+# Bytes of text for each range that adds up words, pair hashes or phrases.
+RANGE_BYTES = 6 << 20
 MAX_WORDS = 5
 LEAST = 100
 TOP = 2000
@@ -49,6 +51,16 @@ _BREAK = _PIECE_END.copy()
 _BREAK[[0x20, 0x09]] = True
 
 
+def _bytes(x: np.ndarray, kind: str) -> bytes:
+    """Numbers as planes of bytes, the low ones first: planes that hardly change compress to nothing."""
+    return x.astype(kind).view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def _numbers(raw: bytes, kind: str) -> np.ndarray:
+    wide = np.dtype(kind).itemsize
+    return np.frombuffer(raw, np.uint8).reshape(wide, -1).T.copy().view(kind).ravel()
+
+
 # ---- words of a task's texts -------------------------------------------------------------------------------------
 
 
@@ -105,36 +117,71 @@ class _Shard:
         return np.insert(at + 1, opens, 0).astype("<i4"), [self.words[k] for k in first.tolist()], np.bincount(at, minlength=len(known))
 
 
-_SHARDS = pa.schema([("lang", pa.string()), ("shard", pa.int64()), ("stream", pa.binary()), ("word", pa.string()), ("local", pa.int32()), ("n", pa.int64())])
-_SHARDS_DDL = "lang string, shard long, stream binary, word string, local int, n long"
+_SHARDS = pa.schema([("shard", pa.int64()), ("stream", pa.binary()), ("range", pa.int64()), ("lang", pa.string()), ("words", pa.binary()),
+                     ("local", pa.binary()), ("n", pa.binary())])
+_SHARDS_DDL = "shard long, stream binary, range long, lang string, words binary, local binary, n binary"
 
 
-def _shards(batches):
-    shard = TaskContext.get().partitionId() << 24
-    held: dict[str, _Shard] = {}
+def _shards(ranges: int):
+    """Shards of a task's texts: a row with the stream, and the words with their counts, packed, a row a range."""
+    def closed(shard: int, lang: str, held: _Shard):
+        stream, words, n = held.closed()
+        # equal words of a language meet in one range
+        part = np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words))
+        part = (part * 0x9E3779B1 + zlib.crc32(lang.encode())) % ((1 << 31) - 1) % ranges
+        order = np.argsort(part, kind="stable")
+        cut = np.flatnonzero(np.diff(part[order], prepend=-1, append=ranges))
+        rows = [{"shard": shard, "range": int(part[own[0]]), "lang": lang, "words": b"\n".join([words[k] for k in own.tolist()]),
+                 "local": _bytes(own, "<i4"), "n": _bytes(n[own], "<i8")} for own in np.split(order, cut[1:-1])]
+        yield pa.RecordBatch.from_pylist([{"shard": shard, "stream": _bytes(stream, "<i4")}, *rows], schema=_SHARDS)
+
+    def run(batches):
+        shard = TaskContext.get().partitionId() << 24
+        held: dict[str, _Shard] = {}
+        for batch in batches:
+            for rows in slices(batch, "text"):
+                lang = rows.column("lang")
+                for name in pc.unique(lang).to_pylist():
+                    held.setdefault(name, _Shard()).add(PieceWords(texts(rows.column("text").filter(pc.equal(lang, name)))))
+                    if held[name].size >= SHARD_WORDS:
+                        yield from closed(shard, name, held.pop(name))
+                        shard += 1
+        for name, some in held.items():
+            if some.size:
+                yield from closed(shard, name, some)
+                shard += 1
 
-    def closed(lang: str):
-        nonlocal shard
-        if not held[lang].size:
-            return
-        stream, words, n = held.pop(lang).closed()
-        for k in range(0, len(words), 50_000):
-            part = words[k:k + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(part)), pa.array(np.full(len(part), shard)), pa.nulls(len(part), pa.binary()),
-                 pa.array(part, pa.binary()).cast(pa.string()), pa.array(np.arange(k, k + len(part)), pa.int32()), pa.array(n[k:k + len(part)])], schema=_SHARDS)
-        yield pa.RecordBatch.from_pylist([{"lang": lang, "shard": shard, "stream": stream.tobytes()}], schema=_SHARDS)
-        shard += 1
+    return run
 
-    for batch in batches:
-        for rows in slices(batch, "text"):
-            lang = rows.column("lang")
-            for name in pc.unique(lang).to_pylist():
-                held.setdefault(name, _Shard()).add(PieceWords(texts(rows.column("text").filter(pc.equal(lang, name)))))
-                if held[name].size >= SHARD_WORDS:
-                    yield from closed(name)
-    for name in list(held):
-        yield from closed(name)
+
+_WORDS = pa.schema([("lang", pa.string()), ("id", pa.int64()), ("phrase", pa.string()), ("f", pa.int64()), ("shard", pa.int64()),
+                    ("local", pa.binary()), ("ids", pa.binary())])
+_WORDS_DDL = "lang string, id long, phrase string, f long, shard long, local binary, ids binary"
+
+
+def _counted_words(least: int):
+    """A range's words: all of a language's as one sum (no phrase), those that come often enough a row each, and for
+    each shard the numbers and ids of its own."""
+    def run(table: pa.Table) -> pa.Table:
+        held = [(shard, lang, words.split(b"\n"), _numbers(local, "<i4"), _numbers(n, "<i8"))
+                for shard, lang, words, local, n in zip(*(table.column(c).to_pylist() for c in ("shard", "lang", "words", "local", "n")), strict=True)]
+        total: dict[tuple[str, bytes], int] = {}
+        all_of: dict[str, int] = {}
+        for _, lang, words, _, n in held:
+            all_of[lang] = all_of.get(lang, 0) + int(n.sum())
+            for word, m in zip(words, n.tolist(), strict=True):
+                total[lang, word] = total.get((lang, word), 0) + m
+        base = table.column("range")[0].as_py() << 32
+        ids = {key: base + k for k, key in enumerate(sorted(key for key, f in total.items() if f >= least))}
+        rows = [{"lang": lang, "f": f} for lang, f in all_of.items()]
+        rows += [{"lang": key[0], "id": i, "phrase": key[1].decode(), "f": total[key]} for key, i in ids.items()]
+        for shard, lang, words, local, _ in held:
+            own = np.array([ids.get((lang, w), -1) for w in words], np.int64)
+            if (own >= 0).any():
+                rows.append({"shard": shard, "local": _bytes(local[own >= 0], "<i4"), "ids": _bytes(own[own >= 0], "<i8")})
+        return pa.Table.from_pylist(rows, schema=_WORDS)
+
+    return run
 
 
 # ---- the index ---------------------------------------------------------------------------------------------------
@@ -223,16 +270,16 @@ def _hashes(found: dict[str, np.ndarray], ranges: int) -> tuple[np.ndarray, np.n
 def _dealt(shard: int, found: dict[str, np.ndarray], ranges: int) -> pa.Table:
     """The extensions of a shard, one packed row a range."""
     part, _ = _hashes(found, ranges)
-    order = np.argsort(part, kind="stable")
+    order = np.lexsort((found["prefix"], part))
     part = part[order]
-    packed = {c: found[c][order].astype(_WIDE[c]) for c in ("prefix", "suffix", "low", "back", "n")}
+    packed = {c: found[c][order] for c in ("prefix", "suffix", "low", "back", "n")}
     cut = np.flatnonzero(np.diff(part, prepend=-1, append=ranges))
-    return pa.Table.from_pylist([{"shard": shard, "range": int(part[a]), **{c: x[a:b].tobytes() for c, x in packed.items()}}
+    return pa.Table.from_pylist([{"shard": shard, "range": int(part[a]), **{c: _bytes(x[a:b], _WIDE[c]) for c, x in packed.items()}}
                                  for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], schema=_GROWN)
 
 
 def _unpacked(table: pa.Table, *names: str) -> list[np.ndarray]:
-    return [np.frombuffer(b"".join(table.column(c).to_pylist()), _WIDE[c]) for c in names]
+    return [np.concatenate([_numbers(x, _WIDE[c]) for x in table.column(c).to_pylist()]) for c in names]
 
 
 _COUNTED = pa.schema([("id", pa.int64()), ("prefix", pa.int64()), ("suffix", pa.int64()), ("f", pa.int64()),
@@ -259,7 +306,7 @@ def _counted(least: int):
         for shard, a, b in zip(table.column("shard").to_pylist(), cut[:-1], cut[1:], strict=True):
             own = a + np.flatnonzero(of[a:b] >= 0)
             if len(own):
-                rows.append({"shard": shard, "ids": of[own].tobytes(), "low": low[own].tobytes(), "back": back[own].tobytes(), "n": n[own].tobytes()})
+                rows.append({"shard": shard, **{c: _bytes(x[own], _WIDE[c]) for c, x in (("ids", of), ("low", low), ("back", back), ("n", n))}})
         phrases = pa.table([phrases.column(f.name) if f.name in phrases.column_names else pa.nulls(len(often), f.type) for f in _COUNTED], schema=_COUNTED)
         return pa.concat_tables([phrases, pa.Table.from_pylist(rows, schema=_COUNTED)])
 
@@ -278,9 +325,10 @@ def _build(longest: int, least: int, ranges: int):
         if not streams.num_rows or not words.num_rows:
             return pa.schema(_BUILT).empty_table()
         shard = streams.column("shard")[0].as_py()
-        stream = np.frombuffer(streams.column("stream")[0].as_py(), "<i4")
-        order = np.argsort(words.column("local").to_numpy())
-        local, ids = words.column("local").to_numpy()[order], words.column("id").to_numpy()[order]
+        stream = _numbers(streams.column("stream")[0].as_py(), "<i4")
+        local, ids = (np.concatenate([_numbers(x, kind) for x in words.column(c).to_pylist()]) for c, kind in (("local", "<i4"), ("ids", "<i8")))
+        order = np.argsort(local)
+        local, ids = local[order], ids[order]
         symbol = np.zeros(int(stream.max(initial=0)) + 1, np.int32)
         symbol[local + 1] = np.arange(1, len(local) + 1)
         symbols = np.concatenate([np.zeros(1, np.int32), symbol[stream], np.zeros(1, np.int32)])
@@ -289,7 +337,7 @@ def _build(longest: int, least: int, ranges: int):
         first = np.concatenate([[0], np.cumsum(n) - n])
         made = {LEFT: _transform(symbols, longest), RIGHT: _transform(symbols[::-1], longest)}
         found = _grow(Index(made[RIGHT], first), RIGHT, ids, first[1:], first[1:], n)
-        rows = [{"shard": shard, "side": side, "bwt": bwt.tobytes(), "first": first.astype("<i8").tobytes(), "ids": ids.astype("<i8").tobytes() if side == RIGHT else None}
+        rows = [{"shard": shard, "side": side, "bwt": _bytes(bwt, "<i4"), "first": _bytes(first, "<i8"), "ids": _bytes(ids, "<i8") if side == RIGHT else None}
                 for side, bwt in made.items()]
         part, hashes = _hashes(found, ranges)
         order = np.argsort(part, kind="stable")
@@ -323,7 +371,7 @@ _OFTEN_DDL = "shard long, range long, kept binary"
 
 
 def _index(table: pa.Table) -> Index:
-    return Index(np.frombuffer(table.column("bwt")[0].as_py(), "<i4"), np.frombuffer(table.column("first")[0].as_py(), "<i8"))
+    return Index(_numbers(table.column("bwt")[0].as_py(), "<i4"), _numbers(table.column("first")[0].as_py(), "<i8"))
 
 
 def _pairs(ranges: int):
@@ -332,8 +380,8 @@ def _pairs(ranges: int):
         if not indexes.num_rows or not often.num_rows:
             return _GROWN.empty_table()
         index = _index(indexes)
-        low, n = _word_intervals(np.frombuffer(indexes.column("first")[0].as_py(), "<i8"), len(index.bwt))
-        found = _grow(index, RIGHT, np.frombuffer(indexes.column("ids")[0].as_py(), "<i8"), low, low, n)
+        low, n = _word_intervals(_numbers(indexes.column("first")[0].as_py(), "<i8"), len(index.bwt))
+        found = _grow(index, RIGHT, _numbers(indexes.column("ids")[0].as_py(), "<i8"), low, low, n)
         part, hashes = _hashes(found, ranges)
         good = np.concatenate([np.frombuffer(k, "<u4").astype(np.int64) + (r << 32)
                                for r, k in zip(often.column("range").to_pylist(), often.column("kept").to_pylist(), strict=True)])
@@ -365,18 +413,17 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = MAX_WORDS)
     """
     prepare(docs.sparkSession)
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.col("text").cast("string").alias("text"))
-    shards = materialise(docs.where("text is not null").mapInArrow(_shards, _SHARDS_DDL), "phrase-shards")
-    words = shards.where("word is not null").select("lang", "shard", "word", "local", "n")
-    counted = words.groupBy("lang", "word").agg(F.sum("n").alias("f"))
-    totals = materialise(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-    level = materialise(counted.where(F.col("f") >= least).select(
-        F.monotonically_increasing_id().alias("id"), "lang", F.col("word").alias("phrase"), "f",
-        F.array("f").alias("begins"), F.array("f").alias("ends")), "phrase-1")
+    docs = docs.where("text is not null")
+    ranges = 1 + int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // RANGE_BYTES
+    shards = materialise(docs.mapInArrow(_shards(ranges), _SHARDS_DDL), "phrase-shards")
+    counted = materialise(shards.where("range is not null").select("shard", "range", "lang", "words", "local", "n")
+                          .groupBy("range").applyInArrow(_counted_words(least), _WORDS_DDL), "phrase-words")
+    totals = counted.where("phrase is null and lang is not null").groupBy("lang").agg(F.sum("f").alias("n"))
+    level = materialise(counted.where("id is not null").select(
+        "id", "lang", "phrase", "f", F.array("f").alias("begins"), F.array("f").alias("ends")), "phrase-1")
     levels = [level]
-    # a merge join at any size: what it moves then follows the corpus from small tables on
-    frequent = words.join(level.select("id", "lang", F.col("phrase").alias("word")).hint("merge"), ["lang", "word"]).select("shard", "local", "id")
-    streams = shards.where("stream is not null").select(F.col("shard").alias("_shard"), "stream").withColumnRenamed("_shard", "shard")
-    ranges = 1 + int(totals.agg(F.sum("n")).first()[0] or 0) // RANGE_WORDS
+    frequent = counted.where("shard is not null").select("shard", "local", "ids")
+    streams = shards.where("stream is not null").select("shard", "stream")
     built = materialise(streams.groupBy("shard").cogroup(frequent.groupBy("shard")).applyInArrow(_build(longest, least, ranges), _BUILT_DDL), "phrase-index")
     often = built.where("range is not null").select("shard", "range", "hashes", "counts").groupBy("range").applyInArrow(_often(least), _OFTEN_DDL)
     indexes = built.where("bwt is not null").select(F.col("shard").alias("_shard"), "side", "bwt", "first", "ids").withColumnRenamed("_shard", "shard")
