@@ -7,7 +7,8 @@ phrase. A phrase is a pair of intervals, one in either transform. It is extended
 transform and to the left in the forward one, in turns; the symbols found in one interval give the new interval there
 by LF mapping, and the other one by the number of smaller symbols.
 
-Phrases grow one word at a time, over all shards together: each shard extends its intervals and deals the new phrases,
+Words are counted first: shards deal theirs, packed, to ranges, which sum them per language and give the frequent ones ids.
+Phrases then grow one word at a time, over all shards together: each shard extends its intervals and deals the new phrases,
 packed, to ranges by a hash; a range sums the counts of equal phrases, gives those with at least ``least`` occurrences
 an id, and sends every shard the ids and intervals of its own. An extension is only kept where the phrase without its first word and the phrase without its last
 word both are frequent everywhere, so a phrase of k + 1 words is known by the pair of ids of its two parts of k words;
