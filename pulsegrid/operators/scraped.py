@@ -7,7 +7,7 @@ start). Evaluation times are multiples of ``step``.
 
 Per series every sample gets its reset-corrected running total and its number, and its neighbours' times. Then a
 sample is the last one for the evaluation times from itself to the next sample, and the first one for those from one
-look-back after the sample before it: two ranges of grid points that need no other row. The two meet in one grouping
+look-back after the sample before it: two ranges of grid points that need no other row. The two meet in one window
 on (series, evaluation time). So the work follows samples and grid points and not their product with the look-back,
 and the history of a series is cut into hours throughout (``sliced.chained``).
 """
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.sliced import US_PER_SECOND, chained
@@ -48,12 +48,19 @@ def _extended(first: Column, last: Column, at: Column, lookback: int) -> Column:
     return increase * ((sampled + start + end) / sampled) / F.lit(float(lookback))
 
 
-def rate(samples: DataFrame, lookback: int = 60, step: int = 30) -> DataFrame:
-    """AGG12: ``(job, name, labels_key, labels, eval_ts, rate)`` for every series and evaluation time whose look-back
-    holds two samples or more. Of samples of a series at one time, the largest value counts."""
-    one = (samples.withColumn("labels_key", labels_key(F.col("labels"))).groupBy(*SERIES, F.unix_micros("ts").alias("us"))
-           .agg(F.max("value").alias("value"), F.first("labels").alias("labels")))
+def _rates(samples: DataFrame, carried: dict[str, Column], lookback: int, step: int) -> DataFrame:
+    """``rate`` with the columns ``carried`` of a series in place of its labels.
+
+    Rows are sorted once a stage: by series, slice and time, where samples of one time fall together as well, then by
+    series and evaluation time, where a look-back's last sample finds its first. Aggregates would sort the same rows
+    again in the task that makes them, and most of these rows meet no other there.
+    """
+    one = samples.select("job", "name", labels_key(F.col("labels")).alias("labels_key"), F.unix_micros("ts").alias("us"), "value",
+                         *(c.alias(n) for n, c in carried.items()))
     one = one.withColumn("_slice", F.floor(F.col("us") / F.lit(SLICE_SECONDS * US_PER_SECOND)).cast("bigint"))
+    at_once = Window.partitionBy(*SERIES, "_slice").orderBy("us", F.desc("value"))
+    one = (one.withColumn("_again", (F.row_number().over(at_once) > 1) & F.col("us").eqNullSafe(F.lag("us").over(at_once)))
+           .where("not _again").drop("_again"))
     s = chained(one, SERIES, "us", "value", "_slice")
     width, every = lookback * US_PER_SECOND, step * US_PER_SECOND
     us = F.col("us")
@@ -65,17 +72,22 @@ def rate(samples: DataFrame, lookback: int = 60, step: int = 30) -> DataFrame:
         return F.transform(points, lambda k: F.struct(k.alias("k"), *(
             (point if n == name else F.lit(None).cast("struct<us:bigint,value:double,total:double,seq:bigint>")).alias(n) for n in ("first", "last"))))
 
-    met = (s.select(*SERIES, "labels", F.inline(F.concat(marked(as_last, "last"), marked(as_first, "first"))))
-           .groupBy(*SERIES, "k").agg(F.max("first").alias("first"), F.max("last").alias("last"), F.first("labels").alias("labels"))
-           .where("last.seq > first.seq"))
+    met = (s.select(*SERIES, *carried, F.inline(F.concat(marked(as_last, "last"), marked(as_first, "first"))))
+           .withColumn("first", F.max("first").over(Window.partitionBy(*SERIES, "k"))).where("last.seq > first.seq"))
     at = F.col("k") * F.lit(every)
-    return met.select(*SERIES, "labels", F.timestamp_micros(at).alias("eval_ts"), _extended(F.col("first"), F.col("last"), at, lookback).alias("rate"))
+    return met.select(*SERIES, *carried, F.timestamp_micros(at).alias("eval_ts"), _extended(F.col("first"), F.col("last"), at, lookback).alias("rate"))
+
+
+def rate(samples: DataFrame, lookback: int = 60, step: int = 30) -> DataFrame:
+    """AGG12: ``(job, name, labels_key, labels, eval_ts, rate)`` for every series and evaluation time whose look-back
+    holds two samples or more. Of samples of a series at one time, the largest value counts."""
+    return _rates(samples, {"labels": F.col("labels")}, lookback, step)
 
 
 def rate_by(samples: DataFrame, by: Sequence[str], lookback: int = 60, step: int = 30) -> DataFrame:
     """``sum by (by) (rate(...))``: ``(name, by..., eval_ts, rate, series)``."""
-    labels = [F.col("labels")[b].alias(b) for b in by]
-    return (rate(samples, lookback, step).groupBy("name", *labels, "eval_ts")
+    carried = {f"_by{i}": F.col("labels")[b] for i, b in enumerate(by)}
+    return (_rates(samples, carried, lookback, step).groupBy("name", *(F.col(c).alias(b) for c, b in zip(carried, by, strict=True)), "eval_ts")
             .agg(F.sum("rate").alias("rate"), F.count(F.lit(1)).alias("series")))
 
 

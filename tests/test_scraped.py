@@ -92,3 +92,16 @@ def test_bucket_quantile_sums_instances_and_skips_other_series(spark):
     got = [r for r in scraped.bucket_quantile(frame(spark, rows), 0.5, lookback=120, step=60).collect() if round(r.eval_ts.timestamp() - BASE.timestamp()) == 240]
     assert len(got) == 1 and got[0].operation == "x" and math.isclose(got[0].quantile, 0.1) and math.isclose(got[0].rate, 2 * 4 / 30)
     assert scraped.bucket_quantile(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_rate_sorts_its_samples_once_and_never_hashes_them(spark):
+    rows = [(s, "m", {"le": str(s % 3)}, float(s)) for s in range(0, 600, 5)]
+    rows += [(300, "m", {"le": "0"}, 1.0), (300, "m", {"le": "0"}, 1e9)]  # of samples at one time the largest counts
+    samples = frame(spark, rows)
+    got = scraped.rate(samples, lookback=120, step=60)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "BroadcastHashJoin" not in plan
+    top = {(r.labels["le"], r.eval_ts): r.rate for r in got.collect()}
+    without = scraped.rate(samples.where("value not in (1.0, 300.0)"), lookback=120, step=60)
+    assert top == {(r.labels["le"], r.eval_ts): r.rate for r in without.collect()} and len(top) > 20
+    assert max(top.values()) > 1e6
