@@ -41,6 +41,8 @@ from pulsegrid.llm.common import _LOWER, Words, materialise, mix, offsets_of, pr
 SHARD_WORDS = 1 << 20
 # Bytes of text for each range that adds up words, pair hashes or phrases.
 RANGE_BYTES = 6 << 20
+# Packed rows hold megabytes: an Arrow buffer grows by doubling and copying, on both sides of a task's pipe.
+BATCH_BYTES = 4 << 20
 MAX_WORDS = 5
 LEAST = 100
 TOP = 2000
@@ -193,21 +195,22 @@ def _transform(symbols: np.ndarray, depth: int) -> np.ndarray:
 
     ``symbols`` begins and ends with a break (0). What follows a break doesn't count; breaks come first.
     """
-    at = np.flatnonzero(symbols)
+    at = np.flatnonzero(symbols).astype(np.int32)
     wide = int(symbols.max(initial=0)) + 1
-    rank = np.zeros(len(symbols) + depth, np.int64)
+    rank = np.zeros(len(symbols) + depth, np.int32)
     rank[at] = symbols[at]
-    done = 1
     base = rank.copy()
-    alive = at  # positions whose first `done` symbols are all words
-    while done < depth:
-        alive = alive[base[alive + done - 1] > 0]
-        key = rank[at] * wide
-        place = np.searchsorted(at, alive)
-        key[place] += base[alive + done]
-        _, inverse = np.unique(key, return_inverse=True)
-        rank[at] = inverse
-        done += 1
+    alive = np.arange(len(at), dtype=np.int32)  # of `at`, those whose first `done` symbols are all words
+    for done in range(1, depth):
+        alive = alive[base[at[alive] + (done - 1)] > 0]
+        key = rank[at].astype(np.int64)
+        key *= wide
+        key[alive] += base[at[alive] + done]
+        order = np.argsort(key)
+        key = key[order]
+        ranks = np.cumsum(np.diff(key, prepend=key[:1]) > 0, dtype=np.int32)
+        del key
+        rank[at[order]] = ranks
     return symbols[at[np.argsort(rank[at], kind="stable")] - 1].astype("<i4")
 
 
@@ -220,22 +223,26 @@ class Index:
         count = np.bincount(bwt, minlength=self.wide)
         # positions of a symbol that have a break after them come first, and no row of the transform names them
         missing = np.diff(first, append=len(bwt)) - count
-        self.lf = np.zeros(len(bwt), np.int64)
-        self.lf[order] = np.arange(len(bwt)) + np.repeat(first + missing - (np.cumsum(count) - count), count)
+        self.lf = np.zeros(len(bwt), np.int32)
+        self.lf[order] = np.arange(len(bwt), dtype=np.int32) + np.repeat((first + missing - (np.cumsum(count) - count)).astype(np.int32), count)
 
     def extend(self, low: np.ndarray, other: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
         """All extensions by one word of intervals [low, low + n): (which, new low, new other low, new n)."""
-        which = np.repeat(np.arange(len(low)), n)
-        at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(len(which))
-        key = which * self.wide + self.bwt[at]
+        before = np.cumsum(n) - n
+        at = np.repeat((low - before).astype(np.int32), n)
+        at += np.arange(len(at), dtype=np.int32)
+        key = np.repeat(np.arange(len(low)) * self.wide, n)
+        key += self.bwt[at]
         order = np.argsort(key, kind="stable")
         key = key[order]
         cut = np.flatnonzero(np.diff(key, prepend=-1))
         many = np.diff(cut, append=len(key))
         which, symbol = np.divmod(key[cut], self.wide)
-        smaller = np.cumsum(many) - many - (np.cumsum(n) - n)[which]
+        new = self.lf[at[order[cut]]]
+        del key, order, at, cut
+        smaller = np.cumsum(many) - many - before[which]
         word = symbol > 0
-        return which[word], self.lf[at[order[cut]]][word], (other[which] + smaller)[word], many[word]
+        return which[word], new[word], (other[which] + smaller)[word], many[word]
 
 
 _GROWN = pa.schema([("shard", pa.int64()), ("range", pa.int64()), *((c, pa.binary()) for c in ("prefix", "suffix", "low", "back", "n"))])
@@ -333,16 +340,19 @@ def _build(longest: int, least: int, ranges: int):
         symbol = np.zeros(int(stream.max(initial=0)) + 1, np.int32)
         symbol[local + 1] = np.arange(1, len(local) + 1)
         symbols = np.concatenate([np.zeros(1, np.int32), symbol[stream], np.zeros(1, np.int32)])
+        del stream
         symbols = symbols[(symbols > 0) | (np.diff(symbols, prepend=1) != 0)]  # breaks in a row are one
         n = np.bincount(symbols, minlength=len(local) + 1)[1:]
         first = np.concatenate([[0], np.cumsum(n) - n])
         made = {LEFT: _transform(symbols, longest), RIGHT: _transform(symbols[::-1], longest)}
+        del symbols
         found = _grow(Index(made[RIGHT], first), RIGHT, ids, first[1:], first[1:], n)
         rows = [{"shard": shard, "side": side, "bwt": _bytes(bwt, "<i4"), "first": _bytes(first, "<i8"), "ids": _bytes(ids, "<i8") if side == RIGHT else None}
                 for side, bwt in made.items()]
         part, hashes = _hashes(found, ranges)
         order = np.argsort(part, kind="stable")
         part, hashes, counts = part[order], hashes[order], np.minimum(found["n"][order], least).astype(clipped)
+        del found, order
         cut = np.flatnonzero(np.diff(part, prepend=-1, append=ranges))
         rows += [{"shard": shard, "range": int(part[a]), "hashes": hashes[a:b].tobytes(), "counts": counts[a:b].tobytes()}
                  for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
@@ -412,7 +422,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = MAX_WORDS)
     Phrases: id, lang, phrase, f, begins (counts of its beginnings of 1, 2, ... words, its own last), ends (of its
     ends), and from two words on prefix and suffix (ids of the phrase without its last and first word).
     """
-    prepare(docs.sparkSession)
+    prepare(docs.sparkSession).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.col("text").cast("string").alias("text"))
     docs = docs.where("text is not null")
     ranges = 1 + int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // RANGE_BYTES

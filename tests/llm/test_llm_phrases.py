@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -114,3 +115,21 @@ def test_index_intervals():
         word = back[r][0]
         assert all(x[:2] == [word, w + 1] for x in back[r:r + m]) and all(x[:2] == [w + 1, word] for x in ahead[f:f + m])
         assert m == sum(x[:2] == [w + 1, word] for x in ahead)
+
+
+def test_index_needs_little_memory():
+    rng = np.random.default_rng(3)
+    size = 200_000
+    words = np.minimum(rng.zipf(1.3, size), 5000).astype(np.int32)
+    words[rng.random(size) < 0.15] = 0
+    words[[0, -1]] = 0
+    n = np.bincount(words, minlength=5001)[1:]
+    first = np.concatenate([[0], np.cumsum(n) - n])
+    tracemalloc.start()
+    bwt = phrases._transform(words[::-1], 5)
+    made = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    phrases.Index(bwt, first).extend(first[1:], first[1:], n)
+    grown = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert made < 60 * size and grown < 45 * size
