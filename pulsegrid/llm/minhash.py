@@ -212,6 +212,20 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return with_sets.select("a", "b", "set_a", "set_b").mapInArrow(_exact_filter(percent), "a long, b long")
 
 
+def _possible(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` may be among those of ``wanted``: all that are, and few others (a bit map of hashes, 16 to
+    32 bits a key, is broadcast in blocks). A join that follows deals these, and not every text, by their keys."""
+    bits = 1 << max(15, (16 * wanted.count()).bit_length())
+    place = F.pmod(F.xxhash64(F.col(key)), F.lit(bits)) + 1  # the bit map functions count from 1
+    maps = wanted.select(place.alias("_at")).groupBy(F.expr("bitmap_bucket_number(_at)").alias("_block")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(_at))").alias("_map"))
+    spot = "cast(bitmap_bit_position(_at) as int)"
+    byte = f"cast(conv(hex(substring(_map, {spot} div 8 + 1, 1)), 16, 10) as int)"
+    names = rows.columns
+    return (rows.withColumn("_at", place).withColumn("_block", F.expr("bitmap_bucket_number(_at)")).join(F.broadcast(maps), "_block")
+            .where(F.expr(f"shiftright({byte}, {spot} % 8) % 2 = 1")).select(*names))
+
+
 def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs(doc_id, text)``.
 
@@ -240,8 +254,8 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
         .select("a", "b", "sig_a", "sig_b").mapInArrow(_signature_filter, "a long, b long"), "star")
 
     # full sets of all that share a bucket, from the whole texts
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = materialise(docs.join(wanted, "doc_id", "left_semi")
+    wanted = materialise(members.select(F.col("id").alias("doc_id")).distinct(), "wanted")
+    sets = materialise(_possible(docs, wanted, "doc_id").join(wanted, "doc_id", "left_semi")
                        .mapInArrow(_full_sets(words_per_shingle), "id long, shingles binary"), "sets")
     links = materialise(_verified(star, sets, percent), "links")
     found = materialise(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "components")

@@ -22,6 +22,7 @@ rows: a doc_id is a positive if any of its rows says toxic.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ POSITIVES, UNLABELLED = 2000, 6000
 FEATURES = 200
 MIN_DOCUMENTS, MIN_ERRORS = 4, 4.0
 PREFIXES = (4, 5)
+COUNTED_AT_ONCE = 1 << 18  # feature occurrences that the fit counts in one step
 STEPS, RATE, L2 = 150, 0.1, 1e-4
 
 # letters: ASCII in lower case and every byte of a longer character; all else parts words
@@ -94,26 +96,39 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(total, -500, 500)))
 
 
+def _chosen(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
+    """The features that tell positives best, sorted. Texts hold theirs sorted; ranges of hashes are counted one by one."""
+    n_pos, n_unl = len(positive), len(unlabelled)
+    parts = 1 + (sum(map(len, positive)) + sum(map(len, unlabelled))) // COUNTED_AT_ONCE
+    ends = [U64(i * (1 << 64) // parts) for i in range(1, parts)]
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    cuts = [[(0, *np.searchsorted(x, ends).tolist(), len(x)) for x in texts] for texts in (positive, unlabelled)]
+    for i in range(parts):
+        pos, unl = (np.concatenate([x[c[i]:c[i + 1]] for x, c in zip(texts, cut, strict=True)])
+                    for texts, cut in zip((positive, unlabelled), cuts, strict=True))
+        known, ids = np.unique(np.concatenate([pos, unl]), return_inverse=True)
+        in_pos = np.bincount(ids[:len(pos)], minlength=len(known))
+        in_unl = np.bincount(ids[len(pos):], minlength=len(known))
+        base = (in_unl + 1) / (n_unl + 2)
+        errors = (in_pos / n_pos - base) / np.sqrt(base * (1 - base) * (1 / n_pos + 1 / n_unl))
+        kept = (in_pos + in_unl >= MIN_DOCUMENTS) & (errors >= MIN_ERRORS)
+        held.append((known[kept], errors[kept]))
+    known, errors = (np.concatenate(x) for x in zip(*held, strict=True))
+    return np.sort(known[np.argsort(-errors, kind="stable")[:FEATURES]])
+
+
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Model:
     """Fit on the distinct feature hashes of each text."""
     if not positive or not unlabelled or not 0 < prior < 1:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -500.0)
     every = positive + unlabelled
     n_pos, n_unl = len(positive), len(unlabelled)
-    known, ids = np.unique(np.concatenate(every), return_inverse=True)
-    doc = np.repeat(np.arange(len(every)), [len(x) for x in every])
-    in_pos = np.bincount(ids[doc < n_pos], minlength=len(known))
-    in_unl = np.bincount(ids[doc >= n_pos], minlength=len(known))
-    base = (in_unl + 1) / (n_unl + 2)
-    errors = (in_pos / n_pos - base) / np.sqrt(base * (1 - base) * (1 / n_pos + 1 / n_unl))
-    errors[in_pos + in_unl < MIN_DOCUMENTS] = -np.inf
-    best = np.argsort(-errors, kind="stable")[:FEATURES]
-    best = np.sort(best[errors[best] >= MIN_ERRORS])
-    column = np.full(len(known), -1)
-    column[best] = np.arange(len(best))
-    x = np.zeros((len(every), len(best)))
-    some = column[ids] >= 0
-    x[doc[some], column[ids[some]]] = 1.0
+    best = _chosen(positive, unlabelled)
+    x1 = np.zeros((len(every), len(best) + 1))  # the last column is the bias
+    x1[:, -1] = 1.0
+    for i, own in enumerate(every):
+        if len(own) and len(best):
+            x1[i, :-1] = own[np.minimum(np.searchsorted(own, best), len(own) - 1)] == best
 
     is_pos = np.arange(len(every)) < n_pos
     back = np.random.default_rng(11).random(len(every)) < 0.25  # held back for the decision level
@@ -121,7 +136,6 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     if not (pos.any() and unl.any() and (is_pos & back).any() and (~is_pos & back).any()):
         pos, unl, back = is_pos, ~is_pos, np.ones(len(every), bool)
     w = np.zeros(len(best) + 1)
-    x1 = np.hstack([x, np.ones((len(every), 1))])
     first, second = np.zeros_like(w), np.zeros_like(w)
     decay = np.append(np.full(len(best), L2), 0.0)
     for step in range(1, STEPS + 1):
@@ -146,7 +160,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     fired = 1 - np.searchsorted(u, levels) / len(u)
     risk = prior * missed + np.maximum(0, fired - prior * (1 - missed))
     level = np.median(levels[risk <= risk.min() + 1e-12])
-    return Model(known[best], w[:-1], float(w[-1] - level))
+    return Model(best, w[:-1], float(w[-1] - level))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -177,9 +191,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                     names=["positive", "hashes"])
 
     got = sample.select("positive", "text").mapInArrow(run, "positive boolean, hashes binary").toArrow()
-    found = [np.frombuffer(x, np.uint64) for x in got.column("hashes").to_pylist()]
+    found = [np.frombuffer(x.as_buffer(), np.uint64) for chunk in got.column("hashes").chunks for x in chunk]  # views, no copies
     flag = got.column("positive").to_pylist()
-    order = sorted(range(len(found)), key=lambda i: (flag[i], len(found[i]), found[i].tobytes()))  # the same however it was read
+    order = sorted(range(len(found)), key=lambda i: (flag[i], len(found[i])))  # the same however it was read: equal ones by their bytes
+    order = [i for _, same in groupby(order, key=lambda i: (flag[i], len(found[i]))) for i in sorted(same, key=lambda i: found[i].tobytes())]
     positive = [found[i] for i in order if flag[i]]
     unlabelled = [found[i] for i in order]  # positives are part of the whole, label hidden
     share = min(1.0, UNLABELLED / n_rows)

@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -260,3 +262,26 @@ def test_unassigned_code_points_are_the_librarys():
     t = packing.WordTokenizer(packing.default_tokenizer())
     ids, at = t.encode(pa.array(texts))
     assert [ids[p:q].tolist() for p, q in zip(at[:-1], at[1:], strict=True)] == [e.ids for e in t.lib.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_few_texts_are_dealt_for_their_sets(spark):
+    rows = spark.range(-3000, 5000).select(F.col("id").alias("doc_id"), F.lit("a").alias("text")).union(spark.createDataFrame([(None, "n")], "doc_id long, text string"))
+    wanted = spark.range(0, 2000, 5).select(F.col("id").alias("doc_id"))
+    got = minhash._possible(rows, wanted, "doc_id")
+    ids = {r.doc_id for r in got.collect()}
+    assert got.columns == ["doc_id", "text"] and set(range(0, 2000, 5)) <= ids and len(ids) < 400 + 0.1 * 8000
+    assert minhash._possible(rows, wanted.limit(0), "doc_id").count() == 0
+
+
+def test_toxicity_fit_counts_features_by_ranges(monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = [np.unique(np.concatenate([rng.integers(0, 1 << 64, 300, dtype=np.uint64), rng.integers(0, 2000, 200, dtype=np.uint64) << np.uint64(50),
+                                       rng.integers(0, 20 if i < 200 else 2000, 8, dtype=np.uint64) << np.uint64(40)])) for i in range(1000)]
+    whole = toxicity.train(texts[:200], texts, 0.2)
+    monkeypatch.setattr(toxicity, "COUNTED_AT_ONCE", 1 << 14)
+    tracemalloc.start()
+    ranges = toxicity.train(texts[:200], texts, 0.2)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(whole.hashes) and most < 2 * sum(t.nbytes for t in texts)
+    assert (whole.hashes == ranges.hashes).all() and (whole.weights == ranges.weights).all() and whole.bias == ranges.bias
