@@ -55,6 +55,17 @@ def materialise(df: DataFrame, name: str, parts: int | None = None) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """``df`` written to the shared folder in ``buckets`` by ``key`` and read back: grouping by it shuffles no rows again."""
+    spark = df.sparkSession
+    table = f"pulsegrid_{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).saveAsTable(table, format="parquet", path=shared_path(spark, name))
+    try:
+        return spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE {table}")  # the name only: the files stay, and the plan knows them
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -14,7 +14,8 @@ an id, and sends every shard the ids and intervals of its own. An extension is o
 word both are frequent everywhere, so a phrase of k + 1 words is known by the pair of ids of its two parts of k words;
 that pair gives its text, the counts of all its beginnings and ends, and the extensions of its parts to either side.
 No dictionary, phrase table or index is ever sent to all tasks unless Spark finds it small; a shard's index meets its
-own intervals only.
+own intervals only. Indexes are written once, in buckets of shards, and read from there for every length; numbers go packed,
+rising ones by their differences.
 
 Most pairs of frequent words are rare. Before pairs are dealt, every shard deals their hashes, with their counts; a
 range adds up the shards' counts per hash and tells each shard which of its hashes reach ``least``. Hashes only ever
@@ -36,13 +37,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import _LOWER, Words, materialise, mix, offsets_of, prepare, slices, texts
+from pulsegrid.llm.common import _LOWER, Words, bucketed, materialise, mix, offsets_of, prepare, shuffle_partitions, slices, texts
 
 SHARD_WORDS = 1 << 20
 # Bytes of text for each range that adds up words, pair hashes or phrases.
 RANGE_BYTES = 6 << 20
 # Packed rows hold megabytes: an Arrow buffer grows by doubling and copying, on both sides of a task's pipe.
 BATCH_BYTES = 4 << 20
+# Bytes from which numbers are compressed, and bits of a pair's hash within its range.
+SMALL = 64
+HASH_BITS = 22
+# Ranges for each bucket of the index beyond the shuffle's partitions, and the most buckets Spark allows.
+BUCKET_RANGES, MOST_BUCKETS = 8, 100_000
 MAX_WORDS = 5
 LEAST = 100
 TOP = 2000
@@ -54,14 +60,37 @@ _BREAK = _PIECE_END.copy()
 _BREAK[[0x20, 0x09]] = True
 
 
+def _packed(raw: bytes) -> bytes:
+    """The length, then the bytes, compressed where there are enough of them."""
+    return len(raw).to_bytes(4, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if len(raw) >= SMALL else raw)
+
+
+def _size(packed: bytes) -> int:
+    return int.from_bytes(packed[:4], "little")
+
+
+def _raw(packed: bytes) -> bytes:
+    size = _size(packed)
+    return pa.decompress(packed[4:], decompressed_size=size, codec="zstd", asbytes=True) if size >= SMALL else packed[4:]
+
+
 def _bytes(x: np.ndarray, kind: str) -> bytes:
     """Numbers as planes of bytes, the low ones first: planes that hardly change compress to nothing."""
-    return x.astype(kind).view(np.uint8).reshape(len(x), -1).T.tobytes()
+    return _packed(x.astype(kind).view(np.uint8).reshape(len(x), np.dtype(kind).itemsize).T.tobytes())
 
 
-def _numbers(raw: bytes, kind: str) -> np.ndarray:
+def _numbers(packed: bytes, kind: str) -> np.ndarray:
     wide = np.dtype(kind).itemsize
-    return np.frombuffer(raw, np.uint8).reshape(wide, -1).T.copy().view(kind).ravel()
+    return np.frombuffer(_raw(packed), np.uint8).reshape(wide, -1).T.copy().view(kind).ravel()
+
+
+def _steps(x: np.ndarray, kind: str) -> bytes:
+    """Rising numbers by their differences."""
+    return _bytes(np.diff(x, prepend=x[:1] * 0), kind)
+
+
+def _summed(packed: bytes, kind: str) -> np.ndarray:
+    return np.cumsum(_numbers(packed, kind), dtype=kind)
 
 
 # ---- words of a task's texts -------------------------------------------------------------------------------------
@@ -115,9 +144,13 @@ class _Shard:
     def closed(self) -> tuple[np.ndarray, list[bytes], np.ndarray]:
         """The stream (0 before each piece, else word number + 1), the words, and how often each comes."""
         known, first = np.unique(np.concatenate(self.known), return_index=True)
-        at = np.searchsorted(known, np.concatenate(self.hashes))
+        at = np.searchsorted(known, np.concatenate(self.hashes)).astype(np.int32)
+        n = np.bincount(at, minlength=len(known))
+        order = np.argsort(-n, kind="stable")  # small numbers for words that come often
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(1, len(order) + 1)
         opens = np.flatnonzero(np.concatenate(self.opens))
-        return np.insert(at + 1, opens, 0).astype("<i4"), [self.words[k] for k in first.tolist()], np.bincount(at, minlength=len(known))
+        return np.insert(number[at], opens, 0).astype("<i4"), [self.words[k] for k in first[order].tolist()], n[order]
 
 
 _SHARDS = pa.schema([("shard", pa.int64()), ("stream", pa.binary()), ("range", pa.int64()), ("lang", pa.string()), ("words", pa.binary()),
@@ -134,8 +167,8 @@ def _shards(ranges: int):
         part = (part * 0x9E3779B1 + zlib.crc32(lang.encode())) % ((1 << 31) - 1) % ranges
         order = np.argsort(part, kind="stable")
         cut = np.flatnonzero(np.diff(part[order], prepend=-1, append=ranges))
-        rows = [{"shard": shard, "range": int(part[own[0]]), "lang": lang, "words": b"\n".join([words[k] for k in own.tolist()]),
-                 "local": _bytes(own, "<i4"), "n": _bytes(n[own], "<i8")} for own in np.split(order, cut[1:-1])]
+        rows = [{"shard": shard, "range": int(part[own[0]]), "lang": lang, "words": _packed(b"\n".join([words[k] for k in own.tolist()])),
+                 "local": _steps(own, "<i4"), "n": _bytes(n[own], "<i8")} for own in np.split(order, cut[1:-1])]
         yield pa.RecordBatch.from_pylist([{"shard": shard, "stream": _bytes(stream, "<i4")}, *rows], schema=_SHARDS)
 
     def run(batches):
@@ -166,7 +199,7 @@ def _counted_words(least: int):
     """A range's words: all of a language's as one sum (no phrase), those that come often enough a row each, and for
     each shard the numbers and ids of its own."""
     def run(table: pa.Table) -> pa.Table:
-        held = [(shard, lang, words.split(b"\n"), _numbers(local, "<i4"), _numbers(n, "<i8"))
+        held = [(shard, lang, _raw(words).split(b"\n"), _summed(local, "<i4"), _numbers(n, "<i8"))
                 for shard, lang, words, local, n in zip(*(table.column(c).to_pylist() for c in ("shard", "lang", "words", "local", "n")), strict=True)]
         total: dict[tuple[str, bytes], int] = {}
         all_of: dict[str, int] = {}
@@ -181,7 +214,7 @@ def _counted_words(least: int):
         for shard, lang, words, local, _ in held:
             own = np.array([ids.get((lang, w), -1) for w in words], np.int64)
             if (own >= 0).any():
-                rows.append({"shard": shard, "local": _bytes(local[own >= 0], "<i4"), "ids": _bytes(own[own >= 0], "<i8")})
+                rows.append({"shard": shard, "local": _steps(local[own >= 0], "<i4"), "ids": _bytes(own[own >= 0], "<i8")})
         return pa.Table.from_pylist(rows, schema=_WORDS)
 
     return run
@@ -248,13 +281,13 @@ class Index:
 _GROWN = pa.schema([("shard", pa.int64()), ("range", pa.int64()), *((c, pa.binary()) for c in ("prefix", "suffix", "low", "back", "n"))])
 _GROWN_DDL = "shard long, range long, prefix binary, suffix binary, low binary, back binary, n binary"
 _WIDE = {"prefix": "<i8", "suffix": "<i8", "ids": "<i8", "low": "<i4", "back": "<i4", "n": "<i4"}
-_BUILT = [("shard", pa.int64()), ("side", pa.int32()), ("bwt", pa.binary()), ("first", pa.binary()), ("ids", pa.binary()),
-          ("range", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())]
-_BUILT_DDL = "shard long, side int, bwt binary, first binary, ids binary, range long, hashes binary, counts binary"
-RIGHT, LEFT = 1, 0  # the side to extend on: the reversed transform, the forward one
+_RISING = ("prefix", "ids")  # within a packed row
+_BUILT = pa.schema([("shard", pa.int64()), *((c, pa.binary()) for c in ("right", "left", "many", "ids"))])
+_BUILT_DDL = "shard long, right binary, left binary, many binary, ids binary"
+RIGHT, LEFT = "right", "left"  # the side to extend on: the reversed transform, the forward one
 
 
-def _grow(index: Index, side: int, ids: np.ndarray, low: np.ndarray, back: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
+def _grow(index: Index, side: str, ids: np.ndarray, low: np.ndarray, back: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
     """Extensions on one side whose other part is frequent as well: prefix, suffix, low, back, n."""
     here, there = (back, low) if side == RIGHT else (low, back)
     order = np.argsort(here)
@@ -270,24 +303,28 @@ def _grow(index: Index, side: int, ids: np.ndarray, low: np.ndarray, back: np.nd
 
 
 def _hashes(found: dict[str, np.ndarray], ranges: int) -> tuple[np.ndarray, np.ndarray]:
-    """Range and 32-bit hash within it of each pair."""
+    """Range and hash within it of each pair."""
     h = mix(found["prefix"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mix(found["suffix"].astype(np.uint64) + np.uint64(1)))
-    return (h % np.uint64(ranges)).astype(np.int64), (h >> np.uint64(32)).astype("<u4")
+    return (h % np.uint64(ranges)).astype(np.int64), (h >> np.uint64(64 - HASH_BITS)).astype(np.int32)
+
+
+def _column(name: str, x: np.ndarray) -> bytes:
+    return (_steps if name in _RISING else _bytes)(x, _WIDE[name])
 
 
 def _dealt(shard: int, found: dict[str, np.ndarray], ranges: int) -> pa.Table:
     """The extensions of a shard, one packed row a range."""
     part, _ = _hashes(found, ranges)
-    order = np.lexsort((found["prefix"], part))
+    order = np.lexsort((found["suffix"], found["prefix"], part))
     part = part[order]
     packed = {c: found[c][order] for c in ("prefix", "suffix", "low", "back", "n")}
     cut = np.flatnonzero(np.diff(part, prepend=-1, append=ranges))
-    return pa.Table.from_pylist([{"shard": shard, "range": int(part[a]), **{c: _bytes(x[a:b], _WIDE[c]) for c, x in packed.items()}}
+    return pa.Table.from_pylist([{"shard": shard, "range": int(part[a]), **{c: _column(c, x[a:b]) for c, x in packed.items()}}
                                  for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], schema=_GROWN)
 
 
 def _unpacked(table: pa.Table, *names: str) -> list[np.ndarray]:
-    return [np.concatenate([_numbers(x, _WIDE[c]) for x in table.column(c).to_pylist()]) for c in names]
+    return [np.concatenate([(_summed if c in _RISING else _numbers)(x, _WIDE[c]) for x in table.column(c).to_pylist()]) for c in names]
 
 
 _COUNTED = pa.schema([("id", pa.int64()), ("prefix", pa.int64()), ("suffix", pa.int64()), ("f", pa.int64()),
@@ -309,33 +346,27 @@ def _counted(least: int):
         of[order] = np.repeat(ids, np.diff(first, append=len(order)))
         at = order[first[often]]
         phrases = pa.table({"id": ids[often], "prefix": prefix[at], "suffix": suffix[at], "f": f[often]})
-        cut = np.cumsum([0, *(len(x) // 4 for x in table.column("n").to_pylist())]).tolist()
+        cut = np.cumsum([0, *(_size(x) // 4 for x in table.column("n").to_pylist())]).tolist()
         rows = []
         for shard, a, b in zip(table.column("shard").to_pylist(), cut[:-1], cut[1:], strict=True):
             own = a + np.flatnonzero(of[a:b] >= 0)
             if len(own):
-                rows.append({"shard": shard, **{c: _bytes(x[own], _WIDE[c]) for c, x in (("ids", of), ("low", low), ("back", back), ("n", n))}})
+                rows.append({"shard": shard, **{c: _column(c, x[own]) for c, x in (("ids", of), ("low", low), ("back", back), ("n", n))}})
         phrases = pa.table([phrases.column(f.name) if f.name in phrases.column_names else pa.nulls(len(often), f.type) for f in _COUNTED], schema=_COUNTED)
         return pa.concat_tables([phrases, pa.Table.from_pylist(rows, schema=_COUNTED)])
 
     return run
 
 
-def _word_intervals(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    return first[1:], np.diff(first[1:], append=size)
-
-
-def _build(longest: int, least: int, ranges: int):
-    """Index a shard over its frequent words: two index rows, then its word pairs' hashes and counts, a row a range."""
-    clipped = np.uint8 if least < 256 else np.dtype("<u4")  # a count of `least` is enough to know
-
+def _build(longest: int):
+    """Index a shard over its frequent words: both transforms, how often each symbol comes, and the words' ids."""
     def run(streams: pa.Table, words: pa.Table) -> pa.Table:
         if not streams.num_rows or not words.num_rows:
-            return pa.schema(_BUILT).empty_table()
-        shard = streams.column("shard")[0].as_py()
+            return _BUILT.empty_table()
         stream = _numbers(streams.column("stream")[0].as_py(), "<i4")
-        local, ids = (np.concatenate([_numbers(x, kind) for x in words.column(c).to_pylist()]) for c, kind in (("local", "<i4"), ("ids", "<i8")))
-        order = np.argsort(local)
+        local = np.concatenate([_summed(x, "<i4") for x in words.column("local").to_pylist()])
+        ids = np.concatenate([_numbers(x, "<i8") for x in words.column("ids").to_pylist()])
+        order = np.argsort(local)  # so words that come often have small symbols, too
         local, ids = local[order], ids[order]
         symbol = np.zeros(int(stream.max(initial=0)) + 1, np.int32)
         symbol[local + 1] = np.arange(1, len(local) + 1)
@@ -343,36 +374,60 @@ def _build(longest: int, least: int, ranges: int):
         del stream
         symbols = symbols[(symbols > 0) | (np.diff(symbols, prepend=1) != 0)]  # breaks in a row are one
         n = np.bincount(symbols, minlength=len(local) + 1)[1:]
-        first = np.concatenate([[0], np.cumsum(n) - n])
-        made = {LEFT: _transform(symbols, longest), RIGHT: _transform(symbols[::-1], longest)}
-        del symbols
-        found = _grow(Index(made[RIGHT], first), RIGHT, ids, first[1:], first[1:], n)
-        rows = [{"shard": shard, "side": side, "bwt": _bytes(bwt, "<i4"), "first": _bytes(first, "<i8"), "ids": _bytes(ids, "<i8") if side == RIGHT else None}
-                for side, bwt in made.items()]
+        return pa.Table.from_pylist([{
+            "shard": streams.column("shard")[0].as_py(), RIGHT: _bytes(_transform(symbols[::-1], longest), "<i4"),
+            LEFT: _bytes(_transform(symbols, longest), "<i4"), "many": _bytes(n, "<i4"), "ids": _bytes(ids, "<i8")}], schema=_BUILT)
+
+    return run
+
+
+def _index(table: pa.Table, side: str) -> tuple[Index, np.ndarray, np.ndarray, np.ndarray]:
+    """A shard's index on one side, and its words: ids, where their intervals begin, how often they come."""
+    n = _numbers(table.column("many")[0].as_py(), "<i4").astype(np.int64)
+    low = np.cumsum(n) - n
+    return Index(_numbers(table.column(side)[0].as_py(), "<i4"), np.concatenate([[0], low])), _numbers(table.column("ids")[0].as_py(), "<i8"), low, n
+
+
+def _word_pairs(table: pa.Table) -> dict[str, np.ndarray]:
+    index, ids, low, n = _index(table, RIGHT)
+    return _grow(index, RIGHT, ids, low, low, n)
+
+
+_HASHED = pa.schema([("shard", pa.int64()), ("range", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
+_HASHED_DDL = "shard long, range long, hashes binary, counts binary"
+
+
+def _hashed(least: int, ranges: int):
+    """The hashes of a shard's word pairs, in order, with their counts, a row a range."""
+    clipped = "u1" if least < 256 else "<u4"  # a count of `least` is enough to know
+
+    def run(indexes: pa.Table) -> pa.Table:
+        found = _word_pairs(indexes)
         part, hashes = _hashes(found, ranges)
-        order = np.argsort(part, kind="stable")
-        part, hashes, counts = part[order], hashes[order], np.minimum(found["n"][order], least).astype(clipped)
+        order = np.lexsort((hashes, part))
+        part, hashes, counts = part[order], hashes[order], np.minimum(found["n"][order], least)
         del found, order
         cut = np.flatnonzero(np.diff(part, prepend=-1, append=ranges))
-        rows += [{"shard": shard, "range": int(part[a]), "hashes": hashes[a:b].tobytes(), "counts": counts[a:b].tobytes()}
-                 for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-        return pa.Table.from_pylist(rows, schema=pa.schema(_BUILT))
+        shard = indexes.column("shard")[0].as_py()
+        return pa.Table.from_pylist([{"shard": shard, "range": int(part[a]), "hashes": _steps(hashes[a:b], "<i4"), "counts": _bytes(counts[a:b], clipped)}
+                                     for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], schema=_HASHED)
 
     return run
 
 
 def _often(least: int):
     """A range's hashes that all shards together hold ``least`` times: each shard's own, a row a shard."""
-    clipped = np.uint8 if least < 256 else np.dtype("<u4")
+    clipped = "u1" if least < 256 else "<u4"
 
     def run(table: pa.Table) -> pa.Table:
         shards, parts, hashes, counts = (table.column(c).to_pylist() for c in ("shard", "range", "hashes", "counts"))
-        own = [np.frombuffer(h, "<u4") for h in hashes]
+        own = [_summed(h, "<i4") for h in hashes]
         every, inverse = np.unique(np.concatenate(own), return_inverse=True)
-        total = np.bincount(inverse, weights=np.concatenate([np.frombuffer(c, clipped) for c in counts]))
+        total = np.bincount(inverse, weights=np.concatenate([_numbers(c, clipped) for c in counts]))
         good = every[total >= least]
-        kept = [h[np.isin(h, good)].tobytes() for h in own]
-        return pa.table({"shard": shards, "range": parts, "kept": pa.array(kept, pa.binary())}, schema=_OFTEN).filter(pa.array([len(k) > 0 for k in kept], pa.bool_()))
+        kept = [h[np.isin(h, good)] for h in own]
+        return pa.table({"shard": shards, "range": parts, "kept": pa.array([_steps(k, "<i4") for k in kept], pa.binary())},
+                        schema=_OFTEN).filter(pa.array([len(k) > 0 for k in kept], pa.bool_()))
 
     return run
 
@@ -381,34 +436,28 @@ _OFTEN = pa.schema([("shard", pa.int64()), ("range", pa.int64()), ("kept", pa.bi
 _OFTEN_DDL = "shard long, range long, kept binary"
 
 
-def _index(table: pa.Table) -> Index:
-    return Index(_numbers(table.column("bwt")[0].as_py(), "<i4"), _numbers(table.column("first")[0].as_py(), "<i8"))
-
-
 def _pairs(ranges: int):
     """A shard's word pairs whose hashes come often enough."""
     def run(indexes: pa.Table, often: pa.Table) -> pa.Table:
         if not indexes.num_rows or not often.num_rows:
             return _GROWN.empty_table()
-        index = _index(indexes)
-        low, n = _word_intervals(_numbers(indexes.column("first")[0].as_py(), "<i8"), len(index.bwt))
-        found = _grow(index, RIGHT, _numbers(indexes.column("ids")[0].as_py(), "<i8"), low, low, n)
+        found = _word_pairs(indexes)
         part, hashes = _hashes(found, ranges)
-        good = np.concatenate([np.frombuffer(k, "<u4").astype(np.int64) + (r << 32)
+        good = np.concatenate([_summed(k, "<i4").astype(np.int64) + (r << HASH_BITS)
                                for r, k in zip(often.column("range").to_pylist(), often.column("kept").to_pylist(), strict=True)])
-        kept = np.isin(hashes.astype(np.int64) + (part << 32), good)
+        kept = np.isin(hashes + (part << HASH_BITS), good)
         return _dealt(indexes.column("shard")[0].as_py(), {k: v[kept] for k, v in found.items()}, ranges)
 
     return run
 
 
-def _extend(ranges: int):
-    """One more word on the side of the shard's index that is given."""
+def _extend(side: str, ranges: int):
+    """One more word on one side."""
     def run(indexes: pa.Table, intervals: pa.Table) -> pa.Table:
         if not indexes.num_rows or not intervals.num_rows:
             return _GROWN.empty_table()
         columns = (x.astype(np.int64) for x in _unpacked(intervals, "ids", "low", "back", "n"))
-        return _dealt(indexes.column("shard")[0].as_py(), _grow(_index(indexes), indexes.column("side")[0].as_py(), *columns), ranges)
+        return _dealt(indexes.column("shard")[0].as_py(), _grow(_index(indexes, side)[0], side, *columns), ranges)
 
     return run
 
@@ -416,6 +465,22 @@ def _extend(ranges: int):
 # ---- the Spark job -----------------------------------------------------------------------------------------------
 
 
+def _one_side(built: DataFrame, side: str) -> DataFrame:
+    # new attributes, since both sides of a cogroup may come from the index
+    return built.select(F.col("shard").alias("_shard"), side, "many", "ids").withColumnRenamed("_shard", "shard")
+
+
+def _frequent_hashes(built: DataFrame, least: int, ranges: int) -> DataFrame:
+    """The pair hashes of each shard that all shards together hold ``least`` times."""
+    hashed = _one_side(built, RIGHT).groupBy("shard").applyInArrow(_hashed(least, ranges), _HASHED_DDL)
+    return hashed.groupBy("range").applyInArrow(_often(least), _OFTEN_DDL)
+
+
+def _cogrouped(built: DataFrame, side: str, sent: DataFrame, run) -> DataFrame:
+    """What ``run`` makes of each shard's index and the rows sent to the shard."""
+    return _one_side(built, side).groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(run, _GROWN_DDL)
+
+
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = MAX_WORDS) -> tuple[DataFrame, list[DataFrame]]:
     """Words per language ``(lang, n)``, and per length 1 to ``longest`` the phrases that come ``least`` times.
 
@@ -435,16 +500,15 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = MAX_WORDS)
     levels = [level]
     frequent = counted.where("shard is not null").select("shard", "local", "ids")
     streams = shards.where("stream is not null").select("shard", "stream")
-    built = materialise(streams.groupBy("shard").cogroup(frequent.groupBy("shard")).applyInArrow(_build(longest, least, ranges), _BUILT_DDL), "phrase-index")
-    often = built.where("range is not null").select("shard", "range", "hashes", "counts").groupBy("range").applyInArrow(_often(least), _OFTEN_DDL)
-    indexes = built.where("bwt is not null").select(F.col("shard").alias("_shard"), "side", "bwt", "first", "ids").withColumnRenamed("_shard", "shard")
+    built = streams.groupBy("shard").cogroup(frequent.groupBy("shard")).applyInArrow(_build(longest), _BUILT_DDL)
+    # in buckets of shards: what is sent to a shard meets its index where that lies
+    built = bucketed(built, "phrase-index", "shard", min(MOST_BUCKETS, max(shuffle_partitions(docs.sparkSession), ranges // BUCKET_RANGES)))
     for size in range(2, longest + 1):
         side = RIGHT if size % 2 == 0 else LEFT
-        one = indexes.where(F.col("side") == side).groupBy("shard")
         if size == 2:
-            grown = one.cogroup(often.groupBy("shard")).applyInArrow(_pairs(ranges), _GROWN_DDL)
+            grown = _cogrouped(built, side, _frequent_hashes(built, least, ranges), _pairs(ranges))
         else:
-            grown = one.cogroup(intervals.groupBy("shard")).applyInArrow(_extend(ranges), _GROWN_DDL)
+            grown = _cogrouped(built, side, intervals, _extend(side, ranges))
         summed = materialise(grown.groupBy("range").applyInArrow(_counted(least), _COUNTED_DDL), f"phrase-counted-{size}")
         before = level.select(F.col("id").alias("prefix"), "lang", F.col("phrase").alias("_start"), F.col("begins").alias("_begins"))
         after = level.select(F.col("id").alias("suffix"), F.col("phrase").alias("_end"), F.col("ends").alias("_ends"))

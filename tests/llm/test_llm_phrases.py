@@ -133,3 +133,45 @@ def test_index_needs_little_memory():
     grown = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert made < 60 * size and grown < 45 * size
+
+
+def test_index_stays_where_it_is(spark, monkeypatch):
+    """Phrases are sent to the shards' indexes; no index is shuffled again for a length."""
+    plans, materialise = {}, phrases.materialise
+
+    def seen(df, name, *args):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return materialise(df, name, *args)
+
+    monkeypatch.setattr(phrases, "materialise", seen)
+    docs = sentences(250, 4)
+    assert found(frame(spark, docs), least=4) == counted(docs, 4)
+    assert [plans[f"phrase-counted-{k}"].count("Exchange hashpartitioning(shard") for k in range(2, 6)] == [1, 1, 1, 1]
+    assert not {t.name for t in spark.catalog.listTables() if "phrase" in t.name}
+
+
+def test_little_disk(spark):
+    """What lies in the shared folder after a run, a byte of text: streams, indexes and what comes of them."""
+    from pathlib import Path
+
+    from pulsegrid.llm.common import shared_dir
+
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{w}" for w in np.minimum(rng.zipf(1.2, 2000), 20_000).tolist()) for _ in range(200)]
+    there = Path(shared_dir(spark).removeprefix("file:")) / "pulsegrid-llm"
+    before = set(there.glob("*"))
+    phrases.phrase_counts(spark.createDataFrame([("en", t) for t in texts], "lang string, text string").repartition(2), least=20)
+    size = sum(f.stat().st_size for d in set(there.glob("*")) - before for f in d.rglob("*.parquet"))
+    assert size < 0.9 * sum(map(len, texts))
+
+
+def test_packed_numbers():
+    rng = np.random.default_rng(6)
+    for size in (0, 1, 5, 15, 16, 17, 1000):
+        for kind, top in (("<i4", 1 << 31), ("<i8", 1 << 62), ("u1", 256)):
+            x = rng.integers(0, top, size).astype(kind)
+            packed = phrases._bytes(x, kind)
+            assert phrases._numbers(packed, kind).tolist() == x.tolist() and phrases._size(packed) == x.nbytes
+        rising = np.sort(rng.integers(0, 1 << 40, size))
+        assert phrases._summed(phrases._steps(rising, "<i8"), "<i8").tolist() == rising.tolist()
+    assert len(phrases._steps(np.arange(1 << 20), "<i4")) < 1000
