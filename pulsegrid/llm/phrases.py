@@ -41,12 +41,12 @@ from pulsegrid.llm.common import _LOWER, Words, bucketed, materialise, mix, offs
 
 SHARD_WORDS = 1 << 20
 # Bytes of text for each range that adds up words, pair hashes or phrases.
-RANGE_BYTES = 6 << 20
+RANGE_BYTES = 16 << 20
 # Packed rows hold megabytes: an Arrow buffer grows by doubling and copying, on both sides of a task's pipe.
 BATCH_BYTES = 4 << 20
 # Bytes from which numbers are compressed, and bits of a pair's hash within its range.
 SMALL = 64
-HASH_BITS = 22
+HASH_BITS = 20
 # Ranges for each bucket of the index beyond the shuffle's partitions, and the most buckets Spark allows.
 BUCKET_RANGES, MOST_BUCKETS = 8, 100_000
 MAX_WORDS = 5
